@@ -165,3 +165,156 @@ for _qname, _hist in [
 ]:
     _fixture, _sql = ROLLUP_SQL[_hist]
     register(_qname, FX.duckdb_with([_fixture], _sql))(_rollup_query(_hist))
+
+
+# ------------------------------------------------- application: fit / clean
+from functools import lru_cache  # noqa: E402
+
+from pyspark.sql import functions as F  # noqa: E402
+
+from ..operators import features as FE  # noqa: E402
+from ..operators import fit as FIT  # noqa: E402
+from . import app_sql as A  # noqa: E402
+from . import catalog_fixture as CF  # noqa: E402
+from . import pipeline as PL  # noqa: E402
+
+
+def applicants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return FX.load(spark, sf_dir, "applicants")
+
+
+def split_train_test(app: DataFrame) -> tuple[DataFrame, DataFrame]:
+    train = app.where(F.col("IS_TRAIN") == 1).drop("IS_TRAIN")
+    test = app.where(F.col("IS_TRAIN") == 0).drop("IS_TRAIN", "TARGET")
+    return train, test
+
+
+_PLANS: dict[tuple, FIT.FitPlan] = {}
+
+
+def train_plan(spark: SparkSession, sf_dir: str, schema_mode: str = "frozen") -> FIT.FitPlan:
+    """Fit once per (session, data folder); the plan is a few driver-side scalars."""
+    k = (id(spark), sf_dir)
+    if k not in _PLANS:
+        train, _ = split_train_test(applicants(spark, sf_dir))
+        _PLANS[k] = FIT.fit_plan(train)
+    return FIT.with_schema_mode(_PLANS[k], schema_mode)
+
+
+def cleaned(spark, sf_dir, frame="train", schema_mode="frozen") -> DataFrame:
+    train, test = split_train_test(applicants(spark, sf_dir))
+    plan = train_plan(spark, sf_dir, schema_mode)
+    return FIT.clean(train if frame == "train" else test, plan)
+
+
+def engineered(spark, sf_dir, frame="train") -> DataFrame:
+    return PL.engineer(cleaned(spark, sf_dir, frame))
+
+
+def _app_sql(select: str, frame: str = "train", engineered_: bool = True, histories: bool = False) -> str:
+    fixtures = ["applicants"] + (A.HISTORY_FIXTURES if histories else [])
+    ctes = A.app_ctes(frame, engineered_)
+    if histories:
+        ctes.append(A.history_ctes())
+    return A.with_ctes(fixtures, ctes, select)
+
+
+@register("sentinel_to_null", FX.duckdb_with(["applicants"], """
+SELECT SK_ID_CURR,
+ CASE WHEN DAYS_EMPLOYED > 15000 THEN NULL ELSE DAYS_EMPLOYED END AS DAYS_EMPLOYED,
+ CAST(DAYS_EMPLOYED > 15000 AS INTEGER) AS FLAG_UNEMPLOYED_UNKNOWN
+FROM applicants"""))
+def q_sentinel(spark, sf_dir):
+    return FIT.fix_sentinel(applicants(spark, sf_dir)).select("SK_ID_CURR", "DAYS_EMPLOYED", "FLAG_UNEMPLOYED_UNKNOWN")
+
+
+register("null_profile", FX.duckdb_with(["applicants"], "\nUNION ALL\n".join(
+    f"SELECT '{c}' AS column_name, COUNT(*) FILTER (WHERE {c} IS NULL) AS null_count, "
+    f"CAST(COUNT(*) FILTER (WHERE {c} IS NULL) AS DOUBLE) / COUNT(*) AS null_share FROM applicants"
+    for c in CF.APPLICANT_COLUMNS)))(lambda spark, sf_dir: FIT.null_profile_table(applicants(spark, sf_dir)))
+
+register("drop_high_missing", FX.duckdb_with(["applicants"], "SELECT * EXCLUDE (OWN_CAR_AGE) FROM applicants"))(
+    lambda spark, sf_dir: FIT.drop_high_missing(applicants(spark, sf_dir)))
+
+
+@register("fit_medians", A.with_ctes(["applicants"], A.raw_fix_ctes("train"), "\nUNION ALL\n".join(
+    f"SELECT '{c}' AS column_name, CAST(COALESCE(median({c}), 0) AS DOUBLE) AS median_value FROM train_fix"
+    for c in CF.NUMERIC_FIT)))
+def q_fit_medians(spark, sf_dir):
+    plan = train_plan(spark, sf_dir)
+    rows = [(c, float(v)) for c, v in plan.numeric_medians.items()]
+    return spark.createDataFrame(rows, "column_name string, median_value double")
+
+
+@register("fit_modes", A.with_ctes(["applicants"], A.raw_fix_ctes("train"), "\nUNION ALL\n".join(
+    f"""SELECT * FROM (SELECT '{c}' AS column_name, COALESCE(v, 'Missing') AS mode_value FROM (
+  SELECT {c} AS v, COUNT(*) AS n FROM train_fix GROUP BY {c} ORDER BY n DESC, v ASC NULLS LAST LIMIT 1) x)"""
+    for c in CF.STRING_FIT)))
+def q_fit_modes(spark, sf_dir):
+    plan = train_plan(spark, sf_dir)
+    rows = [(c, v) for c, v in plan.categorical_modes.items()]
+    return spark.createDataFrame(rows, "column_name string, mode_value string")
+
+
+def _cols_query(name: str, frame: str, cols: list[str], stage: str = "clean"):
+    sel = ", ".join(["SK_ID_CURR"] + cols)
+    src = f"{frame}_clean" if stage == "clean" else f"{frame}_feat"
+    oracle = _app_sql(f"SELECT {sel} FROM {src}", frame, engineered_=(stage != "clean"))
+
+    def run(spark, sf_dir):
+        df = cleaned(spark, sf_dir, frame) if stage == "clean" else engineered(spark, sf_dir, frame)
+        return df.select("SK_ID_CURR", *cols)
+
+    register(name, oracle)(run)
+
+
+_cols_query("impute_scores", "test", CF.EXT + [f"FLAG_MISSING_{c}" for c in CF.EXT])
+_cols_query("impute_numeric", "test", CF.NUM_IMPUTE + [f"FLAG_MISSING_{c}" for c in CF.NUM_IMPUTE])
+_cols_query("impute_categorical", "test", CF.CAT_IMPUTE + [f"FLAG_MISSING_{c}" for c in CF.CAT_IMPUTE])
+_cols_query("total_missing", "train", ["TOTAL_MISSING_FEATURES"], "feat")
+_cols_query("demographics", "train", ["AGE_YEARS", "EMPLOYMENT_YEARS", "REGISTRATION_YEARS", "ID_PUBLISH_YEARS"], "feat")
+_cols_query("financial_ratios", "train", [
+    "CREDIT_TO_INCOME_RATIO", "ANNUITY_TO_INCOME_RATIO", "LOAN_TO_VALUE_RATIO", "DOWN_PAYMENT_RATIO",
+    "INCOME_PER_CHILD", "CREDIT_PER_PERSON", "INCOME_TO_AGE_RATIO"], "feat")
+_cols_query("interactions", "train", [
+    "EXT_SOURCE_2x3", "EXT_SOURCE_1x2", "EXT_SOURCE_1x3", "EXT_SOURCE_MEAN", "EXT_SOURCE_SUM"], "feat")
+_cols_query("bins_flags", "test", ["AGE_GROUP", "INCOME_GROUP", "FLAG_HIGH_RISK_OCCUPATION"], "feat")
+_cols_query("document_score", "train", ["DOCUMENT_COMPLETENESS_SCORE"], "feat")
+
+
+@register("payment_to_credit", FX.duckdb_with(["applicants"], f"""
+SELECT SK_ID_CURR, {S.ratio('(CAST(AMT_ANNUITY AS DOUBLE) * CAST(CNT_PAYMENT AS DOUBLE))', 'AMT_CREDIT')}
+  AS PAYMENT_TO_CREDIT_RATIO
+FROM (SELECT *, CAST((-DAYS_ID_PUBLISH) % 60 AS DOUBLE) AS CNT_PAYMENT FROM applicants) a"""))
+def q_payment_to_credit(spark, sf_dir):
+    # The optional CNT_PAYMENT input (number of payments) derived per applicant.
+    app = applicants(spark, sf_dir).withColumn("CNT_PAYMENT", ((-F.col("DAYS_ID_PUBLISH")) % 60).cast("double"))
+    feats = FE.financial_ratios(app.columns)
+    return app.select("SK_ID_CURR", feats["PAYMENT_TO_CREDIT_RATIO"].alias("PAYMENT_TO_CREDIT_RATIO"))
+
+
+# ------------------------------------------------------ assembly / pipeline
+
+
+@register("assemble_histories", A.with_ctes(
+    ["applicants"] + A.HISTORY_FIXTURES, [A.history_ctes()],
+    "SELECT a.SK_ID_CURR, " + ", ".join(f"COALESCE({c}, 0) AS {c}" for c in A.history_columns())
+    + " FROM applicants a " + " ".join(f"LEFT JOIN agg_{n} USING (SK_ID_CURR)" for n in ROLLUP_SQL)))
+def q_assemble(spark, sf_dir):
+    app = applicants(spark, sf_dir).select("SK_ID_CURR")
+    return H.attach_histories(app, history_rollups(spark, sf_dir))
+
+
+def pipeline_frame(spark, sf_dir, frame="train", histories=True, schema_mode="frozen") -> DataFrame:
+    train, test = split_train_test(applicants(spark, sf_dir))
+    plan = train_plan(spark, sf_dir, schema_mode)
+    rollups = history_rollups(spark, sf_dir) if histories else {}
+    return PL.build_frame(train if frame == "train" else test, plan, rollups)
+
+
+register("pipeline_train", _app_sql(A.joined_select("train"), "train", True, True))(
+    lambda spark, sf_dir: pipeline_frame(spark, sf_dir, "train"))
+register("pipeline_test", _app_sql(A.joined_select("test"), "test", True, True))(
+    lambda spark, sf_dir: pipeline_frame(spark, sf_dir, "test"))
+register("app_only", _app_sql("SELECT * FROM train_feat", "train", True, False))(
+    lambda spark, sf_dir: pipeline_frame(spark, sf_dir, "train", histories=False))
