@@ -318,3 +318,203 @@ register("pipeline_test", _app_sql(A.joined_select("test"), "test", True, True))
     lambda spark, sf_dir: pipeline_frame(spark, sf_dir, "test"))
 register("app_only", _app_sql("SELECT * FROM train_feat", "train", True, False))(
     lambda spark, sf_dir: pipeline_frame(spark, sf_dir, "train", histories=False))
+
+
+# ---------------------------------------------------- scores: evaluation
+from ..operators import decide as D  # noqa: E402
+from ..operators import encode as E  # noqa: E402
+from ..operators import evaluate as V  # noqa: E402
+from ..operators import profile as P  # noqa: E402
+from ..operators import ranks as R  # noqa: E402
+
+
+def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return FX.load(spark, sf_dir, "scored")
+
+
+def _scored_sql(body: str) -> str:
+    return FX.duckdb_with(["scored"], body)
+
+
+_COUNTS_CTE = """g AS (SELECT SCORE AS score, COUNT(*) FILTER (WHERE TARGET = 1) AS pos,
+   COUNT(*) FILTER (WHERE TARGET <> 1) AS neg FROM scored WHERE SCORE IS NOT NULL GROUP BY SCORE),
+c AS (SELECT *, COALESCE(SUM(neg) OVER (ORDER BY score ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS cum_neg,
+   COALESCE(SUM(pos) OVER (ORDER BY score ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS cum_pos FROM g)"""
+
+register("roc_auc", _scored_sql(f""", {_COUNTS_CTE}
+SELECT SUM(pos * (cum_neg + neg / 2.0E0)) / (CAST(SUM(pos) AS DOUBLE) * CAST(SUM(neg) AS DOUBLE)) AS auc FROM c"""
+                                .replace(", g AS", ",\ng AS", 1)))(lambda s, d: V.roc_auc(scored(s, d)))
+
+register("roc_points", _scored_sql(f""", {_COUNTS_CTE}
+SELECT score AS threshold, CAST(P - cum_pos AS DOUBLE) / P AS tpr, CAST(N - cum_neg AS DOUBLE) / N AS fpr
+FROM c CROSS JOIN (SELECT SUM(pos) AS P, SUM(neg) AS N FROM g) t"""))(lambda s, d: V.roc_points(scored(s, d)))
+
+register("threshold_metrics", _scored_sql("""
+SELECT 0.35E0 AS threshold,
+ CASE WHEN tp + fp > 0 THEN tp / (tp + fp) ELSE 0.0E0 END AS precision,
+ CASE WHEN tp + fn > 0 THEN tp / (tp + fn) ELSE 0.0E0 END AS recall,
+ CASE WHEN 2 * tp + fp + fn > 0 THEN 2 * tp / (2 * tp + fp + fn) ELSE 0.0E0 END AS f1,
+ 1.0E0 - CAST(n_pred AS DOUBLE) / n AS approval_rate
+FROM (SELECT
+  CAST(COUNT(*) FILTER (WHERE SCORE >= 0.35E0 AND TARGET = 1) AS DOUBLE) AS tp,
+  CAST(COUNT(*) FILTER (WHERE SCORE >= 0.35E0 AND TARGET <> 1) AS DOUBLE) AS fp,
+  CAST(COUNT(*) FILTER (WHERE SCORE < 0.35E0 AND TARGET = 1) AS DOUBLE) AS fn,
+  COUNT(*) AS n, COUNT(*) FILTER (WHERE SCORE >= 0.35E0) AS n_pred FROM scored) m"""))(
+    lambda s, d: V.threshold_metrics(scored(s, d), 0.35))
+
+register("confusion", _scored_sql("""
+SELECT a.actual, a.predicted, COALESCE(n, 0) AS n FROM
+ (SELECT * FROM (VALUES (0, 0), (0, 1), (1, 0), (1, 1)) v(actual, predicted)) a
+ LEFT JOIN (SELECT CAST(TARGET AS INTEGER) AS actual, CAST(SCORE >= 0.35E0 AS INTEGER) AS predicted, COUNT(*) AS n
+            FROM scored GROUP BY 1, 2) c USING (actual, predicted)"""))(lambda s, d: V.confusion(scored(s, d), 0.35))
+
+SWEEP_SQL = """, grid AS (SELECT i FROM range(0, 101) t(i)),
+m AS (SELECT g.i, COUNT(s.SK_ID_CURR) FILTER (WHERE s.SCORE < CAST(g.i AS DOUBLE) * 0.01E0) AS approved,
+        COUNT(s.SK_ID_CURR) FILTER (WHERE s.SCORE < CAST(g.i AS DOUBLE) * 0.01E0 AND s.TARGET = 1) AS defaults,
+        COUNT(s.SK_ID_CURR) AS total
+      FROM grid g CROSS JOIN scored s GROUP BY g.i),
+r AS (SELECT i, approved, defaults, total,
+        1.0E0 - CAST(total - approved AS DOUBLE) / CAST(total AS DOUBLE) AS approval_rate FROM m),
+e AS (SELECT *, CASE WHEN approval_rate > 0 THEN
+                  CASE WHEN approved > 0 THEN CAST(defaults AS DOUBLE) / CAST(approved AS DOUBLE) ELSE 0.0E0 END
+                ELSE 0.0E0 END AS default_rate,
+             approval_rate * 100000.0E0 AS num_approved FROM r),
+f AS (SELECT *, num_approved * default_rate AS num_defaults FROM e),
+h AS (SELECT *, (num_approved - num_defaults) * 2500.0E0 + num_defaults * -8000.0E0 AS profit FROM f)"""
+
+SWEEP_SELECT = """SELECT CAST(i AS DOUBLE) * 0.01E0 AS threshold, approval_rate, default_rate,
+ CASE WHEN num_approved > 0 THEN profit / num_approved ELSE 0.0E0 END AS expected_value,
+ profit / 1000000.0E0 AS total_profit FROM h"""
+
+register("threshold_sweep", _scored_sql(SWEEP_SQL + "\n" + SWEEP_SELECT))(
+    lambda s, d: V.threshold_sweep(scored(s, d)))
+register("best_threshold", _scored_sql(SWEEP_SQL + ", sw AS (" + SWEEP_SELECT + ")\n"
+                                       "SELECT * FROM sw ORDER BY total_profit DESC, threshold ASC LIMIT 1"))(
+    lambda s, d: V.best_threshold(V.threshold_sweep(scored(s, d))))
+
+register("majority_baseline", _scored_sql(
+    "SELECT CAST(COUNT(*) FILTER (WHERE TARGET = 0) AS DOUBLE) / COUNT(*) AS accuracy, 0.5E0 AS auc FROM scored"))(
+    lambda s, d: V.majority_baseline(scored(s, d)))
+
+register("class_balance", _scored_sql(
+    "SELECT TARGET, COUNT(*) AS n, CAST(COUNT(*) AS DOUBLE) / (SELECT COUNT(*) FROM scored) AS share "
+    "FROM scored GROUP BY TARGET"))(lambda s, d: P.class_balance(scored(s, d)))
+
+register("class_weights", _scored_sql(
+    "SELECT TARGET, COUNT(*) AS n, CAST((SELECT COUNT(*) FROM scored) AS DOUBLE) / (2 * COUNT(*)) AS weight "
+    "FROM scored GROUP BY TARGET"))(lambda s, d: __import__(
+        "riskfeat.operators.imbalance", fromlist=["x"]).class_weights(scored(s, d)))
+
+register("score_summary", _scored_sql(
+    "SELECT MIN(SCORE) AS min_score, MAX(SCORE) AS max_score, "
+    "CAST(SUM(CAST(SCORE AS DECIMAL(18,6))) AS DOUBLE) / COUNT(SCORE) AS mean_score, COUNT(SCORE) AS n FROM scored"))(
+    lambda s, d: P.score_summary(scored(s, d)))
+
+for _grp in ("CODE_GENDER", "OCCUPATION_TYPE"):
+    register(f"approval_by_{_grp.lower()}", _scored_sql(
+        f"SELECT {_grp}, COUNT(*) AS n, AVG(CAST(SCORE < 0.35E0 AS INTEGER)) * 100 AS approval_pct "
+        f"FROM scored WHERE {_grp} IS NOT NULL GROUP BY {_grp}"))(
+        (lambda g: lambda s, d: D.approval_by_group(scored(s, d), g))(_grp))
+
+register("group_gap", _scored_sql("""
+SELECT MAX(CASE WHEN CODE_GENDER = 'M' THEN approval_pct END) - MAX(CASE WHEN CODE_GENDER = 'F' THEN approval_pct END)
+  AS gap_points
+FROM (SELECT CODE_GENDER, AVG(CAST(SCORE < 0.35E0 AS INTEGER)) * 100 AS approval_pct
+      FROM scored WHERE CODE_GENDER IS NOT NULL GROUP BY CODE_GENDER) r"""))(lambda s, d: D.group_gap(scored(s, d)))
+
+register("decision_band", _scored_sql("""
+SELECT CASE WHEN SCORE < 0.3E0 THEN 'approve' WHEN SCORE < 0.4E0 THEN 'review' ELSE 'deny' END AS band,
+ COUNT(*) AS n, COUNT(*) FILTER (WHERE TARGET = 1) AS defaults, AVG(CAST(TARGET AS DOUBLE)) AS default_rate
+FROM scored GROUP BY 1"""))(lambda s, d: D.band_summary(scored(s, d)))
+
+
+@register("pilot_split")
+def q_pilot(spark, sf_dir):
+    # membership hash is engine specific: rows-only check, proportion tested in pytest
+    return scored(spark, sf_dir).select("SK_ID_CURR", D.pilot_flag().alias("in_pilot"))
+
+
+# ------------------------------------------------ folds, samples, resampling
+_FOLD_SQL = """SELECT TARGET, fold, COUNT(*) AS n FROM (
+  SELECT TARGET, CAST((ROW_NUMBER() OVER (PARTITION BY TARGET ORDER BY hash(SK_ID_CURR), SK_ID_CURR) - 1) % 3 AS INTEGER) AS fold
+  FROM scored) f GROUP BY TARGET, fold"""
+
+
+@register("stratified_folds", _scored_sql(_FOLD_SQL))
+def q_folds(spark, sf_dir):
+    folds = R.stratified_folds(scored(spark, sf_dir), "TARGET", "SK_ID_CURR", k=3, seed=42)
+    return folds.groupBy("TARGET", "fold").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("stratified_sample", _scored_sql("""
+, cnt AS (SELECT TARGET, COUNT(*) AS n FROM scored GROUP BY TARGET),
+ex AS (SELECT TARGET, n, 500.0E0 * n / (SELECT SUM(n) FROM cnt) AS x FROM cnt),
+fl AS (SELECT TARGET, CAST(FLOOR(x) AS BIGINT) AS base, x - FLOOR(x) AS rem FROM ex),
+rk AS (SELECT *, ROW_NUMBER() OVER (ORDER BY rem DESC, CAST(TARGET AS VARCHAR)) AS r FROM fl)
+SELECT TARGET, base + CASE WHEN r <= 500 - (SELECT SUM(base) FROM fl) THEN 1 ELSE 0 END AS n FROM rk""".replace(
+    "\n, cnt", "\n, cnt", 1)))
+def q_strat_sample(spark, sf_dir):
+    s = R.stratified_sample(scored(spark, sf_dir), "TARGET", "SK_ID_CURR", 500, seed=42)
+    return s.groupBy("TARGET").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("undersample", _scored_sql(
+    "SELECT TARGET, (SELECT MIN(c) FROM (SELECT COUNT(*) AS c FROM scored GROUP BY TARGET) m) AS n "
+    "FROM scored GROUP BY TARGET"))
+def q_undersample(spark, sf_dir):
+    s = R.undersample(scored(spark, sf_dir), "TARGET", "SK_ID_CURR", seed=42)
+    return s.groupBy("TARGET").agg(F.count(F.lit(1)).alias("n"))
+
+
+# ------------------------------------------------------------- encoding
+_OCC = ["BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]  # sorted categories after the dropped first
+
+
+def _one_hot_sql(src: str, extra: str = "") -> str:
+    cols = [f"CASE WHEN OCCUPATION_TYPE = '{v}' THEN 1 ELSE 0 END AS OCCUPATION_TYPE_{v}" for v in _OCC]
+    cols.append("CASE WHEN CODE_GENDER = 'M' THEN 1 ELSE 0 END AS CODE_GENDER_M")
+    return f"SELECT SK_ID_CURR, {', '.join(cols)} FROM {src}{extra}"
+
+
+@register("one_hot", FX.duckdb_with(["applicants"], _one_hot_sql("applicants", " WHERE IS_TRAIN = 1")))
+def q_one_hot(spark, sf_dir):
+    train, _ = split_train_test(applicants(spark, sf_dir))
+    plan = E.fit_one_hot(train, ["OCCUPATION_TYPE", "CODE_GENDER"])
+    return E.one_hot(train.select("SK_ID_CURR", "OCCUPATION_TYPE", "CODE_GENDER"), plan)
+
+
+@register("align_test", FX.duckdb_with(["applicants"], _one_hot_sql("applicants", " WHERE IS_TRAIN = 0")))
+def q_align_test(spark, sf_dir):
+    train, test = split_train_test(applicants(spark, sf_dir))
+    cols = ["SK_ID_CURR", "OCCUPATION_TYPE", "CODE_GENDER"]
+    plan = E.fit_one_hot(train, ["OCCUPATION_TYPE", "CODE_GENDER"])
+    train_x = E.one_hot(train.select(*cols), plan)
+    return E.align(E.one_hot(test.select(*cols), plan), train_x.columns)
+
+
+_CT = ["2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED"]  # sorted credit types after the dropped first
+
+
+@register("sanitize_names", FX.duckdb_with(["bureau_like"], "SELECT SK_ID_CURR, " + ", ".join(
+    f"CASE WHEN CREDIT_TYPE = '{v}' THEN 1 ELSE 0 END AS CREDIT_TYPE_{v.replace('-', '_').replace(' ', '_')}"
+    for v in _CT) + " FROM bureau_like"))
+def q_sanitize(spark, sf_dir):
+    b = FX.load(spark, sf_dir, "bureau_like").select("SK_ID_CURR", "CREDIT_TYPE")
+    return E.sanitize_names(E.one_hot(b, E.fit_one_hot(b, ["CREDIT_TYPE"])))
+
+
+_SUMMARY_COLS = ["DAYS_BIRTH", "AMT_INCOME_TOTAL", "AMT_CREDIT", "AMT_ANNUITY", "CNT_FAM_MEMBERS",
+                 "EXT_SOURCE_1", "EXT_SOURCE_2", "OWN_CAR_AGE"]
+
+
+@register("feature_summary", FX.duckdb_with(["applicants"], "\nUNION ALL\n".join(f"""
+SELECT '{c}' AS column_name, COUNT({c}) AS count, COUNT(*) - COUNT({c}) AS null_count,
+ CAST(SUM(CAST({c} AS DECIMAL(18,4))) AS DOUBLE) / COUNT({c}) AS mean,
+ CASE WHEN COUNT({c}) > 1 THEN SQRT((CAST(SUM(CAST({c} AS DECIMAL(38,4)) * CAST({c} AS DECIMAL(38,4))) AS DOUBLE)
+   - CAST(SUM(CAST({c} AS DECIMAL(18,4))) AS DOUBLE) * CAST(SUM(CAST({c} AS DECIMAL(18,4))) AS DOUBLE) / COUNT({c}))
+   / (COUNT({c}) - 1)) END AS std,
+ CAST(MIN({c}) AS DOUBLE) AS min, CAST(MAX({c}) AS DOUBLE) AS max,
+ quantile_cont({c}, 0.25) AS q25, quantile_cont({c}, 0.5) AS q50, quantile_cont({c}, 0.75) AS q75
+FROM applicants""" for c in _SUMMARY_COLS)))
+def q_feature_summary(spark, sf_dir):
+    return P.feature_summary(applicants(spark, sf_dir), _SUMMARY_COLS)
