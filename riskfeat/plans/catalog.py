@@ -518,3 +518,57 @@ SELECT '{c}' AS column_name, COUNT({c}) AS count, COUNT(*) - COUNT({c}) AS null_
 FROM applicants""" for c in _SUMMARY_COLS)))
 def q_feature_summary(spark, sf_dir):
     return P.feature_summary(applicants(spark, sf_dir), _SUMMARY_COLS)
+
+
+# ------------------------------------------------------ reasons, monitoring
+from ..operators import explain as XP  # noqa: E402
+from ..streaming import monitor as MON  # noqa: E402
+
+
+def _reasons_sql() -> str:
+    lohi = ", ".join(f"MIN({r.feature}) AS lo_{r.feature}, MAX({r.feature}) AS hi_{r.feature}" for r in XP.REASON_MAP)
+    parts = []
+    for r in XP.REASON_MAP:
+        num = f"{r.feature} - lo_{r.feature}" if r.direction == "high" else f"hi_{r.feature} - {r.feature}"
+        parts.append(
+            f"SELECT SK_ID_CURR, '{r.feature}' AS feature, '{r.text}' AS reason, "
+            f"CASE WHEN hi_{r.feature} > lo_{r.feature} THEN CAST({num} AS DOUBLE) / "
+            f"CAST(hi_{r.feature} - lo_{r.feature} AS DOUBLE) ELSE 0.0E0 END AS strength "
+            f"FROM j CROSS JOIN st WHERE SCORE >= 0.35E0"
+        )
+    ctes = A.app_ctes("train") + [A.history_ctes(), f"pt AS ({A.joined_select('train')})",
+                                   "j AS (SELECT pt.*, s.SCORE FROM pt JOIN scored s USING (SK_ID_CURR))",
+                                   f"st AS (SELECT {lohi} FROM j)",
+                                   "lng AS (" + "\nUNION ALL\n".join(parts) + ")"]
+    select = ("SELECT SK_ID_CURR, feature, reason, strength, reason_rank FROM ("
+              "SELECT *, CAST(ROW_NUMBER() OVER (PARTITION BY SK_ID_CURR ORDER BY strength DESC, feature ASC) AS INTEGER)"
+              " AS reason_rank FROM lng) x WHERE reason_rank <= 5")
+    return A.with_ctes(["applicants", "scored"] + A.HISTORY_FIXTURES, ctes, select)
+
+
+@register("top_reasons", _reasons_sql())
+def q_top_reasons(spark, sf_dir):
+    frame = pipeline_frame(spark, sf_dir, "train").join(scored(spark, sf_dir).select("SK_ID_CURR", "SCORE"), "SK_ID_CURR")
+    return XP.top_reasons(frame, denied=F.col("SCORE") >= 0.35)
+
+
+def decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return FX.load(spark, sf_dir, "decisions")
+
+
+register("daily_monitor", FX.duckdb_with(["decisions"], """
+SELECT day, decisions, approved, approval_rate,
+ CASE WHEN approval_rate < 0.5E0 OR approval_rate > 0.8E0 THEN 'ALERT'
+      WHEN approval_rate < 0.6E0 OR approval_rate > 0.7E0 THEN 'WARN' ELSE 'OK' END AS status
+FROM (SELECT date_trunc('day', TS) AS day, COUNT(*) AS decisions,
+        COUNT(*) FILTER (WHERE SCORE < 0.35E0) AS approved,
+        CAST(COUNT(*) FILTER (WHERE SCORE < 0.35E0) AS DOUBLE) / COUNT(*) AS approval_rate
+      FROM decisions GROUP BY 1) d"""))(lambda s, d: MON.daily_approval(decisions(s, d)))
+
+register("monthly_gap", FX.duckdb_with(["decisions"], """
+SELECT period, gap_points,
+ CASE WHEN ABS(gap_points) > 10.0E0 THEN 'ALERT' WHEN ABS(gap_points) > 8.0E0 THEN 'WARN' ELSE 'OK' END AS status
+FROM (SELECT date_trunc('month', TS) AS period,
+        AVG(CASE WHEN CODE_GENDER = 'M' THEN CAST(SCORE < 0.35E0 AS DOUBLE) END) * 100
+        - AVG(CASE WHEN CODE_GENDER = 'F' THEN CAST(SCORE < 0.35E0 AS DOUBLE) END) * 100 AS gap_points
+      FROM decisions WHERE CODE_GENDER IS NOT NULL GROUP BY 1) g"""))(lambda s, d: MON.gap_by_period(decisions(s, d)))
