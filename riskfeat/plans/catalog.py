@@ -572,3 +572,107 @@ FROM (SELECT date_trunc('month', TS) AS period,
         AVG(CASE WHEN CODE_GENDER = 'M' THEN CAST(SCORE < 0.35E0 AS DOUBLE) END) * 100
         - AVG(CASE WHEN CODE_GENDER = 'F' THEN CAST(SCORE < 0.35E0 AS DOUBLE) END) * 100 AS gap_points
       FROM decisions WHERE CODE_GENDER IS NOT NULL GROUP BY 1) g"""))(lambda s, d: MON.gap_by_period(decisions(s, d)))
+
+
+# ------------------------------------------------- modelling (rows-only checks)
+from . import modeling as ML  # noqa: E402
+
+_MATRIX: dict[tuple, tuple] = {}
+_FINAL: dict[tuple, object] = {}
+
+
+def train_matrix(spark: SparkSession, sf_dir: str, exclude_prefixes: tuple = ()):
+    """Feature matrix with folds, checkpointed once per (session, folder, variant)."""
+    k = (id(spark), sf_dir, exclude_prefixes)
+    if k not in _MATRIX:
+        frame = pipeline_frame(spark, sf_dir, "train")
+        plan = ML.fit_matrix(frame, exclude_prefixes=exclude_prefixes)
+        m = ML.with_folds(ML.to_matrix(frame, plan)).checkpoint(eager=True)
+        _MATRIX[k] = (m, plan)
+    return _MATRIX[k]
+
+
+def final_model(spark: SparkSession, sf_dir: str):
+    """The model-card configuration: 100 rounds, depth 6, balanced weights."""
+    k = (id(spark), sf_dir)
+    if k not in _FINAL:
+        m, plan = train_matrix(spark, sf_dir)
+        _FINAL[k] = ML.fit_final(m, ML.model_zoo()["boosted_d6"], weighted=True)
+    return _FINAL[k]
+
+
+@register("cv_models")
+def q_cv_models(spark, sf_dir):
+    m, _ = train_matrix(spark, sf_dir)
+    return ML.results_frame(spark, ML.compare_models(m, parallelism=8))
+
+
+@register("imbalance_arms")
+def q_imbalance(spark, sf_dir):
+    m, _ = train_matrix(spark, sf_dir)
+    res = ML.imbalance_arms(m, ML.model_zoo()["boosted_d6"], parallelism=8)
+    return ML.results_frame(spark, res, baseline=res[0].mean)
+
+
+_SEARCH: dict[tuple, list] = {}
+
+
+def _search(spark, sf_dir, n_iter=3):
+    k = (id(spark), sf_dir, n_iter)
+    if k not in _SEARCH:
+        m, _ = train_matrix(spark, sf_dir)
+        _SEARCH[k] = ML.random_search(m, n_iter=n_iter, parallelism=6)
+    return _SEARCH[k]
+
+
+register("random_search")(lambda spark, sf_dir: ML.ranked_candidates(spark, _search(spark, sf_dir)))
+register("top_candidates")(lambda spark, sf_dir: ML.ranked_candidates(spark, _search(spark, sf_dir))
+                           .orderBy("rank", "model").limit(5))
+
+
+@register("score_test")
+def q_score_test(spark, sf_dir):
+    _, plan = train_matrix(spark, sf_dir)
+    test = ML.to_matrix(pipeline_frame(spark, sf_dir, "test"), plan)
+    return ML.score(final_model(spark, sf_dir), test).select("SK_ID_CURR", F.col("SCORE").alias("TARGET"))
+
+
+@register("importance")
+def q_importance(spark, sf_dir):
+    _, plan = train_matrix(spark, sf_dir)
+    imp = ML.importance_frame(spark, final_model(spark, sf_dir), plan.features)
+    return imp.orderBy(F.col("importance").desc(), "feature").limit(15)
+
+
+@register("ablation")
+def q_ablation(spark, sf_dir):
+    make = ML.model_zoo()["boosted_d6"]
+    with_h, _ = train_matrix(spark, sf_dir)
+    without_h, _ = train_matrix(spark, sf_dir, H.HISTORY_PREFIXES)
+    res = ML.run_grid(with_h, [("with_histories", make, ML.resample_none, False, {})], parallelism=3)
+    res += ML.run_grid(without_h, [("application_only", make, ML.resample_none, False, {})], parallelism=3)
+    return ML.results_frame(spark, res, baseline=res[1].mean)
+
+
+@register("smote")
+def q_smote(spark, sf_dir):
+    m, _ = train_matrix(spark, sf_dir)
+    out = ML.resample_smote(m.drop("fold"))
+    return out.groupBy("TARGET").agg(F.count(F.lit(1)).alias("n"),
+                                     F.count(F.when(F.col("SK_ID_CURR").isNull(), 1)).alias("synthetic"))
+
+
+@register("permutation_importance")
+def q_permutation(spark, sf_dir):
+    m, plan = train_matrix(spark, sf_dir)
+    model = final_model(spark, sf_dir)
+    imp = sorted(zip(plan.features, model.featureImportances.toArray().tolist()), key=lambda t: -t[1])[:15]
+    feats = [f for f, _ in imp]
+    # the 1,000-row explanation sample is written once (checkpoint) and reused
+    frame = R.seeded_sample(pipeline_frame(spark, sf_dir, "train"), "SK_ID_CURR", 1000, seed=42).checkpoint(eager=True)
+
+    def score_fn(df):
+        return ML.score(model, ML.to_matrix(df, plan))
+
+    drops = XP.permutation_importance(frame, feats, score_fn, ML.auc_of)
+    return spark.createDataFrame(drops[:10], "feature string, auc_drop double")
