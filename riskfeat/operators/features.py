@@ -24,6 +24,16 @@ INCOME_CUTS, INCOME_LABELS = (100000, 200000), ("Low", "Medium", "High")
 DOCUMENT_FLAGS = tuple(f"FLAG_DOCUMENT_{i}" for i in range(2, 10))
 EXT_SOURCES = ("EXT_SOURCE_1", "EXT_SOURCE_2", "EXT_SOURCE_3")
 
+# Names of the engineered columns (all three scores present, no CNT_PAYMENT).
+FEATURE_NAMES = (
+    "AGE_YEARS", "EMPLOYMENT_YEARS", "REGISTRATION_YEARS", "ID_PUBLISH_YEARS",
+    "CREDIT_TO_INCOME_RATIO", "ANNUITY_TO_INCOME_RATIO", "LOAN_TO_VALUE_RATIO", "DOWN_PAYMENT_RATIO",
+    "INCOME_PER_CHILD", "CREDIT_PER_PERSON", "INCOME_TO_AGE_RATIO",
+    "EXT_SOURCE_2x3", "EXT_SOURCE_1x2", "EXT_SOURCE_1x3", "EXT_SOURCE_MEAN", "EXT_SOURCE_SUM",
+    "AGE_GROUP", "INCOME_GROUP", "FLAG_HIGH_RISK_OCCUPATION", "DOCUMENT_COMPLETENESS_SCORE",
+    "TOTAL_MISSING_FEATURES",
+)
+
 
 def demographic(columns: Sequence[str]) -> dict[str, Column]:
     return {

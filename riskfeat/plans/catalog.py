@@ -676,3 +676,33 @@ def q_permutation(spark, sf_dir):
 
     drops = XP.permutation_importance(frame, feats, score_fn, ML.auc_of)
     return spark.createDataFrame(drops[:10], "feature string, auc_drop double")
+
+
+# ------------------------------------------------------------ column report
+def _column_report_sql() -> str:
+    """Per-frame (reference) mode: flag columns exist where that frame has
+    nulls at or below half; the rest of the columns exist in both frames."""
+    static = [c for c in CF.APPLICANT_COLUMNS if c not in ("IS_TRAIN", "TARGET") and c not in CF.DROPPED]
+    static += ["FLAG_UNEMPLOYED_UNKNOWN"] + [f"FLAG_MISSING_{c}" for c in CF.EXT]
+    static += list(FE.FEATURE_NAMES)
+    static += A.history_columns()
+    static = [c for c in dict.fromkeys(static) if c != "TOTAL_MISSING_FEATURES"]
+    parts = [f"SELECT '{c}' AS column_name, TRUE AS in_train, TRUE AS in_test" for c in static]
+    for c in CF.NUM_IMPUTE + CF.CAT_IMPUTE:
+        cond = (lambda f: f"(SELECT COUNT(*) FILTER (WHERE {c} IS NULL) > 0 AND "
+                          f"COUNT(*) FILTER (WHERE {c} IS NULL) <= COUNT(*) / 2.0 FROM {f}_fix)")
+        parts.append(f"SELECT 'FLAG_MISSING_{c}' AS column_name, {cond('train')} AS in_train, {cond('test')} AS in_test")
+    parts.append("SELECT 'TOTAL_MISSING_FEATURES' AS column_name, TRUE AS in_train, TRUE AS in_test")
+    for c in CF.DROPPED:
+        share = (lambda f: f"(SELECT COUNT(*) FILTER (WHERE {c} IS NULL) <= COUNT(*) / 2.0 FROM {f}_raw)")
+        parts.append(f"SELECT '{c}' AS column_name, {share('train')} AS in_train, {share('test')} AS in_test")
+    body = "SELECT * FROM (\n" + "\nUNION ALL\n".join(parts) + "\n) r WHERE in_train OR in_test"
+    return A.with_ctes(["applicants"], A.raw_fix_ctes("train") + A.raw_fix_ctes("test"), body)
+
+
+@register("column_report", _column_report_sql())
+def q_column_report(spark, sf_dir):
+    train = pipeline_frame(spark, sf_dir, "train", schema_mode="per_frame")
+    test = pipeline_frame(spark, sf_dir, "test", schema_mode="per_frame")
+    rows = PL.column_report(train, test)
+    return spark.createDataFrame(rows, "column_name string, in_train boolean, in_test boolean")

@@ -83,7 +83,13 @@ def auc_status(auc: Column, baseline: float | None = None, plan: MonitorPlan = D
 
 def stream_daily_approval(stream: DataFrame, ts: str = "TS", score: str = "SCORE",
                           watermark: str = "2 days", plan: MonitorPlan = DEFAULT_PLAN) -> DataFrame:
-    """Streaming form: watermark then the same windowed aggregation."""
+    """Streaming form: watermark then the same windowed aggregation.
+
+    Watermarks need a zoned timestamp: a wall-clock (NTZ) event time is read
+    in the session time zone.
+    """
+    if dict(stream.dtypes).get(ts) == "timestamp_ntz":
+        stream = stream.withColumn(ts, F.col(ts).cast("timestamp"))
     return daily_approval(stream.withWatermark(ts, watermark), ts, score, plan)
 
 
