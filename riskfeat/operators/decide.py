@@ -54,3 +54,9 @@ def group_gap(df: DataFrame, group: str = "CODE_GENDER", a: str = "M", b: str =
         (F.max(F.when(F.col(group) == a, F.col("approval_pct")))
          - F.max(F.when(F.col(group) == b, F.col("approval_pct")))).alias("gap_points")
     )
+
+
+def fairness_frame(demographics: DataFrame, labels: DataFrame, scores: DataFrame, key: str = "SK_ID_CURR") -> DataFrame:
+    """Demographics, label and score of each applicant, joined by key (inner)
+    rather than attached by row position."""
+    return demographics.join(labels, key, "inner").join(scores, key, "inner")

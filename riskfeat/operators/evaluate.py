@@ -57,6 +57,25 @@ def roc_auc(df: DataFrame, label: str = "TARGET", score: str = "SCORE", buckets:
     )
 
 
+def roc_auc_by(df: DataFrame, group: str, label: str = "TARGET", score: str = "SCORE",
+               buckets: int = 1024) -> DataFrame:
+    """Exact AUC per value of ``group`` (e.g. a week): ``(group, n, auc)``.
+
+    Score buckets are shared by all groups; the running totals are partitioned
+    by (group, bucket), so no group is ranked in a single task.
+    """
+    g = (df.where(F.col(score).isNotNull())
+         .groupBy(F.col(group), F.col(score).alias("score"))
+         .agg(X.count_if(F.col(label) == 1).alias("pos"), X.count_if(F.col(label) != 1).alias("neg")))
+    b = ranks.value_bucket(g, "score", buckets)
+    c = ranks.running_totals(b, ["score"], ["pos", "neg"], partition=[group], bucket="_b")
+    return c.groupBy(group).agg(
+        (F.sum("pos") + F.sum("neg")).alias("n"),
+        (F.sum(F.col("pos") * (F.col("cum_neg") + F.col("neg") / 2.0))
+         / (F.sum("pos").cast("double") * F.sum("neg").cast("double"))).alias("auc"),
+    )
+
+
 def roc_points(df: DataFrame, label: str = "TARGET", score: str = "SCORE", buckets: int = 1024) -> DataFrame:
     """One ROC point per distinct score: predicting 1 for ``score >= threshold``."""
     c = _cumulated(df, label, score, buckets)

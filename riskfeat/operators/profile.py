@@ -34,7 +34,8 @@ def feature_summary(df: DataFrame, columns: Sequence[str] | None = None, scale:
             F.max(F.col(c)).cast("double").alias(f"hi{i}"),
         ]
     wide = df.agg(*aggs)
-    qs = {q: quantiles.exact_quantiles(df, cols, q) for q in (0.25, 0.5, 0.75)}
+    multi = quantiles.exact_quantiles_multi(df, cols, (0.25, 0.5, 0.75))
+    qs = {q: {c: multi[(c, q)] for c in cols} for q in (0.25, 0.5, 0.75)}
     spark = df.sparkSession
     qdf = spark.createDataFrame(
         [(c, qs[0.25][c], qs[0.5][c], qs[0.75][c]) for c in cols],

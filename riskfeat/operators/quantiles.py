@@ -2,15 +2,18 @@
 
 Spark's exact ``percentile`` keeps a value->count map per group; for a global
 median the final merge holds every distinct value of the column in a single
-task. Here the exact answer is found by bracketing instead:
-
-1. ``percentile_approx`` (bounded sketch, merged map-side) gives a value range
-   that must contain the target ranks;
-2. one algebraic pass counts rows below and inside the range per column;
-3. only the rows inside the range are grouped by value and ranked.
-
-If a range still holds too many distinct values it is narrowed again on the
-subset. All columns are handled in the same passes (unpivoted long form).
+task. Here the exact answer is found by bracketing instead, for all columns
+and quantiles in the same passes (columns unpivoted to ``(c, v)``):
+
+1. pass one: per column the row count and a ``percentile_approx`` sketch
+   (bounded, merged map-side) give a value bracket around each target rank;
+2. pass two: rows below / above a bracket collapse into one sentinel group
+   each, rows inside stay per distinct value; a running count over that small
+   table (per target) gives exact ranks, the below-group supplying the offset.
+
+When a bracket would still hold too many rows (huge columns), it is narrowed
+first by sketching the rows inside it; if a sketch ever misses, the target is
+retried with a wider bracket. The result is always exact.
 """
 
 from __future__ import annotations
@@ -21,6 +24,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+NEG, POS = float("-inf"), float("inf")
+
 
 def _long(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     pairs = [F.struct(F.lit(i).alias("c"), F.col(c).cast("double").alias("v")) for i, c in enumerate(cols)]
@@ -39,148 +44,149 @@ def _target_ranks(n: int, q: float) -> tuple[int, int, float]:
     return lo + 1, hi + 1, pos - lo
 
 
-def exact_quantiles(
+def _grid(pairs: list[tuple[float, float]]) -> list[float]:
+    return sorted({min(1.0, max(0.0, round(x, 12))) for ab in pairs for x in ab})
+
+
+def _pick(grid: list[float], vals: list[float], a: float, b: float) -> tuple[float, float]:
+    """Sketch values at (or just outside) percentages a and b."""
+    lo_i = max([j for j, x in enumerate(grid) if x <= a], default=None)
+    hi_i = min([j for j, x in enumerate(grid) if x >= b], default=None)
+    lo = vals[lo_i] if (lo_i is not None and a > 0) else NEG
+    hi = vals[hi_i] if (hi_i is not None and b < 1) else POS
+    return lo, hi
+
+
+def exact_quantiles_multi(
     df: DataFrame,
     cols: Sequence[str],
-    q: float = 0.5,
+    qs: Sequence[float],
     accuracy: int = 10_000,
-    max_exact: int = 500_000,
-    max_rounds: int = 6,
-) -> dict[str, float | None]:
-    """Linear-interpolated ``q``-quantile of each column (nulls and NaN ignored).
-
-    Same definition as ``percentile``/``median``: position ``(n-1)*q``.
-    Returns ``None`` for a column without values.
-    """
-    cols = list(cols)
-    if not cols:
-        return {}
+    max_exact: int = 2_000_000,
+    max_rounds: int = 8,
+) -> dict[tuple[str, float], float | None]:
+    """``{(column, q): value}`` with linear interpolation at position (n-1)*q,
+    the definition of ``percentile`` / ``median``; nulls and NaN ignored."""
+    cols, qs = list(cols), list(qs)
+    out: dict[tuple[str, float], float | None] = {(c, q): None for c in cols for q in qs}
+    if not cols or not qs:
+        return out
     spark = df.sparkSession
     long = _long(df, cols)
-    counts = {r["c"]: r["n"] for r in long.groupBy("c").agg(F.count(F.lit(1)).alias("n")).collect()}
-    result: dict[str, float | None] = {c: None for c in cols}
-    # state per column index: target ranks, weight, bracket and rows below it
-    state: dict[int, dict] = {}
-    for i, c in enumerate(cols):
-        n = counts.get(i, 0)
-        if n == 0:
-            continue
-        k1, k2, w = _target_ranks(n, q)
-        state[i] = {"k1": k1, "k2": k2, "w": w, "lo": -math.inf, "hi": math.inf, "below": 0, "m": n}
-
     eps = 3.0 / accuracy
+    # pass one: counts and a first bracket for every (column, q)
+    grid0 = _grid([(max(0.0, q - eps), min(1.0, q + eps)) for q in qs])
+    first = long.groupBy("c").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.percentile_approx("v", F.array(*[F.lit(x) for x in grid0]), accuracy).alias("g"),
+    ).collect()
+    targets: dict[int, dict] = {}
+    for r in first:
+        n = r["n"]
+        for j, q in enumerate(qs):
+            k1, k2, w = _target_ranks(n, q)
+            a, b = max(0.0, q - eps), min(1.0, q + eps)
+            # widen by one rank so the sketch's own rank convention cannot matter
+            a, b = max(0.0, a - 1.0 / n), min(1.0, b + 1.0 / n)
+            lo, hi = _pick(grid0, r["g"], a, b)
+            targets[r["c"] * len(qs) + j] = {"c": r["c"], "q": q, "n": n, "k1": k1, "k2": k2, "w": w,
+                                               "lo": lo, "hi": hi, "below": 0, "m": n, "exp": (b - a) * n}
     for _ in range(max_rounds):
-        missed = False
-        pending = [i for i, s in state.items() if "done" not in s]
+        # narrow brackets that would hold too many rows (only for huge columns)
+        wide = [t for t in targets.values() if "done" not in t and t["exp"] > max_exact]
+        if wide:
+            _narrow(spark, long, wide, accuracy)
+        pending = [tid for tid, t in targets.items() if "done" not in t]
         if not pending:
             break
-        # (1) approximate bracket inside the current range, per column
-        cur = spark.createDataFrame(
-            [(i, float(state[i]["lo"]), float(state[i]["hi"])) for i in pending], "c int, lo double, hi double"
-        )
-        sub = long.join(F.broadcast(cur), "c").where((F.col("v") >= F.col("lo")) & (F.col("v") <= F.col("hi")))
-        pcts = {}
-        for i in pending:
-            s = state[i]
-            r1 = (s["k1"] - s["below"]) / s["m"]
-            r2 = (s["k2"] - s["below"]) / s["m"]
-            pcts[i] = (max(0.0, r1 - eps), min(1.0, r2 + eps))
-        pct_df = spark.createDataFrame(
-            [(i, a, b) for i, (a, b) in pcts.items()], "c int, a double, b double"
-        )
-        # percentile_approx needs literal percentages: use the widest pair per
-        # round and keep per-column ranges via min/max of two sketches.
-        approx = (
-            sub.groupBy("c")
-            .agg(F.percentile_approx("v", F.array(*[F.lit(x) for x in _grid(pcts)]), accuracy).alias("g"))
-            .join(F.broadcast(pct_df), "c")
-            .collect()
-        )
-        grid = _grid(pcts)
-        for row in approx:
-            i = row["c"]
-            a, b = pcts[i]
-            vals = row["g"]
-            lo_idx = max(j for j, x in enumerate(grid) if x <= a) if any(x <= a for x in grid) else 0
-            hi_idx = min(j for j, x in enumerate(grid) if x >= b) if any(x >= b for x in grid) else len(grid) - 1
-            new_lo = vals[lo_idx] if a > 0 else state[i]["lo"]
-            new_hi = vals[hi_idx] if b < 1 else state[i]["hi"]
-            state[i]["try"] = (new_lo, new_hi)
-        # (2) exact counts below / inside the candidate bracket
-        br = spark.createDataFrame(
-            [(i, float(state[i]["try"][0]), float(state[i]["try"][1])) for i in pending],
-            "c int, lo double, hi double",
-        )
-        inside = (F.col("v") >= F.col("lo")) & (F.col("v") <= F.col("hi"))
-        stats = (
-            long.join(F.broadcast(br), "c")
-            .groupBy("c")
-            .agg(
-                F.count(F.when(F.col("v") < F.col("lo"), 1)).alias("below"),
-                F.count(F.when(inside, 1)).alias("m"),
-                F.approx_count_distinct(F.when(inside, F.col("v"))).alias("d"),
-            )
-            .collect()
-        )
-        for row in stats:
-            i = row["c"]
-            s = state[i]
-            lo, hi = s["try"]
-            below, m = row["below"], row["m"]
-            if below < s["k1"] and below + m >= s["k2"]:
-                s.update(lo=lo, hi=hi, below=below, m=m)
-                if row["d"] <= max_exact:
-                    s["done"] = True
-            else:
-                # the sketch missed: keep the old (valid) bracket, widen, retry
-                missed = True
-            s.pop("try", None)
-        if missed:
-            eps *= 4
-
-    # (3) exact ranks inside the final brackets (also for unresolved columns,
-    # whose bracket is still valid, only larger)
-    if state:
-        br = spark.createDataFrame(
-            [(i, float(s["lo"]), float(s["hi"]), int(s["below"])) for i, s in state.items()],
-            "c int, lo double, hi double, below long",
-        )
-        w = Window.partitionBy("c").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        ranked = (
-            long.join(F.broadcast(br), "c")
-            .where((F.col("v") >= F.col("lo")) & (F.col("v") <= F.col("hi")))
-            .groupBy("c", "v", "below")
-            .agg(F.count(F.lit(1)).alias("cnt"))
-            .withColumn("cum", F.sum("cnt").over(w) + F.col("below"))
-        )
-        targets = spark.createDataFrame(
-            [(i, s["k1"], s["k2"]) for i, s in state.items()], "c int, k1 long, k2 long"
-        )
-        hits = (
-            ranked.join(F.broadcast(targets), "c")
-            .where(
-                ((F.col("cum") >= F.col("k1")) & (F.col("cum") - F.col("cnt") < F.col("k1")))
-                | ((F.col("cum") >= F.col("k2")) & (F.col("cum") - F.col("cnt") < F.col("k2")))
-            )
-            .select("c", "v", "cum", "cnt", "k1", "k2")
-            .collect()
-        )
-        found: dict[int, dict[str, float]] = {}
-        for r in hits:
-            d = found.setdefault(r["c"], {})
-            if r["cum"] >= r["k1"] and r["cum"] - r["cnt"] < r["k1"]:
-                d["v1"] = r["v"]
-            if r["cum"] >= r["k2"] and r["cum"] - r["cnt"] < r["k2"]:
-                d["v2"] = r["v"]
-        for i, d in found.items():
-            v1, v2 = d["v1"], d["v2"]
-            wgt = state[i]["w"]
-            result[cols[i]] = v1 if wgt == 0 or v1 == v2 else v1 + (v2 - v1) * wgt
-    return result
-
-
-def _grid(pcts: dict[int, tuple[float, float]]) -> list[float]:
-    return sorted({round(x, 12) for ab in pcts.values() for x in ab} | {0.0, 1.0})
+        _resolve(spark, long, targets, pending)
+        for tid in pending:
+            t = targets[tid]
+            if "done" not in t:  # the sketch missed: retry with a wider bracket
+                t["lo"], t["hi"], t["exp"] = NEG, POS, t["n"]
+                t["below"], t["m"] = 0, t["n"]
+    for t in targets.values():
+        if "value" in t:
+            out[(cols[t["c"]], t["q"])] = t["value"]
+    return out
+
+
+def _brackets_df(spark, targets: list[dict], tids: list[int]):
+    return spark.createDataFrame(
+        [(tid, t["c"], float(t["lo"]), float(t["hi"]), int(t["k1"]), int(t["k2"])) for tid, t in zip(tids, targets)],
+        "t long, c int, lo double, hi double, k1 long, k2 long",
+    )
+
+
+def _narrow(spark, long: DataFrame, wide: list[dict], accuracy: int) -> None:
+    """Exact counts below/inside the current brackets, then a sketch of the
+    rows inside to cut each bracket down (one or two passes)."""
+    tids = list(range(len(wide)))
+    br = _brackets_df(spark, wide, tids)
+    inside = (F.col("v") >= F.col("lo")) & (F.col("v") <= F.col("hi"))
+    stats = {r["t"]: r for r in long.join(F.broadcast(br), "c").groupBy("t").agg(
+        F.count(F.when(F.col("v") < F.col("lo"), 1)).alias("below"),
+        F.count(F.when(inside, 1)).alias("m"),
+    ).collect()}
+    eps = 3.0 / accuracy
+    pcts = {}
+    for tid, t in zip(tids, wide):
+        s = stats.get(tid)
+        if s is None or not (s["below"] < t["k1"] and s["below"] + s["m"] >= t["k2"]):
+            t["lo"], t["hi"], t["below"], t["m"] = NEG, POS, 0, t["n"]
+            continue
+        t["below"], t["m"] = s["below"], s["m"]
+        r1 = (t["k1"] - t["below"]) / t["m"]
+        r2 = (t["k2"] - t["below"]) / t["m"]
+        pcts[tid] = (max(0.0, r1 - eps - 1.0 / t["m"]), min(1.0, r2 + eps + 1.0 / t["m"]))
+    if not pcts:
+        return
+    grid = _grid(list(pcts.values()))
+    sk = {r["t"]: r["g"] for r in long.join(F.broadcast(br), "c").where(inside).groupBy("t").agg(
+        F.percentile_approx("v", F.array(*[F.lit(x) for x in grid]), accuracy).alias("g")).collect()}
+    for tid, (a, b) in pcts.items():
+        t = wide[tid]
+        if tid in sk:
+            lo, hi = _pick(grid, sk[tid], a, b)
+            t["lo"], t["hi"] = max(t["lo"], lo), min(t["hi"], hi)
+        t["exp"] = (b - a) * t["m"]
+
+
+def _resolve(spark, long: DataFrame, targets: dict[int, dict], pending: list[int]) -> None:
+    """One pass: exact ranks inside each bracket; out-of-bracket rows become
+    one -inf / +inf group so the running count includes the offset."""
+    br = _brackets_df(spark, [targets[t] for t in pending], pending)
+    side = F.when(F.col("v") < F.col("lo"), F.lit(-1)).when(F.col("v") > F.col("hi"), F.lit(1)).otherwise(F.lit(0))
+    value = F.when(side == 0, F.col("v"))
+    grouped = long.join(F.broadcast(br), "c").groupBy("t", "k1", "k2", side.alias("side"), value.alias("u")).agg(
+        F.count(F.lit(1)).alias("cnt"))
+    w = Window.partitionBy("t").orderBy("side", "u").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranked = grouped.withColumn("cum", F.sum("cnt").over(w))
+    hit1 = (F.col("cum") >= F.col("k1")) & (F.col("cum") - F.col("cnt") < F.col("k1"))
+    hit2 = (F.col("cum") >= F.col("k2")) & (F.col("cum") - F.col("cnt") < F.col("k2"))
+    rows = ranked.where(hit1 | hit2).select("t", "side", "u", hit1.alias("h1"), hit2.alias("h2")).collect()
+    found: dict[int, dict] = {}
+    for r in rows:
+        d = found.setdefault(r["t"], {})
+        if r["side"] != 0:
+            d["miss"] = True
+        if r["h1"]:
+            d["v1"] = r["u"]
+        if r["h2"]:
+            d["v2"] = r["u"]
+    for tid in pending:
+        d = found.get(tid, {})
+        v1, v2 = d.get("v1"), d.get("v2")
+        if d.get("miss") or v1 is None or v2 is None:
+            continue  # a target rank fell outside the bracket: the sketch missed
+        t = targets[tid]
+        t["value"] = v1 if t["w"] == 0 or v1 == v2 else v1 + (v2 - v1) * t["w"]
+        t["done"] = True
+
+
+def exact_quantiles(df: DataFrame, cols: Sequence[str], q: float = 0.5, **kw) -> dict[str, float | None]:
+    res = exact_quantiles_multi(df, cols, [q], **kw)
+    return {c: res[(c, q)] for c in cols}
 
 
 def exact_medians(df: DataFrame, cols: Sequence[str], **kw) -> dict[str, float | None]:

@@ -15,7 +15,7 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-HASH_BUCKET_BITS = 10  # 1024 ordered buckets of the 64-bit hash space
+HASH_BUCKET_BITS = 16  # 65,536 ordered buckets of the 64-bit hash space
 
 
 def seeded_hash(key: str, seed: int) -> Column:

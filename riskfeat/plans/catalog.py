@@ -706,3 +706,29 @@ def q_column_report(spark, sf_dir):
     test = pipeline_frame(spark, sf_dir, "test", schema_mode="per_frame")
     rows = PL.column_report(train, test)
     return spark.createDataFrame(rows, "column_name string, in_train boolean, in_test boolean")
+
+
+# ------------------------------------------- fairness by key join, weekly AUC
+@register("fairness_join", FX.duckdb_with(["applicants", "scored"], """
+SELECT a.CODE_GENDER, COUNT(*) AS n, AVG(CAST(s.SCORE < 0.35E0 AS INTEGER)) * 100 AS approval_pct
+FROM applicants a JOIN scored s USING (SK_ID_CURR)
+WHERE a.IS_TRAIN = 1 AND a.CODE_GENDER IS NOT NULL GROUP BY a.CODE_GENDER"""))
+def q_fairness_join(spark, sf_dir):
+    train, _ = split_train_test(applicants(spark, sf_dir))
+    frame = D.fairness_frame(train.select("SK_ID_CURR", "CODE_GENDER"), train.select("SK_ID_CURR", "TARGET"),
+                             scored(spark, sf_dir).select("SK_ID_CURR", "SCORE"))
+    return D.approval_by_group(frame, "CODE_GENDER")
+
+
+@register("weekly_auc", FX.duckdb_with(["decisions", "applicants"], """
+, lab AS (SELECT date_trunc('week', d.TS) AS week, d.SCORE, a.TARGET FROM decisions d JOIN applicants a USING (SK_ID_CURR)),
+g AS (SELECT week, SCORE AS score, COUNT(*) FILTER (WHERE TARGET = 1) AS pos, COUNT(*) FILTER (WHERE TARGET <> 1) AS neg
+      FROM lab GROUP BY week, SCORE),
+c AS (SELECT *, COALESCE(SUM(neg) OVER (PARTITION BY week ORDER BY score ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
+      AS cum_neg FROM g),
+r AS (SELECT week, SUM(pos) + SUM(neg) AS n,
+        SUM(pos * (cum_neg + neg / 2.0E0)) / (CAST(SUM(pos) AS DOUBLE) * CAST(SUM(neg) AS DOUBLE)) AS auc FROM c GROUP BY week)
+SELECT week, n, auc, CASE WHEN auc < 0.72E0 THEN 'ALERT' WHEN auc < 0.74E0 THEN 'WARN' ELSE 'OK' END AS status FROM r"""))
+def q_weekly_auc(spark, sf_dir):
+    lab = decisions(spark, sf_dir).join(applicants(spark, sf_dir).select("SK_ID_CURR", "TARGET"), "SK_ID_CURR")
+    return MON.weekly_auc(lab)

@@ -292,13 +292,21 @@ def ranked_candidates(spark, results: Sequence[CVResult]) -> DataFrame:
 
 
 # ------------------------------------------------------------ final model
-def fit_final(matrix: DataFrame, make: Callable[[int], object], weighted: bool = False):
+def fit_final(matrix: DataFrame, make: Callable[[int], object], weighted: bool = False,
+              early_stopping_pct: int = 0):
+    """Fit on all rows. ``early_stopping_pct`` > 0 holds out that share (by a
+    seeded key hash) as the validation set of a boosted model, which then
+    stops when the validation error stops improving."""
     train = matrix.drop("fold") if "fold" in matrix.columns else matrix
     weight = None
     if weighted:
         train = IMB.with_weights(train, LABEL, "w")
         weight = "w"
-    return _configure(make(_n(train)), LABEL, weight).fit(train)
+    est = _configure(make(_n(train)), LABEL, weight)
+    if early_stopping_pct and isinstance(est, GBTClassifier):
+        train = train.withColumn("_valid", F.pmod(F.xxhash64(KEY, F.lit(SEED)), F.lit(100)) < early_stopping_pct)
+        est.setValidationIndicatorCol("_valid")
+    return est.fit(train)
 
 
 def importance_frame(spark, model, features: Sequence[str]) -> DataFrame:

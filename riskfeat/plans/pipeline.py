@@ -88,3 +88,32 @@ def column_report(train: DataFrame, test: DataFrame, target: str = FIT.TARGET) -
     b = list(test.columns)
     names = a + [c for c in b if c not in set(a)]
     return [(c, c in set(a), c in set(b)) for c in names]
+
+
+def clean_with_metrics(df: DataFrame, plan: FIT.FitPlan):
+    """Clean and attach an ``Observation`` with the logged counts (sentinel
+    rows, imputed values per flag) - gathered by the job that consumes the
+    frame, not by extra passes."""
+    from pyspark.sql import Observation
+    from pyspark.sql import functions as F
+
+    out = FIT.clean(df, plan)
+    flags = [c for c in out.columns if c.startswith(FIT.FLAG_PREFIX) or c == FIT.SENTINEL_FLAG]
+    obs = Observation("clean_metrics")
+    observed = out.observe(obs, F.count(F.lit(1)).alias("rows"),
+                           *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in flags])
+    return observed, obs
+
+
+def drop_columns(df: DataFrame, names) -> DataFrame:
+    """Drop id / label columns (missing names are ignored)."""
+    return df.drop(*[c for c in names if c in df.columns])
+
+
+def columns_with_prefix(df: DataFrame, prefixes) -> list[str]:
+    return [c for c in df.columns if any(c.startswith(p) for p in prefixes)]
+
+
+def select_existing(df: DataFrame, names) -> DataFrame:
+    have = set(df.columns)
+    return df.select(*[c for c in names if c in have])

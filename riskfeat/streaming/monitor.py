@@ -81,6 +81,15 @@ def auc_status(auc: Column, baseline: float | None = None, plan: MonitorPlan = D
     return status
 
 
+def weekly_auc(labelled: DataFrame, ts: str = "TS", label: str = "TARGET", score: str = "SCORE",
+               plan: MonitorPlan = DEFAULT_PLAN, baseline: float | None = None) -> DataFrame:
+    """Exact AUC per calendar week with its status (batch: AUC needs ranks)."""
+    from ..operators.evaluate import roc_auc_by
+
+    weeks = labelled.withColumn("week", F.date_trunc("week", F.col(ts)))
+    return roc_auc_by(weeks, "week", label, score).withColumn("status", auc_status(F.col("auc"), baseline, plan))
+
+
 def stream_daily_approval(stream: DataFrame, ts: str = "TS", score: str = "SCORE",
                           watermark: str = "2 days", plan: MonitorPlan = DEFAULT_PLAN) -> DataFrame:
     """Streaming form: watermark then the same windowed aggregation.
