@@ -48,12 +48,15 @@ def running_totals(
     partition: Sequence[str] = (),
     bucket: str = "_b",
     inclusive: bool = False,
+    bounded_partitions: bool = True,
 ) -> DataFrame:
     """Add ``cum_<s>`` = sum of ``s`` over earlier rows (same partition).
 
     ``bucket`` must be non-decreasing in ``order``. The offset table has one
-    row per (partition, bucket) and is broadcast: its size is bounded by the
-    bucket count times the number of partition values.
+    row per (partition, bucket): with few partition values (a label, a week)
+    its size is bounded by the bucket count and it is broadcast; pass
+    ``bounded_partitions=False`` for many partition values and the join is
+    left to the planner (AQE broadcasts it only if it turns out small).
     """
     part = list(partition)
     tot = df.groupBy(*part, bucket).agg(*[F.sum(s).alias(s) for s in sums])
@@ -61,7 +64,7 @@ def running_totals(
     off = tot.select(*part, bucket, *[F.coalesce(F.sum(s).over(w_off), F.lit(0)).alias(f"_off_{s}") for s in sums])
     frame_end = Window.currentRow if inclusive else -1
     w_in = Window.partitionBy(*part, bucket).orderBy(*order).rowsBetween(Window.unboundedPreceding, frame_end)
-    joined = df.join(F.broadcast(off), [*part, bucket])
+    joined = df.join(F.broadcast(off) if bounded_partitions else off, [*part, bucket])
     return joined.select(
         *df.columns,
         *[(F.coalesce(F.sum(s).over(w_in), F.lit(0)) + F.col(f"_off_{s}")).alias(f"cum_{s}") for s in sums],
