@@ -80,8 +80,10 @@ def permutation_importance(
     from . import ranks
 
     base_auc = auc_fn(score_fn(df))
-    by_key = (ranks.rank_within(df.withColumn("_all", F.lit(0)), ["_all"], key, seed)
-              .withColumnRenamed("_rank", "_r1").checkpoint(eager=True))
+    from ..session import checkpoint
+
+    by_key = checkpoint(ranks.rank_within(df.withColumn("_all", F.lit(0)), ["_all"], key, seed)
+                        .withColumnRenamed("_rank", "_r1"))
 
     def drop_for(f: str) -> tuple[str, float]:
         donor = ranks.rank_within(df.select(key, f).withColumn("_all", F.lit(0)), ["_all"], key, seed + 1)

@@ -576,6 +576,7 @@ FROM (SELECT date_trunc('month', TS) AS period,
 
 # ------------------------------------------------- modelling (rows-only checks)
 from . import modeling as ML  # noqa: E402
+from ..session import checkpoint  # noqa: E402
 
 _MATRIX: dict[tuple, tuple] = {}
 _FINAL: dict[tuple, object] = {}
@@ -587,7 +588,7 @@ def train_matrix(spark: SparkSession, sf_dir: str, exclude_prefixes: tuple = ())
     if k not in _MATRIX:
         frame = pipeline_frame(spark, sf_dir, "train")
         plan = ML.fit_matrix(frame, exclude_prefixes=exclude_prefixes)
-        m = ML.with_folds(ML.to_matrix(frame, plan)).checkpoint(eager=True)
+        m = checkpoint(ML.with_folds(ML.to_matrix(frame, plan)))
         _MATRIX[k] = (m, plan)
     return _MATRIX[k]
 
@@ -669,7 +670,7 @@ def q_permutation(spark, sf_dir):
     imp = sorted(zip(plan.features, model.featureImportances.toArray().tolist()), key=lambda t: -t[1])[:15]
     feats = [f for f, _ in imp]
     # the 1,000-row explanation sample is written once (checkpoint) and reused
-    frame = R.seeded_sample(pipeline_frame(spark, sf_dir, "train"), "SK_ID_CURR", 1000, seed=42).checkpoint(eager=True)
+    frame = checkpoint(R.seeded_sample(pipeline_frame(spark, sf_dir, "train"), "SK_ID_CURR", 1000, seed=42))
 
     def score_fn(df):
         return ML.score(model, ML.to_matrix(df, plan))

@@ -61,3 +61,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         spark.conf.set(CHECKPOINT_CONF, configured)
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
+
+
+def checkpoint(df, eager: bool = True):
+    """Reliable checkpoint into the shared checkpoint folder (set if missing)."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=eager)
