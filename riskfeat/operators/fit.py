@@ -186,14 +186,25 @@ def fit_plan(
     threshold: float = MISSING_THRESHOLD,
 ) -> FitPlan:
     """Fit on the training frame: 3 passes over it plus the median brackets."""
-    rows, nulls = null_profile(train)
+    # one pass: raw null counts (for the drop rule) and, for the sentinel
+    # column, the null counts it will have after the fix
+    extra = {}
+    if SENTINEL_COLUMN in train.columns:
+        sc = F.col(SENTINEL_COLUMN)
+        extra = {"__sent_null": F.count(F.when(sc.isNull() | (sc > SENTINEL_THRESHOLD), 1)),
+                 "__flag_null": F.count(F.when(sc.isNull(), 1))}
+    cols = train.columns
+    row = train.agg(
+        F.count(F.lit(1)).alias("__rows"),
+        *[F.count(F.when(F.col(c).isNull(), 1)).alias(f"__n{i}") for i, c in enumerate(cols)],
+        *[e.alias(n) for n, e in extra.items()],
+    ).first()
+    rows = row["__rows"]
+    nulls = {c: row[f"__n{i}"] for i, c in enumerate(cols)}
     dropped = high_missing_columns(rows, nulls, threshold)
     fixed = fix_sentinel(train.drop(*dropped))
-    # null counts after the sentinel fix: the sentinel rows are null now
     if SENTINEL_COLUMN in fixed.columns:
-        extra = fixed.agg(F.count(F.when(F.col(SENTINEL_COLUMN).isNull(), 1)).alias("n"),
-                          F.count(F.when(F.col(SENTINEL_FLAG).isNull(), 1)).alias("f")).first()
-        nulls = dict(nulls, **{SENTINEL_COLUMN: extra["n"], SENTINEL_FLAG: extra["f"]})
+        nulls = dict(nulls, **{SENTINEL_COLUMN: row["__sent_null"], SENTINEL_FLAG: row["__flag_null"]})
     numeric = numeric_columns(fixed, (key, target))
     strings = string_columns(fixed)
     ext = [c for c in EXT_SOURCES if c in fixed.columns]

@@ -44,10 +44,12 @@ def _knn_fn(bc, k: int, block: int = 2048):
                 if kk == 0:
                     out += [[] for _ in range(len(xb))]
                     continue
-                idx = np.argpartition(d, kk - 1, axis=1)[:, :kk]
-                # order the k by (distance, key) for a deterministic pick
-                for r, cand in enumerate(idx):
-                    order = sorted(cand, key=lambda j: (d[r, j], keys[j]))
+                # k-th smallest distance per row, then every candidate up to it
+                # (ties included), ordered by (distance, key): deterministic
+                kth = np.partition(d, kk - 1, axis=1)[:, kk - 1]
+                for r in range(len(xb)):
+                    cand = np.nonzero(d[r] <= kth[r])[0]
+                    order = cand[np.lexsort((keys[cand], d[r, cand]))][:kk]
                     out.append([int(keys[j]) for j in order])
             yield pd.DataFrame({"k": pdf["k"].to_numpy(), "nbrs": out})
 

@@ -106,3 +106,34 @@ def test_streaming_monitor_matches_batch(spark):
     got = sorted((r["day"], r["decisions"], r["approved"]) for r in spark.table("monitor_test").collect())
     want = sorted((r["day"], r["decisions"], r["approved"]) for r in MON.daily_approval(batch).collect())
     assert got == want and len(want) > 0
+
+
+def test_smote_neighbours_exact(spark):
+    import numpy as np
+    from pyspark.ml.functions import array_to_vector, vector_to_array
+
+    from riskfeat.operators import smote as SM
+
+    rows = [(i, 1 if i % 4 == 0 else 0, [float((i * 37) % 11), float((i * 11) % 7)]) for i in range(60)]
+    df = spark.createDataFrame(rows, "SK_ID_CURR long, TARGET int, x array<double>").select(
+        "SK_ID_CURR", "TARGET", array_to_vector("x").alias("features"))
+    out = SM.smote(df, k=3, seed=1)
+    counts = {r["TARGET"]: r["count"] for r in out.groupBy("TARGET").count().collect()}
+    assert counts[0] == counts[1] == 45
+    mino = {r[0]: np.array(r[2]) for r in rows if r[1] == 1}
+    keys = sorted(mino)
+    # brute force: the 3 nearest minority rows of each minority row
+    nbrs = {}
+    for a in keys:
+        d = sorted((float(((mino[a] - mino[b]) ** 2).sum()), b) for b in keys if b != a)
+        nbrs[a] = [b for _, b in d[:3]]
+    synth = [np.array(r["x"]) for r in out.where("SK_ID_CURR IS NULL").select(vector_to_array("features").alias("x")).collect()]
+    assert len(synth) == 30
+
+    def on_segment(p, a, b):
+        ab, ap = b - a, p - a
+        t = float(ab @ ap) / float(ab @ ab) if float(ab @ ab) > 0 else 0.0
+        return -1e-9 <= t <= 1 + 1e-9 and np.allclose(a + t * ab, p, atol=1e-9)
+
+    for p in synth:
+        assert any(on_segment(p, mino[a], mino[b]) for a in keys for b in nbrs[a])
