@@ -35,18 +35,22 @@ def col(c: ColumnLike) -> Column:
 def ratio(num: ColumnLike, den: ColumnLike, on_zero: str = "ieee") -> Column:
     """``num / den`` in double precision with an explicit zero rule.
 
-    ``ieee``: x/0 is +inf / -inf / NaN (0/0, NaN/0) like float division;
+    ``ieee``: x/0 is +inf / -inf / NaN (0/0, NaN/0) like float division,
+    including the sign of a negative zero;
     ``null``: x/0 is null; ``zero``: x/0 is 0. A null operand gives null.
     """
     n = col(num).cast("double")
     d = col(den).cast("double")
     quotient = F.try_divide(n, d)
     if on_zero == "ieee":
+        # sign of the infinity = sign of num XOR sign bit of the zero (-0.0
+        # is the only zero whose text starts with "-"; Spark compares -0.0 == 0)
+        neg_zero = d.cast("string").startswith("-")
         at_zero = (
-            F.when(F.isnan(n), F.lit(NAN))
-            .when(n > 0, F.lit(POS_INF))
-            .when(n < 0, F.lit(NEG_INF))
-            .when(n == 0, F.lit(NAN))
+            F.when(n.isNull(), F.lit(None).cast("double"))
+            .when(F.isnan(n) | (n == 0), F.lit(NAN))
+            .when((n < 0) != neg_zero, F.lit(NEG_INF))
+            .otherwise(F.lit(POS_INF))
         )
     elif on_zero == "null":
         at_zero = F.lit(None).cast("double")

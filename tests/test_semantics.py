@@ -166,3 +166,24 @@ def test_pilot_share(spark):
     df = spark.range(0, 20000).withColumnRenamed("id", "SK_ID_CURR")
     share = df.select(F.avg(D.pilot_flag().cast("double")).alias("s")).first()["s"]
     assert 0.18 < share < 0.22
+
+
+def test_ratio_matches_ieee_division_property(spark):
+    import numpy as np
+    from hypothesis import HealthCheck, given, settings
+    from hypothesis import strategies as st
+
+    special = st.sampled_from([0.0, -0.0, 1.0, -1.0, 2.5, float("nan"), float("inf"), float("-inf"), None])
+    num = st.one_of(special, st.floats(allow_nan=True, allow_infinity=True, width=64))
+
+    @settings(max_examples=25, deadline=None, suppress_health_check=list(HealthCheck))
+    @given(st.lists(st.tuples(num, num), min_size=1, max_size=40))
+    def check(pairs):
+        rows = [(i, a, b) for i, (a, b) in enumerate(pairs)]
+        df = spark.createDataFrame(rows, "id int, a double, b double").select("id", X.ratio("a", "b").alias("r"))
+        got = _vals(df, "r")
+        with np.errstate(all="ignore"):
+            want = [None if (a is None or b is None) else float(np.float64(a) / np.float64(b)) for _, a, b in rows]
+        assert all(_same(g, w) for g, w in zip(got, want)), list(zip(pairs, got, want))
+
+    check()
