@@ -727,7 +727,7 @@ g AS (SELECT week, SCORE AS score, COUNT(*) FILTER (WHERE TARGET = 1) AS pos, CO
       FROM lab GROUP BY week, SCORE),
 c AS (SELECT *, COALESCE(SUM(neg) OVER (PARTITION BY week ORDER BY score ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
       AS cum_neg FROM g),
-r AS (SELECT week, SUM(pos) + SUM(neg) AS n,
+r AS (SELECT week, CAST(SUM(pos) + SUM(neg) AS BIGINT) AS n,
         SUM(pos * (cum_neg + neg / 2.0E0)) / (CAST(SUM(pos) AS DOUBLE) * CAST(SUM(neg) AS DOUBLE)) AS auc FROM c GROUP BY week)
 SELECT week, n, auc, CASE WHEN auc < 0.72E0 THEN 'ALERT' WHEN auc < 0.74E0 THEN 'WARN' ELSE 'OK' END AS status FROM r"""))
 def q_weekly_auc(spark, sf_dir):

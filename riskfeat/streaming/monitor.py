@@ -34,6 +34,12 @@ class MonitorPlan:
 DEFAULT_PLAN = MonitorPlan()
 
 
+def _trunc(df: DataFrame, unit: str, ts: str) -> Column:
+    """``date_trunc`` that keeps the input's timestamp flavour (NTZ stays NTZ)."""
+    out = F.date_trunc(unit, F.col(ts))
+    return out.cast("timestamp_ntz") if dict(df.dtypes).get(ts) == "timestamp_ntz" else out
+
+
 def approval_status(rate: Column, plan: MonitorPlan = DEFAULT_PLAN) -> Column:
     lo_alert, hi_alert = plan.approval_alert
     lo_t, hi_t = plan.approval_target
@@ -65,7 +71,7 @@ def gap_by_period(events: DataFrame, ts: str = "TS", score: str = "SCORE", group
                   a: str = "M", b: str = "F", unit: str = "month", plan: MonitorPlan = DEFAULT_PLAN) -> DataFrame:
     """Approval gap ``a - b`` (points) per calendar period with status."""
     appr = (F.col(score) < F.lit(plan.threshold)).cast("double")
-    per = events.where(F.col(group).isNotNull()).groupBy(F.date_trunc(unit, F.col(ts)).alias("period")).agg(
+    per = events.where(F.col(group).isNotNull()).groupBy(_trunc(events, unit, ts).alias("period")).agg(
         (F.avg(F.when(F.col(group) == a, appr)) * 100 - F.avg(F.when(F.col(group) == b, appr)) * 100).alias("gap_points")
     )
     return per.withColumn(
@@ -86,7 +92,7 @@ def weekly_auc(labelled: DataFrame, ts: str = "TS", label: str = "TARGET", score
     """Exact AUC per calendar week with its status (batch: AUC needs ranks)."""
     from ..operators.evaluate import roc_auc_by
 
-    weeks = labelled.withColumn("week", F.date_trunc("week", F.col(ts)))
+    weeks = labelled.withColumn("week", _trunc(labelled, "week", ts))
     return roc_auc_by(weeks, "week", label, score).withColumn("status", auc_status(F.col("auc"), baseline, plan))
 
 
