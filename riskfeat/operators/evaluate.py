@@ -78,12 +78,12 @@ def roc_auc_by(df: DataFrame, group: str, label: str = "TARGET", score: str = "S
 
 def roc_points(df: DataFrame, label: str = "TARGET", score: str = "SCORE", buckets: int = 1024) -> DataFrame:
     """One ROC point per distinct score: predicting 1 for ``score >= threshold``."""
-    c = _cumulated(df, label, score, buckets)
-    totals = c.agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"))
-    return c.crossJoin(F.broadcast(totals)).select(
+    g = ranks.value_bucket(score_counts(df, label, score), "score", buckets)
+    c = ranks.running_totals(g, ["score"], ["pos", "neg"], bucket="_b", totals=True)
+    return c.select(
         F.col("score").alias("threshold"),
-        ((F.col("P") - F.col("cum_pos")) / F.col("P")).alias("tpr"),
-        ((F.col("N") - F.col("cum_neg")) / F.col("N")).alias("fpr"),
+        ((F.col("tot_pos") - F.col("cum_pos")) / F.col("tot_pos")).alias("tpr"),
+        ((F.col("tot_neg") - F.col("cum_neg")) / F.col("tot_neg")).alias("fpr"),
     )
 
 

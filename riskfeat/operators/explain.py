@@ -44,13 +44,16 @@ def top_reasons(
     """``(key, reason_rank, feature, reason, strength)`` for the rows selected
     by ``denied`` (all rows if None); rank 1 is the primary reason."""
     reasons = list(reasons)
-    stats = df.agg(*[x for r in reasons for x in (F.min(r.feature).alias(f"lo_{r.feature}"),
-                                                   F.max(r.feature).alias(f"hi_{r.feature}"))])
+    # population min / max per feature: one small aggregate, used as literals
+    stats = df.agg(*[x for r in reasons for x in (F.min(r.feature).cast("double").alias(f"lo_{r.feature}"),
+                                                   F.max(r.feature).cast("double").alias(f"hi_{r.feature}"))]).first()
     base = df if denied is None else df.where(denied)
-    rows = base.select(key, *[r.feature for r in reasons]).crossJoin(F.broadcast(stats))
+    rows = base.select(key, *[r.feature for r in reasons])
 
     def strength(r: Reason):
-        lo, hi, x = F.col(f"lo_{r.feature}"), F.col(f"hi_{r.feature}"), F.col(r.feature)
+        lo = F.lit(stats[f"lo_{r.feature}"]).cast("double")
+        hi = F.lit(stats[f"hi_{r.feature}"]).cast("double")
+        x = F.col(r.feature)
         num = (x - lo) if r.direction == "high" else (hi - x)
         return F.when(hi > lo, num.cast("double") / (hi - lo).cast("double")).otherwise(F.lit(0.0))
 

@@ -3,16 +3,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
 def class_weights(df: DataFrame, label: str = "TARGET") -> DataFrame:
     """``balanced`` weights n / (k * n_class), one row per class."""
     counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("n"))
-    totals = counts.agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("k"))
-    return counts.crossJoin(F.broadcast(totals)).select(
-        label, "n", (F.col("total").cast("double") / (F.col("k") * F.col("n"))).alias("weight")
+    # one row per class: windows over this tiny table give total and k
+    everything = Window.partitionBy()
+    return counts.select(
+        label, "n",
+        (F.sum("n").over(everything).cast("double") / (F.count(F.lit(1)).over(everything) * F.col("n"))).alias("weight"),
     )
 
 

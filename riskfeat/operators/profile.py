@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import exprs as X
@@ -61,10 +61,8 @@ def feature_summary(df: DataFrame, columns: Sequence[str] | None = None, scale:
 def class_balance(df: DataFrame, label: str = "TARGET") -> DataFrame:
     """Rows and share per class."""
     counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("n"))
-    total = df.agg(F.count(F.lit(1)).alias("total"))
-    return counts.crossJoin(F.broadcast(total)).select(
-        label, "n", (F.col("n") / F.col("total")).alias("share")
-    )
+    # one row per class: a window over this tiny table gives the total
+    return counts.select(label, "n", (F.col("n") / F.sum("n").over(Window.partitionBy())).alias("share"))
 
 
 def default_rate(df: DataFrame, label: str = "TARGET") -> DataFrame:

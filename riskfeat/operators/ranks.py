@@ -49,6 +49,7 @@ def running_totals(
     bucket: str = "_b",
     inclusive: bool = False,
     bounded_partitions: bool = True,
+    totals: bool = False,
 ) -> DataFrame:
     """Add ``cum_<s>`` = sum of ``s`` over earlier rows (same partition).
 
@@ -57,23 +58,32 @@ def running_totals(
     its size is bounded by the bucket count and it is broadcast; pass
     ``bounded_partitions=False`` for many partition values and the join is
     left to the planner (AQE broadcasts it only if it turns out small).
+    ``totals`` also adds ``tot_<s>``, the partition total, from the same table.
     """
     part = list(partition)
     tot = df.groupBy(*part, bucket).agg(*[F.sum(s).alias(s) for s in sums])
     w_off = Window.partitionBy(*part).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
-    off = tot.select(*part, bucket, *[F.coalesce(F.sum(s).over(w_off), F.lit(0)).alias(f"_off_{s}") for s in sums])
+    w_all = Window.partitionBy(*part)
+    off = tot.select(*part, bucket,
+                     *[F.coalesce(F.sum(s).over(w_off), F.lit(0)).alias(f"_off_{s}") for s in sums],
+                     *([F.sum(s).over(w_all).alias(f"tot_{s}") for s in sums] if totals else []))
     frame_end = Window.currentRow if inclusive else -1
     w_in = Window.partitionBy(*part, bucket).orderBy(*order).rowsBetween(Window.unboundedPreceding, frame_end)
     joined = df.join(F.broadcast(off) if bounded_partitions else off, [*part, bucket])
     return joined.select(
         *df.columns,
         *[(F.coalesce(F.sum(s).over(w_in), F.lit(0)) + F.col(f"_off_{s}")).alias(f"cum_{s}") for s in sums],
+        *([F.col(f"tot_{s}") for s in sums] if totals else []),
     )
 
 
 def rank_within(df: DataFrame, partition: Sequence[str], key: str, seed: int) -> DataFrame:
     """Add ``_rank`` (1-based) = position of the row in its partition when
-    ordered by a seeded hash of ``key`` (key breaks hash ties)."""
+    ordered by a seeded hash of ``key`` (key breaks hash ties).
+
+    ``key`` is expected to be unique (one row per applicant): hash buckets
+    then hold ~n / 65,536 rows each whatever the class skew.
+    """
     h = seeded_hash(key, seed)
     tagged = df.withColumn("_h", h).withColumn("_hb", hash_bucket(F.col("_h"))).withColumn("_one", F.lit(1))
     out = running_totals(tagged, ["_h", key], ["_one"], partition, bucket="_hb", inclusive=True)

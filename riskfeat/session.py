@@ -49,7 +49,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     A cluster names a shared folder there; we only pick a local scratch
-    folder when the setting is missing (local tests).
+    folder when the setting is missing and the master is local (tests).
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -57,6 +57,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get(CHECKPOINT_CONF, None) or sc.getConf().get(CHECKPOINT_CONF, None)
     if not configured:
+        if not sc.master.startswith("local"):
+            raise RuntimeError(
+                f"set {CHECKPOINT_CONF} to a shared folder (e.g. on the cluster file system); "
+                "a machine-local folder does not survive the loss of an executor"
+            )
         configured = tempfile.mkdtemp(prefix="riskfeat-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
         spark.conf.set(CHECKPOINT_CONF, configured)
     sc.setCheckpointDir(configured)
