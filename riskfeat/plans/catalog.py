@@ -655,7 +655,11 @@ def q_ablation(spark, sf_dir):
     return ML.results_frame(spark, res, baseline=res[1].mean)
 
 
-@register("smote")
+@register("smote", FX.duckdb_with(["applicants"], """
+, c AS (SELECT TARGET, COUNT(*) AS n FROM applicants WHERE IS_TRAIN = 1 GROUP BY TARGET)
+SELECT CAST(TARGET AS DOUBLE) AS TARGET, (SELECT MAX(n) FROM c) AS n,
+ CASE WHEN n = (SELECT MIN(n) FROM c) THEN (SELECT MAX(n) - MIN(n) FROM c) ELSE 0 END AS synthetic
+FROM c"""))
 def q_smote(spark, sf_dir):
     m, _ = train_matrix(spark, sf_dir)
     out = ML.resample_smote(m.drop("fold"))

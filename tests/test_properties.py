@@ -91,6 +91,8 @@ def test_io_roundtrip_and_load_or_build(spark):
     assert a.count() == b.count() == 2 and len(calls) == 1
     path = IO.write_scores(df.select("SK_ID_CURR", F.lit(0.3).alias("SCORE")), os.path.join(tmp, "scores"))
     assert spark.read.option("header", True).csv(path).columns == ["SK_ID_CURR", "TARGET"]
+    tr, te = IO.save_processed(df, df.drop("TARGET"), os.path.join(tmp, "processed"))
+    assert spark.read.parquet(tr).count() == 2 and "TARGET" not in spark.read.parquet(te).columns
 
 
 def test_streaming_monitor_matches_batch(spark):
