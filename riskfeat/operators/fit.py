@@ -186,30 +186,31 @@ def fit_plan(
     threshold: float = MISSING_THRESHOLD,
 ) -> FitPlan:
     """Fit on the training frame: 3 passes over it plus the median brackets."""
-    # one pass: raw null counts (for the drop rule) and, for the sentinel
-    # column, the null counts it will have after the fix
-    extra = {}
-    if SENTINEL_COLUMN in train.columns:
-        sc = F.col(SENTINEL_COLUMN)
-        extra = {"__sent_null": F.count(F.when(sc.isNull() | (sc > SENTINEL_THRESHOLD), 1)),
-                 "__flag_null": F.count(F.when(sc.isNull(), 1))}
+    # Pass 1 (one wide aggregate over the sentinel-fixed frame): null counts
+    # for the drop rule (raw nulls of the sentinel column = null flags) and the
+    # after-fix counts for imputation, plus the median sketches of all
+    # numeric columns. Pass 2 resolves the exact medians, pass 3 the modes.
+    fixed_all = fix_sentinel(train)
     cols = train.columns
-    row = train.agg(
-        F.count(F.lit(1)).alias("__rows"),
-        *[F.count(F.when(F.col(c).isNull(), 1)).alias(f"__n{i}") for i, c in enumerate(cols)],
-        *[e.alias(n) for n, e in extra.items()],
-    ).first()
-    rows = row["__rows"]
-    nulls = {c: row[f"__n{i}"] for i, c in enumerate(cols)}
+    extra = {"__rows": F.count(F.lit(1))}
+    for i, c in enumerate(cols):
+        raw_null = F.col(SENTINEL_FLAG).isNull() if c == SENTINEL_COLUMN else F.col(c).isNull()
+        extra[f"__n{i}"] = F.count(F.when(raw_null, 1))
+    if SENTINEL_COLUMN in cols:
+        extra["__sent_null"] = F.count(F.when(F.col(SENTINEL_COLUMN).isNull(), 1))
+    numeric_all = numeric_columns(fixed_all, (key, target))
+    prof: dict = {}
+    med_all = quantiles.exact_quantiles_multi(fixed_all, numeric_all, [0.5], extra_aggs=extra, extras_out=prof)
+    rows = prof["__rows"]
+    nulls = {c: prof[f"__n{i}"] for i, c in enumerate(cols)}
     dropped = high_missing_columns(rows, nulls, threshold)
-    fixed = fix_sentinel(train.drop(*dropped))
+    fixed = fixed_all.drop(*dropped)
     if SENTINEL_COLUMN in fixed.columns:
-        nulls = dict(nulls, **{SENTINEL_COLUMN: row["__sent_null"], SENTINEL_FLAG: row["__flag_null"]})
+        nulls = dict(nulls, **{SENTINEL_COLUMN: prof["__sent_null"], SENTINEL_FLAG: nulls[SENTINEL_COLUMN]})
     numeric = numeric_columns(fixed, (key, target))
     strings = string_columns(fixed)
     ext = [c for c in EXT_SOURCES if c in fixed.columns]
-    medians = quantiles.exact_medians(fixed, numeric)
-    numeric_medians = {c: (v if v is not None else 0) for c, v in medians.items()}
+    numeric_medians = {c: (med_all[(c, 0.5)] if med_all[(c, 0.5)] is not None else 0) for c in numeric}
     ext_medians = {c: numeric_medians.get(c, 0) for c in ext}
     found_modes = modes(fixed, strings, null_mode)
     cat_modes = {c: (v if v is not None else MISSING_CATEGORY) for c, v in found_modes.items()}
