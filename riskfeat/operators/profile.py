@@ -82,3 +82,28 @@ def score_summary(df: DataFrame, score: str = "SCORE", scale: int = 6) -> DataFr
 def prefix_counts(columns: Sequence[str], prefixes: Sequence[str]) -> dict[str, int]:
     """Number of columns per name prefix (metadata only, no job)."""
     return {p: sum(1 for c in columns if c.startswith(p)) for p in prefixes}
+
+
+# Engineered features the reference previews (fixed names).
+PREVIEW_FEATURES = ("AGE_YEARS", "EMPLOYMENT_YEARS", "CREDIT_TO_INCOME_RATIO", "ANNUITY_TO_INCOME_RATIO",
+                    "EXT_SOURCE_MEAN", "FLAG_UNEMPLOYED_UNKNOWN", "TOTAL_MISSING_FEATURES",
+                    "BUREAU_NUM_CREDITS", "PREV_APPROVAL_RATE", "INST_LATE_PAYMENT_RATE",
+                    "CC_UTILIZATION_RATE", "POS_COMPLETION_RATE")
+FEATURE_PREFIXES = ("FLAG_MISSING_", "EXT_SOURCE_", "BUREAU_", "PREV_", "INST_", "CC_", "POS_")
+
+
+def feature_preview(df: DataFrame, features=PREVIEW_FEATURES) -> DataFrame:
+    """Per existing preview feature: non-null count, null count, min, max (one pass)."""
+    present = [c for c in features if c in df.columns]
+    wide = df.agg(F.count(F.lit(1)).alias("__rows"), *[x for i, c in enumerate(present) for x in (
+        F.count(F.col(c)).alias(f"n{i}"), F.min(F.col(c)).cast("double").alias(f"lo{i}"),
+        F.max(F.col(c)).cast("double").alias(f"hi{i}"))])
+    stack = F.explode(F.array(*[F.struct(
+        F.lit(c).alias("column_name"), F.col(f"n{i}").alias("count"),
+        (F.col("__rows") - F.col(f"n{i}")).alias("null_count"),
+        F.col(f"lo{i}").alias("min"), F.col(f"hi{i}").alias("max")) for i, c in enumerate(present)]))
+    return wide.select(stack.alias("s")).select("s.*")
+
+
+def prefix_count_rows(columns, prefixes=FEATURE_PREFIXES) -> list[tuple[str, int]]:
+    return [(p, n) for p, n in prefix_counts(columns, prefixes).items()]

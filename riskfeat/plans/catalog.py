@@ -737,3 +737,15 @@ SELECT week, n, auc, CASE WHEN auc < 0.72E0 THEN 'ALERT' WHEN auc < 0.74E0 THEN
 def q_weekly_auc(spark, sf_dir):
     lab = decisions(spark, sf_dir).join(applicants(spark, sf_dir).select("SK_ID_CURR", "TARGET"), "SK_ID_CURR")
     return MON.weekly_auc(lab)
+
+
+# ------------------------------------------------------- feature preview (O6)
+def _preview_sql() -> str:
+    parts = [f"SELECT '{c}' AS column_name, COUNT({c}) AS count, COUNT(*) - COUNT({c}) AS null_count, "
+             f"CAST(MIN({c}) AS DOUBLE) AS min, CAST(MAX({c}) AS DOUBLE) AS max FROM pt" for c in P.PREVIEW_FEATURES]
+    ctes = A.app_ctes("train") + [A.history_ctes(), f"pt AS ({A.joined_select('train')})"]
+    return A.with_ctes(["applicants"] + A.HISTORY_FIXTURES, ctes, "\nUNION ALL\n".join(parts))
+
+
+register("feature_preview", _preview_sql())(
+    lambda spark, sf_dir: P.feature_preview(pipeline_frame(spark, sf_dir, "train")))

@@ -139,3 +139,13 @@ def test_smote_neighbours_exact(spark):
 
     for p in synth:
         assert any(on_segment(p, mino[a], mino[b]) for a in keys for b in nbrs[a])
+
+
+def test_feature_counts_by_prefix(frames):
+    from riskfeat.operators import profile as P
+
+    _, _, res = frames
+    counts = dict(P.prefix_count_rows(res.train.columns))
+    assert counts["BUREAU_"] == 14 and counts["PREV_"] == 15 and counts["INST_"] == 8
+    assert counts["CC_"] == 13 and counts["POS_"] == 9  # 59 history features in total
+    assert counts["FLAG_MISSING_"] >= 3
