@@ -151,6 +151,32 @@ class FitPlan:
 UNFITTED = FitPlan((), {}, {}, {}, (), (), is_fitted=False)
 
 
+def plan_to_json(plan: FitPlan) -> str:
+    """Serialise a fitted plan (a few scalars per column) for later replay."""
+    import json
+    from dataclasses import asdict
+
+    return json.dumps(asdict(plan), sort_keys=True)
+
+
+def plan_from_json(text: str) -> FitPlan:
+    import json
+
+    d = json.loads(text)
+    for k in ("dropped", "numeric_impute", "categorical_impute", "train_columns"):
+        d[k] = tuple(d[k])
+    return FitPlan(**d)
+
+
+def save_plan(spark, plan: FitPlan, path: str) -> None:
+    """Write the plan as a one-row text table (shared storage, any job can read it)."""
+    spark.createDataFrame([(plan_to_json(plan),)], "plan string").coalesce(1).write.mode("overwrite").text(path)
+
+
+def load_plan(spark, path: str) -> FitPlan:
+    return plan_from_json(spark.read.text(path).first()[0])
+
+
 def _impute_candidates(columns: Sequence[str], numeric: set[str], strings: set[str], rows: int,
                        nulls: dict[str, int], key: str, target: str, threshold: float) -> tuple[list[str], list[str]]:
     num, cat = [], []
