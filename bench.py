@@ -2,7 +2,7 @@
 
 Each query is forced with a ``noop`` write (full computation, nothing
 collected). The fit job (null profile + exact medians + modes) is timed on
-its own and again inside ``pipeline_train`` (cold plan cache). Prints one
+its own and again inside ``train_features`` (cold plan cache). Prints one
 JSON line.
 """
 
@@ -21,7 +21,7 @@ WITH_ML = os.environ.get("BENCH_ML", "0") == "1"
 
 HEADLINE = [
     "bureau_rollup", "prev_rollup", "inst_rollup", "cc_rollup", "pos_rollup",
-    "assemble_histories", "pipeline_train", "pipeline_test", "app_only",
+    "assemble_histories", "train_features", "test_features", "app_only",
     "feature_summary", "roc_auc", "roc_points", "threshold_sweep", "stratified_folds",
     "top_reasons", "daily_monitor",
 ]
@@ -45,7 +45,7 @@ def main() -> None:
     # warm the JVM (class loading, codegen caches) on the smallest folder
     warm = "/root/testdata/sf0.001"
     if os.path.isdir(warm):
-        force(C.QUERIES["pipeline_train"](spark, warm))
+        force(C.QUERIES["train_features"](spark, warm))
         C._PLANS.clear()
 
     times: dict[str, float] = {}

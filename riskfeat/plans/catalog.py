@@ -176,7 +176,7 @@ from ..operators import features as FE  # noqa: E402
 from ..operators import fit as FIT  # noqa: E402
 from . import app_sql as A  # noqa: E402
 from . import catalog_fixture as CF  # noqa: E402
-from . import pipeline as PL  # noqa: E402
+from . import assembly as PL  # noqa: E402
 
 
 def applicants(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -293,7 +293,7 @@ def q_payment_to_credit(spark, sf_dir):
     return app.select("SK_ID_CURR", feats["PAYMENT_TO_CREDIT_RATIO"].alias("PAYMENT_TO_CREDIT_RATIO"))
 
 
-# ------------------------------------------------------ assembly / pipeline
+# ------------------------------------------------------------- assembly
 
 
 @register("assemble_histories", A.with_ctes(
@@ -305,19 +305,19 @@ def q_assemble(spark, sf_dir):
     return H.attach_histories(app, history_rollups(spark, sf_dir))
 
 
-def pipeline_frame(spark, sf_dir, frame="train", histories=True, schema_mode="frozen") -> DataFrame:
+def feature_frame(spark, sf_dir, frame="train", histories=True, schema_mode="frozen") -> DataFrame:
     train, test = split_train_test(applicants(spark, sf_dir))
     plan = train_plan(spark, sf_dir, schema_mode)
     rollups = history_rollups(spark, sf_dir) if histories else {}
     return PL.build_frame(train if frame == "train" else test, plan, rollups)
 
 
-register("pipeline_train", _app_sql(A.joined_select("train"), "train", True, True))(
-    lambda spark, sf_dir: pipeline_frame(spark, sf_dir, "train"))
-register("pipeline_test", _app_sql(A.joined_select("test"), "test", True, True))(
-    lambda spark, sf_dir: pipeline_frame(spark, sf_dir, "test"))
+register("train_features", _app_sql(A.joined_select("train"), "train", True, True))(
+    lambda spark, sf_dir: feature_frame(spark, sf_dir, "train"))
+register("test_features", _app_sql(A.joined_select("test"), "test", True, True))(
+    lambda spark, sf_dir: feature_frame(spark, sf_dir, "test"))
 register("app_only", _app_sql("SELECT * FROM train_feat", "train", True, False))(
-    lambda spark, sf_dir: pipeline_frame(spark, sf_dir, "train", histories=False))
+    lambda spark, sf_dir: feature_frame(spark, sf_dir, "train", histories=False))
 
 
 # ---------------------------------------------------- scores: evaluation
@@ -548,7 +548,7 @@ def _reasons_sql() -> str:
 
 @register("top_reasons", _reasons_sql())
 def q_top_reasons(spark, sf_dir):
-    frame = pipeline_frame(spark, sf_dir, "train").join(scored(spark, sf_dir).select("SK_ID_CURR", "SCORE"), "SK_ID_CURR")
+    frame = feature_frame(spark, sf_dir, "train").join(scored(spark, sf_dir).select("SK_ID_CURR", "SCORE"), "SK_ID_CURR")
     return XP.top_reasons(frame, denied=F.col("SCORE") >= 0.35)
 
 
@@ -586,7 +586,7 @@ def train_matrix(spark: SparkSession, sf_dir: str, exclude_prefixes: tuple = ())
     """Feature matrix with folds, checkpointed once per (session, folder, variant)."""
     k = (id(spark), sf_dir, exclude_prefixes)
     if k not in _MATRIX:
-        frame = pipeline_frame(spark, sf_dir, "train")
+        frame = feature_frame(spark, sf_dir, "train")
         plan = ML.fit_matrix(frame, exclude_prefixes=exclude_prefixes)
         m = checkpoint(ML.with_folds(ML.to_matrix(frame, plan)))
         _MATRIX[k] = (m, plan)
@@ -634,7 +634,7 @@ register("top_candidates")(lambda spark, sf_dir: ML.ranked_candidates(spark, _se
 @register("score_test")
 def q_score_test(spark, sf_dir):
     _, plan = train_matrix(spark, sf_dir)
-    test = ML.to_matrix(pipeline_frame(spark, sf_dir, "test"), plan)
+    test = ML.to_matrix(feature_frame(spark, sf_dir, "test"), plan)
     return ML.score(final_model(spark, sf_dir), test).select("SK_ID_CURR", F.col("SCORE").alias("TARGET"))
 
 
@@ -674,7 +674,7 @@ def q_permutation(spark, sf_dir):
     imp = sorted(zip(plan.features, model.featureImportances.toArray().tolist()), key=lambda t: -t[1])[:15]
     feats = [f for f, _ in imp]
     # the 1,000-row explanation sample is written once (checkpoint) and reused
-    frame = checkpoint(R.seeded_sample(pipeline_frame(spark, sf_dir, "train"), "SK_ID_CURR", 1000, seed=42))
+    frame = checkpoint(R.seeded_sample(feature_frame(spark, sf_dir, "train"), "SK_ID_CURR", 1000, seed=42))
 
     def score_fn(df):
         return ML.score(model, ML.to_matrix(df, plan))
@@ -707,8 +707,8 @@ def _column_report_sql() -> str:
 
 @register("column_report", _column_report_sql())
 def q_column_report(spark, sf_dir):
-    train = pipeline_frame(spark, sf_dir, "train", schema_mode="per_frame")
-    test = pipeline_frame(spark, sf_dir, "test", schema_mode="per_frame")
+    train = feature_frame(spark, sf_dir, "train", schema_mode="per_frame")
+    test = feature_frame(spark, sf_dir, "test", schema_mode="per_frame")
     rows = PL.column_report(train, test)
     return spark.createDataFrame(rows, "column_name string, in_train boolean, in_test boolean")
 
@@ -748,4 +748,4 @@ def _preview_sql() -> str:
 
 
 register("feature_preview", _preview_sql())(
-    lambda spark, sf_dir: P.feature_preview(pipeline_frame(spark, sf_dir, "train")))
+    lambda spark, sf_dir: P.feature_preview(feature_frame(spark, sf_dir, "train")))

@@ -10,7 +10,7 @@ from conftest import SMALL_SF_DIR
 from riskfeat.operators import fit as FIT
 from riskfeat.operators import ranks as R
 from riskfeat.plans import catalog as C
-from riskfeat.plans import pipeline as PL
+from riskfeat.plans import assembly as PL
 from riskfeat.sources import io as IO
 from riskfeat.streaming import monitor as MON
 
