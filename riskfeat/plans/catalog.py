@@ -605,13 +605,13 @@ def final_model(spark: SparkSession, sf_dir: str):
 @register("cv_models")
 def q_cv_models(spark, sf_dir):
     m, _ = train_matrix(spark, sf_dir)
-    return ML.results_frame(spark, ML.compare_models(m, parallelism=8))
+    return ML.results_frame(spark, ML.compare_models(m, parallelism=12))
 
 
 @register("imbalance_arms")
 def q_imbalance(spark, sf_dir):
     m, _ = train_matrix(spark, sf_dir)
-    res = ML.imbalance_arms(m, ML.model_zoo()["boosted_d6"], parallelism=8)
+    res = ML.imbalance_arms(m, ML.model_zoo()["boosted_d6"], parallelism=12)
     return ML.results_frame(spark, res, baseline=res[0].mean)
 
 
@@ -622,7 +622,7 @@ def _search(spark, sf_dir, n_iter=3):
     k = (id(spark), sf_dir, n_iter)
     if k not in _SEARCH:
         m, _ = train_matrix(spark, sf_dir)
-        _SEARCH[k] = ML.random_search(m, n_iter=n_iter, parallelism=6)
+        _SEARCH[k] = ML.random_search(m, n_iter=n_iter, parallelism=9)
     return _SEARCH[k]
 
 
@@ -650,8 +650,12 @@ def q_ablation(spark, sf_dir):
     make = ML.model_zoo()["boosted_d6"]
     with_h, _ = train_matrix(spark, sf_dir)
     without_h, _ = train_matrix(spark, sf_dir, H.HISTORY_PREFIXES)
-    res = ML.run_grid(with_h, [("with_histories", make, ML.resample_none, False, {})], parallelism=3)
-    res += ML.run_grid(without_h, [("application_only", make, ML.resample_none, False, {})], parallelism=3)
+    from concurrent.futures import ThreadPoolExecutor
+
+    runs = [(with_h, "with_histories"), (without_h, "application_only")]
+    with ThreadPoolExecutor(max_workers=2) as pool:
+        parts = list(pool.map(lambda r: ML.run_grid(r[0], [(r[1], make, ML.resample_none, False, {})], parallelism=3), runs))
+    res = parts[0] + parts[1]
     return ML.results_frame(spark, res, baseline=res[1].mean)
 
 
