@@ -212,10 +212,10 @@ def fit_plan(
     threshold: float = MISSING_THRESHOLD,
 ) -> FitPlan:
     """Fit on the training frame: 3 passes over it plus the median brackets."""
-    # Pass 1 (one wide aggregate over the sentinel-fixed frame): null counts
-    # for the drop rule (raw nulls of the sentinel column = null flags) and the
-    # after-fix counts for imputation, plus the median sketches of all
-    # numeric columns. Pass 2 resolves the exact medians, pass 3 the modes.
+    # Pass 1: one wide count aggregate over the sentinel-fixed frame (counts
+    # merge cheaply): raw null counts for the drop rule (raw nulls of the
+    # sentinel column = null flags) and its after-fix count for imputation.
+    # Passes 2-3: exact medians of the kept numeric columns; pass 4: modes.
     fixed_all = fix_sentinel(train)
     cols = train.columns
     extra = {"__rows": F.count(F.lit(1))}
@@ -224,9 +224,7 @@ def fit_plan(
         extra[f"__n{i}"] = F.count(F.when(raw_null, 1))
     if SENTINEL_COLUMN in cols:
         extra["__sent_null"] = F.count(F.when(F.col(SENTINEL_COLUMN).isNull(), 1))
-    numeric_all = numeric_columns(fixed_all, (key, target))
-    prof: dict = {}
-    med_all = quantiles.exact_quantiles_multi(fixed_all, numeric_all, [0.5], extra_aggs=extra, extras_out=prof)
+    prof = fixed_all.agg(*[e.alias(n) for n, e in extra.items()]).first()
     rows = prof["__rows"]
     nulls = {c: prof[f"__n{i}"] for i, c in enumerate(cols)}
     dropped = high_missing_columns(rows, nulls, threshold)
@@ -236,7 +234,8 @@ def fit_plan(
     numeric = numeric_columns(fixed, (key, target))
     strings = string_columns(fixed)
     ext = [c for c in EXT_SOURCES if c in fixed.columns]
-    numeric_medians = {c: (med_all[(c, 0.5)] if med_all[(c, 0.5)] is not None else 0) for c in numeric}
+    med = quantiles.exact_medians(fixed, numeric)
+    numeric_medians = {c: (med[c] if med[c] is not None else 0) for c in numeric}
     ext_medians = {c: numeric_medians.get(c, 0) for c in ext}
     found_modes = modes(fixed, strings, null_mode)
     cat_modes = {c: (v if v is not None else MISSING_CATEGORY) for c, v in found_modes.items()}

@@ -5,9 +5,9 @@ median the final merge holds every distinct value of the column in a single
 task. Here the exact answer is found by bracketing instead, for all columns
 and quantiles in the same passes (columns unpivoted to ``(c, v)``):
 
-1. pass one (one wide aggregate): per column the count and a
-   ``percentile_approx`` sketch (bounded, merged map-side) give a value
-   bracket around each target rank;
+1. pass one: per column (grouped by column, so each column's sketches merge
+   in their own task) the count and a ``percentile_approx`` sketch (bounded,
+   merged map-side) give a value bracket around each target rank;
 2. pass two: rows below / above a bracket collapse into one sentinel group
    each, rows inside stay per distinct value; a running count over that small
    table (per target) gives exact ranks, the below-group supplying the offset.
@@ -65,36 +65,27 @@ def exact_quantiles_multi(
     accuracy: int = 10_000,
     max_exact: int = 2_000_000,
     max_rounds: int = 8,
-    extra_aggs: dict | None = None,
-    extras_out: dict | None = None,
 ) -> dict[tuple[str, float], float | None]:
     """``{(column, q): value}`` with linear interpolation at position (n-1)*q,
     the definition of ``percentile`` / ``median``; nulls and NaN ignored.
 
-    Pass one is a single wide aggregate (a count and a sketch per column);
-    ``extra_aggs`` (name -> Column) ride along in it and their values are
-    written to ``extras_out``, so a caller's profile costs no extra pass."""
+    Pass one groups the unpivoted values by column: each column's partial
+    sketches are merged in their own task (a global aggregate would merge
+    every column's sketches from every map task in one task)."""
     cols, qs = list(cols), list(qs)
     out: dict[tuple[str, float], float | None] = {(c, q): None for c in cols for q in qs}
-    extra_aggs = extra_aggs or {}
-    if not cols and not extra_aggs:
+    if not cols or not qs:
         return out
     spark = df.sparkSession
     eps = 3.0 / accuracy
     grid0 = _grid([(max(0.0, q - eps), min(1.0, q + eps)) for q in qs])
-    probs = F.array(*[F.lit(x) for x in grid0])
-    aggs = [e.alias(n) for n, e in extra_aggs.items()]
-    for i, c in enumerate(cols):
-        v = F.col(c).cast("double")
-        ok = v.isNotNull() & ~F.isnan(v)
-        aggs += [F.count(F.when(ok, 1)).alias(f"__qn{i}"),
-                 F.percentile_approx(F.when(ok, v), probs, accuracy).alias(f"__qg{i}")]
-    row = df.agg(*aggs).first()
-    if extras_out is not None:
-        extras_out.update({n: row[n] for n in extra_aggs})
-    if not cols:
-        return out
     long = _long(df, cols)
+    first = {r["c"]: r for r in long.groupBy("c").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.percentile_approx("v", F.array(*[F.lit(x) for x in grid0]), accuracy).alias("g"),
+    ).collect()}
+    row = {f"__qn{i}": (first[i]["n"] if i in first else 0) for i in range(len(cols))}
+    row.update({f"__qg{i}": first[i]["g"] for i in first})
     targets: dict[int, dict] = {}
     for i in range(len(cols)):
         n = row[f"__qn{i}"]
