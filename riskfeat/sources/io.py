@@ -55,11 +55,24 @@ def read_csv_table(spark: SparkSession, path: str, declared: dict[str, T.DataTyp
         df = spark.read.option("header", True).option("inferSchema", True).csv(path)
         from pyspark.sql import functions as F
 
-        return df.select(*[F.col(c).cast(declared[c]).alias(c) if c in declared else F.col(c) for c in df.columns])
+        return nan_to_null(df.select(*[F.col(c).cast(declared[c]).alias(c) if c in declared else F.col(c)
+                                       for c in df.columns]))
     names = _header(spark, path)
     schema = T.StructType([T.StructField(n, declared.get(n, default_type), True) for n in names])
-    return (spark.read.schema(schema).option("header", True).option("nanValue", "NaN")
-            .option("enforceSchema", False).option("mode", "FAILFAST").csv(path))
+    df = (spark.read.schema(schema).option("header", True).option("nanValue", "NaN")
+          .option("enforceSchema", False).option("mode", "FAILFAST").csv(path))
+    return nan_to_null(df)
+
+
+def nan_to_null(df: DataFrame) -> DataFrame:
+    """One missing state: NaN in float columns becomes null (one projection)."""
+    from pyspark.sql import functions as F
+
+    floats = {f.name for f in df.schema.fields if isinstance(f.dataType, (T.DoubleType, T.FloatType))}
+    if not floats:
+        return df
+    return df.select(*[F.when(F.isnan(F.col(c)), F.lit(None)).otherwise(F.col(c)).alias(c) if c in floats
+                       else F.col(c) for c in df.columns])
 
 
 def read_application(spark: SparkSession, path: str, **kw) -> DataFrame:

@@ -79,6 +79,8 @@ def test_io_roundtrip_and_load_or_build(spark):
         f.write("SK_ID_CURR,TARGET,AMT_CREDIT,OCCUPATION_TYPE,EXTRA\n1,0,100.5,Drivers,x\n2,1,NaN,,y\n")
     df = IO.read_application(spark, csv)
     assert dict(df.dtypes)["SK_ID_CURR"] == "bigint" and dict(df.dtypes)["AMT_CREDIT"] == "double"
+    vals = {r["SK_ID_CURR"]: r["AMT_CREDIT"] for r in df.collect()}
+    assert vals == {1: 100.5, 2: None}  # the NaN literal is read as missing
     calls = []
 
     def build():
