@@ -107,10 +107,15 @@ def write_scores(scores: DataFrame, path: str, key: str = "SK_ID_CURR", score: s
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path.rstrip("/") + "/_SUCCESS")
-    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
-    return bool(fs.exists(p))
+    """True when a finished write left its ``_SUCCESS`` marker (resolving the
+    path is enough: no job runs)."""
+    from pyspark.errors import AnalysisException
+
+    try:
+        spark.read.format("text").load(path.rstrip("/") + "/_SUCCESS")
+        return True
+    except AnalysisException:
+        return False
 
 
 def load_or_build(spark: SparkSession, path: str, build: Callable[[], DataFrame]) -> DataFrame:
