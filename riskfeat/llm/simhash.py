@@ -9,8 +9,9 @@ Multi-index hashing: the 64 bits are cut into ``m`` segments.  With
 ``q`` bits in one of the first ``a + 1`` segments or in at most ``q - 1`` bits
 in one of the others.  Each fingerprint stands in a table under its own
 segment values and asks for every value in the small Hamming ball around them;
-table matches are verified over all 64 bits.  ``m`` follows the usual rule
-(segments about log2(n) bits wide); every choice finds every link.
+table matches are verified over all 64 bits.  There are three segments, and two
+beyond 2**27 fingerprints, so that a segment value stays shared by few of them;
+every choice finds every link.
 
 Skew: equal fingerprints collapse before the search.  A segment value shared by
 more than ``CELL`` fingerprints is cut into blocks; each asker visits every
@@ -81,8 +82,7 @@ def fingerprints(docs: DataFrame, id_col: str, text_col: str, shingle: int) -> D
 
 def segments(n_rows: int, distance: int) -> list[tuple[int, int, int]]:
     """``(low bit, width, ball radius)`` per segment; radius -1 is never searched."""
-    m = max(1, min(BITS, int(BITS / max(8.0, math.log2(max(2, n_rows)))) or 1))
-    m = min(m, max(2, distance + 1))
+    m = 3 if n_rows <= 1 << 27 else 2
     q, a = divmod(distance, m)
     out, low = [], 0
     for i in range(m):
