@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskfeat.llm import packing, simhash
+from riskfeat.llm import packing, simhash, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -49,3 +49,18 @@ def pack_digest(pieces: DataFrame) -> DataFrame:
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return pack_digest(packing.pack(docs, tokenizer_path("word_bpe_49k.json"), end_id=1, capacity=2048))
+
+
+TOXIC_AT = 0.7
+
+
+def fit_toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> toxicity.Model:
+    """Learns from the rows whose crc32 of the id, modulo 3, is not 1."""
+    return toxicity.fit(docs, table(spark, sf_dir, "labels"), fold(3) != 1)
+
+
+@query
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    out = toxicity.score(docs, fit_toxicity(spark, docs, sf_dir))
+    return out.select("doc_id", (fold(3) == 1).alias("held_out"), "score", (F.col("score") >= TOXIC_AT).cast("int").alias("predicted"))
