@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskfeat.llm import packing, simhash, toxicity
+from riskfeat.llm import decontaminate, packing, simhash, substrings, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -64,3 +64,34 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     out = toxicity.score(docs, fit_toxicity(spark, docs, sf_dir))
     return out.select("doc_id", (fold(3) == 1).alias("held_out"), "score", (F.col("score") >= TOXIC_AT).cast("int").alias("predicted"))
+
+
+@query
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), shingle=5, threshold=0.8)
+
+
+_WORDS = "regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+')"
+ORACLES["op5_decontamination"] = f"""
+WITH items AS (SELECT DISTINCT item_id, text FROM benchmark),
+     iw AS (SELECT item_id, text, {_WORDS} AS w FROM items),
+     ish AS (SELECT DISTINCT item_id, text, array_to_string(w[i:i + 4], ' ') AS s
+             FROM (SELECT item_id, text, w, unnest(range(1, len(w) - 3)) AS i FROM iw)),
+     n AS (SELECT item_id, text, count(*) AS n_shingles FROM ish GROUP BY ALL),
+     dw AS (SELECT doc_id, row_number() OVER () AS r, {_WORDS} AS w FROM documents),
+     dsh AS (SELECT DISTINCT doc_id, r, array_to_string(w[i:i + 4], ' ') AS s
+             FROM (SELECT doc_id, r, w, unnest(range(1, len(w) - 3)) AS i FROM dw))
+SELECT doc_id, item_id, n_shingles, count(*) AS n_shared
+FROM dsh JOIN ish USING (s) JOIN n USING (item_id, text)
+GROUP BY doc_id, r, item_id, text, n_shingles
+HAVING count(*) >= 0.8 * n_shingles
+"""
+
+
+def repeats_digest(out: DataFrame) -> DataFrame:
+    return out.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query
+def op10_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats_digest(substrings.remove_repeats(table(spark, sf_dir, "documents"), length=200, keep="none"))
