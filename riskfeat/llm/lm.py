@@ -35,12 +35,11 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskfeat.llm.textops import LOWER, MULT, byte_view, mix64, slices, word_hashes, word_spans
+from riskfeat.llm.textops import LOWER, MULT, byte_view, mix64, pack, slices, unpack, word_hashes, word_spans
 from riskfeat.session import checkpoint
 
 BLOCK_TOKENS = 1 << 19
@@ -52,22 +51,14 @@ PRIORS = tuple(4.0**i for i in range(8))  # grid for k
 _BLOCK = "uid array<long>, doc array<long>, held array<boolean>, n array<long>, context binary, words binary, seq binary"
 
 
-def _pack(a: np.ndarray) -> bytes:
-    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(a).tobytes())
-
-
-def _unpack(b: bytes, dtype: str) -> np.ndarray:
-    return np.frombuffer(zstandard.ZstdDecompressor().decompress(b), dtype)
-
-
 def _pack_keys(keys: np.ndarray) -> bytes:
     """Sorted 64-bit keys as byte planes of their differences."""
     d = np.diff(keys, prepend=np.uint64(0))
-    return _pack(d.view(np.uint8).reshape(-1, 8).T)
+    return pack(d.view(np.uint8).reshape(-1, 8).T)
 
 
 def _unpack_keys(b: bytes) -> np.ndarray:
-    d = np.ascontiguousarray(_unpack(b, "u1").reshape(8, -1).T).view(np.uint64).ravel()
+    d = np.ascontiguousarray(unpack(b, "u1").reshape(8, -1).T).view(np.uint64).ravel()
     return np.cumsum(d, dtype=np.uint64)
 
 
@@ -106,7 +97,7 @@ def _blocks(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     pa.array([[p[2] - p[1] for p in part]], pa.list_(pa.int64())),
                     pa.array([seq[hi - lo :].tobytes()], pa.binary()),
                     pa.array([_pack_keys(words)], pa.binary()),
-                    pa.array([_pack(seq[: hi - lo])], pa.binary()),
+                    pa.array([pack(seq[: hi - lo])], pa.binary()),
                 ],
                 ["uid", "doc", "held", "n", "context", "words", "seq"],
             )
@@ -119,7 +110,7 @@ class _Block:
 
     def __init__(self, r: dict) -> None:
         self.words = _unpack_keys(r["words"])
-        self.seq = _unpack(r["seq"], "<u4").astype(np.int64)
+        self.seq = unpack(r["seq"], "<u4").astype(np.int64)
         self.n = np.array(r["n"], np.int64)
         self.first = np.cumsum(self.n) - self.n
         self.held = np.array(r["held"], bool)
@@ -155,7 +146,7 @@ def _ask(buckets: int):
                     of = _bucket_of(keys, buckets)
                     edge = np.flatnonzero(np.r_[True, of[1:] != of[:-1]])
                     rows = [
-                        (kind, int(of[a]), r["block"], _pack_keys(keys[a:z]), _pack(counts[a:z]))
+                        (kind, int(of[a]), r["block"], _pack_keys(keys[a:z]), pack(counts[a:z]))
                         for a, z in zip(edge.tolist(), np.r_[edge[1:], len(keys)].tolist())
                     ]
                     yield pa.RecordBatch.from_pylist([dict(zip(_ASK.names, y)) for y in rows], schema=_ASK)
@@ -169,11 +160,11 @@ _ANSWER = "kind int, bucket long, block long, counts binary, total long, kinds l
 def _add_up(t: pa.Table) -> pa.Table:
     """A bucket's totals, in the order each block asked; its sums on the first row."""
     keys = [_unpack_keys(k) for k in t.column("keys").to_pylist()]
-    counts = [_unpack(c, "<u4") for c in t.column("counts").to_pylist()]
+    counts = [unpack(c, "<u4") for c in t.column("counts").to_pylist()]
     uniq, at = np.unique(np.concatenate(keys), return_inverse=True)
     total = np.bincount(at, weights=np.concatenate(counts), minlength=len(uniq)).astype(np.int64)
     stop = np.cumsum([len(k) for k in keys])
-    out = [_pack(total[at[z - len(k) : z]].astype("<u4")) for k, z in zip(keys, stop)]
+    out = [pack(total[at[z - len(k) : z]].astype("<u4")) for k, z in zip(keys, stop)]
     zero = [0] * (len(keys) - 1)
     return pa.table({
         "kind": t.column("kind"), "bucket": t.column("bucket"), "block": t.column("block"), "counts": pa.array(out, pa.binary()),
@@ -222,7 +213,7 @@ def _score(n_train: int, n_kinds: int, n_texts: int):
             for kind, keys in ((1, mix64(x.words)), (2, x.keys)):
                 rows = sorted((a["bucket"], a["counts"]) for a in answers.to_pylist() if a["kind"] == kind)
                 got[kind] = np.empty(len(keys), np.int64)
-                got[kind][np.argsort(keys)] = np.concatenate([_unpack(c, "<u4") for _, c in rows])
+                got[kind][np.argsort(keys)] = np.concatenate([unpack(c, "<u4") for _, c in rows])
             uni, bi = got[1], got[2]
             of_state = np.where(x.words == START, n_texts, uni)  # how often a state is left
             width = len(x.words)

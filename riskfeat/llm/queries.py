@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskfeat.llm import decontaminate, packing, simhash, substrings, toxicity
+from riskfeat.llm import decontaminate, lm, packing, simhash, substrings, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -95,3 +95,8 @@ def repeats_digest(out: DataFrame) -> DataFrame:
 @query
 def op10_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats_digest(substrings.remove_repeats(table(spark, sf_dir, "documents"), length=200, keep="none"))
+
+
+@query
+def op2_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score(table(spark, sf_dir, "documents"), held_out=fold(5) == 1)

@@ -12,6 +12,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 
 SLICE_BYTES = 2 << 20
 SEPARATORS = (0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D)
@@ -122,3 +123,12 @@ def shingle_hashes(row: np.ndarray, words: np.ndarray, k: int) -> tuple[np.ndarr
 
 def counts_by_row(row: np.ndarray, n_rows: int) -> np.ndarray:
     return np.bincount(row, minlength=n_rows).astype(np.int64)
+
+
+def pack(a: np.ndarray) -> bytes:
+    """An array's bytes, compressed for the shuffle."""
+    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(a).tobytes())
+
+
+def unpack(b: bytes, dtype: str) -> np.ndarray:
+    return np.frombuffer(zstandard.ZstdDecompressor().decompress(b), dtype)
