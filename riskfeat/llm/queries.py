@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskfeat.llm import decontaminate, lm, packing, simhash, substrings, toxicity
+from riskfeat.llm import decontaminate, lm, packing, quality, simhash, substrings, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -100,3 +100,11 @@ def op10_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op2_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.score(table(spark, sf_dir, "documents"), held_out=fold(5) == 1)
+
+
+@query
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Learns from the rows whose crc32 of the id, modulo 5, is not 0."""
+    docs = table(spark, sf_dir, "documents")
+    out = quality.score(docs, quality.fit(docs, table(spark, sf_dir, "labels"), fold(5) != 0))
+    return out.select("doc_id", (fold(5) == 0).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
