@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskfeat.llm import decontaminate, lm, packing, quality, rules, simhash, substrings, toxicity
+from riskfeat.llm import decontaminate, langid, lm, packing, quality, rules, simhash, substrings, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -119,3 +119,11 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", failed.alias("base_failed"), (~failed & F.col("content")).alias("kept"),
         "n_lines", "n_content_lines", "content_words",
     )
+
+
+@query
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Learns from the rows whose crc32 of the id, modulo 3, is not 1."""
+    docs = table(spark, sf_dir, "documents")
+    out = langid.predict(docs, langid.fit(docs, fold(3) != 1))
+    return out.select("doc_id", (fold(3) == 1).alias("held_out"), "lang_pred", "score")
