@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskfeat.llm import decontaminate, langid, lm, packing, quality, rules, simhash, substrings, toxicity
+from riskfeat.llm import decontaminate, langid, linededup, lm, packing, quality, rules, simhash, substrings, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -127,3 +127,9 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     out = langid.predict(docs, langid.fit(docs, fold(3) != 1))
     return out.select("doc_id", (fold(3) == 1).alias("held_out"), "lang_pred", "score")
+
+
+@query
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = linededup.dedup_lines(table(spark, sf_dir, "documents"), threshold=0.8, min_tokens=5)
+    return out.select("doc_id", "n_lines", F.size("removed").cast("long").alias("n_removed"), "removed", F.md5("kept_text").alias("kept_md5"))
