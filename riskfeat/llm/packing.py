@@ -30,17 +30,19 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskfeat.llm.textops import slices
+from riskfeat.llm.textops import LOWER, byte_view, slices, word_hashes, word_spans
 from riskfeat.session import checkpoint
 
-CACHE_WORDS = 300_000  # encoded words kept by one Python worker
+CACHE_WORDS = 2_000_000  # encoded words kept by one Python worker, about 30 bytes each
 
 
 class WordEncoder:
-    """Ids of white-space separated chunks, kept by chunk.
+    """Token ids of texts, put together from those of their words.
 
-    The tokenizer never joins over ASCII white space, so a text's ids are those
-    of its chunks one after another.
+    The tokenizer never joins over ASCII white space, nor a letter with a full
+    stop or comma after it, and it lower-cases; so a text's ids are those of its
+    words and stops one after another.  Words are found and told apart (by a
+    64-bit hash) with array operations; only words not met before are encoded.
     """
 
     def __init__(self, path: str) -> None:
@@ -48,20 +50,59 @@ class WordEncoder:
 
         self.tok = Tokenizer.from_file(path)
         self.dtype = np.dtype("<u2" if self.tok.get_vocab_size() <= 1 << 16 else "<u4")
-        self.known: dict[bytes, bytes] = {}
-
-    def encode(self, texts: list[bytes], end_id: int) -> list[bytes]:
-        chunks = [t.split() for t in texts]
-        known = self.known
-        if len(known) > CACHE_WORDS:
-            known.clear()
-        new = list({c for cs in chunks for c in cs if c not in known})
-        for at in range(0, len(new), 20_000):
-            part = new[at : at + 20_000]
-            for c, e in zip(part, self.tok.encode_batch_fast([c.decode("utf-8") for c in part], add_special_tokens=False)):
-                known[c] = np.array(e.ids, self.dtype).tobytes()
-        end = np.array([end_id], self.dtype).tobytes()
-        return [b"".join([known[c] for c in cs]) + end for cs in chunks]
+        self._forget()
+
+    def _forget(self) -> None:
+        self.hash = np.zeros(0, np.uint64)  # sorted; the others in its order
+        self.at = np.zeros(0, np.int64)
+        self.n = np.zeros(0, np.int64)
+        self.ids = np.zeros(0, self.dtype)
+
+    def encode(self, data: np.ndarray, offs: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of the texts, each with ``end_id`` last, and their numbers of ids."""
+        # combining marks may compose with a small letter only; special tokens are told by case
+        if not (np.any((data == 0xCC) | (data == 0xCD)) or b"<|" in data.tobytes()):
+            data = LOWER[data]
+        row, start, stop = word_spans(data, offs)
+        h = np.zeros(0, np.uint64)
+        if len(start):
+            last, before = data[stop - 1], data[np.maximum(stop - 2, 0)]
+            cut = (stop - start > 1) & ((last == 0x2E) | (last == 0x2C)) & (before >= 0x61) & (before <= 0x7A)
+            each = 1 + cut
+            row, start, stop = (np.repeat(x, each) for x in (row, start, stop))
+            second = np.cumsum(each)[cut] - 1
+            stop[second - 1] -= 1
+            start[second] = stop[second] - 1
+            h = word_hashes(data, start, stop)
+        words, first, which = np.unique(h, return_index=True, return_inverse=True)
+        place = self._find(words, first, data, start, stop)
+        n = self.n[place][which]
+        total = np.bincount(row, weights=n, minlength=len(offs) - 1).astype(np.int64) + 1
+        out = np.full(int(total.sum()), end_id, self.dtype)
+        body = np.ones(len(out), bool)
+        body[np.cumsum(total) - 1] = False
+        out[body] = self.ids[np.repeat(self.at[place][which] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))]
+        return out, total
+
+    def _find(self, words: np.ndarray, first: np.ndarray, data: np.ndarray, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
+        """Places of the words among those kept, new ones encoded and added."""
+        if len(self.hash) > CACHE_WORDS:
+            self._forget()
+        at = np.searchsorted(self.hash, words)
+        new = np.ones(len(words), bool)
+        ok = at < len(self.hash)
+        new[ok] = self.hash[at[ok]] != words[ok]
+        if not new.any():
+            return at
+        texts = [data[start[i] : stop[i]].tobytes().decode("utf-8") for i in first[new].tolist()]
+        ids = [e.ids for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
+        n = np.array([len(x) for x in ids], np.int64)
+        flat = np.array([y for x in ids for y in x], self.dtype)
+        self.at = np.insert(self.at, at[new], len(self.ids) + np.cumsum(n) - n)
+        self.n = np.insert(self.n, at[new], n)
+        self.hash = np.insert(self.hash, at[new], words[new])
+        self.ids = np.concatenate([self.ids, flat])
+        return np.searchsorted(self.hash, words)
 
 
 _ENCODERS: dict[str, WordEncoder] = {}
@@ -79,9 +120,9 @@ def tokens(docs: DataFrame, id_col: str, text_col: str, tokenizer: str, end_id:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(tokenizer)
         for b in slices(batches, "text"):
-            texts = [(t or "").encode("utf-8") for t in b.column("text").to_pylist()]
-            ids = enc.encode(texts, end_id)
-            n = [len(x) // enc.dtype.itemsize for x in ids]
+            flat, n = enc.encode(*byte_view(b.column("text")), end_id)
+            edge = np.r_[0, np.cumsum(n)]
+            ids = [flat[x:y].tobytes() for x, y in zip(edge.tolist(), edge[1:].tolist())]
             yield pa.RecordBatch.from_arrays([b.column("doc"), pa.array(n, pa.int64()), pa.array(ids, pa.binary())], ["doc", "n", "ids"])
 
     out = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, "doc long, n long, ids binary")

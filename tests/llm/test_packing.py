@@ -63,8 +63,10 @@ def test_edge_rows(spark):
 @given(st.text(alphabet=st.sampled_from(list("aZ é́'sS\n\t \x1c1٣ß<|>Σςẛ̣한")), max_size=60))
 @settings(max_examples=300, deadline=None)
 def test_chunks_equal_whole_text(text):
-    got = packing.encoder(PATH).encode([text.encode()], 1)[0]
-    assert np.frombuffer(got, "<u2").tolist() == TOK.encode(text, add_special_tokens=False).ids + [1]
+    data = np.frombuffer(text.encode(), np.uint8)
+    got, n = packing.encoder(PATH).encode(data, np.array([0, len(data)]), 1)
+    assert n.tolist() == [len(got)]
+    assert got.tolist() == TOK.encode(text, add_special_tokens=False).ids + [1]
 
 
 @given(st.lists(st.integers(1, 64), min_size=1, max_size=60), st.integers(1, 9))
