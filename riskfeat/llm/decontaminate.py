@@ -117,34 +117,48 @@ class Items:
         return pairs[0], pairs[1]
 
 
+def _verified(items: Items, b: pa.RecordBatch, text: str, k: int, threshold: float) -> list[tuple[int, int, int, int]]:
+    """(row, item, its shingles, those the text holds) of the items that texts hold."""
+    data, offs = byte_view(b.column(text))
+    row, h = text_shingles(data, offs, k)
+    rows, found = items.candidates(row, h)
+    cut = np.searchsorted(row, np.arange(b.num_rows + 1))
+    out = []
+    own, last = np.zeros(0, np.uint64), -1
+    for r, i in zip(rows.tolist(), found.tolist()):
+        if r != last:
+            own, last = np.sort(h[cut[r] : cut[r + 1]]), r
+        want = items.sets[i]
+        n = int((own[np.minimum(np.searchsorted(own, want), len(own) - 1)] == want).sum())
+        if n >= threshold * len(want) - 1e-9:
+            out.append((r, i, len(want), n))
+    return out
+
+
 def _search(items: Items, ids: list, k: int, threshold: float):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, "text"):
-            data, offs = byte_view(b.column("text"))
-            row, h = text_shingles(data, offs, k)
-            rows, found = items.candidates(row, h)
-            if not len(rows):
-                continue
-            cut = np.searchsorted(row, np.arange(b.num_rows + 1))
-            at, item, size, shared = [], [], [], []
-            own, last = np.zeros(0, np.uint64), -1
-            for r, i in zip(rows.tolist(), found.tolist()):
-                if r != last:
-                    own, last = np.sort(h[cut[r] : cut[r + 1]]), r
-                want = items.sets[i]
-                place = np.minimum(np.searchsorted(own, want), len(own) - 1)
-                n = int((own[place] == want).sum())
-                if n >= threshold * len(want) - 1e-9:
-                    at.append(r), item.append(ids[i]), size.append(len(want)), shared.append(n)
-            if at:
+            if hits := _verified(items, b, "text", k, threshold):
+                row, item, size, shared = zip(*hits)
                 yield pa.RecordBatch.from_arrays(
-                    [b.column("doc").take(pa.array(at)), pa.array(item, pa.int64()), pa.array(size, pa.int64()), pa.array(shared, pa.int64())],
+                    [b.column("doc").take(pa.array(row)), *(pa.array(v, pa.int64()) for v in ([ids[i] for i in item], size, shared))],
                     ["doc", "item_id", "n_shingles", "n_shared"],
                 )
 
     return run
 
 
+def _blocks(items: DataFrame, shingle: int, hashes: int, block_shingles: int) -> Iterator[tuple[Items, list]]:
+    """The test items in blocks of bounded size, with their ids."""
+    it = items.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).where(F.length("text") > 0).distinct()
+    # an item of n characters has at most n / 2 shingles
+    total = it.agg(F.coalesce(F.sum(F.length("text") / 2), F.lit(0.0))).first()[0]
+    blocks = max(1, -(-int(total) // block_shingles))
+    for i in range(blocks):
+        rows = it.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == i).orderBy("item_id", "text").collect()
+        yield Items([r.text for r in rows], shingle, hashes), [r.item_id for r in rows]
+
+
 def contaminated(
     docs: DataFrame,
     items: DataFrame,
@@ -157,14 +171,31 @@ def contaminated(
 ) -> DataFrame:
     """``(id, item_id, n_shingles, n_shared)`` of every item held by a document."""
     d = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).cast("string").alias("text"))
-    it = items.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).where(F.length("text") > 0).distinct()
-    # an item of n characters has at most n / 2 shingles
-    total = it.agg(F.coalesce(F.sum(F.length("text") / 2), F.lit(0.0))).first()[0]
-    blocks = max(1, -(-int(total) // block_shingles))
     schema = "doc long, item_id long, n_shingles long, n_shared long"
-    parts = []
-    for i in range(blocks):
-        rows = it.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == i).orderBy("item_id", "text").collect()
-        block = Items([r.text for r in rows], shingle, hashes)
-        parts.append(d.mapInArrow(_search(block, [r.item_id for r in rows], shingle, threshold), schema))
+    parts = [d.mapInArrow(_search(block, ids, shingle, threshold), schema) for block, ids in _blocks(items, shingle, hashes, block_shingles)]
     return reduce(DataFrame.unionByName, parts).withColumnRenamed("doc", id_col)
+
+
+def keep_clean(
+    docs: DataFrame,
+    items: DataFrame,
+    text_col: str = "text",
+    shingle: int = 5,
+    threshold: float = 0.8,
+    hashes: int = 128,
+    block_shingles: int = 1 << 20,
+) -> DataFrame:
+    """The rows of ``docs``, all columns as they are, that hold no test item."""
+
+    def rows_without(block: Items):
+        def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in slices(batches, text_col):
+                clean = np.ones(b.num_rows, bool)
+                clean[[r for r, *_ in _verified(block, b, text_col, shingle, threshold)]] = False
+                yield b.filter(pa.array(clean))
+
+        return run
+
+    for block, _ in _blocks(items, shingle, hashes, block_shingles):
+        docs = docs.mapInArrow(rows_without(block), docs.schema)
+    return docs

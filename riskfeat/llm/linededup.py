@@ -343,16 +343,17 @@ def _asked(min_tokens: int, flags):
 
 def _take_out(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in slices(batches, "text"):
-        n, gone, kept = [], [], []
+        n, gone, kept, emptied = [], [], [], []
         for text, lines in zip(b.column("text").to_pylist(), b.column("lines").to_pylist()):
             parts = [] if text is None else text.split("\n")
             out = set(lines or ())
             n.append(len(parts))
             gone.append(sorted(out))
-            kept.append(None if text is None else "\n".join(x for i, x in enumerate(parts) if i not in out) if out else text)
+            kept.append("\n".join(x for i, x in enumerate(parts) if i not in out) if out else text)
+            emptied.append(bool(out) and not kept[-1].encode("utf-8").split())
         yield pa.RecordBatch.from_arrays(
-            [b.column("id"), b.column("h"), pa.array(n, pa.int64()), pa.array(gone, pa.list_(pa.int64())), pa.array(kept, pa.string())],
-            ["id", "text_hash", "n_lines", "removed", "kept_text"],
+            [b.column("row"), b.column("h"), pa.array(n, pa.int64()), pa.array(gone, pa.list_(pa.int64())), pa.array(kept, pa.string()), pa.array(emptied)],
+            ["row", "text_hash", "n_lines", "removed", "kept_text", "emptied"],
         )
 
 
@@ -403,9 +404,18 @@ def _identified(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.8, min_tokens: int = 5) -> DataFrame:
-    """``(id, text_hash, n_lines, removed, kept_text)`` per row: the numbers of the lines that went, and the rest."""
+    """``(row, text_hash, n_lines, removed, kept_text, emptied)`` per row of ``docs``.
+
+    ``row`` is the row itself as a struct, ``removed`` the numbers of the lines
+    that went, ``kept_text`` the rest, ``emptied`` whether no word is left.
+    """
     gone = removed_lines(docs, id_col, text_col, threshold, min_tokens)
     per = gone.groupBy("doc", "h").agg(F.collect_set("line").alias("lines"))
-    d = _identified(docs, id_col, text_col).withColumn("id", F.col("doc")).withColumn("doc", F.coalesce("doc", F.lit(-(1 << 62))))
-    out = d.join(per, ["doc", "h"], "left").select("id", "h", "text", "lines")
-    return out.mapInArrow(_take_out, "id long, text_hash long, n_lines long, removed array<long>, kept_text string").withColumnRenamed("id", id_col)
+    text = F.col(text_col).cast("string")
+    d = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 62))).alias("doc"),
+        F.xxhash64(F.coalesce(text, F.lit(""))).alias("h"), text.alias("text"),
+    )
+    out = d.join(per, ["doc", "h"], "left").select("row", "h", "text", "lines")
+    row = out.schema["row"].dataType.simpleString()
+    return out.mapInArrow(_take_out, f"row {row}, text_hash long, n_lines long, removed array<long>, kept_text string, emptied boolean")

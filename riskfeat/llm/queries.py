@@ -132,4 +132,4 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = linededup.dedup_lines(table(spark, sf_dir, "documents"), threshold=0.8, min_tokens=5)
-    return out.select("doc_id", "n_lines", F.size("removed").cast("long").alias("n_removed"), "removed", F.md5("kept_text").alias("kept_md5"))
+    return out.select("row.doc_id", "n_lines", F.size("removed").cast("long").alias("n_removed"), "removed", F.md5("kept_text").alias("kept_md5"))

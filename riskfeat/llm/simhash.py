@@ -229,3 +229,17 @@ def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 def hex16(col) -> Column:
     """A long's 16 lowercase hex digits."""
     return F.lower(F.lpad(F.hex(col), 16, "0"))
+
+
+def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4, max_distance: int = 4) -> DataFrame:
+    """The rows of ``docs`` with the smallest id of their group, each id once.
+
+    Rows without an id cannot be told from their copies by id and stay.
+    """
+    groups = simhash_groups(docs, id_col, text_col, shingle, max_distance).where(F.col(id_col).isNotNull())
+    groups = checkpoint(groups.groupBy(id_col).agg(F.count("*").alias("n"), F.min("component").alias("component")))
+    kept = docs.join(groups.where(F.col("component") != F.col(id_col)).select(id_col), id_col, "left_anti")
+    twice = groups.where((F.col("n") > 1) & (F.col("component") == F.col(id_col))).select(id_col)
+    if twice.limit(1).count():
+        kept = kept.join(twice, id_col, "left_anti").unionByName(kept.join(twice, id_col, "left_semi").dropDuplicates([id_col]))
+    return kept.select(*[F.col(f"`{c}`") for c in docs.columns])

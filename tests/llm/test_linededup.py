@@ -45,7 +45,7 @@ def brute(spark, rows, threshold=0.8, least=5):
 
 
 def got(df):
-    out = df.select("doc_id", "n_lines", F.size("removed").alias("n"), "removed", F.md5("kept_text"))
+    out = df.select("row.doc_id", "n_lines", F.size("removed").alias("n"), "removed", F.md5("kept_text"))
     return sorted((tuple(r) for r in out.collect()), key=repr)
 
 
