@@ -133,15 +133,29 @@ def sum0(c: ColumnLike, exact_scale: int | None = None) -> Column:
 
 
 def exact_sum(c: ColumnLike, exact_scale: int | None = None) -> Column:
-    """Sum; with ``exact_scale`` the values are added as integer units of
-    10^-scale in a 64-bit sum (exact, order independent, overflow raises under
-    ANSI) and converted to double once. Same value as a DECIMAL(18, scale)
-    sum for inputs with at most ``scale`` decimals, at long-sum speed."""
+    """Sum; with ``exact_scale``, a double sum that does not depend on the
+    order of the rows where the values allow it.
+
+    Values that are whole multiples of 10^-scale (and below 2^40) are added as
+    integer units, held in two longs so that no number of rows overflows. A
+    group with any other value (more digits, larger, NaN, infinite) gets the
+    plain double sum: nothing is rounded away, and NaN and infinities follow
+    IEEE rules."""
     if exact_scale is None:
         return F.sum(col(c))
-    unit = float(10 ** exact_scale)
-    units = F.rint(col(c).cast("double") * F.lit(unit)).cast("long")
-    return F.sum(units).cast("double") / F.lit(unit)
+    x = col(c).cast("double")
+    fits, units = money_units(x, exact_scale)
+    high, low = F.sum(F.shiftright(units, 32)), F.sum(units.bitwiseAND(F.lit(0xFFFFFFFF)))
+    total = (high.cast("double") * F.lit(float(1 << 32)) + low.cast("double")) / F.lit(float(10 ** exact_scale))
+    return F.when(F.coalesce(F.bool_and(fits), F.lit(True)), total).otherwise(F.sum(x))
+
+
+def money_units(x: Column, scale: int) -> tuple[Column, Column]:
+    """Whether a double is a whole number of 10^-scale units, and that number."""
+    unit = F.lit(float(10 ** scale))
+    units = F.rint(x * unit)
+    fits = (F.abs(x) < F.lit(float(1 << 40))) & (units / unit == x)
+    return fits, F.when(fits, units.cast("long"))
 
 
 def _sum_type(exact_scale: int | None) -> str:

@@ -47,14 +47,18 @@ def _cumulated(df: DataFrame, label: str, score: str, buckets: int) -> DataFrame
 def roc_auc(df: DataFrame, label: str = "TARGET", score: str = "SCORE", buckets: int = 1024) -> DataFrame:
     """Exact ROC-AUC (ties count one half) as a one-row DataFrame ``auc``.
 
-    AUC = sum over scores of pos * (negatives below + neg/2) / (P * N). All
-    terms are half-integers, so the total is exact in any summation order.
+    AUC = sum over scores of pos * (2 * negatives below + neg) / (2 * P * N),
+    summed in whole numbers wide enough for any row count. Null if a class is
+    missing.
     """
-    c = _cumulated(df, label, score, buckets)
-    return c.agg(
-        (F.sum(F.col("pos") * (F.col("cum_neg") + F.col("neg") / 2.0))
-         / (F.sum("pos").cast("double") * F.sum("neg").cast("double"))).alias("auc")
-    )
+    return _cumulated(df, label, score, buckets).agg(_auc().alias("auc"))
+
+
+def _auc():
+    wide = lambda c: F.col(c).cast("decimal(19,0)")
+    pairs = F.sum((wide("pos") * (wide("cum_neg") * 2 + wide("neg"))).cast("decimal(38,0)")).cast("double")
+    both = F.sum("pos").cast("double") * F.sum("neg").cast("double") * 2.0
+    return F.when(both > 0, F.try_divide(pairs, both))
 
 
 def roc_auc_by(df: DataFrame, group: str, label: str = "TARGET", score: str = "SCORE",
@@ -71,25 +75,27 @@ def roc_auc_by(df: DataFrame, group: str, label: str = "TARGET", score: str = "S
     c = ranks.running_totals(b, ["score"], ["pos", "neg"], partition=[group], bucket="_b")
     return c.groupBy(group).agg(
         (F.sum("pos") + F.sum("neg")).alias("n"),
-        (F.sum(F.col("pos") * (F.col("cum_neg") + F.col("neg") / 2.0))
-         / (F.sum("pos").cast("double") * F.sum("neg").cast("double"))).alias("auc"),
+        _auc().alias("auc"),
     )
 
 
 def roc_points(df: DataFrame, label: str = "TARGET", score: str = "SCORE", buckets: int = 1024) -> DataFrame:
-    """One ROC point per distinct score: predicting 1 for ``score >= threshold``."""
+    """One ROC point per distinct score: predicting 1 for ``score >= threshold``
+    (a rate is null if its class is missing)."""
     g = ranks.value_bucket(score_counts(df, label, score), "score", buckets)
     c = ranks.running_totals(g, ["score"], ["pos", "neg"], bucket="_b", totals=True)
     return c.select(
         F.col("score").alias("threshold"),
-        ((F.col("tot_pos") - F.col("cum_pos")) / F.col("tot_pos")).alias("tpr"),
-        ((F.col("tot_neg") - F.col("cum_neg")) / F.col("tot_neg")).alias("fpr"),
+        F.try_divide(F.col("tot_pos") - F.col("cum_pos"), F.col("tot_pos")).alias("tpr"),
+        F.try_divide(F.col("tot_neg") - F.col("cum_neg"), F.col("tot_neg")).alias("fpr"),
     )
 
 
 def threshold_metrics(df: DataFrame, threshold: float = 0.35, label: str = "TARGET", score: str = "SCORE") -> DataFrame:
     """Precision, recall, F1 and approval rate when ``score >= threshold`` means
-    "predicted default"; a zero denominator gives 0."""
+    "predicted default"; a zero denominator gives 0. Rows without a score
+    take no part, as in every evaluation here; without rows the rate is null."""
+    df = df.where(F.col(score).isNotNull())
     pred = F.col(score) >= F.lit(threshold)
     y = F.col(label) == 1
     agg = df.agg(
@@ -105,7 +111,7 @@ def threshold_metrics(df: DataFrame, threshold: float = 0.35, label: str = "TARG
         F.when(tp + fp > 0, tp / (tp + fp)).otherwise(0.0).alias("precision"),
         F.when(tp + fn > 0, tp / (tp + fn)).otherwise(0.0).alias("recall"),
         F.when(2 * tp + fp + fn > 0, 2 * tp / (2 * tp + fp + fn)).otherwise(0.0).alias("f1"),
-        (F.lit(1.0) - F.col("n_pred") / F.col("n")).alias("approval_rate"),
+        (F.lit(1.0) - F.try_divide(F.col("n_pred"), F.col("n"))).alias("approval_rate"),
     )
 
 

@@ -44,16 +44,22 @@ def top_reasons(
     """``(key, reason_rank, feature, reason, strength)`` for the rows selected
     by ``denied`` (all rows if None); rank 1 is the primary reason."""
     reasons = list(reasons)
-    # population min / max per feature: one small aggregate, used as literals
-    stats = df.agg(*[x for r in reasons for x in (F.min(r.feature).cast("double").alias(f"lo_{r.feature}"),
-                                                   F.max(r.feature).cast("double").alias(f"hi_{r.feature}"))]).first()
+    # population min / max per feature over finite values: one small aggregate, used as literals
+    def finite(c: str):
+        x = F.col(c).cast("double")
+        return F.when(F.abs(x) < F.lit(float("inf")), x)  # NaN is above infinity in Spark's order
+
+    stats = df.agg(*[x for r in reasons for x in (F.min(finite(r.feature)).alias(f"lo_{r.feature}"),
+                                                   F.max(finite(r.feature)).alias(f"hi_{r.feature}"))]).first()
     base = df if denied is None else df.where(denied)
     rows = base.select(key, *[r.feature for r in reasons])
 
     def strength(r: Reason):
         lo = F.lit(stats[f"lo_{r.feature}"]).cast("double")
         hi = F.lit(stats[f"hi_{r.feature}"]).cast("double")
-        x = F.col(r.feature)
+        # an infinite value counts as the end of the range it lies beyond
+        x = F.col(r.feature).cast("double")
+        x = F.when(x == F.lit(float("inf")), hi).when(x == F.lit(float("-inf")), lo).otherwise(x)
         num = (x - lo) if r.direction == "high" else (hi - x)
         return F.when(hi > lo, num.cast("double") / (hi - lo).cast("double")).otherwise(F.lit(0.0))
 
@@ -65,41 +71,6 @@ def top_reasons(
     return long.withColumn("reason_rank", F.row_number().over(w)).where(F.col("reason_rank") <= k)
 
 
-def permutation_importance(
-    df: DataFrame,
-    features: Sequence[str],
-    score_fn: Callable[[DataFrame], DataFrame],
-    auc_fn: Callable[[DataFrame], float],
-    key: str = "SK_ID_CURR",
-    seed: int = 42,
-    parallelism: int = 4,
-) -> list[tuple[str, float]]:
-    """AUC drop when one feature's values are shuffled across rows.
-
-    The shuffle is a join: rows ranked by key and by a seeded hash of the
-    key, the feature value taken from the row with the same rank in the
-    other order. Both ranks are distributed (``ranks.rank_within``).
-    """
-    from . import ranks
-
-    base_auc = auc_fn(score_fn(df))
-    from ..session import checkpoint
-
-    by_key = checkpoint(ranks.rank_within(df.withColumn("_all", F.lit(0)), ["_all"], key, seed)
-                        .withColumnRenamed("_rank", "_r1"))
-
-    def drop_for(f: str) -> tuple[str, float]:
-        donor = ranks.rank_within(df.select(key, f).withColumn("_all", F.lit(0)), ["_all"], key, seed + 1)
-        donor = donor.select(F.col("_rank").alias("_r1"), F.col(f).alias("_v"))
-        shuffled = by_key.join(donor, "_r1").withColumn(f, F.col("_v")).drop("_v", "_r1", "_all")
-        return f, base_auc - auc_fn(score_fn(shuffled))
-
-    # one Spark job chain per feature; a few run concurrently from the driver
-    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-        out = list(pool.map(drop_for, features))
-    return sorted(out, key=lambda t: (-t[1], t[0]))
-
-
 def permutation_drops(
     df: DataFrame,
     features: Sequence[str],
@@ -117,8 +88,6 @@ def permutation_drops(
     unpermuted base) is scored together and ``roc_auc_by`` gives every AUC.
     ``score_frame`` must keep the ``_feature`` column and return ``SCORE``.
     """
-    from functools import reduce
-
     from ..session import checkpoint
     from . import evaluate, ranks
 
@@ -127,11 +96,12 @@ def permutation_drops(
     donor = donor.select(F.col("_rank").alias("_r1"), *[F.col(f).alias(f"_d{i}") for i, f in enumerate(features)])
     joined = checkpoint(by_key.drop("_all").join(donor, "_r1"))
     cols = df.columns
-    copies = [joined.select(*cols, F.lit("").alias("_feature"))]
-    for i, f in enumerate(features):
-        copies.append(joined.select(*[F.col(f"_d{i}").alias(c) if c == f else F.col(c) for c in cols],
-                                    F.lit(f).alias("_feature")))
-    scored = score_frame(reduce(lambda a, b: a.unionByName(b), copies))
+    donated = {f: f"_d{i}" for i, f in enumerate(features)}
+    copies = joined.withColumn("_feature", F.explode(F.array(*[F.lit(f) for f in ("", *features)]))).select(
+        *[F.when(F.col("_feature") == c, F.col(donated[c])).otherwise(F.col(c)).alias(c) if c in donated else F.col(c) for c in cols],
+        "_feature",
+    )
+    scored = checkpoint(score_frame(copies))
     aucs = {r["_feature"]: r["auc"] for r in evaluate.roc_auc_by(scored, "_feature", label, "SCORE").collect()}
     base = aucs[""]
     return sorted(((f, base - aucs[f]) for f in features), key=lambda t: (-t[1], t[0]))

@@ -17,16 +17,23 @@ SUMMARY_SCALE = 4
 def feature_summary(df: DataFrame, columns: Sequence[str] | None = None, scale: int = SUMMARY_SCALE) -> DataFrame:
     """count, null_count, mean, std (sample), min, 25/50/75% (linear), max.
 
-    Sums and sums of squares are exact decimals at ``scale`` so mean and std
-    do not depend on partitioning; quantiles are exact (bracketed, never a
-    whole column in one task). One row per column.
+    Where all values of a column are whole multiples of 10^-scale, sums and
+    sums of squares are exact decimals, so mean and std do not depend on
+    partitioning; any other column gets double mean and std, with NaN and
+    infinities by IEEE rules. Quantiles are exact (bracketed, never a whole
+    column in one task). One row per column.
     """
     cols = list(columns or numeric_columns(df, ()))
     d = f"decimal(18,{scale})"
     aggs = [F.count(F.lit(1)).alias("__rows")]
     for i, c in enumerate(cols):
-        x = F.col(c).cast(d)
+        v = F.col(c).cast("double")
+        fits, _ = X.money_units(v, scale)
+        x = F.when(fits, F.col(c)).cast(d)
         aggs += [
+            F.coalesce(F.bool_and(fits), F.lit(True)).alias(f"ok{i}"),
+            F.avg(v).alias(f"avg{i}"),
+            F.stddev_samp(v).alias(f"std{i}"),
             F.count(F.col(c)).alias(f"n{i}"),
             F.sum(x).cast("double").alias(f"s{i}"),
             F.sum(x * x).cast("double").alias(f"q{i}"),
@@ -46,10 +53,12 @@ def feature_summary(df: DataFrame, columns: Sequence[str] | None = None, scale:
             F.lit(c).alias("column_name"),
             F.col(f"n{i}").alias("count"),
             (F.col("__rows") - F.col(f"n{i}")).alias("null_count"),
-            F.try_divide(F.col(f"s{i}"), F.col(f"n{i}").cast("double")).alias("mean"),
-            F.when(F.col(f"n{i}") > 1,
-                   F.sqrt((F.col(f"q{i}") - F.col(f"s{i}") * F.col(f"s{i}") / F.col(f"n{i}"))
-                          / (F.col(f"n{i}") - 1))).alias("std"),
+            F.when(F.col(f"ok{i}"), F.try_divide(F.col(f"s{i}"), F.col(f"n{i}").cast("double")))
+            .otherwise(F.col(f"avg{i}")).alias("mean"),
+            F.when(~F.col(f"ok{i}"), F.col(f"std{i}")).when(
+                F.col(f"n{i}") > 1,
+                F.sqrt((F.col(f"q{i}") - F.col(f"s{i}") * F.col(f"s{i}") / F.col(f"n{i}"))
+                       / (F.col(f"n{i}") - 1))).alias("std"),
             F.col(f"lo{i}").alias("min"),
             F.col(f"hi{i}").alias("max"),
         )
@@ -70,7 +79,7 @@ def default_rate(df: DataFrame, label: str = "TARGET") -> DataFrame:
 
 
 def score_summary(df: DataFrame, score: str = "SCORE", scale: int = 6) -> DataFrame:
-    """min / max / mean of a score column (mean exact at ``scale`` decimals)."""
+    """min / max / mean of a score column (mean free of row order if all scores have at most ``scale`` decimals)."""
     return df.agg(
         F.min(score).alias("min_score"),
         F.max(score).alias("max_score"),

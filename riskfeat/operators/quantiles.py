@@ -115,8 +115,9 @@ def exact_quantiles_multi(
                 t["lo"], t["hi"], t["exp"] = NEG, POS, t["n"]
                 t["below"], t["m"] = 0, t["n"]
     for t in targets.values():
-        if "value" in t:
-            out[(cols[t["c"]], t["q"])] = t["value"]
+        if "value" not in t:
+            raise RuntimeError(f"quantile {t['q']} of {cols[t['c']]} was not found in {max_rounds} rounds")
+        out[(cols[t["c"]], t["q"])] = t["value"]
     return out
 
 

@@ -194,7 +194,7 @@ _PLANS: dict[tuple, FIT.FitPlan] = {}
 
 def train_plan(spark: SparkSession, sf_dir: str, schema_mode: str = "frozen") -> FIT.FitPlan:
     """Fit once per (session, data folder); the plan is a few driver-side scalars."""
-    k = (id(spark), sf_dir)
+    k = (spark.sparkContext.applicationId, sf_dir)
     if k not in _PLANS:
         train, _ = split_train_test(applicants(spark, sf_dir))
         _PLANS[k] = FIT.fit_plan(train)
@@ -584,7 +584,7 @@ _FINAL: dict[tuple, object] = {}
 
 def train_matrix(spark: SparkSession, sf_dir: str, exclude_prefixes: tuple = ()):
     """Feature matrix with folds, checkpointed once per (session, folder, variant)."""
-    k = (id(spark), sf_dir, exclude_prefixes)
+    k = (spark.sparkContext.applicationId, sf_dir, exclude_prefixes)
     if k not in _MATRIX:
         frame = feature_frame(spark, sf_dir, "train")
         plan = ML.fit_matrix(frame, exclude_prefixes=exclude_prefixes)
@@ -595,7 +595,7 @@ def train_matrix(spark: SparkSession, sf_dir: str, exclude_prefixes: tuple = ())
 
 def final_model(spark: SparkSession, sf_dir: str):
     """The model-card configuration: 100 rounds, depth 6, balanced weights."""
-    k = (id(spark), sf_dir)
+    k = (spark.sparkContext.applicationId, sf_dir)
     if k not in _FINAL:
         m, plan = train_matrix(spark, sf_dir)
         _FINAL[k] = ML.fit_final(m, ML.model_zoo()["boosted_d6"], weighted=True)
@@ -611,18 +611,24 @@ def q_cv_models(spark, sf_dir):
 @register("imbalance_arms")
 def q_imbalance(spark, sf_dir):
     m, _ = train_matrix(spark, sf_dir)
-    res = ML.imbalance_arms(m, ML.model_zoo()["boosted_d6"], parallelism=12)
+    res = ML.imbalance_arms(tuning_sample(m), ML.plain_boosting, parallelism=12)
     return ML.results_frame(spark, res, baseline=res[0].mean)
 
 
 _SEARCH: dict[tuple, list] = {}
 
 
-def _search(spark, sf_dir, n_iter=3):
-    k = (id(spark), sf_dir, n_iter)
+def tuning_sample(matrix, n: int = 5000):
+    """The stratified sample on which arms and candidates are compared, folds drawn anew."""
+    drawn = R.stratified_sample(matrix.drop("fold"), "TARGET", "SK_ID_CURR", n)
+    return checkpoint(ML.with_folds(drawn.select(*matrix.drop("fold").columns)))
+
+
+def _search(spark, sf_dir, n_iter=20):
+    k = (spark.sparkContext.applicationId, sf_dir, n_iter)
     if k not in _SEARCH:
         m, _ = train_matrix(spark, sf_dir)
-        _SEARCH[k] = ML.random_search(m, n_iter=n_iter, parallelism=9)
+        _SEARCH[k] = ML.random_search(tuning_sample(m), n_iter=n_iter, parallelism=9)
     return _SEARCH[k]
 
 
@@ -647,7 +653,7 @@ def q_importance(spark, sf_dir):
 
 @register("ablation")
 def q_ablation(spark, sf_dir):
-    make = ML.model_zoo()["boosted_d6"]
+    make = ML.plain_boosting
     with_h, _ = train_matrix(spark, sf_dir)
     without_h, _ = train_matrix(spark, sf_dir, H.HISTORY_PREFIXES)
     from concurrent.futures import ThreadPoolExecutor

@@ -106,6 +106,11 @@ def model_zoo() -> dict[str, Callable[[int], object]]:
     }
 
 
+def plain_boosting(n: int):
+    """Fixed setting of the imbalance arms and the ablation: depth 7, no subsampling."""
+    return gbt(100, 7, 0.1)
+
+
 def gbt(rounds: int, depth: int, lr: float, subsample: float = 1.0, colsample: float = 1.0,
         min_child: int = 1) -> GBTClassifier:
     return GBTClassifier(

@@ -1,9 +1,9 @@
 """Readers and sinks: application / history tables, processed outputs, score
 files, and load-or-build materialisation.
 
-Schemas are declared for the columns the library names; other columns are
-read with CSV inference only when asked (``infer_rest=True``), never by
-default, so a scan does not cost an extra pass.
+Schemas are declared for the columns the library names; the types of other
+columns are inferred (one more pass over a CSV), so that numbers arrive as
+numbers. ``infer_rest=False`` reads them as ``default_type`` instead.
 """
 
 from __future__ import annotations
@@ -41,18 +41,17 @@ HISTORY_TYPES = {
 
 
 def _header(spark: SparkSession, path: str) -> list[str]:
-    """Column names from the header line (reads one line, not the file)."""
-    first = spark.read.text(path).limit(1).first()
-    return [c.strip().strip('"') for c in first[0].split(",")] if first else []
+    """Column names from the header, quoted commas included."""
+    return spark.read.option("header", True).csv(path).columns
 
 
 def read_csv_table(spark: SparkSession, path: str, declared: dict[str, T.DataType],
-                   default_type: T.DataType = S, infer_rest: bool = False) -> DataFrame:
-    """CSV with header: declared columns get their type; the rest get
-    ``default_type`` (or inferred types when ``infer_rest``). NaN literals in
-    numeric columns become null (one missing-value state)."""
+                   default_type: T.DataType = S, infer_rest: bool = True) -> DataFrame:
+    """CSV with header: declared columns get their type; the rest get inferred
+    types (``default_type`` without ``infer_rest``). NaN literals in numeric
+    columns become null (one missing-value state)."""
     if infer_rest:
-        df = spark.read.option("header", True).option("inferSchema", True).csv(path)
+        df = spark.read.option("header", True).option("inferSchema", True).option("nanValue", "NaN").csv(path)
         from pyspark.sql import functions as F
 
         return nan_to_null(df.select(*[F.col(c).cast(declared[c]).alias(c) if c in declared else F.col(c)
