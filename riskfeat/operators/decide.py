@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import exprs as X
+from .ranks import seeded_hash
 
 # Fixed values from the reference's decision policy.
 APPROVE_BELOW = 0.30
@@ -34,7 +35,7 @@ def band_summary(df: DataFrame, score: str = "SCORE", label: str = "TARGET") ->
 
 def pilot_flag(key: str = "SK_ID_CURR", percent: int = PILOT_PERCENT, seed: int = 7) -> Column:
     """Stable pilot assignment: a seeded hash of the key, ``percent`` in 100."""
-    return (F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(100)) < F.lit(percent)).cast("int")
+    return (F.pmod(seeded_hash(key, seed), F.lit(100)) < F.lit(percent)).cast("int")
 
 
 def approval_by_group(df: DataFrame, group: str, score: str = "SCORE", threshold: float = 0.35) -> DataFrame:

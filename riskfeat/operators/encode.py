@@ -15,9 +15,6 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-MAX_CATEGORIES = 1000
-
-
 class TooManyCategories(ValueError):
     pass
 
@@ -36,11 +33,11 @@ class OneHotPlan:
 
 
 def fit_one_hot(df: DataFrame, columns: Sequence[str], drop_first: bool = True,
-                max_categories: int = MAX_CATEGORIES) -> OneHotPlan:
+                max_categories: int | None = None) -> OneHotPlan:
     """Sorted distinct non-null values per column, in one aggregation job.
 
-    The distinct values are counted before they are collected; a column with
-    more than ``max_categories`` values is refused rather than truncated.
+    The distinct values become columns, so they are collected. With
+    ``max_categories``, a column with more values is refused, never truncated.
     """
     columns = list(columns)
     if not columns:
@@ -50,10 +47,11 @@ def fit_one_hot(df: DataFrame, columns: Sequence[str], drop_first: bool = True,
         df.select(F.explode(F.array(*pairs)).alias("p")).select("p.c", "p.v")
         .where(F.col("v").isNotNull()).distinct()
     )
-    sizes = {r["c"]: r["k"] for r in distinct.groupBy("c").agg(F.count(F.lit(1)).alias("k")).collect()}
-    too_big = {columns[i]: k for i, k in sizes.items() if k > max_categories}
-    if too_big:
-        raise TooManyCategories(f"columns over {max_categories} categories: {too_big}")
+    if max_categories is not None:
+        sizes = {r["c"]: r["k"] for r in distinct.groupBy("c").agg(F.count(F.lit(1)).alias("k")).collect()}
+        too_big = {columns[i]: k for i, k in sizes.items() if k > max_categories}
+        if too_big:
+            raise TooManyCategories(f"columns over {max_categories} categories: {too_big}")
     found: dict[int, list[str]] = {}
     for r in distinct.collect():
         found.setdefault(r["c"], []).append(r["v"])

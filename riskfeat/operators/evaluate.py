@@ -72,7 +72,7 @@ def roc_auc_by(df: DataFrame, group: str, label: str = "TARGET", score: str = "S
          .groupBy(F.col(group), F.col(score).alias("score"))
          .agg(X.count_if(F.col(label) == 1).alias("pos"), X.count_if(F.col(label) != 1).alias("neg")))
     b = ranks.value_bucket(g, "score", buckets)
-    c = ranks.running_totals(b, ["score"], ["pos", "neg"], partition=[group], bucket="_b")
+    c = ranks.running_totals(b, ["score"], ["pos", "neg"], partition=[group], bucket="_b", bounded_partitions=False)
     return c.groupBy(group).agg(
         (F.sum("pos") + F.sum("neg")).alias("n"),
         _auc().alias("auc"),

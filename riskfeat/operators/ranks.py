@@ -15,16 +15,20 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-HASH_BUCKET_BITS = 16  # 65,536 ordered buckets of the 64-bit hash space
+HASH_BITS = 60
+HASH_BUCKET_BITS = 16  # 65,536 ordered buckets of the hash space
 
 
 def seeded_hash(key: str, seed: int) -> Column:
-    return F.xxhash64(F.col(key), F.lit(seed))
+    """60 bits of ``md5(key:seed)``: the same number in any SQL engine, so that
+    who is in a fold or sample can be checked elsewhere."""
+    text = F.concat(F.coalesce(F.col(key).cast("string"), F.lit("")), F.lit(f":{seed}"))
+    return F.conv(F.substring(F.md5(text), 1, HASH_BITS // 4), 16, 10).cast("long")
 
 
 def hash_bucket(h: Column, bits: int = HASH_BUCKET_BITS) -> Column:
-    """Ordered bucket of a signed 64-bit hash (arithmetic shift keeps order)."""
-    return F.shiftright(h, 64 - bits)
+    """Ordered bucket of a seeded hash."""
+    return F.shiftright(h, HASH_BITS - bits)
 
 
 def value_bucket(df: DataFrame, col: str, buckets: int = 1024, accuracy: int = 10_000) -> DataFrame:

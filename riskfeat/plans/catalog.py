@@ -428,9 +428,17 @@ SELECT CASE WHEN SCORE < 0.3E0 THEN 'approve' WHEN SCORE < 0.4E0 THEN 'review' E
 FROM scored GROUP BY 1"""))(lambda s, d: D.band_summary(scored(s, d)))
 
 
-@register("pilot_split")
+def _hash_sql(seed: int) -> str:
+    """The library's engine-neutral seeded hash of SK_ID_CURR."""
+    return f"CAST('0x' || substr(md5(CAST(SK_ID_CURR AS VARCHAR) || ':{seed}'), 1, 15) AS BIGINT)"
+
+
+def _class_rank_sql(seed: int) -> str:
+    return f"ROW_NUMBER() OVER (PARTITION BY TARGET ORDER BY {_hash_sql(seed)}, SK_ID_CURR)"
+
+
+@register("pilot_split", _scored_sql(f"SELECT SK_ID_CURR, CAST({_hash_sql(7)} % 100 < 20 AS INTEGER) AS in_pilot FROM scored"))
 def q_pilot(spark, sf_dir):
-    # membership hash is engine specific: rows-only check, proportion tested in pytest
     return scored(spark, sf_dir).select("SK_ID_CURR", D.pilot_flag().alias("in_pilot"))
 
 
@@ -466,6 +474,31 @@ def q_undersample(spark, sf_dir):
     return s.groupBy("TARGET").agg(F.count(F.lit(1)).alias("n"))
 
 
+# who is in each fold or sample, not only how many
+@register("fold_members", _scored_sql(f"SELECT SK_ID_CURR, TARGET, CAST(({_class_rank_sql(42)} - 1) % 3 AS INTEGER) AS fold FROM scored"))
+def q_fold_members(spark, sf_dir):
+    return R.stratified_folds(scored(spark, sf_dir), "TARGET", "SK_ID_CURR", k=3, seed=42).select("SK_ID_CURR", "TARGET", "fold")
+
+
+@register("sample_members", _scored_sql(f"""
+, cnt AS (SELECT TARGET, COUNT(*) AS n FROM scored GROUP BY TARGET),
+fl AS (SELECT TARGET, CAST(FLOOR(500.0E0 * n / (SELECT SUM(n) FROM cnt)) AS BIGINT) AS base,
+       500.0E0 * n / (SELECT SUM(n) FROM cnt) - FLOOR(500.0E0 * n / (SELECT SUM(n) FROM cnt)) AS rem FROM cnt),
+rk AS (SELECT *, ROW_NUMBER() OVER (ORDER BY rem DESC, CAST(TARGET AS VARCHAR)) AS r FROM fl),
+q AS (SELECT TARGET, base + CASE WHEN r <= 500 - (SELECT SUM(base) FROM fl) THEN 1 ELSE 0 END AS quota FROM rk),
+m AS (SELECT SK_ID_CURR, TARGET, {_class_rank_sql(42)} AS r FROM scored)
+SELECT SK_ID_CURR, m.TARGET FROM m JOIN q ON m.TARGET = q.TARGET WHERE r <= quota"""))
+def q_sample_members(spark, sf_dir):
+    return R.stratified_sample(scored(spark, sf_dir), "TARGET", "SK_ID_CURR", 500, seed=42).select("SK_ID_CURR", "TARGET")
+
+
+@register("undersample_members", _scored_sql(f"""
+, m AS (SELECT SK_ID_CURR, TARGET, {_class_rank_sql(42)} AS r FROM scored)
+SELECT SK_ID_CURR, TARGET FROM m WHERE r <= (SELECT MIN(c) FROM (SELECT COUNT(*) AS c FROM scored GROUP BY TARGET) x)"""))
+def q_undersample_members(spark, sf_dir):
+    return R.undersample(scored(spark, sf_dir), "TARGET", "SK_ID_CURR", seed=42).select("SK_ID_CURR", "TARGET")
+
+
 # ------------------------------------------------------------- encoding
 _OCC = ["BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]  # sorted categories after the dropped first
 
