@@ -132,4 +132,27 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = linededup.dedup_lines(table(spark, sf_dir, "documents"), threshold=0.8, min_tokens=5)
-    return out.select("row.doc_id", "n_lines", F.size("removed").cast("long").alias("n_removed"), "removed", F.md5("kept_text").alias("kept_md5"))
+    return out.select("row.doc_id", "n_lines", F.size("removed").cast("long").alias("n_removed"), F.concat_ws(",", F.col("removed").cast("array<string>")).alias("removed"), F.md5("kept_text").alias("kept_md5"))
+
+
+_LINE_WORDS = "list_distinct(regexp_extract_all(translate(s, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+'))"
+ORACLES["op4_line_dedup"] = f"""
+WITH l AS (SELECT doc_id, i - 1 AS i, string_split(text, chr(10))[i] AS s
+           FROM (SELECT doc_id, text, unnest(range(1, len(string_split(text, chr(10))) + 1)) AS i FROM documents)),
+     k AS (SELECT doc_id, i, s, {_LINE_WORDS} AS w FROM l),
+     b AS (SELECT doc_id, i, w, len(w) AS n FROM k WHERE len(w) >= 5),
+     t AS (SELECT doc_id, i, n, unnest(w) AS x FROM b),
+     f AS (SELECT x, count(*) AS c FROM t GROUP BY x),
+     r AS (SELECT t.*, row_number() OVER (PARTITION BY doc_id, i ORDER BY c, x) AS p FROM t JOIN f USING (x)),
+     e AS (SELECT * FROM r WHERE p <= n - ceil(0.8 * n) + 1),
+     c AS (SELECT DISTINCT y.doc_id, y.i, z.doc_id AS doc2, z.i AS i2 FROM e y JOIN e z USING (x)
+           WHERE (z.doc_id, z.i) < (y.doc_id, y.i) AND y.n <= z.n / 0.8 AND z.n <= y.n / 0.8),
+     g AS (SELECT DISTINCT c.doc_id, c.i FROM c JOIN b y ON y.doc_id = c.doc_id AND y.i = c.i JOIN b z ON z.doc_id = c.doc2 AND z.i = c.i2
+           WHERE 1.8 * len(list_intersect(y.w, z.w)) >= 0.8 * (y.n + z.n)),
+     o AS (SELECT l.doc_id, l.i, l.s, g.i IS NOT NULL AS gone FROM l LEFT JOIN g ON g.doc_id = l.doc_id AND g.i = l.i),
+     m AS (SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_removed,
+                  coalesce(string_agg(i, ',' ORDER BY i) FILTER (WHERE gone), '') AS removed,
+                  md5(coalesce(string_agg(s, chr(10) ORDER BY i) FILTER (WHERE NOT gone), '')) AS kept_md5 FROM o GROUP BY doc_id)
+SELECT doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_removed, 0) AS n_removed, coalesce(removed, '') AS removed, kept_md5
+FROM documents LEFT JOIN m USING (doc_id)
+"""
