@@ -789,7 +789,7 @@ c AS (SELECT *, COALESCE(SUM(neg) OVER (PARTITION BY week ORDER BY score ROWS BE
       AS cum_neg FROM g),
 r AS (SELECT week, CAST(SUM(pos) + SUM(neg) AS BIGINT) AS n,
         SUM(pos * (cum_neg + neg / 2.0E0)) / (CAST(SUM(pos) AS DOUBLE) * CAST(SUM(neg) AS DOUBLE)) AS auc FROM c GROUP BY week)
-SELECT week, n, auc, CASE WHEN auc < 0.72E0 THEN 'ALERT' WHEN auc < 0.74E0 THEN 'WARN' ELSE 'OK' END AS status FROM r"""))
+SELECT week, n, auc, CASE WHEN auc IS NULL THEN 'NO_DATA' WHEN auc < 0.72E0 THEN 'ALERT' WHEN auc < 0.74E0 THEN 'WARN' ELSE 'OK' END AS status FROM r"""))
 def q_weekly_auc(spark, sf_dir):
     lab = decisions(spark, sf_dir).join(applicants(spark, sf_dir).select("SK_ID_CURR", "TARGET"), "SK_ID_CURR")
     return MON.weekly_auc(lab)

@@ -136,7 +136,8 @@ def score(model, df: DataFrame, key: str = KEY, label: str = LABEL) -> DataFrame
 
 
 def auc_of(scored: DataFrame, label: str = LABEL) -> float:
-    return float(V.roc_auc(scored, label, "SCORE").first()["auc"])
+    auc = V.roc_auc(scored, label, "SCORE").first()["auc"]
+    return math.nan if auc is None else float(auc)  # a fold of one class has none
 
 
 # ------------------------------------------------------------ resampling
@@ -172,12 +173,13 @@ class CVResult:
 
     @property
     def mean(self) -> float:
-        return sum(self.fold_aucs) / len(self.fold_aucs)
+        known = [a for a in self.fold_aucs if not math.isnan(a)]
+        return sum(known) / len(known) if known else math.nan
 
     @property
     def std(self) -> float:  # population std, like numpy
-        m = self.mean
-        return math.sqrt(sum((a - m) ** 2 for a in self.fold_aucs) / len(self.fold_aucs))
+        m, known = self.mean, [a for a in self.fold_aucs if not math.isnan(a)]
+        return math.sqrt(sum((a - m) ** 2 for a in known) / len(known)) if known else math.nan
 
 
 def with_folds(matrix: DataFrame, k: int = 3, seed: int = SEED) -> DataFrame:
@@ -297,6 +299,14 @@ def ranked_candidates(spark, results: Sequence[CVResult]) -> DataFrame:
 
 
 # ------------------------------------------------------------ final model
+def choose_final(candidates: Sequence[CVResult], arms: Sequence[CVResult]) -> tuple[Callable[[int], object], bool]:
+    """Learner of the best candidate, and whether to weight classes: only if
+    the weighted arm did better than the plain one."""
+    best = max(candidates, key=lambda c: (c.mean, c.name))
+    mean = {a.name: a.mean for a in arms}
+    return params_to_gbt(best.params), mean["class_weights"] > mean["baseline"]
+
+
 def fit_final(matrix: DataFrame, make: Callable[[int], object], weighted: bool = False,
               early_stopping_pct: int = 0):
     """Fit on all rows. ``early_stopping_pct`` > 0 holds out that share (by a

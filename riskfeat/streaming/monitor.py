@@ -84,7 +84,7 @@ def auc_status(auc: Column, baseline: float | None = None, plan: MonitorPlan = D
     status = F.when(auc < plan.auc_alert, "ALERT").when(auc < plan.auc_target, "WARN").otherwise("OK")
     if baseline is not None:
         status = F.when(auc < F.lit(baseline - plan.retrain_auc_drop), "RETRAIN").otherwise(status)
-    return status
+    return F.when(auc.isNull(), "NO_DATA").otherwise(status)
 
 
 def weekly_auc(labelled: DataFrame, ts: str = "TS", label: str = "TARGET", score: str = "SCORE",

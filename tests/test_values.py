@@ -75,3 +75,26 @@ def test_csv_types_of_undeclared_columns(spark, tmp_path):
     assert "NOTE, free" in df.columns and df.where("SK_ID_CURR = 2").first()["NOTE, free"] == "y, z"
     declared = IO.read_application(spark, path, infer_rest=False)
     assert dict(declared.dtypes)["OWN_CAR_AGE"] == "string" and declared.columns == df.columns
+
+
+def test_status_of_weeks(spark):
+    from riskfeat.streaming import monitor as MON
+
+    df = spark.createDataFrame([(None,), (0.5,), (0.73,), (0.9,)], "auc double")
+    plain = {r.auc: r.s for r in df.select("auc", MON.auc_status(F.col("auc")).alias("s")).collect()}
+    assert plain == {None: "NO_DATA", 0.5: "ALERT", 0.73: "WARN", 0.9: "OK"}
+    drop = MON.DEFAULT_PLAN.retrain_auc_drop
+    far = {r.auc: r.s for r in df.select("auc", MON.auc_status(F.col("auc"), 0.9 + drop / 2).alias("s")).collect()}
+    assert far == {None: "NO_DATA", 0.5: "RETRAIN", 0.73: "RETRAIN", 0.9: "OK"}
+
+
+def test_final_fit_follows_the_arms():
+    from riskfeat.plans import modeling as ML
+
+    draws = ML.draw_params(2, seed=3)
+    cands = [ML.CVResult("candidate_0", [0.7, NAN, 0.7], draws[0]), ML.CVResult("candidate_1", [0.6, 0.65, 0.7], draws[1])]
+    assert cands[0].mean == pytest.approx(0.7) and cands[0].std == pytest.approx(0.0)
+    arm = lambda name, auc: ML.CVResult(name, [auc])
+    make, weighted = ML.choose_final(cands, [arm("baseline", 0.7), arm("class_weights", 0.71)])
+    assert weighted and make(10).getMaxIter() == draws[0]["n_estimators"]
+    assert not ML.choose_final(cands, [arm("baseline", 0.7), arm("class_weights", 0.7)])[1]
