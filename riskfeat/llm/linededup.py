@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskfeat.llm.measures import Texts
-from riskfeat.llm.textops import LOWER, MULT, byte_view, mix64, pack, slices, unpack
+from riskfeat.llm.textops import LOWER, MULT, byte_view, mix64, pack, slices, unpack, word_hashes, word_spans
 from riskfeat.session import checkpoint
 
 TABLE_BITS = 20  # word count tables
@@ -46,17 +46,30 @@ PLACE_BITS = 24  # bit set of the lines whose words are asked for
 CHUNKS = 16
 BLOCK = 2048  # entries of one word that a cell's side holds
 CELL_ROWS = 1 << 20  # entries, on average, that a bucket of cells takes
-BEST = 2
+BEST = 4
 PAIRS_AT_ONCE = 1 << 20
 
 
+def _by_group(group: np.ndarray, key: np.ndarray) -> np.ndarray:
+    """Order by group, then key, of rows whose groups rise; one sort on both where leading bits tell."""
+    if not len(key):
+        return np.zeros(0, np.int64)
+    bits = max(1, 63 - int(group[-1] - group[0]).bit_length())
+    both = (group - group[0]) << bits | (key >> np.uint64(64 - bits)).astype(np.int64)
+    order = np.argsort(both, kind="stable")
+    same = both[order[1:]] == both[order[:-1]]
+    if np.any(key[order[1:][same]] != key[order[:-1][same]]):
+        return np.lexsort((key, group))
+    return order
+
+
 class Sets:
     """Word sets of the lines of a slice that are long enough."""
 
     def __init__(self, b: pa.RecordBatch, min_tokens: int) -> None:
         data, offs = byte_view(b.column("text"))
         t = Texts(LOWER[data], offs)
-        order = np.lexsort((t.hash, t.line))
+        order = _by_group(t.line, t.hash)
         line, word = t.line[order], t.hash[order]
         new = np.ones(len(line), bool)
         new[1:] = (line[1:] != line[:-1]) | (word[1:] != word[:-1])
@@ -80,9 +93,16 @@ def _slot(word: np.ndarray, bits: int) -> np.ndarray:
     return ((word * MULT) >> np.uint64(64 - bits)).astype(np.int64)
 
 
-def _in_order(s: Sets, counts: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _rarity(counts: np.ndarray) -> np.ndarray:
+    """Logarithm of the counts in 4,096 steps."""
+    return np.minimum(np.log2(counts + 1.0) * 64, 4095).astype(np.uint64)
+
+
+def _in_order(s: Sets, rare: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Prefix entries: line, word, position of the word in rarity order."""
-    order = np.lexsort((s.word, counts[_slot(s.word, TABLE_BITS)], s.owner))
+    # rarity, then the hash: one order for all lines
+    rarity = rare[_slot(s.word, TABLE_BITS)]
+    order = _by_group(s.owner, rarity << np.uint64(52) | s.word >> np.uint64(12))
     word = s.word[order]
     pos = np.arange(len(word)) - np.repeat(s.first, s.size)
     prefix = s.size - np.ceil(threshold * s.size - 1e-9).astype(np.int64) + 1
@@ -105,12 +125,16 @@ def _table(counts: np.ndarray) -> list[tuple[int, bytes]]:
     return [(c, pack(p.astype("<u4"))) for c, p in enumerate(np.split(counts, CHUNKS)) if p.any()]
 
 
-def _count_words(min_tokens: int):
+def _count_words():
+    """How often each word occurs, by slot of the table."""
+
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(1 << TABLE_BITS, np.int64)
         for b in slices(batches, "text"):
-            slot, n = np.unique(_slot(Sets(b, min_tokens).word, TABLE_BITS), return_counts=True)
-            counts[slot] += n
+            data, offs = byte_view(b.column("text"))
+            data = LOWER[data]
+            _, start, end = word_spans(data, offs)
+            counts += np.bincount(_slot(word_hashes(data, start, end), TABLE_BITS), minlength=len(counts))
         rows = _table(counts)
         yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.binary())], ["chunk", "counts"])
 
@@ -234,8 +258,8 @@ def _later(e: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
 _PAIR = "doc long, h long, line long, doc2 long, h2 long, line2 long, more boolean"
 
 
-def _pair_up(threshold: float, only):
-    """Candidates of a bucket's cells: per later line the closest earlier ones (all, for lines in ``only``)."""
+def _pair_up(threshold: float):
+    """Candidates of a bucket's cells: per later line the closest earlier ones."""
     share = threshold / (1 + threshold)
 
     def one(t: pa.Table) -> pa.Table:
@@ -245,65 +269,146 @@ def _pair_up(threshold: float, only):
         again = np.zeros(len(e), bool)
         again[1:] = (e["key"][1:] == e["key"][:-1]) & (e["id1"][1:] == e["id1"][:-1]) & (e["size"][1:] == e["size"][:-1])
         e = e[~again]
+        col = {n: np.ascontiguousarray(e[n]) for n in ("b1", "b2", "side")}
+        size, left = e["size"].astype(np.int64), e["size"].astype(np.int64) - e["pos"]
+        turn = np.empty(len(e), np.int64)  # order of the places
+        turn[np.lexsort((e["line"], e["h"], e["doc"]))] = np.arange(len(e))
         cell = np.cumsum(np.r_[False, e["key"][1:] != e["key"][:-1]]).astype(np.int64)
-        size = e["size"].astype(np.int64)
         widest = int(size.max(initial=0)) + 2
         rank = cell * widest + size
         limit = np.minimum(np.floor(size / threshold + 1e-9).astype(np.int64), widest - 1)
         n = np.searchsorted(rank, cell * widest + limit, side="right") - np.arange(len(e)) - 1
         done = np.cumsum(n)
-        found: list[np.ndarray] = []
+        best = np.zeros((3, 0), np.int64)  # later, apart, earlier: at most BEST for each later one
+        more = np.zeros(len(e), bool)
         at = 0
         while at < len(e):
             base = done[at - 1] if at else 0
             to = max(at + 1, int(np.searchsorted(done, base + PAIRS_AT_ONCE, side="right")))
             a = np.repeat(np.arange(at, to), n[at:to])
             b = a + 1 + np.arange(len(a)) - np.repeat(done[at:to] - n[at:to] - base, n[at:to])
-            both = size[a] + size[b]
-            need = np.ceil(share * both - 1e-9).astype(np.int64)
-            ok = 1 + np.minimum(size[a] - e["pos"][a], size[b] - e["pos"][b]) - 1 >= need
-            ok &= (e["side"][a] == 2) | (e["side"][a] != e["side"][b])
-            a, b, both, need = a[ok], b[ok], both[ok], need[ok]
-            apart = np.bitwise_count(e["b1"][a] ^ e["b1"][b]).astype(np.int64) + np.bitwise_count(e["b2"][a] ^ e["b2"][b])
-            ok = apart <= both - 2 * need
-            a, b, apart = a[ok], b[ok], apart[ok]
-            swap = _later(e, b, a)
-            x, y = np.where(swap, b, a), np.where(swap, a, b)
-            found.append(np.stack([x, apart, y]))
             at = to
-        x, apart, y = np.concatenate(found, axis=1) if found else np.zeros((3, 0), np.int64)
-        if only is not None:
-            flags = np.frombuffer(only.value, np.uint8)
-            p = _place_slot(e["doc"][x], e["h"][x], e["line"][x])
-            ok = (flags[p >> 3] >> (p & 7).astype(np.uint8) & 1).astype(bool)
-            x, apart, y = x[ok], apart[ok], y[ok]
-            more = np.zeros(len(x), bool)
-        else:
-            order = np.lexsort((y, apart, x))
-            x, y = x[order], y[order]
-            first = np.flatnonzero(np.r_[True, x[1:] != x[:-1]]) if len(x) else np.zeros(0, np.int64)
-            count = np.diff(np.r_[first, len(x)])
-            nth = np.arange(len(x)) - np.repeat(first, count)
-            more = np.repeat(count > BEST, count)[nth < BEST]
-            x, y = x[nth < BEST], y[nth < BEST]
-        cols = [e[n][i].astype(np.int64) for i in (x, y) for n in ("doc", "h", "line")]
-        return pa.table(dict(zip(("doc", "h", "line", "doc2", "h2", "line2"), cols)) | {"more": pa.array(more)})
+            need = np.ceil(share * (size[a] + size[b]) - 1e-9).astype(np.int64)
+            ok = np.minimum(left[a], left[b]) >= need
+            ok &= (col["side"][a] == 2) | (col["side"][a] != col["side"][b])
+            ok &= (e["doc"][a] != e["doc"][b]) | (e["h"][a] != e["h"][b]) | (e["line"][a] != e["line"][b])
+            a, b, need = a[ok], b[ok], need[ok]
+            apart = np.bitwise_count(col["b1"][a] ^ col["b1"][b]).astype(np.int64) + np.bitwise_count(col["b2"][a] ^ col["b2"][b])
+            ok = apart <= size[a] + size[b] - 2 * need
+            a, b, apart = a[ok], b[ok], apart[ok]
+            if not len(a):
+                continue
+            a_later = turn[a] > turn[b]
+            both = np.concatenate([best, np.stack([np.where(a_later, a, b), apart, np.where(a_later, b, a)])], axis=1)
+            both = both[:, np.lexsort((both[2], both[1], both[0]))]
+            first = np.flatnonzero(np.r_[True, both[0, 1:] != both[0, :-1]])
+            nth = np.arange(both.shape[1]) - np.repeat(first, np.diff(np.r_[first, both.shape[1]]))
+            more[both[0, nth == BEST]] = True
+            best = both[:, nth < BEST]
+        x, _, y = best
+        cols = [e[c][i].astype(np.int64) for i in (x, y) for c in ("doc", "h", "line")]
+        return pa.table(dict(zip(("doc", "h", "line", "doc2", "h2", "line2"), cols)) | {"more": pa.array(more[x])})
+
+    return one
+
+
+_SECOND = "cell long, asks boolean, doc long, h long, line long, words array<long>"
+
+
+def _prefix_slots(rare, threshold: float):
+    """Slots of the prefix words of some lines (with their words), for a bit set."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            slots = [np.zeros(0, np.int64)]
+            for w in b.column("words").to_pylist():
+                w = np.array(w, np.int64).view(np.uint64)
+                order = np.lexsort((w, rare.value[_slot(w, TABLE_BITS)]))
+                keep = len(w) - math.ceil(threshold * len(w) - 1e-9) + 1
+                slots.append(_slot(w[order[:keep]], PLACE_BITS))
+            yield from _emit_slots(np.unique(np.concatenate(slots)))
+
+    return run
+
+
+def _second_look(min_tokens: int, threshold: float, words, crowds, asking, wanted):
+    """Lines with a prefix word that an asking line has, with all their words; ``asks`` marks askers.
+
+    A line is filed under the block that its set falls into, an asker under all
+    blocks of the word.
+    """
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: dict = {}
+        for b in slices(batches, "text"):
+            s = Sets(b, min_tokens)
+            owner, word, _ = _in_order(s, words.value, threshold)
+            ok = _bit(wanted.value, _slot(word, PLACE_BITS)) & _firsts(s, seen)[owner]
+            owner, word = owner[ok], word[ok]
+            asks = _bit(asking.value, _place_slot(s.doc, s.h, s.place))
+            blocks = np.maximum(1, -(-crowds.value[_slot(word, TABLE_BITS)] // BLOCK))
+            cols: list[list] = [[] for _ in range(6)]
+            for i, w, n in zip(owner.tolist(), word.tolist(), blocks.tolist()):
+                own = s.word[s.first[i] : s.first[i] + s.size[i]].view(np.int64)
+                filed = [(int(s.id1[i]) % n, False)] + ([(k, True) for k in range(n)] if asks[i] else [])
+                for k, asker in filed:
+                    cell = int(mix64(np.array([(w + k * int(MULT)) & (1 << 64) - 1], np.uint64)).view(np.int64)[0])
+                    for c, v in zip(cols, (cell, asker, int(s.doc[i]), int(s.h[i]), int(s.place[i]), own)):
+                        c.append(v)
+            kinds = (pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], ["cell", "asks", "doc", "h", "line", "words"])
+
+    return run
+
+
+def _verify_cells(threshold: float):
+    """Asking lines that a line of their cell, earlier in place, is similar to."""
+
+    def one(t: pa.Table) -> pa.Table:
+        t = t.sort_by([("cell", "ascending"), ("asks", "ascending")])
+        cell, asks = t.column("cell").to_numpy(), t.column("asks").to_numpy(zero_copy_only=False)
+        place = np.stack([t.column(c).to_numpy() for c in ("doc", "h", "line")], axis=1)
+        words = [np.array(w, np.int64) for w in t.column("words").to_pylist()]
+        out = []
+        edge = np.flatnonzero(np.r_[True, cell[1:] != cell[:-1]])
+        for lo, hi in zip(edge.tolist(), [*edge[1:].tolist(), len(cell)]):
+            mid = lo + int((~asks[lo:hi]).sum())
+            if mid == lo or mid == hi:
+                continue
+            flat = np.concatenate(words[lo:mid])
+            size = np.array([len(w) for w in words[lo:mid]])
+            first = np.cumsum(size) - size
+            for x in range(mid, hi):
+                own = np.sort(words[x])
+                at = np.minimum(np.searchsorted(own, flat), len(own) - 1)
+                shared = np.add.reduceat((own[at] == flat).astype(np.int64), first)
+                near = np.flatnonzero((1 + threshold) * shared >= threshold * (size + len(own)) - 1e-9) + lo
+                if any(tuple(place[y]) < tuple(place[x]) for y in near.tolist()):
+                    out.append(x)
+        return pa.table({n: pa.array(place[out, i], pa.int64()) for i, n in enumerate(("doc", "h", "line"))})
 
     return one
 
 
+def _bit(bits: bytes, slot: np.ndarray) -> np.ndarray:
+    return (np.frombuffer(bits, np.uint8)[slot >> 3] >> (slot & 7).astype(np.uint8) & 1).astype(bool)
+
+
 def _place_slot(doc: np.ndarray, h: np.ndarray, line: np.ndarray) -> np.ndarray:
     key = mix64(doc.astype(np.int64).view(np.uint64) * MULT + h.astype(np.int64).view(np.uint64)) + line.astype(np.uint64)
     return (mix64(key) >> np.uint64(64 - PLACE_BITS)).astype(np.int64)
 
 
+def _emit_slots(p: np.ndarray) -> Iterator[pa.RecordBatch]:
+    per = (1 << PLACE_BITS) // CHUNKS
+    cut = np.searchsorted(p, np.arange(CHUNKS + 1) * per)
+    rows = [(c, pack((p[cut[c] : cut[c + 1]] - c * per).astype("<u4"))) for c in range(CHUNKS) if cut[c + 1] > cut[c]]
+    yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.binary())], ["chunk", "slots"])
+
+
 def _mark_places(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        p = np.unique(_place_slot(*(b.column(c).to_numpy() for c in ("doc", "h", "line"))))
-        per = (1 << PLACE_BITS) // CHUNKS
-        cut = np.searchsorted(p, np.arange(CHUNKS + 1) * per)
-        rows = [(c, pack((p[cut[c] : cut[c + 1]] - c * per).astype("<u4"))) for c in range(CHUNKS) if cut[c + 1] > cut[c]]
-        yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.binary())], ["chunk", "slots"])
+        yield from _emit_slots(np.unique(_place_slot(*(b.column(c).to_numpy() for c in ("doc", "h", "line")))))
 
 
 def _fill_places(t: pa.Table) -> pa.Table:
@@ -313,12 +418,11 @@ def _fill_places(t: pa.Table) -> pa.Table:
     return pa.table({"chunk": pa.array([t.column("chunk")[0].as_py()], pa.int32()), "bits": pa.array([np.packbits(out, bitorder="little").tobytes()], pa.binary())})
 
 
-def _place_bits(places: DataFrame) -> bytes:
-    """Bit set of fixed size over the places; others may share a bit."""
+def _bit_set(slots: DataFrame) -> bytes:
+    """Bit set of fixed size; others may share a bit."""
     per = (1 << PLACE_BITS) // CHUNKS // 8
     out = bytearray(per * CHUNKS)
-    rows = places.mapInArrow(_mark_places, "chunk int, slots binary").groupBy("chunk").applyInArrow(_fill_places, "chunk int, bits binary")
-    for r in rows.collect():
+    for r in slots.groupBy("chunk").applyInArrow(_fill_places, "chunk int, bits binary").collect():
         out[r.chunk * per : (r.chunk + 1) * per] = r.bits
     return bytes(out)
 
@@ -327,11 +431,9 @@ def _asked(min_tokens: int, flags):
     """Words of the lines whose place is in the bit set."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = np.frombuffer(flags.value, np.uint8)
         for b in slices(batches, "text"):
             s = Sets(b, min_tokens)
-            p = _place_slot(s.doc, s.h, s.place)
-            at = np.flatnonzero(bits[p >> 3] >> (p & 7).astype(np.uint8) & 1)
+            at = np.flatnonzero(_bit(flags.value, _place_slot(s.doc, s.h, s.place)))
             word = s.word.view(np.int64)
             sets = [word[s.first[i] : s.first[i] + s.size[i]] for i in at.tolist()]
             yield pa.RecordBatch.from_arrays(
@@ -362,7 +464,7 @@ def removed_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     spark = docs.sparkSession
     share = spark.sparkContext.broadcast
     d = _identified(docs, id_col, text_col).select("doc", "h", "text")
-    words = share(_collect_table(d.mapInArrow(_count_words(min_tokens), "chunk int, counts binary")))
+    words = share(_rarity(_collect_table(d.mapInArrow(_count_words(), "chunk int, counts binary"))))
     schema = "chunk int, counts binary, id1 long, id2 long, doc long, h long, line long"
     both = checkpoint(d.mapInArrow(_occurrences(min_tokens, threshold, words), schema))
     occ = both.where("chunk IS NULL").drop("chunk", "counts")
@@ -370,28 +472,28 @@ def removed_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     crowds = share(table)
     buckets = max(1, math.ceil(int(table.sum()) / CELL_ROWS))
 
-    def candidates(only=None) -> DataFrame:
-        e = d.mapInArrow(_entries(min_tokens, threshold, words, crowds, buckets), "bucket long, entries binary")
-        return checkpoint(e.groupBy("bucket").applyInArrow(_pair_up(threshold, only), _PAIR))
-
     place, place2 = ["doc", "h", "line"], ["doc2", "h2", "line2"]
-
-    def verified(pairs: DataFrame) -> DataFrame:
-        pairs = pairs.select(*place, *place2).distinct()
-        ends = pairs.select(*place).unionByName(pairs.select(*[F.col(b).alias(a) for a, b in zip(place, place2)]))
-        flags = share(_place_bits(ends))
-        sets = checkpoint(d.mapInArrow(_asked(min_tokens, flags), "doc long, h long, line long, words array<long>").dropDuplicates(place))
-        other = sets.select(*[F.col(a).alias(b) for a, b in zip(place, place2)], F.col("words").alias("words2"))
-        both = pairs.join(sets, place).join(other, place2)
-        shared = F.size(F.array_intersect("words", "words2"))
-        return both.where((1 + threshold) * shared >= threshold * (F.size("words") + F.size("words2")) - 1e-9).select(*place).distinct()
-
-    pairs = candidates()
-    similar = checkpoint(verified(pairs))
-    rest = checkpoint(pairs.where("more").select(*place).distinct().join(similar, place, "left_anti"))
+    entries = d.mapInArrow(_entries(min_tokens, threshold, words, crowds, buckets), "bucket long, entries binary")
+    pairs = checkpoint(entries.groupBy("bucket").applyInArrow(_pair_up(threshold), _PAIR))
+    one_each = pairs.select(*place, *place2).distinct()
+    ends = one_each.select(*place).unionByName(one_each.select(*[F.col(b).alias(a) for a, b in zip(place, place2)]))
+    slots = "chunk int, slots binary"
+    asked = share(_bit_set(ends.mapInArrow(_mark_places, slots)))
+    lines = checkpoint(d.mapInArrow(_asked(min_tokens, asked), "doc long, h long, line long, words array<long>").dropDuplicates(place))
+    other = lines.select(*[F.col(a).alias(b) for a, b in zip(place, place2)], F.col("words").alias("words2"))
+    shared = F.size(F.array_intersect("words", "words2"))
+    alike = (1 + threshold) * shared >= threshold * (F.size("words") + F.size("words2")) - 1e-9
+    similar = checkpoint(one_each.join(lines, place).join(other, place2).where(alike).select(*place).distinct())
+    # second round: lines whose best candidates all failed, though there were more
+    rest = pairs.where("more").select(*place).distinct().join(similar, place, "left_anti")
+    rest = checkpoint(rest.join(lines, place).select(*place, "words"))
     if rest.limit(1).count():
-        again = candidates(share(_place_bits(rest)))
-        similar = similar.unionByName(verified(again)).distinct()
+        asking = share(_bit_set(rest.mapInArrow(_mark_places, slots)))
+        wanted = share(_bit_set(rest.mapInArrow(_prefix_slots(words, threshold), slots)))
+        second = d.mapInArrow(_second_look(min_tokens, threshold, words, crowds, asking, wanted), _SECOND)
+        grouped = second.withColumn("bucket", F.pmod(F.xxhash64("cell"), F.lit(buckets * 8))).groupBy("bucket")
+        late = grouped.applyInArrow(_verify_cells(threshold), "doc long, h long, line long")
+        similar = similar.unionByName(late).distinct()
     sets = occ.groupBy("id1", "id2").agg(F.min(F.struct(*place)).alias("first"))
     kin = similar.select(F.struct(*place).alias("first"), F.lit(True).alias("similar"))
     sets = checkpoint(sets.join(kin, "first", "left"))
