@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskfeat.llm import measures as M
-from riskfeat.llm.labelled import bounded, training_rows
+from riskfeat.llm.labelled import bounded, marks, with_texts
 from riskfeat.llm.textops import byte_view, slices
 
 FEATURES = (
@@ -169,11 +169,9 @@ def train(x: np.ndarray, y: np.ndarray, bins: int = 32, coarse: int = 8, rounds:
 
 def fit(docs: DataFrame, labels: DataFrame, fold: Column, label: str = "quality", id_col: str = "doc_id", text_col: str = "text", max_rows: int = 20_000, **how) -> Model:
     """Model of the labelled rows for which ``fold`` holds, on at most about ``max_rows`` of them."""
-    rows = training_rows(docs, labels, label, fold, id_col, text_col)
-    count = {r.y: r["count"] for r in rows.groupBy("y").count().collect()}
-    total = sum(count.values())
-    if not count.get(0) or not count.get(1):
-        return Model(-40.0 if count.get(0) else 40.0)
+    marked = marks(labels, label, fold, id_col)
+    count = {r.y: r["count"] for r in marked.groupBy("y").count().collect()}
+    sample = with_texts(docs, bounded(marked, "doc", sum(count.values()), max_rows), id_col, text_col)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, "text"):
@@ -181,9 +179,11 @@ def fit(docs: DataFrame, labels: DataFrame, fold: Column, label: str = "quality"
                 [b.column("doc"), b.column("y"), pa.array(features(*byte_view(b.column("text"))).tolist(), pa.list_(pa.float64()))], ["doc", "y", "x"]
             )
 
-    sample = bounded(rows, "doc", total, max_rows).select("doc", "text", "y").mapInArrow(run, "doc long, y int, x array<double>").toPandas()
-    sample = sample.sort_values("doc", kind="stable")
-    return train(np.array(sample["x"].tolist()), sample["y"].to_numpy(float), **how)
+    got = sample.mapInArrow(run, "doc long, y int, x array<double>").toPandas().sort_values("doc", kind="stable")
+    y = got["y"].to_numpy(float)
+    if not len(y) or y.min() == y.max():
+        return Model(-40.0 if len(y) and not y[0] else 40.0)
+    return train(np.array(got["x"].tolist()), y, **how)
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -25,8 +25,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskfeat.llm.labelled import bounded, training_rows
-from riskfeat.llm.textops import IS_SEP, LOWER, MULT, byte_view, slices
+from riskfeat.llm.labelled import bounded, marks, with_texts
+from riskfeat.llm.textops import IS_SEP, LOWER, MULT, byte_view, pack, slices, unpack
 
 BUCKET_BITS = 21
 ORDERS = (3, 4, 5, 6)
@@ -89,7 +89,8 @@ def _count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = have[:, c * per : (c + 1) * per]
         at = np.flatnonzero(part.any(axis=0))
         if len(at):
-            out.append((c, at.astype("<u4").tobytes(), part[0, at].astype("<u4").tobytes(), part[1, at].astype("<u4").tobytes()))
+            gaps = np.diff(at, prepend=0)
+            out.append((c, *(pack(x.astype("<u4")) for x in (gaps, part[0, at], part[1, at]))))
     if out:
         yield pa.RecordBatch.from_pylist([dict(zip(("chunk", "at", "neg", "pos"), r)) for r in out], schema=_BLOBS)
 
@@ -105,9 +106,10 @@ def _select(n_neg: int, n_pos: int, per_chunk: int, min_z: float):
         per = (1 << BUCKET_BITS) // CHUNKS
         have = np.zeros((2, per), np.int64)
         for at, neg, pos in zip(*(t.column(c).to_pylist() for c in ("at", "neg", "pos"))):
-            at = np.frombuffer(at, "<u4")
-            have[0, at] += np.frombuffer(neg, "<u4")
-            have[1, at] += np.frombuffer(pos, "<u4")
+            at, neg, pos = (unpack(x, "<u4") for x in (at, neg, pos))
+            at = np.cumsum(at)
+            have[0, at] += neg
+            have[1, at] += pos
         q, p = have[0] + 1.0, have[1] + 1.0
         ratio = np.log(p / (n_pos + 2.0)) - np.log(q / (n_neg + 2.0))
         z = np.abs(ratio) / np.sqrt(1 / p + 1 / q)
@@ -123,7 +125,7 @@ def _regress(row: np.ndarray, col: np.ndarray, ratio: np.ndarray, y: np.ndarray,
     n = len(y)
     w, b = np.zeros(len(ratio)), float(np.log((y.sum() + 0.5) / (n - y.sum() + 0.5)))
     m, v = np.zeros(len(ratio) + 1), np.zeros(len(ratio) + 1)
-    value = ratio[col]
+    value = ratio[col].astype(np.float32)
     for t in range(1, steps + 1):
         z = np.bincount(row, weights=value * w[col], minlength=n) + b
         err = 1 / (1 + np.exp(-np.clip(z, -40, 40))) - y
@@ -141,14 +143,14 @@ def fit(
     label: str = "toxic",
     id_col: str = "doc_id",
     text_col: str = "text",
-    features: int = 1 << 14,
+    features: int = 1 << 13,
     min_z: float = 4.0,
-    max_rows: int = 20_000,
-    l2: float = 0.3,
+    max_rows: int = 12_000,
+    l2: float = 0.1,
     steps: int = 400,
 ) -> Model:
     """Counts over all training rows; the regression over at most ``max_rows`` of them."""
-    rows = training_rows(docs, labels, label, fold, id_col, text_col)
+    rows = with_texts(docs, marks(labels, label, fold, id_col), id_col, text_col)
     count = {r.y: r["count"] for r in rows.groupBy("y").count().collect()}
     n_neg, n_pos = count.get(0, 0), count.get(1, 0)
     if not n_neg or not n_pos:
@@ -174,9 +176,9 @@ def fit(
             )
 
     sample = bounded(rows, "doc", n_neg + n_pos, max_rows).select("text", "y").mapInArrow(present, "y int, at binary").toPandas()
-    cols = [np.frombuffer(x, "<u2").astype(np.int64) for x in sample["at"]]
-    row = np.repeat(np.arange(len(cols)), [len(c) for c in cols])
-    w, b = _regress(row, np.concatenate(cols) if cols else np.zeros(0, np.int64), ratio, sample["y"].to_numpy(float), l2, steps)
+    col = np.frombuffer(b"".join(sample["at"]), "<u2").astype(np.int32)
+    row = np.repeat(np.arange(len(sample), dtype=np.int32), [len(x) // 2 for x in sample["at"]])
+    w, b = _regress(row, col, ratio, sample["y"].to_numpy(float), l2, steps)
     return Model(b, bucket, w * ratio)
 
 
@@ -196,3 +198,18 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     out = docs.select(F.col(id_col).alias("doc"), F.col(text_col).cast("string").alias("text"))
     kind = dict(out.dtypes)["doc"]
     return out.mapInArrow(run, f"doc {kind}, score double").withColumnRenamed("doc", id_col)
+
+
+def keep_clean(docs: DataFrame, model: Model, threshold: float, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, all columns as they are, whose score is under ``threshold``."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        weight = np.zeros(1 << BUCKET_BITS)
+        weight[model.bucket] = model.weight
+        for b in slices(batches, text_col):
+            data, offs = byte_view(b.column(text_col))
+            row, got = _hits(data, offs, weight != 0)
+            z = model.bias + np.bincount(row, weights=weight[got], minlength=b.num_rows)
+            yield b.filter(pa.array(1 / (1 + np.exp(-np.clip(z, -40, 40))) < threshold))
+
+    return docs.mapInArrow(run, docs.schema)
