@@ -1,9 +1,10 @@
-"""Longest previous factors from suffix order, capped at a power of two.
+"""Previous factors of a fixed length from suffix order.
 
-``ranks`` sorts all suffixes by their first 1, 4, 8, 16, ... ``cap`` codes by
-prefix doubling; the last ranks give the suffix order.  For every position the
-previous and next smaller positions in suffix order are its best earlier
-matches; the longer common prefix of the two is its longest previous factor.
+Prefix doubling ranks all suffixes by their first 8, 16, ... bytes, up to
+``length``; the ranks give the suffix order.  For every position the previous
+and the next smaller position in suffix order are its best earlier matches: its
+longest previous factor reaches ``length`` exactly when one of the two shares
+its rank.
 """
 
 from __future__ import annotations
@@ -11,24 +12,23 @@ from __future__ import annotations
 import numpy as np
 
 
-def ranks(codes: np.ndarray, cap: int) -> dict[int, np.ndarray]:
-    """Rank of every position by its next ``m`` codes, for m = 1, 2, 4, ..., cap.
-
-    Codes are non-negative; past the end stands a code below all others.
-    """
-    r = np.unique(codes, return_inverse=True)[1].astype(np.int64) + 1
-    out, m = {1: r}, 1
-    while m < cap:
-        if r.max(initial=0) == len(r):  # all differ already, and will at every length
-            m *= 2
-            out[m] = r
-            continue
-        later = np.zeros_like(r)
-        later[:-m or None] = r[m:] if m < len(r) else later[: max(0, len(r) - m)]
-        r = np.unique(r * (int(r.max(initial=0)) + 2) + later, return_inverse=True)[1].astype(np.int64) + 1
-        m *= 2
-        out[m] = r
-    return out
+def ranks(data: np.ndarray, length: int) -> np.ndarray:
+    """Rank of every position by its next ``length`` (8 or more) bytes, zeros after the end."""
+    n = len(data)
+    wide = np.zeros(n + 8, np.uint64)
+    wide[:n] = data
+    key = np.zeros(n, np.uint64)
+    for k in range(8):
+        key = key << np.uint64(8) | wide[k : k + n]
+    r = np.unique(key, return_inverse=True)[1].astype(np.int64) + 1
+    have = 8
+    while have < length:
+        step = min(have, length - have)
+        later = np.zeros(n, np.int64)
+        later[: max(0, n - step)] = r[step:]
+        r = np.unique(r * (n + 2) + later, return_inverse=True)[1].astype(np.int64) + 1
+        have += step
+    return r
 
 
 def previous_smaller(a: np.ndarray) -> np.ndarray:
@@ -43,44 +43,17 @@ def previous_smaller(a: np.ndarray) -> np.ndarray:
     return out
 
 
-def common_prefix(levels: dict[int, np.ndarray], i: np.ndarray, j: np.ndarray) -> np.ndarray:
-    """Length of the common prefix of suffixes i and j, capped at the last level."""
-    n = len(levels[1])
-    got = np.zeros(len(i), np.int64)
-    top = max(levels)
-    for m in sorted(levels, reverse=True):
-        x, y = i + got, j + got
-        ok = (x < n) & (y < n) & (got < top)
-        ok[ok] = levels[m][x[ok]] == levels[m][y[ok]]
-        # a rank that reaches past the end is unique to one suffix
-        got[ok] += m
-    return np.minimum(got, top)
-
-
-def longest_previous(codes: np.ndarray, cap: int, backwards: bool = False) -> np.ndarray:
-    """Longest factor at each position that also starts earlier (later, if ``backwards``)."""
-    n = len(codes)
-    if not n:
-        return np.zeros(0, np.int64)
-    levels = ranks(codes, cap)
-    return _previous(levels, n, backwards)
-
-
-def both_ways(codes: np.ndarray, cap: int) -> tuple[np.ndarray, np.ndarray]:
-    """Longest previous and longest next factor arrays from one suffix order."""
-    if not len(codes):
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    levels = ranks(codes, cap)
-    return _previous(levels, len(codes), False), _previous(levels, len(codes), True)
-
-
-def _previous(levels: dict[int, np.ndarray], n: int, backwards: bool) -> np.ndarray:
-    order = np.argsort(levels[max(levels)], kind="stable")
-    place = (n - 1 - order) if backwards else order
-    out = np.zeros(n, np.int64)
+def previous_factor(data: np.ndarray, starts: np.ndarray, length: int) -> np.ndarray:
+    """For each start (rising), an earlier start with the same ``length`` bytes, or -1."""
+    r = ranks(data, length)[starts]
+    order = np.argsort(r, kind="stable")
+    place, rank = starts[order], r[order]
+    n = len(order)
     left = previous_smaller(place)
     right = n - 1 - previous_smaller(place[::-1])[::-1]
-    for near, ok in ((left, left >= 0), (right, right < n)):
-        at = order[ok]
-        out[at] = np.maximum(out[at], common_prefix(levels, at, order[near[ok]]))
+    out = np.full(n, -1, np.int64)
+    for near in (left, right):
+        ok = (near >= 0) & (near < n)
+        ok[ok] = rank[near[ok]] == rank[ok]
+        out[order[ok]] = place[near[ok]]
     return out

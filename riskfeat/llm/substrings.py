@@ -11,13 +11,15 @@ equal windows choose equal anchors and meet under the anchor's hash:
 1. anchor hashes are counted into a bit set of fixed size (``filter_bits``);
    anchors that no other can equal are dropped in the scan.  A full bit set
    only lets more anchors through, it never loses one;
-2. an anchor's context holds all windows that can choose it.  Equal contexts
+2. an anchor's context holds the windows that choose it.  Equal contexts
    collapse into one with a count (pre-aggregated, so a passage in a third of
    the documents is one row per task); a context that occurs twice repeats
    whole;
 3. of different contexts under one anchor, one representative each goes to a
-   bucket of bounded bytes, where suffix order and the previous and next
-   smaller positions give the longest earlier (and later) factors;
+   bucket of bounded bytes.  There the windows are taken in runs by their offset
+   to the anchor: a run whose common bytes are met once repeats nowhere, and
+   equal runs collapse; over those left, suffix order and the previous and next
+   smaller positions find each window's longest earlier factor;
 4. an anchor with more than ``HOT`` different contexts is not put into one
    bucket: its windows are matched one by one by their digests.
 
@@ -37,13 +39,14 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskfeat.llm.lpf import both_ways
+from riskfeat.llm.lpf import previous_factor
 from riskfeat.llm.textops import MULT, byte_view, mix64, slices
 from riskfeat.session import checkpoint
 
 GRAM = 48
-HOT = 1000  # different contexts of one anchor that a bucket takes
-BUCKET_BYTES = 1 << 20
+HOT = 1 << 14  # different contexts of one anchor that a bucket takes (a few MB)
+BUCKET_BYTES = 2 << 20
+RUN = 32  # windows that are looked at together
 CHUNK = 4 << 20  # bytes whose anchors are found at once
 CHUNKS = 32  # of the bit set, each built by one task
 POS_BITS = 24
@@ -69,53 +72,52 @@ def _gram_keys(data: np.ndarray) -> np.ndarray:
         have *= 2
 
 
-def anchors(data: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
-    """Anchor positions of one text's windows, and the hashes there."""
+def anchors(data: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """One text's anchors: positions, hashes, first and last start of the windows that choose them."""
     if len(data) < length:
-        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
-    places, hashes = [], []
+        z = np.zeros(0, np.int64)
+        return z, z.astype(np.uint64), z, z
+    chosen, hashes = [], []
     for at in range(0, len(data) - length + 1, CHUNK):
-        part = data[at : at + CHUNK + length - 1]
-        h = _gram_keys(part)
+        h = _gram_keys(data[at : at + CHUNK + length - 1])
         low = np.uint64((1 << POS_BITS) - 1)
-        key = (h & ~low) | np.arange(len(h), dtype=np.uint64)
+        least, have = (h & ~low) | np.arange(len(h), dtype=np.uint64), 1
         width = length - GRAM + 1
-        least, have = key, 1
         while have * 2 <= width:
             least = np.minimum(least[:-have], least[have:])
             have *= 2
         if have < width:
-            gap = width - have
-            least = np.minimum(least[:-gap], least[gap:])
-        pos = np.unique(least & low).astype(np.int64)
-        places.append(pos + at)
-        hashes.append(h[pos])
-    p, h = np.concatenate(places), np.concatenate(hashes)
-    keep = np.unique(p, return_index=True)[1]
-    return p[keep], h[keep]
-
-
-def _scan(length: int, flags=None):
-    """(batch row, text bytes, anchor positions, hashes) of every text; flags: bit set to pass."""
-
-    def texts(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list]]:
-        keep = np.frombuffer(flags.value, np.uint8) if flags is not None else None
-        for b in slices(batches, "text"):
-            data, offs = byte_view(b.column("text"))
-            out = []
-            for i in range(b.num_rows):
-                if offs[i + 1] - offs[i] < length:
-                    continue
-                own = data[offs[i] : offs[i + 1]]
-                pos, h = anchors(own, length)
-                if keep is not None:
-                    slot = _slot(h, len(keep) * 8)
-                    ok = (keep[slot >> 3] >> (slot & 7).astype(np.uint8) & 1).astype(bool)
-                    pos, h = pos[ok], h[ok]
-                out.append((i, own, pos, h))
-            yield b, out
+            least = np.minimum(least[: have - width], least[width - have :])
+        pos = (least & low).astype(np.int64)
+        new = np.flatnonzero(np.r_[True, pos[1:] != pos[:-1]])
+        chosen.append(np.stack([pos[new] + at, new + at]))
+        hashes.append(h[pos[new]])
+    (pos, first), h = np.concatenate(chosen, axis=1), np.concatenate(hashes)
+    new = np.r_[True, pos[1:] != pos[:-1]]  # the windows of one anchor may be met in two chunks
+    pos, h, first = pos[new], h[new], first[new]
+    return pos, h, first, np.r_[first[1:] - 1, len(data) - length]
+
+
+def _scan(batches: Iterable[pa.RecordBatch], length: int) -> Iterator[tuple[pa.RecordBatch, list]]:
+    """Batches with (row, text bytes, anchors) of their texts that have a window."""
+    for b in slices(batches, "text"):
+        data, offs = byte_view(b.column("text"))
+        yield b, [
+            (i, data[offs[i] : offs[i + 1]], anchors(data[offs[i] : offs[i + 1]], length)) for i in range(b.num_rows) if offs[i + 1] - offs[i] >= length
+        ]
+
+
+def _passes(flags: bytes, hashes: np.ndarray) -> np.ndarray:
+    """Whether each hash's bit is set."""
+    bits = np.frombuffer(flags, np.uint8)
+    slot = _slot(hashes, len(bits) * 8)
+    return (bits[slot >> 3] >> (slot & 7).astype(np.uint8) & 1).astype(bool)
 
-    return texts
+
+def _place_hash(doc: np.ndarray | int, h: np.ndarray | int, first: np.ndarray) -> np.ndarray:
+    """Hash of a context's document and start."""
+    to = lambda v: np.atleast_1d(np.asarray(v, np.int64)).view(np.uint64)
+    return mix64(mix64(to(doc) * MULT + to(h)) + to(first))
 
 
 def _slot(h: np.ndarray, size: int) -> np.ndarray:
@@ -129,10 +131,10 @@ def _emit_slots(length: int, bits: int):
     """Slots of each slice's anchors: those met once and those met more often, by chunk."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, out in _scan(length)(batches):
+        for _, out in _scan(batches, length):
             if not out:
                 continue
-            slot, n = np.unique(_slot(np.concatenate([h for *_, h in out]), bits), return_counts=True)
+            slot, n = np.unique(_slot(np.concatenate([a[1] for *_, a in out]), bits), return_counts=True)
             per = bits // CHUNKS
             cut = np.searchsorted(slot, np.arange(CHUNKS + 1) * per)
             rows = []
@@ -168,46 +170,46 @@ def _bit_set(rows, bits: int) -> bytes:
 
 
 def _emit_occurrences(length: int, flags):
-    """(anchor, context digest, doc, hash, pos, lo, hi) of the anchors that pass."""
-    names = ["anchor", "c1", "c2", "doc", "h", "pos", "lo", "hi"]
+    """(anchor, context digest, doc, hash, first, last) of the anchors that pass."""
+    names = ["anchor", "c1", "c2", "doc", "h", "lo", "hi"]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b, out in _scan(length, flags)(batches):
-            cols: dict[str, list] = {n: [] for n in names}
+        for b, out in _scan(batches, length):
+            cols: list[list] = [[] for _ in names]
             doc, key = b.column("doc").to_pylist(), b.column("h").to_pylist()
-            for i, own, pos, h in out:
-                if not len(pos):
+            for i, own, (pos, h, first, last) in out:
+                ok = _passes(flags.value, h)
+                if not ok.any():
                     continue
+                pos, h, first, hi = pos[ok], h[ok], first[ok], last[ok] + length
                 raw = own.tobytes()
-                lo = np.maximum(pos - (length - GRAM), 0)
-                hi = np.minimum(pos + length, len(own))
                 # where the anchor stands in its context is part of the context
-                d = [xxhash.xxh3_128_digest(raw[x:y], z) for x, y, z in zip(lo.tolist(), hi.tolist(), (pos - lo).tolist())]
+                d = [xxhash.xxh3_128_digest(raw[x:y], z) for x, y, z in zip(first.tolist(), hi.tolist(), (pos - first).tolist())]
                 d = np.frombuffer(b"".join(d), "<i8").reshape(-1, 2)
-                for n, v in zip(names, (h.view(np.int64), d[:, 0], d[:, 1], None, None, pos, lo, hi)):
-                    if v is not None:
-                        cols[n].append(v)
-                cols["doc"].append(np.full(len(pos), -1 if doc[i] is None else doc[i], np.int64))
-                cols["h"].append(np.full(len(pos), key[i], np.int64))
-            if cols["pos"]:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(cols[n])) for n in names], names)
+                for c, v in zip(cols, (h.view(np.int64), d[:, 0], d[:, 1], np.full(len(pos), doc[i]), np.full(len(pos), key[i]), first, hi)):
+                    c.append(v)
+            if cols[0]:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in cols], names)
 
     return run
 
 
+_CONTEXT = "anchor long, doc long, h long, lo long, at long, bytes binary"
+
+
 def _emit_contexts(length: int, flags):
-    """(anchor, doc, h, pos, lo, bytes) of the anchors that pass."""
-    kinds = [("anchor", pa.int64()), ("doc", pa.int64()), ("h", pa.int64()), ("pos", pa.int64()), ("lo", pa.int64()), ("bytes", pa.binary())]
+    """The contexts whose place is in the bit set; ``at`` is the anchor's offset."""
+    kinds = [("anchor", pa.int64()), ("doc", pa.int64()), ("h", pa.int64()), ("lo", pa.int64()), ("at", pa.int64()), ("bytes", pa.binary())]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b, out in _scan(length, flags)(batches):
+        for b, out in _scan(batches, length):
             doc, key = b.column("doc").to_pylist(), b.column("h").to_pylist()
             cols: list[list] = [[] for _ in kinds]
-            for i, own, pos, h in out:
+            for i, own, (pos, h, first, last) in out:
+                ok = _passes(flags.value, _place_hash(doc[i], key[i], first))
                 raw = own.tobytes()
-                for p, a in zip(pos.tolist(), h.view(np.int64).tolist()):
-                    lo = max(p - (length - GRAM), 0)
-                    for c, v in zip(cols, (a, -1 if doc[i] is None else doc[i], key[i], p, lo, raw[lo : p + length])):
+                for p, a, x, y in zip(pos[ok].tolist(), h[ok].view(np.int64).tolist(), first[ok].tolist(), last[ok].tolist()):
+                    for c, v in zip(cols, (a, doc[i], key[i], x, p - x, raw[x : y + length])):
                         c.append(v)
             if cols[0]:
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, (_, k) in zip(cols, kinds)], [n for n, _ in kinds])
@@ -219,37 +221,54 @@ _SPANS = "doc long, h long, lo long, hi long"
 
 
 def _match_bucket(length: int, first: bool):
-    """Repeated spans among a bucket's contexts, by longest previous / next factors."""
-    cap = 1 << (length - 1).bit_length()
+    """Repeated windows among a bucket's contexts, as spans."""
 
     def one(t: pa.Table) -> pa.Table:
         t = t.sort_by([("doc", "ascending"), ("h", "ascending"), ("lo", "ascending")])
-        doc, h, lo = (t.column(c).to_numpy() for c in ("doc", "h", "lo"))
-        raw = t.column("bytes").to_pylist()
-        codes, where, regions = [], [], []  # regions: doc, h, start of the text piece
-        at, end, last = 0, -1, None
-        for d, k, s, x in zip(doc.tolist(), h.tolist(), lo.tolist(), raw):
-            if (d, k) != last or s > end:
-                codes.append(np.array([256 + len(regions)], np.int64))  # a code of its own between pieces
-                where.append(at)
-                regions.append((d, k, s))
-                at, end, last = at + 1, s, (d, k)
-            if s + len(x) > end:  # pieces of one text that overlap are one piece
-                codes.append(np.frombuffer(x, np.uint8)[end - s :].astype(np.int64))
-                at += s + len(x) - end
-                end = s + len(x)
-        text = np.concatenate(codes)
-        back, ahead = both_ways(text, cap)
-        hit = np.flatnonzero(back >= length if first else (back >= length) | (ahead >= length))
-        if not len(hit):
-            return pa.table({n: pa.array([], pa.int64()) for n in ("doc", "h", "lo", "hi")})
-        where = np.array(where)
-        reg = np.searchsorted(where, hit, side="right") - 1
-        new = np.flatnonzero(np.r_[True, (reg[1:] != reg[:-1]) | (hit[1:] > hit[:-1] + 1)])
-        stop = np.r_[new[1:] - 1, len(hit) - 1]
-        own = np.array(regions, np.int64)[reg[new]]
-        start = own[:, 2] + hit[new] - where[reg[new]] - 1
-        return pa.table({"doc": own[:, 0], "h": own[:, 1], "lo": start, "hi": start + hit[stop] - hit[new] + length})
+        rows = list(zip(*(t.column(c).to_pylist() for c in ("anchor", "doc", "h", "lo", "at", "bytes"))))
+        runs: dict[tuple, list] = {}  # same anchor, offsets and common bytes: place order
+        last = None
+        for i, (anchor, doc, h, lo, at, raw) in enumerate(rows):
+            if (doc, h, lo) == last:
+                continue  # one place listed twice
+            last = (doc, h, lo)
+            windows = len(raw) - length + 1
+            for k in range((at - windows + 1) // RUN, at // RUN + 1):
+                # windows that start RUN * k to RUN * k + RUN - 1 bytes before the anchor
+                x, y = max(at - RUN * k - RUN + 1, 0), min(at - RUN * k, windows - 1)
+                common = raw[at - RUN * k : at - RUN * k - RUN + 1 + length]
+                runs.setdefault((anchor, k, xxhash.xxh3_128_digest(common)), []).append((i, x, y))
+        spans: list[tuple[int, int, int]] = []  # row, start, end
+        pieces: list[tuple[int, int, int]] = []
+        for own in runs.values():
+            if len(own) < 2:
+                continue
+            same: dict[bytes, list] = {}
+            for i, x, y in own:
+                same.setdefault(rows[i][5][x : y + length], []).append((i, x, y))
+            for group in same.values():
+                spans += [(i, x, y + length) for i, x, y in (group[1:] if first else group if len(group) > 1 else ())]
+            if len(same) > 1:
+                pieces += [group[0] for group in same.values()]
+        pieces.sort()
+        if pieces:
+            text = np.frombuffer(b"".join(rows[i][5][x : y + length] for i, x, y in pieces), np.uint8)
+            n = np.array([y - x + 1 for _, x, y in pieces])
+            base = np.cumsum(n + length - 1) - (n + length - 1)
+            piece = np.repeat(np.arange(len(pieces)), n)
+            offset = np.arange(len(piece)) - np.repeat(np.cumsum(n) - n, n)
+            starts = base[piece] + offset
+            back = previous_factor(text, starts, length)
+            hit = back >= 0
+            if not first:  # the earlier one goes too
+                hit[np.searchsorted(starts, back[hit])] = True
+            hit = np.flatnonzero(hit)
+            new = np.flatnonzero(np.r_[True, (piece[hit[1:]] != piece[hit[:-1]]) | (hit[1:] > hit[:-1] + 1)]) if len(hit) else hit
+            for a, z in zip(new.tolist(), np.r_[new[1:] - 1, len(hit) - 1].tolist() if len(hit) else []):
+                i, x, _ = pieces[piece[hit[a]]]
+                spans.append((i, x + int(offset[hit[a]]), x + int(offset[hit[z]]) + length))
+        cols = [[rows[i][1] for i, *_ in spans], [rows[i][2] for i, *_ in spans], [rows[i][3] + x for i, x, _ in spans], [rows[i][3] + y for i, _, y in spans]]
+        return pa.table({n: pa.array(c, pa.int64()) for n, c in zip(("doc", "h", "lo", "hi"), cols)})
 
     return one
 
@@ -319,57 +338,61 @@ def remove_repeats(
     first = keep == "first"
     spark = docs.sparkSession
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    d = docs.select(F.col(id_col).cast("long").alias("doc"), text.alias("text"), F.xxhash64(text).alias("h"))
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), text.alias("text"), F.xxhash64(text).alias("h"))
+    rows = rows.withColumn("doc", F.coalesce("id", F.lit(-1)))
+    d = rows.select("doc", "h", "text")
 
-    def flags(hashes: DataFrame):
-        return spark.sparkContext.broadcast(_bit_set(hashes.groupBy("chunk").applyInArrow(_fill(filter_bits), "chunk int, bits binary").collect(), filter_bits))
+    def flags(slots: DataFrame):
+        filled = slots.groupBy("chunk").applyInArrow(_fill(filter_bits), "chunk int, bits binary")
+        return spark.sparkContext.broadcast(_bit_set(filled.collect(), filter_bits))
 
     shared = flags(d.select("text").mapInArrow(_emit_slots(length, filter_bits), "chunk int, once binary, more binary"))
-    occ = checkpoint(d.mapInArrow(_emit_occurrences(length, shared), "anchor long, c1 long, c2 long, doc long, h long, pos long, lo long, hi long"))
-    place = F.struct("doc", "h", "pos", "lo", "hi")
+    occ = d.mapInArrow(_emit_occurrences(length, shared), "anchor long, c1 long, c2 long, doc long, h long, lo long, hi long")
+    occ = checkpoint(occ)
+    place = F.struct("doc", "h", "lo")
     same = checkpoint(occ.groupBy("anchor", "c1", "c2").agg(F.count("*").alias("n"), F.min(place).alias("at")))
-    kinds = same.groupBy("anchor").agg(F.count("*").alias("kinds")).where("kinds > 1")
     whole = occ.join(same.where("n > 1"), ["anchor", "c1", "c2"])
     if first:
         # rows equal in id, text and place are one document listed again: all stay or all go
         whole = whole.where(place != F.col("at"))
     spans = whole.select("doc", "h", "lo", "hi")
-    check = checkpoint(
-        same.join(kinds, "anchor").select("anchor", "kinds", F.col("at.doc").alias("doc"), F.col("at.h").alias("h"), F.col("at.pos").alias("pos"))
-    )
-    total = check.count()
-    if total:
-        mark = flags(check.select("anchor").distinct().mapInArrow(_slots_of("anchor", filter_bits), "chunk int, once binary, more binary"))
-        texts = d.mapInArrow(_emit_contexts(length, mark), "anchor long, doc long, h long, pos long, lo long, bytes binary")
-        found = checkpoint(texts.join(check, ["anchor", "doc", "h", "pos"]).dropDuplicates(["anchor", "doc", "h", "pos"]))
-        buckets = max(1, -(-total * 2 * length // BUCKET_BYTES))
-        cold = (
-            found.where(F.col("kinds") <= HOT)
-            .select(F.pmod(F.xxhash64("anchor"), F.lit(buckets)).alias("bucket"), "doc", "h", "lo", "bytes")
-            .groupBy("bucket").applyInArrow(_match_bucket(length, first), _SPANS)
-        )
-        each = found.where(F.col("kinds") > HOT).mapInArrow(_windows(length), "digest binary, doc long, h long, lo long")
-        one = F.struct("doc", "h", "lo")
-        often = each.groupBy("digest").agg(F.min(one).alias("a"), F.max(one).alias("z")).where("a != z")
-        hot = each.join(often, "digest")
+    kinds = same.groupBy("anchor").agg(F.count("*").alias("kinds")).where("kinds > 1")
+    check = checkpoint(same.join(kinds, "anchor").select("kinds", "at.doc", "at.h", "at.lo"))
+
+    def contexts(which: str) -> tuple[int, DataFrame | None]:
+        own = check.where(which)
+        n = own.count()
+        if not n:
+            return 0, None
+        mark = flags(own.mapInArrow(_place_slots(filter_bits), "chunk int, once binary, more binary"))
+        return n, d.mapInArrow(_emit_contexts(length, mark), _CONTEXT)
+
+    n, cold = contexts(f"kinds <= {HOT}")
+    if n:
+        buckets = max(1, -(-n * (2 * length - GRAM) // BUCKET_BYTES))
+        grouped = cold.withColumn("bucket", F.pmod(F.xxhash64("anchor"), F.lit(buckets))).groupBy("bucket")
+        spans = spans.unionByName(grouped.applyInArrow(_match_bucket(length, first), _SPANS))
+    n, hot = contexts(f"kinds > {HOT}")
+    if n:
+        each = hot.mapInArrow(_windows(length), "digest binary, doc long, h long, lo long")
+        often = each.groupBy("digest").agg(F.min(place).alias("a"), F.max(place).alias("z")).where("a != z")
+        again = each.join(often, "digest")
         if first:
-            hot = hot.where(one != F.col("a"))
-        hot = hot.select("doc", "h", "lo", (F.col("lo") + length).alias("hi")).distinct()
-        spans = spans.unionByName(cold).unionByName(hot)
+            again = again.where(place != F.col("a"))
+        spans = spans.unionByName(again.select("doc", "h", "lo", (F.col("lo") + length).alias("hi")).distinct())
     per = spans.groupBy("doc", "h").agg(F.collect_set(F.struct("lo", "hi")).alias("spans"))
-    rows = d.select(F.col("doc").alias("id"), F.coalesce("doc", F.lit(-1)).alias("doc"), "h", "text")
     done = rows.join(per, ["doc", "h"], "left").select("id", "text", "spans").mapInArrow(
         _cut, "id long, n_bytes long, n_removed long, spans array<struct<start: long, stop: long>>, kept binary"
     )
     return done.withColumnRenamed("id", id_col)
 
 
-def _slots_of(column: str, bits: int):
-    """Slots of a column of hashes, each marked as met more than once."""
+def _place_slots(bits: int):
+    """Slots of places, each marked as met more than once."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            slot = np.unique(_slot(b.column(column).to_numpy().view(np.uint64), bits))
+            slot = np.unique(_slot(_place_hash(*(b.column(c).to_numpy() for c in ("doc", "h", "lo"))), bits))
             per = bits // CHUNKS
             cut = np.searchsorted(slot, np.arange(CHUNKS + 1) * per)
             rows = [(c, b"", (slot[cut[c] : cut[c + 1]] - c * per).astype("<u4").tobytes()) for c in range(CHUNKS) if cut[c + 1] > cut[c]]

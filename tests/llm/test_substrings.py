@@ -87,25 +87,18 @@ def test_anchors_agree_across_chunks(monkeypatch):
     parts = substrings.anchors(data, 200)
     assert all((x == y).all() for x, y in zip(whole, parts))
     # every window holds one of its anchors
-    p = whole[0]
-    assert all(((p >= s) & (p <= s + 200 - substrings.GRAM)).any() for s in range(len(data) - 199))
-
-
-@given(st.lists(st.integers(0, 3), max_size=50), st.sampled_from([4, 16]))
-@settings(max_examples=200, deadline=None)
-def test_longest_previous_factors(codes, cap):
-    c = np.array(codes, np.int64)
-
-    def best(i, others):
-        n = [0]
-        for j in others:
-            k = 0
-            while k < cap and max(i, j) + k < len(c) and c[i + k] == c[j + k]:
-                k += 1
-            n.append(k)
-        return max(n)
-
-    back, ahead = lpf.both_ways(c, cap)
-    assert back.tolist() == [best(i, range(i)) for i in range(len(c))]
-    assert ahead.tolist() == [best(i, range(i + 1, len(c))) for i in range(len(c))]
-    assert lpf.longest_previous(c, cap).tolist() == back.tolist()
+    pos, _, first, last = whole
+    # every window has one anchor, and holds it
+    assert first[0] == 0 and last[-1] == len(data) - 200 and (first[1:] == last[:-1] + 1).all()
+    assert (pos >= last).all() and (pos <= first + 200 - substrings.GRAM).all()
+
+
+@given(st.lists(st.integers(0, 3), max_size=60), st.sampled_from([8, 11, 16, 20]), st.randoms())
+@settings(max_examples=300, deadline=None)
+def test_previous_factors(codes, length, rnd):
+    data = np.array(codes, np.uint8)
+    starts = np.array([i for i in range(max(0, len(data) - length + 1)) if rnd.random() < 0.8], np.int64)
+    back = lpf.previous_factor(data, starts, length)
+    for i, b in zip(starts.tolist(), back.tolist()):
+        same = [j for j in starts.tolist() if j < i and (data[j : j + length] == data[i : i + length]).all()]
+        assert b in same if same else b == -1
