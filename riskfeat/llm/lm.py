@@ -42,7 +42,8 @@ from pyspark.sql import functions as F
 from riskfeat.llm.textops import LOWER, MULT, byte_view, mix64, pack, slices, unpack, word_hashes, word_spans
 from riskfeat.session import checkpoint
 
-BLOCK_TOKENS = 1 << 19
+BLOCK_TOKENS = 1 << 22
+STEP = 1 << 18  # tokens for which arcs are looked up at a time
 BUCKET_KEYS = 1 << 21  # n-grams, before adding up, that a bucket takes on average
 END = np.uint64(0x5EED0E0D)  # stands for the end of a text
 START = np.uint64(0x5EED05AA)  # context of a text's first token
@@ -63,54 +64,58 @@ def _unpack_keys(b: bytes) -> np.ndarray:
 
 
 def _blocks(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Texts to blocks of pieces: local word ids in order, and the words' hashes."""
+    """Texts to blocks of pieces: local word ids in order, and the words' hashes, frequent first."""
     ctx = TaskContext.get()
     uid = (ctx.partitionId() if ctx else 0) << 40
-    for b in slices(batches, "text", limit=6 * BLOCK_TOKENS):
+    pieces: list[tuple] = []  # uid, doc, held, context, tokens
+    size = 0
+
+    def block() -> pa.RecordBatch:
+        n = [len(p[4]) for p in pieces]
+        both = np.concatenate([*(p[4] for p in pieces), np.array([p[3] for p in pieces], np.uint64)])
+        words, seq, count = np.unique(both, return_inverse=True, return_counts=True)
+        order = np.argsort(-count, kind="stable")
+        rank = np.empty(len(order), np.int64)
+        rank[order] = np.arange(len(order))
+        seq = rank[seq].astype("<u4")
+        cols = ([p[0] for p in pieces], [p[1] for p in pieces], [p[2] for p in pieces], n)
+        kinds = (pa.int64(), pa.int64(), pa.bool_(), pa.int64())
+        return pa.RecordBatch.from_arrays(
+            [
+                *(pa.array([c], pa.list_(k)) for c, k in zip(cols, kinds)),
+                pa.array([seq[sum(n) :].tobytes()], pa.binary()),
+                pa.array([words[order].tobytes()], pa.binary()),
+                pa.array([pack(seq[: sum(n)].view(np.uint8).reshape(-1, 4).T)], pa.binary()),  # as byte planes
+            ],
+            ["uid", "doc", "held", "n", "context", "words", "seq"],
+        )
+
+    for b in slices(batches, "text"):
         data, offs = byte_view(b.column("text"))
         data = LOWER[data]
         row, start, end = word_spans(data, offs)
         h = word_hashes(data, start, end)
-        n = np.bincount(row, minlength=b.num_rows) + 1
-        stop = np.cumsum(n)
+        stop = np.cumsum(np.bincount(row, minlength=b.num_rows) + 1)
         tokens = np.full(int(stop[-1]), END, np.uint64)
         tokens[np.delete(np.arange(len(tokens)), stop - 1)] = h
-        before = np.empty_like(tokens)
-        before[1:] = tokens[:-1]
-        before[stop - n] = START
-        doc, held = b.column("doc").to_pylist(), b.column("held").to_pylist()
-        pieces = [(i, a, min(a + BLOCK_TOKENS, int(stop[i]))) for i in range(b.num_rows) for a in range(int(stop[i] - n[i]), int(stop[i]), BLOCK_TOKENS)]
-        at = 0
-        while at < len(pieces):
-            to = at + 1
-            while to < len(pieces) and pieces[to][2] - pieces[at][1] <= BLOCK_TOKENS:
-                to += 1
-            part = pieces[at:to]
-            lo, hi = part[0][1], part[-1][2]
-            words, seq = np.unique(np.concatenate([tokens[lo:hi], before[[p[1] for p in part]]]), return_inverse=True)
-            seq = seq.astype("<u4")
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([[uid + p[0] for p in part]], pa.list_(pa.int64())),
-                    pa.array([[doc[p[0]] for p in part]], pa.list_(pa.int64())),
-                    pa.array([[held[p[0]] for p in part]], pa.list_(pa.bool_())),
-                    pa.array([[p[2] - p[1] for p in part]], pa.list_(pa.int64())),
-                    pa.array([seq[hi - lo :].tobytes()], pa.binary()),
-                    pa.array([_pack_keys(words)], pa.binary()),
-                    pa.array([pack(seq[: hi - lo])], pa.binary()),
-                ],
-                ["uid", "doc", "held", "n", "context", "words", "seq"],
-            )
-            at = to
+        for i, (doc, held, a, z) in enumerate(zip(b.column("doc").to_pylist(), b.column("held").to_pylist(), [0, *stop[:-1].tolist()], stop.tolist())):
+            for at in range(a, z, BLOCK_TOKENS):
+                pieces.append((uid + i, doc, held, START if at == a else tokens[at - 1], tokens[at : min(at + BLOCK_TOKENS, z)]))
+                size += len(pieces[-1][4])
+                if size >= BLOCK_TOKENS:
+                    yield block()
+                    pieces, size = [], 0
         uid += b.num_rows
+    if pieces:
+        yield block()
 
 
 class _Block:
     """One block read back: tokens, contexts, and its distinct bigrams."""
 
     def __init__(self, r: dict) -> None:
-        self.words = _unpack_keys(r["words"])
-        self.seq = unpack(r["seq"], "<u4").astype(np.int64)
+        self.words = np.frombuffer(r["words"], np.uint64)
+        self.seq = np.ascontiguousarray(unpack(r["seq"], "u1").reshape(4, -1).T).view("<u4").ravel().astype(np.int64)
         self.n = np.array(r["n"], np.int64)
         self.first = np.cumsum(self.n) - self.n
         self.held = np.array(r["held"], bool)
@@ -199,6 +204,25 @@ def traverse(seq: list[int], starts: list[int], ends: list[int], contexts: list[
     return took, failed
 
 
+def _walk(x: _Block, bi: np.ndarray, known: np.ndarray, entry: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A block's arcs and failures, STEP tokens at a time: only their arcs are in memory as a map."""
+    width, listed = len(x.words), known.tolist()
+    took, failed = np.empty(len(x.seq), np.int64), np.empty(len(x.seq), np.int64)
+    for lo in range(0, len(x.seq), STEP):
+        hi = min(lo + STEP, len(x.seq))
+        own = np.unique(x.bigram[lo:hi])
+        own = own[bi[own] > 0]
+        arcs = dict(zip((x.h[own] * width + x.w[own]).tolist(), own.tolist()))
+        inside = np.flatnonzero((x.first >= lo) & (x.first < hi))
+        starts, states = x.first[inside].tolist(), entry[inside].tolist()
+        if not starts or starts[0] > lo:  # a piece goes on
+            starts.insert(0, lo)
+            states.insert(0, int(x.seq[lo - 1]) if known[x.seq[lo - 1]] else -1)
+        a, f = traverse(x.seq[lo:hi].tolist(), [s - lo for s in starts], [s - lo for s in [*starts[1:], hi]], states, arcs, width, listed)
+        took[lo:hi], failed[lo:hi] = a, f
+    return took, failed
+
+
 def _score(n_train: int, n_kinds: int, n_texts: int):
     """Cogrouped (block, answers) to one row per piece, for every k of the grid."""
     denominator = n_train + 0.5 * (n_kinds + 1)
@@ -216,14 +240,11 @@ def _score(n_train: int, n_kinds: int, n_texts: int):
                 got[kind][np.argsort(keys)] = np.concatenate([unpack(c, "<u4") for _, c in rows])
             uni, bi = got[1], got[2]
             of_state = np.where(x.words == START, n_texts, uni)  # how often a state is left
-            width = len(x.words)
             seen = np.flatnonzero(bi > 0)
-            arcs = dict(zip((x.h[seen] * width + x.w[seen]).tolist(), seen.tolist()))
             known = uni > 0
             first = x.context[x.first]
             entry = np.where(known[first] | (x.words[first] == START), first, -1)
-            took, failed = traverse(x.seq.tolist(), x.first.tolist(), (x.first + x.n).tolist(), entry.tolist(), arcs, width, known.tolist())
-            took, failed = np.array(took, np.int64), np.array(failed, np.int64)
+            took, failed = _walk(x, bi, known, entry)
             root = np.log10((uni + 0.5) / denominator)  # weights of the root's arcs
             on_root, on_arc, on_fail = root[x.seq], np.flatnonzero(took >= 0), np.flatnonzero(failed >= 0)
             arc, fail = took[on_arc], failed[on_fail]

@@ -75,9 +75,10 @@ def test_query_matches_plain_computation(spark):
     assert sum(r[6] for r in held) > sum(r[5] for r in held)
 
 
-@pytest.mark.parametrize("block", [1 << 19, 7])
-def test_blocks_and_edge_rows(spark, monkeypatch, block):
+@pytest.mark.parametrize("block, step", [(1 << 19, 1 << 18), (7, 3)])
+def test_blocks_and_edge_rows(spark, monkeypatch, block, step):
     monkeypatch.setattr(lm, "BLOCK_TOKENS", block)
+    monkeypatch.setattr(lm, "STEP", step)
     monkeypatch.setattr(lm, "BUCKET_KEYS", 16)
     rows = [(1, "The cat sat on the mat", False), (2, "the cat SAT on a dog\n\nthe end", False), (3, None, False), (3, "", True), (4, "the cat zzz sat on", True),
             (None, "the cat", False), (5, "the cat", True), (5, "the cat", True), (6, "word " * 60 + "ä\x1cö", False), (7, "y" * 50_000, True)]
