@@ -42,7 +42,7 @@ from pyspark.sql import functions as F
 from riskfeat.llm.textops import LOWER, MULT, byte_view, mix64, pack, slices, unpack, word_hashes, word_spans
 from riskfeat.session import checkpoint
 
-BLOCK_TOKENS = 1 << 22
+BLOCK_TOKENS = 1 << 21
 STEP = 1 << 18  # tokens for which arcs are looked up at a time
 BUCKET_KEYS = 1 << 21  # n-grams, before adding up, that a bucket takes on average
 END = np.uint64(0x5EED0E0D)  # stands for the end of a text
