@@ -3,7 +3,9 @@
 A line is the set of its words (A-Z lower-cased).  A line goes when an earlier
 line (by document id, then place) has a Jaccard similarity of ``threshold`` or
 more with it; the earliest of its kind stays.  Lines of fewer than
-``min_tokens`` different words are left alone.
+``min_tokens`` different words are left alone; with ``copies`` a text that lost
+lines and of which only such short lines are left, each of them equal as a set
+to an earlier line, counts as emptied: it is a copy.
 
 Join: words are ordered from rare to frequent.  Two similar sets share a word
 among their first ``n - ceil(threshold n) + 1``, so a set is filed under just
@@ -63,19 +65,26 @@ def _by_group(group: np.ndarray, key: np.ndarray) -> np.ndarray:
     return order
 
 
+def _line_words(b: pa.RecordBatch) -> tuple[Texts, np.ndarray, np.ndarray]:
+    """Distinct (line, word) of a slice."""
+    data, offs = byte_view(b.column("text"))
+    t = Texts(LOWER[data], offs)
+    order = _by_group(t.line, t.hash)
+    line, word = t.line[order], t.hash[order]
+    new = np.ones(len(line), bool)
+    new[1:] = (line[1:] != line[:-1]) | (word[1:] != word[:-1])
+    return t, line[new], word[new]
+
+
 class Sets:
-    """Word sets of the lines of a slice that are long enough."""
-
-    def __init__(self, b: pa.RecordBatch, min_tokens: int) -> None:
-        data, offs = byte_view(b.column("text"))
-        t = Texts(LOWER[data], offs)
-        order = _by_group(t.line, t.hash)
-        line, word = t.line[order], t.hash[order]
-        new = np.ones(len(line), bool)
-        new[1:] = (line[1:] != line[:-1]) | (word[1:] != word[:-1])
-        line, word = line[new], word[new]
+    """Word sets of the lines of a slice that are long enough (and have fewer than ``below`` words)."""
+
+    def __init__(self, b: pa.RecordBatch, min_tokens: int, below: int | None = None, found: tuple | None = None) -> None:
+        t, line, word = found or _line_words(b)
         n = np.bincount(line, minlength=len(t.line_row))
         keep = n >= min_tokens
+        if below is not None:
+            keep &= n < below
         enough = keep[line]
         self.word = word[enough]
         at = np.flatnonzero(keep)
@@ -158,19 +167,23 @@ def _collect_table(rows: DataFrame) -> np.ndarray:
 _OCCURRENCE = [("chunk", pa.int32()), ("counts", pa.binary()), ("id1", pa.int64()), ("id2", pa.int64()), ("doc", pa.int64()), ("h", pa.int64()), ("line", pa.int64())]
 
 
-def _occurrences(min_tokens: int, threshold: float, words):
-    """Every line's set and place (chunk null), and the task's counts of prefix words."""
+SHORT = -1  # chunk of the lines under the least size
+
+
+def _occurrences(min_tokens: int, threshold: float, words, short: bool):
+    """Every line's set and place (chunk null), the task's counts of prefix words, and the shorter lines if asked for."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts, seen = np.zeros(1 << TABLE_BITS, np.int64), {}
         for b in slices(batches, "text"):
-            s = Sets(b, min_tokens)
+            found = _line_words(b)
+            s = Sets(b, min_tokens, found=found)
             owner, word, _ = _in_order(s, words.value, threshold)
             slot, n = np.unique(_slot(word[_firsts(s, seen)[owner]], TABLE_BITS), return_counts=True)
             counts[slot] += n
-            none = [None] * len(s.size)
-            cols = (none, none, s.id1.view(np.int64), s.id2.view(np.int64), s.doc, s.h, s.place)
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, (_, k) in zip(cols, _OCCURRENCE)], [n for n, _ in _OCCURRENCE])
+            for chunk, x in ((None, s), (SHORT, Sets(b, 1, min_tokens, found))) if short else ((None, s),):
+                cols = ([chunk] * len(x.size), [None] * len(x.size), x.id1.view(np.int64), x.id2.view(np.int64), x.doc, x.h, x.place)
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, (_, k) in zip(cols, _OCCURRENCE)], [n for n, _ in _OCCURRENCE])
         yield pa.RecordBatch.from_pylist([{"chunk": c, "counts": x} for c, x in _table(counts)], schema=pa.schema(_OCCURRENCE))
 
     return run
@@ -446,13 +459,14 @@ def _asked(min_tokens: int, flags):
 def _take_out(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in slices(batches, "text"):
         n, gone, kept, emptied = [], [], [], []
-        for text, lines in zip(b.column("text").to_pylist(), b.column("lines").to_pylist()):
+        for text, lines, again in zip(*(b.column(c).to_pylist() for c in ("text", "lines", "again"))):
             parts = [] if text is None else text.split("\n")
             out = set(lines or ())
+            known = out.union(again or ())
             n.append(len(parts))
             gone.append(sorted(out))
             kept.append("\n".join(x for i, x in enumerate(parts) if i not in out) if out else text)
-            emptied.append(bool(out) and not kept[-1].encode("utf-8").split())
+            emptied.append(bool(out) and not any(x.encode("utf-8").split() for i, x in enumerate(parts) if i not in known))
         yield pa.RecordBatch.from_arrays(
             [b.column("row"), b.column("h"), pa.array(n, pa.int64()), pa.array(gone, pa.list_(pa.int64())), pa.array(kept, pa.string()), pa.array(emptied)],
             ["row", "text_hash", "n_lines", "removed", "kept_text", "emptied"],
@@ -461,14 +475,19 @@ def _take_out(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def removed_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.8, min_tokens: int = 5) -> DataFrame:
     """``(doc, h, line)`` of every line that goes; h is the text's xxhash64."""
+    return _removed(docs, id_col, text_col, threshold, min_tokens, False)[0]
+
+
+def _removed(docs: DataFrame, id_col: str, text_col: str, threshold: float, min_tokens: int, short: bool) -> tuple[DataFrame, DataFrame]:
+    """Lines that go; sets and places of the lines that are too short to go, if asked for."""
     spark = docs.sparkSession
     share = spark.sparkContext.broadcast
     d = _identified(docs, id_col, text_col).select("doc", "h", "text")
     words = share(_rarity(_collect_table(d.mapInArrow(_count_words(), "chunk int, counts binary"))))
     schema = "chunk int, counts binary, id1 long, id2 long, doc long, h long, line long"
-    both = checkpoint(d.mapInArrow(_occurrences(min_tokens, threshold, words), schema))
+    both = checkpoint(d.mapInArrow(_occurrences(min_tokens, threshold, words, short), schema))
     occ = both.where("chunk IS NULL").drop("chunk", "counts")
-    table = _collect_table(both.where("chunk IS NOT NULL").select("chunk", "counts"))
+    table = _collect_table(both.where(F.col("chunk") >= 0).select("chunk", "counts"))
     crowds = share(table)
     buckets = max(1, math.ceil(int(table.sum()) / CELL_ROWS))
 
@@ -497,7 +516,17 @@ def removed_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     sets = occ.groupBy("id1", "id2").agg(F.min(F.struct(*place)).alias("first"))
     kin = similar.select(F.struct(*place).alias("first"), F.lit(True).alias("similar"))
     sets = checkpoint(sets.join(kin, "first", "left"))
-    return occ.join(sets, ["id1", "id2"]).where(F.col("similar").isNotNull() | (F.struct(*place) != F.col("first"))).select(*place)
+    gone = occ.join(sets, ["id1", "id2"]).where(F.col("similar").isNotNull() | (F.struct(*place) != F.col("first"))).select(*place)
+    return gone, both.where(F.col("chunk") == SHORT).drop("chunk", "counts")
+
+
+def _repeats(short: DataFrame, gone: DataFrame) -> DataFrame:
+    """``(doc, h, again)``: short lines, of texts that lose lines, whose set stands in an earlier place."""
+    place = ["doc", "h", "line"]
+    first = checkpoint(short.groupBy("id1", "id2").agg(F.min(F.struct(*place)).alias("first")))
+    own = short.join(gone.select("doc", "h").distinct(), ["doc", "h"], "left_semi")
+    again = own.join(first, ["id1", "id2"]).where(F.struct(*place) != F.col("first"))
+    return again.groupBy("doc", "h").agg(F.collect_set("line").alias("again"))
 
 
 def _identified(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -505,19 +534,23 @@ def _identified(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.col(id_col).cast("long").alias("doc"), text.alias("text"), F.xxhash64(F.coalesce(text, F.lit(""))).alias("h"))
 
 
-def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.8, min_tokens: int = 5) -> DataFrame:
+def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.8, min_tokens: int = 5, copies: bool = False) -> DataFrame:
     """``(row, text_hash, n_lines, removed, kept_text, emptied)`` per row of ``docs``.
 
     ``row`` is the row itself as a struct, ``removed`` the numbers of the lines
-    that went, ``kept_text`` the rest, ``emptied`` whether no word is left.
+    that went, ``kept_text`` the rest, ``emptied`` whether no word is left (with
+    ``copies``: none but those of short lines that repeat earlier ones).
     """
-    gone = removed_lines(docs, id_col, text_col, threshold, min_tokens)
+    gone, short = _removed(docs, id_col, text_col, threshold, min_tokens, copies)
+    gone = checkpoint(gone) if copies else gone
     per = gone.groupBy("doc", "h").agg(F.collect_set("line").alias("lines"))
     text = F.col(text_col).cast("string")
     d = docs.select(
         F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 62))).alias("doc"),
         F.xxhash64(F.coalesce(text, F.lit(""))).alias("h"), text.alias("text"),
     )
-    out = d.join(per, ["doc", "h"], "left").select("row", "h", "text", "lines")
+    d = d.join(per, ["doc", "h"], "left")
+    d = d.join(_repeats(short, gone), ["doc", "h"], "left") if copies else d.withColumn("again", F.lit(None).cast("array<long>"))
+    out = d.select("row", "h", "text", "lines", "again")
     row = out.schema["row"].dataType.simpleString()
     return out.mapInArrow(_take_out, f"row {row}, text_hash long, n_lines long, removed array<long>, kept_text string, emptied boolean")

@@ -99,3 +99,22 @@ def test_edge_rows(spark):
     assert linededup.dedup_lines(df.limit(0)).collect() == []
     least = [(1, "a b\na b"), (2, "b a")]
     assert got(linededup.dedup_lines(spark.createDataFrame(least, "doc_id long, text string"), min_tokens=1)) == brute(spark, least, least=1)
+
+
+def test_copies_with_short_lines_are_emptied(spark):
+    long, other = "one two three four five six", "seven eight nine ten eleven twelve"
+    rows = [(1, f"Title here\n{long}\n\nBye"), (2, f"Title here\n{long}\n\nBye"), (3, f"title HERE\n{long}\nnew words"), (4, "Title here\nBye"),
+            (5, f"Title here\n{other}"), (6, f"bye\n{other}\nhere title"), (7, f"own line\n{long}\nown line"), (None, f"Bye\n{long}"), (None, f"Bye\n{long}")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    out = linededup.dedup_lines(df.repartition(3), copies=True)
+    assert got(out) == brute(spark, rows)  # which lines go is the same
+    # 3 and 7 hold a line of their own, 4 lost none, 5 has a new long line; rows without an id are first
+    assert sorted(r.row.doc_id for r in out.where("emptied").collect()) == [2, 6]
+
+
+def test_pipeline_drops_copies_with_short_lines(spark):
+    import corpus_pipeline
+
+    text = "A Title\none two three four five six\nthe end"
+    docs = spark.createDataFrame([(1, text, "en", "s", len(text)), (2, text, "en", "s", len(text))], "doc_id long, text string, lang string, source string, n_chars long")
+    assert [(r.doc_id, r.text) for r in corpus_pipeline.drop_repeated_lines(spark, docs, "").collect()] == [(1, text)]
