@@ -31,6 +31,7 @@ from riskfeat.llm.textops import IS_SEP, LOWER, MULT, byte_view, pack, slices, u
 BUCKET_BITS = 21
 ORDERS = (3, 4, 5, 6)
 CHUNKS = 64  # of the bucket range, each summed by one task
+PART = 1 << 19  # features of rows that a pass of the regression takes at once
 
 
 @dataclass
@@ -120,16 +121,27 @@ def _select(n_neg: int, n_pos: int, per_chunk: int, min_z: float):
     return one
 
 
-def _regress(row: np.ndarray, col: np.ndarray, ratio: np.ndarray, y: np.ndarray, l2: float, steps: int) -> tuple[np.ndarray, float]:
-    """Logistic regression on presence times ratio, by Adam over all rows."""
+def _regress(size: np.ndarray, col: np.ndarray, ratio: np.ndarray, y: np.ndarray, l2: float, steps: int) -> tuple[np.ndarray, float]:
+    """Logistic regression on presence times ratio, by Adam over all rows.
+
+    ``col`` holds the features of row after row, ``size`` of each; the passes go
+    over blocks of rows, so that nothing wider than ``col`` is as long as it.
+    """
     n = len(y)
+    end = np.cumsum(size)
+    cut = np.unique(np.r_[0, np.searchsorted(end, np.arange(PART, int(end[-1]), PART)), n])
+    parts = [(lo, hi, col[end[lo] - size[lo] : end[hi - 1]]) for lo, hi in zip(cut[:-1].tolist(), cut[1:].tolist())]
     w, b = np.zeros(len(ratio)), float(np.log((y.sum() + 0.5) / (n - y.sum() + 0.5)))
     m, v = np.zeros(len(ratio) + 1), np.zeros(len(ratio) + 1)
-    value = ratio[col].astype(np.float32)
     for t in range(1, steps + 1):
-        z = np.bincount(row, weights=value * w[col], minlength=n) + b
-        err = 1 / (1 + np.exp(-np.clip(z, -40, 40))) - y
-        g = np.append(np.bincount(col, weights=value * err[row], minlength=len(ratio)) + l2 * w, err.sum())
+        each, back, off = w * ratio, np.zeros(len(ratio)), 0.0
+        for lo, hi, c in parts:
+            row = np.repeat(np.arange(hi - lo), size[lo:hi])
+            z = np.bincount(row, weights=each[c], minlength=hi - lo) + b
+            err = 1 / (1 + np.exp(-np.clip(z, -40, 40))) - y[lo:hi]
+            back += np.bincount(c, weights=err[row], minlength=len(ratio))
+            off += err.sum()
+        g = np.append(ratio * back + l2 * w, off)
         m, v = 0.9 * m + 0.1 * g, 0.99 * v + 0.01 * g * g
         step = 0.05 * (1 - t / (steps + 1)) * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.99**t)) + 1e-9)
         w, b = w - step[:-1], b - step[-1]
@@ -143,10 +155,10 @@ def fit(
     label: str = "toxic",
     id_col: str = "doc_id",
     text_col: str = "text",
-    features: int = 1 << 13,
+    features: int = 1 << 14,
     min_z: float = 4.0,
-    max_rows: int = 12_000,
-    l2: float = 0.1,
+    max_rows: int = 20_000,
+    l2: float = 0.3,
     steps: int = 400,
 ) -> Model:
     """Counts over all training rows; the regression over at most ``max_rows`` of them."""
@@ -176,9 +188,9 @@ def fit(
             )
 
     sample = bounded(rows, "doc", n_neg + n_pos, max_rows).select("text", "y").mapInArrow(present, "y int, at binary").toPandas()
-    col = np.frombuffer(b"".join(sample["at"]), "<u2").astype(np.int32)
-    row = np.repeat(np.arange(len(sample), dtype=np.int32), [len(x) // 2 for x in sample["at"]])
-    w, b = _regress(row, col, ratio, sample["y"].to_numpy(float), l2, steps)
+    y, size = sample["y"].to_numpy(float), np.array([len(x) // 2 for x in sample["at"]], np.int64)
+    col = np.frombuffer(b"".join(sample.pop("at")), "<u2")
+    w, b = _regress(size, col, ratio, y, l2, steps)
     return Model(b, bucket, w * ratio)
 
 

@@ -55,3 +55,13 @@ def test_learns_a_planted_word(spark):
     model = toxicity.fit(docs, labels, F.col("doc_id") < 200)
     got = {r.doc_id: r.score for r in toxicity.score(docs, model).collect()}
     assert all((got[i] >= 0.7) == bool(y) for i, y in lab if i >= 200)
+
+
+def test_many_informative_buckets_all_get_a_weight(spark):
+    rng = np.random.default_rng(2)
+    words = ["".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), 12)) for _ in range(700)]
+    rows = [(i, " ".join(rng.permutation(words[350 * (i % 2) :][:350]))) for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i, _ in rows], "doc_id long, toxic int")
+    model = toxicity.fit(docs, labels, F.lit(True))
+    assert len(model.bucket) > 1 << 13, len(model.bucket)
