@@ -10,7 +10,10 @@ windows of ``2u`` shingles, one starting every ``u``, so that an item's passage
 lies whole in one window and its Jaccard similarity with it stays above a bound
 that does not depend on the document's length.  A window is a candidate for an
 item when one of ``hashes`` MinHash values agrees; with the default 128 a
-passage holding 0.8 of an item is missed with a chance under 1e-9.  Window
+passage holding 0.8 of an item is missed with a chance under 1e-9.  Items for
+which that bound does not hold, those of a few shingles, are not left to
+MinHash: a text that holds enough of an item's shingles holds one of any
+``n - needed + 1`` of them, so a lookup of these finds every such text.  Window
 minima come from minima of 16-shingle blocks, merged from class to class.
 Candidates are verified by exact containment of the item's shingles in the
 whole document.
@@ -37,6 +40,7 @@ from pyspark.sql import functions as F
 from riskfeat.llm.textops import LOWER, byte_view, shingle_hashes, slices, word_hashes, word_spans
 
 BLOCK = 16  # shingles of a minimum block; the smallest size class
+MISS = 1e-9  # chance of a miss from which items are looked up by their shingles
 
 
 def text_shingles(data: np.ndarray, offs: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -54,18 +58,27 @@ def multipliers(n: int) -> np.ndarray:
 class Items:
     """One block of test items: shingle sets, size classes and MinHash values."""
 
-    def __init__(self, texts: list[str | None], k: int, hashes: int) -> None:
+    def __init__(self, texts: list[str | None], k: int, hashes: int, threshold: float) -> None:
         data, offs = byte_view(pa.array(texts, pa.string()))
         row, h = text_shingles(data, offs, k)
         cut = np.searchsorted(row, np.arange(len(texts) + 1))
         self.sets = {i: np.unique(h[cut[i] : cut[i + 1]]) for i in np.unique(row).tolist()}
         self.mult = multipliers(hashes)
         self.classes: dict[int, list[int]] = {}
+        direct: list[tuple[int, int]] = []
         for i, s in self.sets.items():
             u = BLOCK
             while u < len(s):
                 u *= 2
-            self.classes.setdefault(u, []).append(i)
+            needed = max(1, int(np.ceil(threshold * len(s) - 1e-9)))
+            if (1 - needed / (2 * u + len(s) - needed)) ** hashes < MISS:
+                self.classes.setdefault(u, []).append(i)
+            else:
+                direct += [(int(x), i) for x in s[: len(s) - needed + 1]]
+        direct.sort()
+        self.direct = np.array([x for x, _ in direct], np.uint64), np.array([i for _, i in direct], np.int64)
+        self.quick_direct = np.zeros(1 << 16, bool)
+        self.quick_direct[self.direct[0] >> np.uint64(48)] = True
         # per class and hash: MinHash values in order, and the item of each
         self.tables: dict[int, tuple[np.ndarray, np.ndarray]] = {}
         for u, members in self.classes.items():
@@ -78,11 +91,21 @@ class Items:
             for j in range(hashes):
                 self.quick[u][j, least[j] >> np.uint64(48)] = True
 
+    def looked_up(self, row: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Row and item of the shingles that stand for small items."""
+        at = np.flatnonzero(self.quick_direct[h >> np.uint64(48)])
+        lo = np.searchsorted(self.direct[0], h[at], "left")
+        count = np.searchsorted(self.direct[0], h[at], "right") - lo
+        which = np.repeat(lo, count) + np.arange(int(count.sum())) - np.repeat(np.cumsum(count) - count, count)
+        return np.repeat(row[at], count), self.direct[1][which]
+
     def candidates(self, row: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Distinct (row, item) whose MinHash agrees in some window."""
-        out_row, out_item = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        """Distinct (row, item) whose MinHash agrees in some window, or that share a small item's shingle."""
+        by_row, by_item = self.looked_up(row, h)
+        out_row, out_item = [by_row], [by_item]
         if not len(h) or not self.tables:
-            return out_row[0], out_item[0]
+            pairs = np.unique(np.stack([by_row, by_item]), axis=1)
+            return pairs[0], pairs[1]
         n = np.bincount(row)
         first = np.cumsum(n) - n
         blocks = -(-n // BLOCK)
@@ -148,7 +171,7 @@ def _search(items: Items, ids: list, k: int, threshold: float):
     return run
 
 
-def _blocks(items: DataFrame, shingle: int, hashes: int, block_shingles: int) -> Iterator[tuple[Items, list]]:
+def _blocks(items: DataFrame, shingle: int, hashes: int, block_shingles: int, threshold: float) -> Iterator[tuple[Items, list]]:
     """The test items in blocks of bounded size, with their ids."""
     it = items.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).where(F.length("text") > 0).distinct()
     # an item of n characters has at most n / 2 shingles
@@ -156,7 +179,7 @@ def _blocks(items: DataFrame, shingle: int, hashes: int, block_shingles: int) ->
     blocks = max(1, -(-int(total) // block_shingles))
     for i in range(blocks):
         rows = it.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == i).orderBy("item_id", "text").collect()
-        yield Items([r.text for r in rows], shingle, hashes), [r.item_id for r in rows]
+        yield Items([r.text for r in rows], shingle, hashes, threshold), [r.item_id for r in rows]
 
 
 def contaminated(
@@ -172,7 +195,7 @@ def contaminated(
     """``(id, item_id, n_shingles, n_shared)`` of every item held by a document."""
     d = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).cast("string").alias("text"))
     schema = "doc long, item_id long, n_shingles long, n_shared long"
-    parts = [d.mapInArrow(_search(block, ids, shingle, threshold), schema) for block, ids in _blocks(items, shingle, hashes, block_shingles)]
+    parts = [d.mapInArrow(_search(block, ids, shingle, threshold), schema) for block, ids in _blocks(items, shingle, hashes, block_shingles, threshold)]
     return reduce(DataFrame.unionByName, parts).withColumnRenamed("doc", id_col)
 
 
@@ -196,6 +219,6 @@ def keep_clean(
 
         return run
 
-    for block, _ in _blocks(items, shingle, hashes, block_shingles):
+    for block, _ in _blocks(items, shingle, hashes, block_shingles, threshold):
         docs = docs.mapInArrow(rows_without(block), docs.schema)
     return docs

@@ -69,3 +69,15 @@ def test_edge_rows(spark):
     assert got(decontaminate.contaminated(df, it)) == brute(docs, items)
     assert decontaminate.contaminated(df.limit(0), it).collect() == []
     assert decontaminate.contaminated(df, it.limit(0)).collect() == []
+
+
+def test_short_items_in_many_documents(spark):
+    rng = random.Random(11)
+    word = lambda: "".join(rng.choices("abcdefgh", k=4))
+    items = [(i, " ".join(word() for _ in range(5 + i % 6))) for i in range(60)]
+    docs = [(j, " ".join(x for i in rng.sample(range(60), 40) for x in [*(word() for _ in range(30)), items[i][1]])) for j in range(400)]
+    df, it = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    expect = brute(docs, items)
+    assert len(expect) >= 16_000
+    assert got(decontaminate.contaminated(df, it)) == expect
+    assert decontaminate.keep_clean(df, it).count() == 0
