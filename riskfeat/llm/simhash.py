@@ -216,14 +216,23 @@ def links(nodes: DataFrame, distance: int, n_rows: int) -> DataFrame:
     return dealt.mapInArrow(_verify(distance), "u long, v long")
 
 
+def _groups(docs: DataFrame, id_col: str, text_col: str, shingle: int, max_distance: int) -> DataFrame:
+    """``(doc, fp, component, root)`` per row of ``docs``; root tells groups apart, also those of one least id."""
+    fps = checkpoint(fingerprints(docs, id_col, text_col, shingle))
+    # a fingerprint is a node of its own, its least id a label: rows of one id may differ in text
+    reps = checkpoint(fps.groupBy("fp").agg(F.min("doc").alias("label")))
+    named = reps.where(F.col("label").isNotNull()).withColumn("node", F.col("fp"))
+    roots = connected_components(links(named.select("node", "fp"), max_distance, named.count()))
+    rooted = checkpoint(named.join(roots, named.node == roots.u, "left").select("fp", "label", F.coalesce("root", "node").alias("root")))
+    least = checkpoint(rooted.groupBy("root").agg(F.min("label").alias("component")))
+    comp = rooted.join(least, "root").select("fp", "component", "root")
+    return fps.join(comp, "fp", "left").select("doc", "fp", "component", "root")
+
+
 def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4, max_distance: int = 4) -> DataFrame:
     """``(id, fingerprint long, component)`` per row of ``docs``."""
-    fps = checkpoint(fingerprints(docs, id_col, text_col, shingle))
-    reps = checkpoint(fps.groupBy("fp").agg(F.min("doc").alias("node")))
-    named = reps.where(F.col("node").isNotNull())
-    roots = connected_components(links(named, max_distance, named.count()))
-    comp = named.join(roots, named.node == roots.u, "left").select("fp", F.coalesce("root", "node").alias("component"))
-    return fps.join(comp, "fp", "left").select(F.col("doc").alias(id_col), F.col("fp").alias("fingerprint"), "component")
+    groups = _groups(docs, id_col, text_col, shingle, max_distance)
+    return groups.select(F.col("doc").alias(id_col), F.col("fp").alias("fingerprint"), "component")
 
 
 def hex16(col) -> Column:
@@ -231,15 +240,34 @@ def hex16(col) -> Column:
     return F.lower(F.lpad(F.hex(col), 16, "0"))
 
 
+def _judged(rows: DataFrame, groups: DataFrame, id_col: str, text_col: str, shingle: int) -> DataFrame:
+    """Of rows whose ids repeat, one for each group of which the id is the least."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in slices(batches, "text"):
+            fp = np.array([fingerprint(t, shingle) for t in b.column("text").to_pylist()], np.uint64)
+            yield pa.RecordBatch.from_arrays([b.column("row"), b.column("doc"), b.column("h"), pa.array(fp.view(np.int64))], ["row", "doc", "h", "fp"])
+
+    text = F.col(text_col).cast("string")
+    whole = rows.select(F.struct(*[F.col(f"`{c}`") for c in rows.columns]).alias("row"), F.col(id_col).cast("long").alias("doc"), F.xxhash64(text).alias("h"), text.alias("text"))
+    marked = whole.mapInArrow(run, f"row {whole.schema['row'].dataType.simpleString()}, doc long, h long, fp long")
+    own = groups.where(F.col("component") == F.col("doc")).select("doc", "fp", "root").distinct()
+    first = marked.join(own, ["doc", "fp"]).groupBy("doc", "root").agg(F.min_by("row", F.struct("fp", "h")).alias("row"))
+    return first.select(*[F.col("row").getField(c).alias(c) for c in rows.columns])
+
+
 def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4, max_distance: int = 4) -> DataFrame:
-    """The rows of ``docs`` with the smallest id of their group, each id once.
+    """The rows of ``docs`` with the smallest id of their group, one row of each group.
 
-    Rows without an id cannot be told from their copies by id and stay.
+    Rows of one id whose texts are in different groups are judged each by its
+    own.  Rows without an id cannot be told from their copies by id and stay.
     """
-    groups = simhash_groups(docs, id_col, text_col, shingle, max_distance).where(F.col(id_col).isNotNull())
-    groups = checkpoint(groups.groupBy(id_col).agg(F.count("*").alias("n"), F.min("component").alias("component")))
-    kept = docs.join(groups.where(F.col("component") != F.col(id_col)).select(id_col), id_col, "left_anti")
-    twice = groups.where((F.col("n") > 1) & (F.col("component") == F.col(id_col))).select(id_col)
+    groups = checkpoint(_groups(docs, id_col, text_col, shingle, max_distance).where(F.col("doc").isNotNull()))
+    ids = checkpoint(groups.groupBy("doc").agg(F.count("*").alias("n"), F.max("component").alias("most")).withColumnRenamed("doc", id_col))
+    # an id whose rows are all in groups of smaller ids goes
+    kept = docs.join(ids.where(F.col("most") < F.col(id_col)).select(id_col), id_col, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    twice = ids.where((F.col("n") > 1) & (F.col("most") == F.col(id_col))).select(id_col)
     if twice.limit(1).count():
-        kept = kept.join(twice, id_col, "left_anti").unionByName(kept.join(twice, id_col, "left_semi").dropDuplicates([id_col]))
+        again = docs.join(twice, id_col, "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
+        kept = kept.join(twice, id_col, "left_anti").unionByName(_judged(again, groups, id_col, text_col, shingle))
     return kept.select(*[F.col(f"`{c}`") for c in docs.columns])

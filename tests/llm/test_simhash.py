@@ -86,3 +86,18 @@ def test_large_group_of_near_copies(spark, monkeypatch):
     df = spark.createDataFrame(rows, "doc_id long, text string")
     out = simhash.simhash_groups(df).select("doc_id", simhash.hex16(F.col("fingerprint")).alias("fingerprint"), F.col("component").alias("component_id"))
     assert got(out) == brute(rows)
+
+
+def test_repeated_ids_with_unrelated_texts(spark):
+    text = lambda k: " ".join(f"{k}{i}" for i in range(200))
+    rows = [(1, text("a")), (1, text("b")), (1, text("b")), (2, text("a")), (2, text("c")), (3, text("b")), (4, text("c")), (5, text("d")), (None, text("a"))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    out = sorted(((r.doc_id, r.text) for r in simhash.keep_first(df.repartition(3)).collect()), key=repr)
+    assert out == sorted([(1, text("a")), (1, text("b")), (2, text("c")), (5, text("d")), (None, text("a"))], key=repr)
+    groups = {(r.doc_id, r.fingerprint): r.component for r in simhash.simhash_groups(df).collect()}
+    assert groups[(2, simhash_long(text("c")))] == 2 and groups[(4, simhash_long(text("c")))] == 2
+
+
+def simhash_long(text):
+    f = simhash.fingerprint(text, 4)
+    return f - (1 << 64) if f >> 63 else f
