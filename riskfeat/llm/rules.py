@@ -8,8 +8,8 @@ A text is kept when content lines hold at least ``min_share`` of its words.
 
 There are no line labels, so the field is trained by distant supervision: on a
 bounded sample of texts (``max_rows``), lines that meet one of the ``seed``
-rules (symbols, capitals, bars, words repeated or cut by marks, equal lines,
-licence notes) count as boilerplate, the others as content; the weights are
+rules (symbols, capitals, bars, words repeated or cut by marks, equal lines)
+count as boilerplate, the others as content; the weights are
 fitted by the gradient of the conditional likelihood (forward-backward over all
 texts of the sample at once).  The seed rules are given to the field only
 through the measures, never as an answer.
