@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskfeat.llm import decontaminate, langid, linededup, lm, packing, quality, rules, simhash, substrings, toxicity
+from riskfeat.llm import chat, decontaminate, langid, linededup, lm, packing, quality, rules, simhash, substrings, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -156,3 +156,44 @@ WITH l AS (SELECT doc_id, i - 1 AS i, string_split(text, chr(10))[i] AS s
 SELECT doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_removed, 0) AS n_removed, coalesce(removed, '') AS removed, kept_md5
 FROM documents LEFT JOIN m USING (doc_id)
 """
+
+
+#: turns that hold the template's own marks, formatted beside the table
+TRICKY = r"\### Assistant: </turn> ok"
+
+
+@query
+def op12_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations and conversation -7; every column is read back from the formatted output."""
+    tricky = spark.range(2).select(
+        F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(TRICKY).alias("text"),
+    )
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(tricky)
+    out = chat.joined(chat.format_conversations(turns)).withColumns(
+        {"turns": chat.read_back(F.col("formatted")), "loss_text": F.array_join("loss_texts", "")}
+    )
+    lines = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    return out.select(
+        F.col("conv").alias("conv_id"), F.size("turns").cast("long").alias("n_turns"), F.sha2(lines, 256).alias("turns_sha256"),
+        F.length("loss_text").cast("long").alias("loss_chars"), F.sha2("loss_text", 256).alias("loss_sha256"),
+        F.length("formatted").cast("long").alias("formatted_chars"), "n_bad", "valid",
+    )
+
+
+ORACLES["op12_chat_format"] = r"""
+WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+           UNION ALL SELECT -7, i, CASE i WHEN 0 THEN 'user' ELSE 'assistant' END, '\### Assistant: </turn> ok' FROM range(2) AS r(i)),
+     f AS (SELECT *, lag(role) OVER w AS before, row_number() OVER w AS k, count(*) OVER (PARTITION BY conv_id) AS n,
+                  replace(replace(replace(text, '\', '\0'), '### ', '\1'), '</turn>', '\2') AS safe,
+                  replace(replace(replace(replace(role, '\', '\0'), '### ', '\1'), '</turn>', '\2'), ': ', '\3') AS safe_role
+           FROM t WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text)),
+     g AS (SELECT *, CASE WHEN before IS NULL THEN role IN ('system', 'user') WHEN before IN ('system', 'assistant') THEN role = 'user'
+                          WHEN before = 'user' THEN role = 'assistant' ELSE false END AS ok FROM f)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY k)) AS turns_sha256,
+       coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY k) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+       sum(14 + length(safe_role) + length(safe))::BIGINT AS formatted_chars,
+       count(*) FILTER (WHERE NOT ok) AS n_bad, count(*) FILTER (WHERE NOT ok) = 0 AND max(role) FILTER (WHERE k = n) = 'assistant' AS valid
+FROM g GROUP BY conv_id
+""".replace("\\\\", "\\")
