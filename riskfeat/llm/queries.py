@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskfeat.llm import chat, decontaminate, langid, linededup, lm, packing, quality, rules, simhash, substrings, toxicity
+from riskfeat.llm import chat, decontaminate, langid, linededup, lm, packing, periodic, quality, rules, simhash, substrings, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -197,3 +197,36 @@ SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text |
        count(*) FILTER (WHERE NOT ok) AS n_bad, count(*) FILTER (WHERE NOT ok) = 0 AND max(role) FILTER (WHERE k = n) = 'assistant' AS valid
 FROM g GROUP BY conv_id
 """.replace("\\\\", "\\")
+
+
+def with_planted_runs(docs: DataFrame) -> DataFrame:
+    """The contract's texts: of a tenth of the documents the words from one on repeat at a period."""
+    h = F.crc32(F.col("doc_id").cast("string"))
+    g = F.floor(h / 10).cast("long")
+
+    def repeated(w):
+        n = F.size(w).cast("long")
+        a = F.pmod(g, n)
+        p = F.lit(1) + F.floor((n - a) / (F.lit(3) + g % 8)).cast("long")
+        place = lambda i: F.when(i < a, i).otherwise(a + (i - a) % p).cast("int")
+        return F.array_join(F.transform(F.sequence(F.lit(0).cast("long"), n - 1), lambda i: F.get(w, place(i))), " ")
+
+    words = F.regexp_extract_all("text", F.lit(r"([^\x20\x09-\x0D]+)"))
+    planted = F.transform(F.array(words), lambda w: F.when(F.size(w) > 0, repeated(w)))[0]  # the words are taken once
+    return docs.select("doc_id", F.when(h % 10 == 0, F.coalesce(planted, F.col("text"))).otherwise(F.col("text")).alias("text"))
+
+
+def runs_digest(out: DataFrame) -> DataFrame:
+    best = F.array_max(F.transform("runs", lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("start"), (-r["period"]).alias("period"))))
+    line = lambda r: F.concat_ws(",", *[r[c].cast("string") for c in ("start", "length", "period")])
+    lines = F.array_join(F.transform("runs", lambda r: F.concat(line(r), F.lit("\n"))), "")
+    return out.withColumn("best", best).select(
+        F.col("id").alias("doc_id"), F.size("runs").cast("long").alias("n_runs"), (-F.col("best.start")).alias("start"), F.col("best.length").alias("length"),
+        (-F.col("best.period")).alias("period"), F.expr("(1000 * best.length) div -best.period").alias("exponent_milli"),
+        F.sha2(lines, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+@query
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return runs_digest(periodic.collapse_runs(with_planted_runs(table(spark, sf_dir, "documents")), min_length=12))
