@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskfeat.llm import chat, decontaminate, langid, linededup, lm, packing, periodic, quality, rules, simhash, substrings, toxicity
+from riskfeat.llm import chat, decontaminate, langid, linededup, lm, packing, periodic, quality, ranked, rules, simhash, substrings, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -230,3 +230,26 @@ def runs_digest(out: DataFrame) -> DataFrame:
 @query
 def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return runs_digest(periodic.collapse_runs(with_planted_runs(table(spark, sf_dir, "documents")), min_length=12))
+
+
+@query
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = ranked.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=10)
+    return out.select(F.col("item").alias("item_id"), "rank", F.col("doc").alias("doc_id"), "score")
+
+
+_TERMS = "regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')"
+ORACLES["op13_ranked_search"] = f"""
+WITH d AS (SELECT doc_id, row_number() OVER () AS r, {_TERMS} AS t FROM documents),
+     s AS (SELECT r, doc_id, len(t) AS len FROM d WHERE len(t) > 0),
+     g AS (SELECT count(*) AS docs, sum(len)::BIGINT AS total FROM s),
+     p AS (SELECT r, x, count(*) AS tf FROM (SELECT r, unnest(t) AS x FROM d) GROUP BY ALL),
+     i AS (SELECT row_number() OVER () AS q, item_id, {_TERMS} AS t FROM benchmark),
+     u AS (SELECT q, item_id, x, count(*) AS times FROM (SELECT q, item_id, unnest(t) AS x FROM i) GROUP BY ALL),
+     f AS (SELECT x, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * df + 1)::DOUBLE))::BIGINT AS w
+           FROM (SELECT x, count(*) AS df FROM p GROUP BY x), g),
+     z AS (SELECT q, item_id, r, doc_id, sum(times * w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * len * docs) // total))))::BIGINT AS score
+           FROM u JOIN f USING (x) JOIN p USING (x) JOIN s USING (r), g GROUP BY ALL),
+     k AS (SELECT *, row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM z WHERE score > 0)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM k WHERE rank <= 10
+"""
