@@ -2,9 +2,8 @@
 importance of a fitted scorer.
 
 Reasons: every feature in the reason map gets an adverse strength in [0, 1]
-(min-max scaled in its bad direction); rows are exploded to (applicant,
-feature), ranked inside each applicant (a group of at most a few rows) and
-the top ``k`` kept: one primary reason plus secondary ones.
+(min-max scaled in its bad direction); the reasons of a row are sorted in an
+array of the row and the top ``k`` kept: one primary reason plus secondary ones.
 """
 
 from __future__ import annotations
@@ -13,7 +12,7 @@ from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
@@ -63,12 +62,14 @@ def top_reasons(
         num = (x - lo) if r.direction == "high" else (hi - x)
         return F.when(hi > lo, num.cast("double") / (hi - lo).cast("double")).otherwise(F.lit(0.0))
 
-    long = rows.select(key, F.explode(F.array(*[
-        F.struct(F.lit(r.feature).alias("feature"), F.lit(r.text).alias("reason"), strength(r).alias("strength"))
+    # strongest first, then by name; a handful of entries sorted inside each row, no window and no shuffle
+    by_name = {f: i for i, f in enumerate(sorted(r.feature for r in reasons))}
+    entries = F.sort_array(F.array(*[
+        F.struct(strength(r).alias("strength"), F.lit(-by_name[r.feature]).alias("name"), F.lit(r.feature).alias("feature"), F.lit(r.text).alias("reason"))
         for r in reasons
-    ])).alias("r")).select(key, "r.*")
-    w = Window.partitionBy(key).orderBy(F.col("strength").desc(), F.col("feature").asc())
-    return long.withColumn("reason_rank", F.row_number().over(w)).where(F.col("reason_rank") <= k)
+    ]), asc=False)
+    long = rows.select(key, F.posexplode(F.slice(entries, 1, k)).alias("pos", "r"))
+    return long.select(key, "r.feature", "r.reason", "r.strength", (F.col("pos") + 1).alias("reason_rank"))
 
 
 def permutation_drops(

@@ -500,7 +500,7 @@ def q_undersample_members(spark, sf_dir):
 
 
 # ------------------------------------------------------------- encoding
-_OCC = ["BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]  # sorted categories after the dropped first
+_OCC = ["Drivers", "FURNITURE", "HOUSEHOLD", "Laborers"]  # sorted categories after the dropped first
 
 
 def _one_hot_sql(src: str, extra: str = "") -> str:
@@ -581,7 +581,9 @@ def _reasons_sql() -> str:
 
 @register("top_reasons", _reasons_sql())
 def q_top_reasons(spark, sf_dir):
-    frame = feature_frame(spark, sf_dir, "train").join(scored(spark, sf_dir).select("SK_ID_CURR", "SCORE"), "SK_ID_CURR")
+    frame = feature_frame(spark, sf_dir, "train").select("SK_ID_CURR", *[r.feature for r in XP.REASON_MAP])
+    # read twice (value ranges, then rows), so the few columns are written once
+    frame = checkpoint(frame.join(scored(spark, sf_dir).select("SK_ID_CURR", "SCORE"), "SK_ID_CURR"))
     return XP.top_reasons(frame, denied=F.col("SCORE") >= 0.35)
 
 
@@ -805,3 +807,6 @@ def _preview_sql() -> str:
 
 register("feature_preview", _preview_sql())(
     lambda spark, sf_dir: P.feature_preview(feature_frame(spark, sf_dir, "train")))
+
+
+from . import catalog_scoring  # noqa: E402, F401  registers its queries

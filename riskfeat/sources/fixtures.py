@@ -21,11 +21,17 @@ BASE_TABLES = (
 ).split()
 
 
+# Default: low external scores and a low balance (about one in eleven).
+_DEFAULTED = "CASE WHEN c_acctbal + 8 * ((c_custkey * 7907) % 1000) + 5 * ((c_custkey * 6007) % 1000) < 5000 THEN 1 ELSE 0 END"
+_OCCUPATION = """CASE WHEN c_custkey % 3 = 0 THEN NULL WHEN c_mktsegment = 'AUTOMOBILE' THEN 'Drivers'
+      WHEN c_mktsegment = 'MACHINERY' THEN 'Laborers' ELSE c_mktsegment END"""
+
+
 def _applicants(t: TableRef, days: DaysFn) -> str:
     return f"""
 SELECT c_custkey AS SK_ID_CURR,
  CASE WHEN c_custkey % 5 = 0 THEN 0 ELSE 1 END AS IS_TRAIN,
- CASE WHEN c_acctbal < 0 THEN 1 ELSE 0 END AS TARGET,
+ {_DEFAULTED} AS TARGET,
  CASE WHEN c_custkey % 6 = 0 THEN 365243 WHEN c_custkey % 11 = 0 THEN NULL
       ELSE -((c_custkey * 37) % 9000) - 1 END AS DAYS_EMPLOYED,
  -((c_custkey * 7919) % 18000) - 7300 AS DAYS_BIRTH,
@@ -37,13 +43,13 @@ SELECT c_custkey AS SK_ID_CURR,
  CASE WHEN c_custkey % 89 = 0 THEN NULL WHEN c_custkey % 83 = 0 THEN CAST(0 AS DOUBLE)
       ELSE CAST((c_custkey * 907) % 800000 + 40000 AS DOUBLE) END AS AMT_GOODS_PRICE,
  c_custkey % 4 AS CNT_CHILDREN,
- CASE WHEN c_custkey % 101 = 0 THEN NULL ELSE c_custkey % 5 + 1 END AS CNT_FAM_MEMBERS,
+ CASE WHEN c_custkey % 101 = 0 AND c_custkey % 5 <> 0 THEN NULL ELSE c_custkey % 5 + 1 END AS CNT_FAM_MEMBERS,
  CASE WHEN (c_custkey * 13) % 100 < 45 THEN NULL ELSE CAST((c_custkey * 104729) % 1000 AS DOUBLE) / 1000.0E0 END AS EXT_SOURCE_1,
  CASE WHEN (c_custkey * 29) % 100 < 2 THEN NULL ELSE CAST((c_custkey * 7907) % 1000 AS DOUBLE) / 1000.0E0 END AS EXT_SOURCE_2,
  CASE WHEN (c_custkey * 41) % 100 < 20 THEN NULL ELSE CAST((c_custkey * 6007) % 1000 AS DOUBLE) / 1000.0E0 END AS EXT_SOURCE_3,
  CASE WHEN c_custkey % 10 < 7 THEN NULL ELSE c_custkey % 60 END AS OWN_CAR_AGE,
  CASE WHEN c_custkey % 2 = 0 THEN NULL ELSE c_custkey % 9 END AS HALF_MISSING,
- CASE WHEN c_custkey % 3 = 0 THEN NULL ELSE c_mktsegment END AS OCCUPATION_TYPE,
+ {_OCCUPATION} AS OCCUPATION_TYPE,
  CASE WHEN c_nationkey % 2 = 0 THEN 'F' ELSE 'M' END AS CODE_GENDER,
  CASE WHEN c_custkey % 2 = 0 THEN 1 ELSE 0 END AS FLAG_DOCUMENT_2,
  CASE WHEN c_custkey % 3 = 0 THEN 1 ELSE 0 END AS FLAG_DOCUMENT_3,
@@ -117,19 +123,22 @@ def _scored(t: TableRef, days: DaysFn) -> str:
     # Score contract of the evaluation queries: key, label, groups, score.
     return f"""
 SELECT c_custkey AS SK_ID_CURR,
- CASE WHEN c_acctbal < 0 THEN 1 ELSE 0 END AS TARGET,
+ {_DEFAULTED} AS TARGET,
  CASE WHEN c_nationkey % 2 = 0 THEN 'F' ELSE 'M' END AS CODE_GENDER,
- CASE WHEN c_custkey % 3 = 0 THEN NULL ELSE c_mktsegment END AS OCCUPATION_TYPE,
- CAST((c_custkey * 7907 + (CASE WHEN c_acctbal < 0 THEN 1 ELSE 0 END) * 300) % 1000 AS DOUBLE) / 1000.0E0 AS SCORE
+ {_OCCUPATION} AS OCCUPATION_TYPE,
+ CAST(CASE WHEN {_DEFAULTED} = 1 THEN 300 + (c_custkey * 613) % 700 ELSE (c_custkey * 613) % 750 END AS DOUBLE) / 1000.0E0 AS SCORE
 FROM {t('customer')}"""
 
 
 def _decisions(t: TableRef, days: DaysFn) -> str:
     # Timestamped scoring decisions for monitoring: every event is one
-    # application scored at event time.
+    # application scored at event time. The share of the applicant's own risk
+    # in the score differs by week, the level of the scores by day.
+    share = "CASE EXTRACT(WEEK FROM ts) % 3 WHEN 0 THEN 1 WHEN 1 THEN 4 ELSE 9 END"
     return f"""
 SELECT event_id AS DECISION_ID, ts AS TS, user_id AS SK_ID_CURR,
- CAST((event_id * 7907) % 1000 AS DOUBLE) / 1000.0E0 AS SCORE,
+ CAST((({share}) * (999 - (user_id * 7907) % 1000) + (10 - ({share})) * ((event_id * 7907) % 1000))
+      * (9 + EXTRACT(DAY FROM ts) % 8) AS DOUBLE) / 200000.0E0 AS SCORE,
  CASE WHEN user_id % 2 = 0 THEN 'F' ELSE 'M' END AS CODE_GENDER
 FROM {t('events')}"""
 
