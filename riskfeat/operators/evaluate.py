@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import exprs as X
+from ..session import checkpoint
 from . import ranks
 
 
@@ -40,10 +41,16 @@ def score_counts(df: DataFrame, label: str = "TARGET", score: str = "SCORE") ->
 
 
 def _cumulated(df: DataFrame, label: str, score: str, buckets: int) -> DataFrame:
-    g = ranks.value_bucket(score_counts(df, label, score), "score", buckets)
+    g = ranks.value_bucket(_counted(df, label, score), "score", buckets)
     return ranks.running_totals(g, ["score"], ["pos", "neg"], bucket="_b")
 
 
+def _counted(df: DataFrame, label: str, score: str) -> DataFrame:
+    """Counts per score, written once: the sketch and both sides of the running
+    totals read them, and scores may come from a model."""
+    return checkpoint(score_counts(df, label, score))
+
+
 def roc_auc(df: DataFrame, label: str = "TARGET", score: str = "SCORE", buckets: int = 1024) -> DataFrame:
     """Exact ROC-AUC (ties count one half) as a one-row DataFrame ``auc``.
 
@@ -71,7 +78,7 @@ def roc_auc_by(df: DataFrame, group: str, label: str = "TARGET", score: str = "S
     g = (df.where(F.col(score).isNotNull())
          .groupBy(F.col(group), F.col(score).alias("score"))
          .agg(X.count_if(F.col(label) == 1).alias("pos"), X.count_if(F.col(label) != 1).alias("neg")))
-    b = ranks.value_bucket(g, "score", buckets)
+    b = ranks.value_bucket(checkpoint(g), "score", buckets)
     c = ranks.running_totals(b, ["score"], ["pos", "neg"], partition=[group], bucket="_b", bounded_partitions=False)
     return c.groupBy(group).agg(
         (F.sum("pos") + F.sum("neg")).alias("n"),
@@ -82,7 +89,7 @@ def roc_auc_by(df: DataFrame, group: str, label: str = "TARGET", score: str = "S
 def roc_points(df: DataFrame, label: str = "TARGET", score: str = "SCORE", buckets: int = 1024) -> DataFrame:
     """One ROC point per distinct score: predicting 1 for ``score >= threshold``
     (a rate is null if its class is missing)."""
-    g = ranks.value_bucket(score_counts(df, label, score), "score", buckets)
+    g = ranks.value_bucket(_counted(df, label, score), "score", buckets)
     c = ranks.running_totals(g, ["score"], ["pos", "neg"], bucket="_b", totals=True)
     return c.select(
         F.col("score").alias("threshold"),

@@ -611,7 +611,7 @@ FROM (SELECT date_trunc('month', TS) AS period,
 
 # ------------------------------------------------- modelling (rows-only checks)
 from . import modeling as ML  # noqa: E402
-from ..session import checkpoint  # noqa: E402
+from ..session import checkpoint, shared_dir  # noqa: E402
 
 _MATRIX: dict[tuple, tuple] = {}
 _FINAL: dict[tuple, object] = {}
@@ -663,7 +663,7 @@ def _search(spark, sf_dir, n_iter=20):
     k = (spark.sparkContext.applicationId, sf_dir, n_iter)
     if k not in _SEARCH:
         m, _ = train_matrix(spark, sf_dir)
-        _SEARCH[k] = ML.random_search(tuning_sample(m), n_iter=n_iter, parallelism=9)
+        _SEARCH[k] = ML.random_search(tuning_sample(m), n_iter=n_iter, parallelism=12, ledger_root=shared_dir(spark, "search"))
     return _SEARCH[k]
 
 

@@ -14,7 +14,9 @@ from ..operators import attribution as AT
 from ..operators import explain as XP
 from . import app_sql as A
 from . import catalog as C
+from . import catalog_fixture as CF
 from . import modeling as ML
+from . import search as SE
 
 # An exported scorecard: log-odds of default per unit of each feature.
 SCORECARD = {
@@ -111,3 +113,47 @@ def q_linear_model(spark, sf_dir):
     return scorer.table(spark).join(AT.ranking(rows, scorer, None), "feature")
 
 
+
+
+# ------------------------------------- candidates ranked over the same folds
+def univariate_fits(spark, sf_dir):
+    """``(candidate, fold, auc)``: every imputed numeric column, on its own, as a score on each held-out fold.
+
+    All columns and folds are scored by one grouped AUC job.
+    """
+    frame = C.cleaned(spark, sf_dir, "train").select("SK_ID_CURR", "TARGET", *CF.NUMERIC_FIT)
+    folds = C.R.stratified_folds(frame, "TARGET", "SK_ID_CURR", 3, 42)
+    pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("candidate"), F.col(c).cast("double").alias("SCORE")) for c in CF.NUMERIC_FIT]))
+    long = folds.select("TARGET", "fold", pairs.alias("p")).select("TARGET", F.struct("p.candidate", "fold").alias("fit"), "p.SCORE")
+    return C.V.roc_auc_by(long, "fit").select("fit.candidate", "fit.fold", "auc")
+
+
+_FITS_CTES = A.app_ctes("train", engineered=False) + [
+    f"fo AS (SELECT *, CAST(({C._class_rank_sql(42)} - 1) % 3 AS INTEGER) AS fold FROM train_clean)",
+    "lg AS (" + "\nUNION ALL\n".join(f"SELECT '{c}' AS candidate, fold, TARGET, CAST({c} AS DOUBLE) AS score FROM fo" for c in CF.NUMERIC_FIT) + ")",
+    """g AS (SELECT candidate, fold, score, COUNT(*) FILTER (WHERE TARGET = 1) AS pos, COUNT(*) FILTER (WHERE TARGET <> 1) AS neg
+      FROM lg WHERE score IS NOT NULL GROUP BY ALL)""",
+    """c AS (SELECT *, COALESCE(SUM(neg) OVER (PARTITION BY candidate, fold ORDER BY score ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below FROM g)""",
+    """fits AS (SELECT candidate, fold, CAST(SUM(pos * (2 * below + neg)) AS DOUBLE) / (2.0E0 * CAST(SUM(pos) AS DOUBLE) * CAST(SUM(neg) AS DOUBLE)) AS auc
+      FROM c GROUP BY candidate, fold)""",
+    """w AS (SELECT candidate, MAX(auc) FILTER (WHERE fold = 0) AS a, MAX(auc) FILTER (WHERE fold = 1) AS b, MAX(auc) FILTER (WHERE fold = 2) AS c
+      FROM fits GROUP BY candidate)""",
+    """ranked AS (SELECT candidate, 3 AS folds, m AS mean_auc, sqrt(((a - m) * (a - m) + (b - m) * (b - m) + (c - m) * (c - m)) / 3.0E0) AS std_auc,
+      CAST(RANK() OVER (ORDER BY m DESC) AS INTEGER) AS rank FROM (SELECT *, (a + b + c) / 3.0E0 AS m FROM w) v)""",
+]
+
+
+@C.register("univariate_folds", A.with_ctes(["applicants"], _FITS_CTES, "SELECT candidate, fold, auc FROM fits"))
+def q_univariate_folds(spark, sf_dir):
+    return univariate_fits(spark, sf_dir)
+
+
+@C.register("univariate_ranking", A.with_ctes(["applicants"], _FITS_CTES, "SELECT * FROM ranked"))
+def q_univariate_ranking(spark, sf_dir):
+    """Mean, spread and competition rank of candidates, as the search ranks its own."""
+    return SE.rank_fits(univariate_fits(spark, sf_dir))
+
+
+@C.register("univariate_top", A.with_ctes(["applicants"], _FITS_CTES, "SELECT * FROM ranked ORDER BY rank, candidate LIMIT 5"))
+def q_univariate_top(spark, sf_dir):
+    return SE.rank_fits(univariate_fits(spark, sf_dir)).orderBy("rank", "candidate").limit(5)

@@ -14,7 +14,7 @@ from __future__ import annotations
 import math
 import random
 from collections.abc import Callable, Sequence
-from concurrent.futures import ThreadPoolExecutor
+from concurrent.futures import ThreadPoolExecutor, as_completed
 from dataclasses import dataclass, field
 
 from pyspark.ml.classification import (
@@ -35,6 +35,8 @@ from ..operators import imbalance as IMB
 from ..operators import quantiles
 from ..operators import ranks as R
 from ..operators import smote as SM
+from ..session import checkpoint
+from . import search
 
 KEY, LABEL = "SK_ID_CURR", "TARGET"
 SEED = 42
@@ -187,19 +189,27 @@ def with_folds(matrix: DataFrame, k: int = 3, seed: int = SEED) -> DataFrame:
 
 
 def fit_fold(matrix: DataFrame, fold: int, make: Callable[[int], object], resample: Resampler = resample_none,
-             weighted: bool = False) -> float:
+             weighted: bool = False, n_train: int | None = None) -> float:
+    """``n_train`` spares the count of a training part that is not resampled."""
     train = matrix.where(F.col("fold") != fold).drop("fold")
     valid = matrix.where(F.col("fold") == fold).drop("fold")
-    train = resample(train)
+    if resample is not resample_none:  # a learner reads its rows many times
+        train, n_train = checkpoint(resample(train)), None
     weight = None
     if weighted:
         train = IMB.with_weights(train, LABEL, "w")
         weight = "w"
-    est = _configure(make(_n(train)), LABEL, weight)
+    est = _configure(make(_n(train) if n_train is None else n_train), LABEL, weight)
     model = est.fit(train)
     return auc_of(score(model, valid))
 
 
+def training_sizes(matrix: DataFrame, k: int) -> list[int]:
+    """Rows outside each fold, from one count."""
+    sizes = {r["fold"]: r["n"] for r in matrix.groupBy("fold").agg(F.count(F.lit(1)).alias("n")).collect()}
+    return [sum(sizes.values()) - sizes.get(f, 0) for f in range(k)]
+
+
 def cross_validate(matrix: DataFrame, make: Callable[[int], object], k: int = 3, resample: Resampler = resample_none,
                    weighted: bool = False, name: str = "", parallelism: int = 3, params: dict | None = None) -> CVResult:
     """Per-fold exact AUC; folds are fitted concurrently (``parallelism``)."""
@@ -221,17 +231,30 @@ def majority_result(matrix: DataFrame) -> CVResult:
 
 
 def run_grid(matrix: DataFrame, arms: Sequence[tuple[str, Callable[[int], object], Resampler, bool, dict]],
-             k: int = 3, parallelism: int = 6) -> list[CVResult]:
-    """All (arm, fold) fits through one driver pool of ``parallelism`` jobs."""
-    jobs = [(i, f) for i in range(len(arms)) for f in range(k)]
-
-    def one(j):
-        name, make, res, weighted, _ = arms[j[0]]
-        return fit_fold(matrix, j[1], make, res, weighted)
-
-    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-        aucs = list(pool.map(one, jobs))
-    return [CVResult(a[0], aucs[i * k:(i + 1) * k], a[4]) for i, a in enumerate(arms)]
+             k: int = 3, parallelism: int = 6, ledger: search.Ledger | None = None) -> list[CVResult]:
+    """All (arm, fold) fits through one driver pool of ``parallelism`` jobs.
+
+    With a ``ledger``, fits found there are not made again and each fit is
+    recorded when it ends; after an error no further fit starts.
+    """
+    aucs: dict[tuple[int, int], float] = ledger.finished() if ledger else {}
+    jobs = [(i, f) for i in range(len(arms)) for f in range(k) if (i, f) not in aucs]
+    sizes = training_sizes(matrix, k) if jobs else []
+
+    def one(i: int, fold: int) -> None:
+        _, make, res, weighted, params = arms[i]
+        auc = fit_fold(matrix, fold, make, res, weighted, sizes[fold])
+        if ledger:
+            ledger.record(i, fold, auc, params)
+        aucs[i, fold] = auc
+
+    pool = ThreadPoolExecutor(max_workers=max(1, parallelism))
+    try:
+        for done in as_completed([pool.submit(one, *j) for j in jobs]):
+            done.result()
+    finally:
+        pool.shutdown(cancel_futures=True)
+    return [CVResult(a[0], [aucs[i, f] for f in range(k)], a[4]) for i, a in enumerate(arms)]
 
 
 def compare_models(matrix: DataFrame, names: Sequence[str] | None = None, k: int = 3,
@@ -282,12 +305,23 @@ def params_to_gbt(p: dict) -> Callable[[int], object]:
 
 
 def random_search(matrix: DataFrame, n_iter: int = 20, k: int = 3, seed: int = SEED,
-                  space: dict = SEARCH_SPACE, parallelism: int = 4) -> list[CVResult]:
+                  space: dict = SEARCH_SPACE, parallelism: int = 4, ledger_root: str | None = None,
+                  make_of: Callable[[dict], Callable[[int], object]] = params_to_gbt) -> list[CVResult]:
     """Seeded draws; each candidate scored by k-fold CV. Candidates and their
-    folds are fitted concurrently (``parallelism`` Spark jobs at a time)."""
+    folds are fitted concurrently (``parallelism`` Spark jobs at a time). With
+    a ``ledger_root`` (a shared folder) a stopped search goes on where it was."""
     cands = draw_params(n_iter, seed, space)
-    arms = [(f"candidate_{i}", params_to_gbt(p), resample_none, False, p) for i, p in enumerate(cands)]
-    return run_grid(matrix, arms, k, parallelism)
+    arms = [(f"candidate_{i}", make_of(p), resample_none, False, p) for i, p in enumerate(cands)]
+    ledger = None
+    if ledger_root:
+        ledger = search_ledger(matrix, cands, k, ledger_root)
+    return run_grid(matrix, arms, k, parallelism, ledger)
+
+
+def search_ledger(matrix: DataFrame, cands: Sequence[dict], k: int, root: str) -> search.Ledger:
+    """The ledger of these draws and folds on this data."""
+    name = search.fingerprint(cands, k, search.data_signature(matrix, KEY, LABEL))
+    return search.Ledger(matrix.sparkSession, root, name)
 
 
 def ranked_candidates(spark, results: Sequence[CVResult]) -> DataFrame:

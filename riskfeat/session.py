@@ -68,6 +68,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or configured
 
 
+def shared_dir(spark: SparkSession, name: str) -> str:
+    """A folder for tables that later sessions shall find, beside the checkpoints.
+
+    It lies in the folder that ``spark.checkpoint.dir`` names; where that is
+    unset (tests) it lives as long as the scratch folder picked here.
+    """
+    own = ensure_checkpoint_dir(spark)
+    root = spark.conf.get(CHECKPOINT_CONF, None) or spark.sparkContext.getConf().get(CHECKPOINT_CONF, None)
+    return f"{(root or own).rstrip('/')}/{name}"
+
+
 def checkpoint(df, eager: bool = True):
     """Reliable checkpoint into the shared checkpoint folder (set if missing)."""
     ensure_checkpoint_dir(df.sparkSession)
