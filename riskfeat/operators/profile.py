@@ -24,47 +24,37 @@ def feature_summary(df: DataFrame, columns: Sequence[str] | None = None, scale:
     column in one task). One row per column.
     """
     cols = list(columns or numeric_columns(df, ()))
-    d = f"decimal(18,{scale})"
-    aggs = [F.count(F.lit(1)).alias("__rows")]
-    for i, c in enumerate(cols):
-        v = F.col(c).cast("double")
-        fits, _ = X.money_units(v, scale)
-        x = F.when(fits, F.col(c)).cast(d)
-        aggs += [
-            F.coalesce(F.bool_and(fits), F.lit(True)).alias(f"ok{i}"),
-            F.avg(v).alias(f"avg{i}"),
-            F.stddev_samp(v).alias(f"std{i}"),
-            F.count(F.col(c)).alias(f"n{i}"),
-            F.sum(x).cast("double").alias(f"s{i}"),
-            F.sum(x * x).cast("double").alias(f"q{i}"),
-            F.min(F.col(c)).cast("double").alias(f"lo{i}"),
-            F.max(F.col(c)).cast("double").alias(f"hi{i}"),
-        ]
-    wide = df.agg(*aggs)
-    multi = quantiles.exact_quantiles_multi(df, cols, (0.25, 0.5, 0.75))
-    qs = {q: {c: multi[(c, q)] for c in cols} for q in (0.25, 0.5, 0.75)}
-    spark = df.sparkSession
-    qdf = spark.createDataFrame(
-        [(c, qs[0.25][c], qs[0.5][c], qs[0.75][c]) for c in cols],
-        "column_name string, q25 double, q50 double, q75 double",
+    # one set of aggregates over (column, value), combined before the shuffle to a row per
+    # column and task: hundreds of columns do not make hundreds of aggregates to compile
+    pairs = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("v")) for c in cols])
+    v = F.col("v")
+    fits, _ = X.money_units(v, scale)
+    x = F.when(fits, v).cast(f"decimal(18,{scale})")
+    n, s, q = F.col("count"), F.col("s"), F.col("q")
+    stats = df.select(F.explode(pairs).alias("p")).select("p.*").groupBy("column_name").agg(
+        F.count("v").alias("count"),
+        F.count_if(v.isNull()).alias("null_count"),
+        F.coalesce(F.bool_and(fits), F.lit(True)).alias("ok"),
+        F.avg(v).alias("avg"),
+        F.stddev_samp(v).alias("dev"),
+        F.sum(x).cast("double").alias("s"),
+        F.sum(x * x).cast("double").alias("q"),
+        F.min(v).alias("min"),
+        F.max(v).alias("max"),
+    ).select(
+        "column_name", "count", "null_count",
+        F.when(F.col("ok"), F.try_divide(s, n.cast("double"))).otherwise(F.col("avg")).alias("mean"),
+        F.when(~F.col("ok"), F.col("dev")).when(n > 1, F.sqrt((q - s * s / n) / (n - 1))).alias("std"),
+        "min", "max",
     )
-    stack = F.explode(F.array(*[
-        F.struct(
-            F.lit(c).alias("column_name"),
-            F.col(f"n{i}").alias("count"),
-            (F.col("__rows") - F.col(f"n{i}")).alias("null_count"),
-            F.when(F.col(f"ok{i}"), F.try_divide(F.col(f"s{i}"), F.col(f"n{i}").cast("double")))
-            .otherwise(F.col(f"avg{i}")).alias("mean"),
-            F.when(~F.col(f"ok{i}"), F.col(f"std{i}")).when(
-                F.col(f"n{i}") > 1,
-                F.sqrt((F.col(f"q{i}") - F.col(f"s{i}") * F.col(f"s{i}") / F.col(f"n{i}"))
-                       / (F.col(f"n{i}") - 1))).alias("std"),
-            F.col(f"lo{i}").alias("min"),
-            F.col(f"hi{i}").alias("max"),
-        )
-        for i, c in enumerate(cols)
-    ]))
-    return wide.select(stack.alias("s")).select("s.*").join(F.broadcast(qdf), "column_name")
+    shares = (0.25, 0.5, 0.75)
+    found = quantiles.exact_quantiles_multi(df, cols, shares)
+    rows = [(c, *[found[c, p] for p in shares]) for c in cols]
+    qdf = df.sparkSession.createDataFrame(rows, "column_name string, q25 double, q50 double, q75 double")
+    # a table without rows has no pairs: its columns have zero counts
+    return qdf.join(stats, "column_name", "left").select(
+        "column_name", F.coalesce("count", F.lit(0)).alias("count"), F.coalesce("null_count", F.lit(0)).alias("null_count"),
+        "mean", "std", "min", "max", "q25", "q50", "q75")
 
 
 def class_balance(df: DataFrame, label: str = "TARGET") -> DataFrame:
@@ -93,11 +83,14 @@ def prefix_counts(columns: Sequence[str], prefixes: Sequence[str]) -> dict[str,
     return {p: sum(1 for c in columns if c.startswith(p)) for p in prefixes}
 
 
-# Engineered features the reference previews (fixed names).
-PREVIEW_FEATURES = ("AGE_YEARS", "EMPLOYMENT_YEARS", "CREDIT_TO_INCOME_RATIO", "ANNUITY_TO_INCOME_RATIO",
-                    "EXT_SOURCE_MEAN", "FLAG_UNEMPLOYED_UNKNOWN", "TOTAL_MISSING_FEATURES",
-                    "BUREAU_NUM_CREDITS", "PREV_APPROVAL_RATE", "INST_LATE_PAYMENT_RATE",
-                    "CC_UTILIZATION_RATE", "POS_COMPLETION_RATE")
+# The columns a preview of the processed frame shows, in this order.
+PREVIEW_FEATURES = (
+    "SK_ID_CURR", "TARGET", "AGE_YEARS", "EMPLOYMENT_YEARS",
+    "CREDIT_TO_INCOME_RATIO", "ANNUITY_TO_INCOME_RATIO",
+    "FLAG_UNEMPLOYED_UNKNOWN", "EXT_SOURCE_MEAN",
+    "BUREAU_NUM_CREDITS", "PREV_APPROVAL_RATE",
+    "INST_LATE_PAYMENT_RATE", "CC_UTILIZATION_RATE",
+)
 FEATURE_PREFIXES = ("FLAG_MISSING_", "EXT_SOURCE_", "BUREAU_", "PREV_", "INST_", "CC_", "POS_")
 
 
@@ -114,5 +107,40 @@ def feature_preview(df: DataFrame, features=PREVIEW_FEATURES) -> DataFrame:
     return wide.select(stack.alias("s")).select("s.*")
 
 
+def preview_rows(df: DataFrame, features=PREVIEW_FEATURES, n: int = 10, key: str = "SK_ID_CURR") -> DataFrame:
+    """The existing preview features of the first ``n`` rows by key (a table has no other order)."""
+    return df.select(*[c for c in features if c in df.columns]).orderBy(key).limit(n)
+
+
+def preview_statistics(df: DataFrame, features=PREVIEW_FEATURES) -> DataFrame:
+    """Full statistics (as ``processed_summary``) of the existing preview features."""
+    return processed_summary(df.select(*[c for c in features if c in df.columns]))
+
+
+def processed_summary(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """Summary of every numeric column of a processed frame over its finite values.
+
+    Ratios may be infinite or NaN where a denominator is 0; as in the feature
+    matrix those count as missing here, so that one row does not take the mean
+    and the spread of its column away.
+    """
+    cols = list(columns or numeric_columns(df, ()))
+    def known(c: str):
+        x = F.col(c).cast("double")
+        return F.when(F.abs(x) < F.lit(float("inf")), x).alias(c)
+
+    return feature_summary(df.select(*[known(c) for c in cols]), cols)
+
+
+CATEGORIES = {"Bureau Features": "BUREAU_", "Previous App Features": "PREV_", "Installment Features": "INST_",
+              "Credit Card Features": "CC_", "POS Cash Features": "POS_"}
+
+
+def category_counts(columns: Sequence[str]) -> dict[str, int]:
+    """Columns per category of the processed frame; what no history made is an application feature."""
+    made = {name: sum(c.startswith(p) for c in columns) for name, p in CATEGORIES.items()}
+    return {"Application Features": len(columns) - sum(made.values()), **made}
+
+
 def prefix_count_rows(columns, prefixes=FEATURE_PREFIXES) -> list[tuple[str, int]]:
     return [(p, n) for p, n in prefix_counts(columns, prefixes).items()]

@@ -1,61 +1,140 @@
-"""Exact quantiles that never put a whole column into one task.
-
-Spark's exact ``percentile`` keeps a value->count map per group; for a global
-median the final merge holds every distinct value of the column in a single
-task. Here the exact answer is found by bracketing instead, for all columns
-and quantiles in the same passes (columns unpivoted to ``(c, v)``):
-
-1. pass one: per column (grouped by column, so each column's sketches merge
-   in their own task) the count and a ``percentile_approx`` sketch (bounded,
-   merged map-side) give a value bracket around each target rank;
-2. pass two: rows below / above a bracket collapse into one sentinel group
-   each, rows inside stay per distinct value; a running count over that small
-   table (per target) gives exact ranks, the below-group supplying the offset.
-
-When a bracket would still hold too many rows (huge columns), it is narrowed
-first by sketching the rows inside it; if a sketch ever misses, the target is
-retried with a wider bracket. The result is always exact.
+"""Exact quantiles of many columns, side by side, with no column in one task.
+
+Spark's exact ``percentile`` keeps a value->count map per column; the final
+merge holds every distinct value of a column in a single task. Here sketches
+bracket the answer and only values inside the bracket are looked at one by one:
+
+1. one plain aggregate takes a KLL sketch and a count of every column (bounded
+   state, nothing is exploded). Sketches merge in two steps, first within a
+   bounded number of groups of tasks, so that no task merges those of all tasks;
+2. one plain aggregate counts, for every target, the rows below and inside its
+   bracket: exact ranks. A bracket that missed opens up again; one that still
+   holds too many rows is sketched again, inside;
+3. the values inside the brackets, a small share of the rows, become rows
+   ``(target, value)``, are counted per distinct value and ranked.
+
+A small table goes straight to step 3: its distinct values are counted at once.
+The result is always exact; a sketch only decides how much work step 3 has.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 NEG, POS = float("-inf"), float("inf")
-
-
-def _long(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    pairs = [F.struct(F.lit(i).alias("c"), F.col(c).cast("double").alias("v")) for i, c in enumerate(cols)]
-    return (
-        df.select(F.explode(F.array(*pairs)).alias("p"))
-        .select("p.c", "p.v")
-        .where(F.col("v").isNotNull() & ~F.isnan("v"))
-    )
-
-
-def _target_ranks(n: int, q: float) -> tuple[int, int, float]:
-    """1-based ranks around position (n-1)*q and the interpolation weight."""
-    pos = (n - 1) * q
-    lo = math.floor(pos)
-    hi = math.ceil(pos)
-    return lo + 1, hi + 1, pos - lo
-
-
-def _grid(pairs: list[tuple[float, float]]) -> list[float]:
-    return sorted({min(1.0, max(0.0, round(x, 12))) for ab in pairs for x in ab})
-
-
-def _pick(grid: list[float], vals: list[float], a: float, b: float) -> tuple[float, float]:
-    """Sketch values at (or just outside) percentages a and b."""
-    lo_i = max([j for j, x in enumerate(grid) if x <= a], default=None)
-    hi_i = min([j for j, x in enumerate(grid) if x >= b], default=None)
-    lo = vals[lo_i] if (lo_i is not None and a > 0) else NEG
-    hi = vals[hi_i] if (hi_i is not None and b < 1) else POS
-    return lo, hi
+MERGE_WAYS = 64
+SMALL_ROWS = 100_000
+
+
+@dataclass
+class Target:
+    """A rank pair of one column, and the bracket [lo, hi] that shall hold it."""
+
+    column: int
+    q: float
+    n: int
+    lo: float = NEG
+    hi: float = POS
+    below: int = 0
+    inside: int = 0
+    stuck: bool = False
+    value: float | None = None
+
+    def __post_init__(self):
+        self.inside = self.n
+        pos = (self.n - 1) * self.q
+        self.k1, self.k2, self.w = math.floor(pos) + 1, math.ceil(pos) + 1, pos - math.floor(pos)
+
+    def between(self, v1: float, v2: float) -> float:
+        return v1 if self.w == 0 or v1 == v2 else v1 + (v2 - v1) * self.w
+
+
+def _rank_error(k: int) -> float:
+    """Twice the rank error that a KLL sketch of parameter k keeps with 99 % confidence."""
+    return 2 * 2.296 / k**0.9723
+
+
+def _sketches(df: DataFrame, values: Sequence[Column], shares: Sequence[Sequence[float]], k: int) -> list[tuple[int, list[float]]]:
+    """Count and the values at ``shares`` of each expression (nulls and NaN ignored), in one pass over ``df``."""
+    wide = df.select(F.pmod(F.spark_partition_id(), F.lit(MERGE_WAYS)).alias("_way"),
+                     *[F.when(~F.isnan(v), v).alias(f"v{i}") for i, v in enumerate(values)])
+    some = wide.groupBy("_way").agg(*[x for i in range(len(values)) for x in (
+        F.count(f"v{i}").alias(f"n{i}"), F.kll_sketch_agg_double(f"v{i}", F.lit(k)).alias(f"s{i}"))])
+    whole = some.agg(*[x for i in range(len(values)) for x in (
+        F.sum(f"n{i}").alias(f"n{i}"), F.kll_merge_agg_double(f"s{i}").alias(f"s{i}"))])
+    row = whole.select(*[x for i in range(len(values)) for x in (f"n{i}", F.when(F.col(f"n{i}") > 0, F.kll_sketch_get_quantile_double(
+        f"s{i}", F.array(*[F.lit(float(p)) for p in shares[i]]))).alias(f"g{i}"))]).first()
+    return [(row[f"n{i}"] or 0, list(row[f"g{i}"] or [])) for i in range(len(values))]
+
+
+def _bracket(lo_share: float, hi_share: float, got: Sequence[float]) -> tuple[float, float]:
+    return (got[0] if lo_share > 0 else NEG), (got[1] if hi_share < 1 else POS)
+
+
+def _inside(v: Column, t: Target) -> Column:
+    return (v >= F.lit(t.lo)) & (v <= F.lit(t.hi))
+
+
+def _count(df: DataFrame, values: Sequence[Column], targets: Sequence[Target]) -> None:
+    """Rows below and inside every bracket; a bracket without its ranks opens up."""
+    row = df.agg(*[x for i, t in enumerate(targets) for x in (
+        F.count_if(values[t.column] < F.lit(t.lo)).alias(f"b{i}"), F.count_if(_inside(values[t.column], t)).alias(f"m{i}"))]).first()
+    for i, t in enumerate(targets):
+        t.below, t.inside = row[f"b{i}"], row[f"m{i}"]
+        if not (t.below < t.k1 and t.k2 <= t.below + t.inside):
+            t.lo, t.hi, t.below, t.inside = NEG, POS, 0, t.n
+        elif t.lo == t.hi:
+            t.value = t.lo
+
+
+def _narrow(df: DataFrame, values: Sequence[Column], targets: Sequence[Target], k: int) -> None:
+    """A sketch of the rows inside each bracket cuts it down."""
+    eps = _rank_error(k)
+    shares = [(max(0.0, (t.k1 - t.below - 1) / t.inside - eps), min(1.0, (t.k2 - t.below + 1) / t.inside + eps)) for t in targets]
+    got = _sketches(df, [F.when(_inside(values[t.column], t), values[t.column]) for t in targets], shares, k)
+    for t, s, (_, g) in zip(targets, shares, got):
+        lo, hi = _bracket(*s, g) if g else (NEG, POS)
+        lo, hi = max(t.lo, lo), min(t.hi, hi)
+        t.stuck = (lo, hi) == (t.lo, t.hi)  # few distinct values: nothing to gain
+        t.lo, t.hi = lo, hi
+
+
+def _resolve(df: DataFrame, values: Sequence[Column], targets: Sequence[Target]) -> None:
+    """Exact values at the ranks, from the distinct values inside the brackets."""
+    found = F.filter(F.array(*[F.when(_inside(values[t.column], t), F.struct(F.lit(i).alias("t"), values[t.column].alias("u"))) for i, t in enumerate(targets)]),
+                     lambda x: x.isNotNull())
+    counted = df.select(F.explode(found).alias("x")).groupBy("x.t", "x.u").agg(F.count(F.lit(1)).alias("c"))
+    ranks = df.sparkSession.createDataFrame([(i, t.k1 - t.below, t.k2 - t.below) for i, t in enumerate(targets)], "t int, k1 long, k2 long")
+    w = Window.partitionBy("t").orderBy("u").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranked = counted.withColumn("cum", F.sum("c").over(w)).join(F.broadcast(ranks), "t")  # a row per target
+    holds = lambda k: (F.col("cum") >= F.col(k)) & (F.col("cum") - F.col("c") < F.col(k))
+    rows = ranked.groupBy("t").agg(F.max(F.when(holds("k1"), F.col("u"))).alias("v1"), F.max(F.when(holds("k2"), F.col("u"))).alias("v2")).collect()
+    for r in rows:
+        if r["v1"] is not None and r["v2"] is not None:
+            targets[r["t"]].value = targets[r["t"]].between(r["v1"], r["v2"])
+
+
+def _of_small(df: DataFrame, values: Sequence[Column], qs: Sequence[float]) -> dict[tuple[int, int], float]:
+    """``{(column, place in qs): value}`` from the counts of all distinct values, in one job."""
+    pairs = F.filter(F.array(*[F.when(v.isNotNull() & ~F.isnan(v), F.struct(F.lit(i).alias("c"), v.alias("u"))) for i, v in enumerate(values)]), lambda x: x.isNotNull())
+    counted = df.select(F.explode(pairs).alias("x")).groupBy("x.c", "x.u").agg(F.count(F.lit(1)).alias("k"))
+    w = Window.partitionBy("c").orderBy("u")
+    ranked = counted.select("c", "u", F.sum("k").over(w).alias("cum"), "k", F.sum("k").over(Window.partitionBy("c")).alias("n"))
+    hits = []
+    for j, q in enumerate(qs):
+        pos = (F.col("n") - 1) * F.lit(float(q))
+        for end, rank in (("a", F.floor(pos) + 1), ("b", F.ceil(pos) + 1)):
+            hits.append(F.max(F.when((F.col("cum") >= rank) & (F.col("cum") - F.col("k") < rank), F.col("u"))).alias(f"{end}{j}"))
+    out = {}
+    for r in ranked.groupBy("c").agg(F.first("n").alias("n"), *hits).collect():
+        for j, q in enumerate(qs):
+            out[r["c"], j] = Target(r["c"], q, r["n"]).between(r[f"a{j}"], r[f"b{j}"])
+    return out
 
 
 def exact_quantiles_multi(
@@ -65,135 +144,54 @@ def exact_quantiles_multi(
     accuracy: int = 10_000,
     max_exact: int = 2_000_000,
     max_rounds: int = 8,
+    small_rows: int = SMALL_ROWS,
 ) -> dict[tuple[str, float], float | None]:
     """``{(column, q): value}`` with linear interpolation at position (n-1)*q,
-    the definition of ``percentile`` / ``median``; nulls and NaN ignored.
+    the definition of ``percentile`` / ``median``; nulls and NaN ignored, None
+    for a column without values.
 
-    Pass one groups the unpivoted values by column: each column's partial
-    sketches are merged in their own task (a global aggregate would merge
-    every column's sketches from every map task in one task)."""
+    ``accuracy`` sets the size of the sketches, ``max_exact`` the rows up to
+    which a bracket is not sketched again, ``small_rows`` those up to which no
+    sketch is taken.
+    """
     cols, qs = list(cols), list(qs)
     out: dict[tuple[str, float], float | None] = {(c, q): None for c in cols for q in qs}
     if not cols or not qs:
         return out
-    spark = df.sparkSession
-    eps = 3.0 / accuracy
-    grid0 = _grid([(max(0.0, q - eps), min(1.0, q + eps)) for q in qs])
-    long = _long(df, cols)
-    first = {r["c"]: r for r in long.groupBy("c").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.percentile_approx("v", F.array(*[F.lit(x) for x in grid0]), accuracy).alias("g"),
-    ).collect()}
-    row = {f"__qn{i}": (first[i]["n"] if i in first else 0) for i in range(len(cols))}
-    row.update({f"__qg{i}": first[i]["g"] for i in first})
-    targets: dict[int, dict] = {}
-    for i in range(len(cols)):
-        n = row[f"__qn{i}"]
-        if not n:
-            continue
-        g = row[f"__qg{i}"]
-        for j, q in enumerate(qs):
-            k1, k2, w = _target_ranks(n, q)
-            a, b = max(0.0, q - eps), min(1.0, q + eps)
-            # widen by one rank so the sketch's own rank convention cannot matter
-            a, b = max(0.0, a - 1.0 / n), min(1.0, b + 1.0 / n)
-            lo, hi = _pick(grid0, g, a, b)
-            targets[i * len(qs) + j] = {"c": i, "q": q, "n": n, "k1": k1, "k2": k2, "w": w,
-                                        "lo": lo, "hi": hi, "below": 0, "m": n, "exp": (b - a) * n}
+    values = [F.col(c).cast("double") for c in cols]
+    if df.select(F.lit(1)).limit(small_rows + 1).count() <= small_rows:
+        for (i, j), v in _of_small(df, values, qs).items():
+            out[cols[i], qs[j]] = v
+        return out
+    k = max(8, min(65_535, accuracy * 2048 // 10_000))
+    eps = _rank_error(k)
+    pairs = [(max(0.0, q - eps), min(1.0, q + eps)) for q in qs]
+    targets: list[Target] = []
+    for i, (n, got) in enumerate(_sketches(df, values, [[p for pair in pairs for p in pair]] * len(cols), k)):
+        for j, q in enumerate(qs if n else []):
+            t = Target(i, q, n)
+            # a rank of one row must not fall out of a bracket of a small column
+            t.lo, t.hi = _bracket(*pairs[j], got[2 * j:2 * j + 2]) if eps * n > 2 else (NEG, POS)
+            targets.append(t)
+    unsure = [t for t in targets if (t.lo, t.hi) != (NEG, POS)]
     for _ in range(max_rounds):
-        # narrow brackets that would hold too many rows (only for huge columns)
-        wide = [t for t in targets.values() if "done" not in t and t["exp"] > max_exact]
-        if wide:
-            _narrow(spark, long, wide, accuracy)
-        pending = [tid for tid, t in targets.items() if "done" not in t]
-        if not pending:
+        if unsure:
+            _count(df, values, unsure)
+        wide = [t for t in targets if t.value is None and t.inside > max_exact and not t.stuck]
+        if not wide:
             break
-        _resolve(spark, long, targets, pending)
-        for tid in pending:
-            t = targets[tid]
-            if "done" not in t:  # the sketch missed: retry with a wider bracket
-                t["lo"], t["hi"], t["exp"] = NEG, POS, t["n"]
-                t["below"], t["m"] = 0, t["n"]
-    for t in targets.values():
-        if "value" not in t:
-            raise RuntimeError(f"quantile {t['q']} of {cols[t['c']]} was not found in {max_rounds} rounds")
-        out[(cols[t["c"]], t["q"])] = t["value"]
+        _narrow(df, values, wide, k)
+        unsure = wide
+    open_ = [t for t in targets if t.value is None]
+    if open_:
+        _resolve(df, values, open_)
+    for t in targets:
+        if t.value is None:
+            raise RuntimeError(f"quantile {t.q} of {cols[t.column]} was not found")
+        out[(cols[t.column], t.q)] = t.value
     return out
 
 
-def _brackets_df(spark, targets: list[dict], tids: list[int]):
-    return spark.createDataFrame(
-        [(tid, t["c"], float(t["lo"]), float(t["hi"]), int(t["k1"]), int(t["k2"])) for tid, t in zip(tids, targets)],
-        "t long, c int, lo double, hi double, k1 long, k2 long",
-    )
-
-
-def _narrow(spark, long: DataFrame, wide: list[dict], accuracy: int) -> None:
-    """Exact counts below/inside the current brackets, then a sketch of the
-    rows inside to cut each bracket down (one or two passes)."""
-    tids = list(range(len(wide)))
-    br = _brackets_df(spark, wide, tids)
-    inside = (F.col("v") >= F.col("lo")) & (F.col("v") <= F.col("hi"))
-    stats = {r["t"]: r for r in long.join(F.broadcast(br), "c").groupBy("t").agg(
-        F.count(F.when(F.col("v") < F.col("lo"), 1)).alias("below"),
-        F.count(F.when(inside, 1)).alias("m"),
-    ).collect()}
-    eps = 3.0 / accuracy
-    pcts = {}
-    for tid, t in zip(tids, wide):
-        s = stats.get(tid)
-        if s is None or not (s["below"] < t["k1"] and s["below"] + s["m"] >= t["k2"]):
-            t["lo"], t["hi"], t["below"], t["m"] = NEG, POS, 0, t["n"]
-            continue
-        t["below"], t["m"] = s["below"], s["m"]
-        r1 = (t["k1"] - t["below"]) / t["m"]
-        r2 = (t["k2"] - t["below"]) / t["m"]
-        pcts[tid] = (max(0.0, r1 - eps - 1.0 / t["m"]), min(1.0, r2 + eps + 1.0 / t["m"]))
-    if not pcts:
-        return
-    grid = _grid(list(pcts.values()))
-    sk = {r["t"]: r["g"] for r in long.join(F.broadcast(br), "c").where(inside).groupBy("t").agg(
-        F.percentile_approx("v", F.array(*[F.lit(x) for x in grid]), accuracy).alias("g")).collect()}
-    for tid, (a, b) in pcts.items():
-        t = wide[tid]
-        if tid in sk:
-            lo, hi = _pick(grid, sk[tid], a, b)
-            t["lo"], t["hi"] = max(t["lo"], lo), min(t["hi"], hi)
-        t["exp"] = (b - a) * t["m"]
-
-
-def _resolve(spark, long: DataFrame, targets: dict[int, dict], pending: list[int]) -> None:
-    """One pass: exact ranks inside each bracket; out-of-bracket rows become
-    one -inf / +inf group so the running count includes the offset."""
-    br = _brackets_df(spark, [targets[t] for t in pending], pending)
-    side = F.when(F.col("v") < F.col("lo"), F.lit(-1)).when(F.col("v") > F.col("hi"), F.lit(1)).otherwise(F.lit(0))
-    value = F.when(side == 0, F.col("v"))
-    grouped = long.join(F.broadcast(br), "c").groupBy("t", "k1", "k2", side.alias("side"), value.alias("u")).agg(
-        F.count(F.lit(1)).alias("cnt"))
-    w = Window.partitionBy("t").orderBy("side", "u").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ranked = grouped.withColumn("cum", F.sum("cnt").over(w))
-    hit1 = (F.col("cum") >= F.col("k1")) & (F.col("cum") - F.col("cnt") < F.col("k1"))
-    hit2 = (F.col("cum") >= F.col("k2")) & (F.col("cum") - F.col("cnt") < F.col("k2"))
-    rows = ranked.where(hit1 | hit2).select("t", "side", "u", hit1.alias("h1"), hit2.alias("h2")).collect()
-    found: dict[int, dict] = {}
-    for r in rows:
-        d = found.setdefault(r["t"], {})
-        if r["side"] != 0:
-            d["miss"] = True
-        if r["h1"]:
-            d["v1"] = r["u"]
-        if r["h2"]:
-            d["v2"] = r["u"]
-    for tid in pending:
-        d = found.get(tid, {})
-        v1, v2 = d.get("v1"), d.get("v2")
-        if d.get("miss") or v1 is None or v2 is None:
-            continue  # a target rank fell outside the bracket: the sketch missed
-        t = targets[tid]
-        t["value"] = v1 if t["w"] == 0 or v1 == v2 else v1 + (v2 - v1) * t["w"]
-        t["done"] = True
-
-
 def exact_quantiles(df: DataFrame, cols: Sequence[str], q: float = 0.5, **kw) -> dict[str, float | None]:
     res = exact_quantiles_multi(df, cols, [q], **kw)
     return {c: res[(c, q)] for c in cols}

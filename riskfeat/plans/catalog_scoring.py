@@ -1,4 +1,5 @@
-"""Registered queries of linear scorers: scores, contributions, attribution, reasons.
+"""Registered queries of linear scorers (scores, contributions, attribution,
+reasons), of candidate ranking and of the processed frame's summary.
 
 The SQL-checked ones apply an exported scorecard (a coefficient table, as a
 policy states it) to the whole training frame; ``linear_model`` fits one.
@@ -12,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..operators import attribution as AT
 from ..operators import explain as XP
+from ..operators import features as FE
 from . import app_sql as A
 from . import catalog as C
 from . import catalog_fixture as CF
@@ -157,3 +159,45 @@ def q_univariate_ranking(spark, sf_dir):
 @C.register("univariate_top", A.with_ctes(["applicants"], _FITS_CTES, "SELECT * FROM ranked ORDER BY rank, candidate LIMIT 5"))
 def q_univariate_top(spark, sf_dir):
     return SE.rank_fits(univariate_fits(spark, sf_dir)).orderBy("rank", "candidate").limit(5)
+
+
+# ------------------------------------------- summary of the processed frame
+NUMERIC = [c for c in dict.fromkeys(
+    [c for c in CF.APPLICANT_COLUMNS if c != "IS_TRAIN" and c not in CF.DROPPED and c not in CF.STRING_FIT]
+    + ["FLAG_UNEMPLOYED_UNKNOWN"] + [f"FLAG_MISSING_{c}" for c in CF.FLAGGED_COLUMNS] + list(FE.FEATURE_NAMES) + A.history_columns()
+) if c not in ("AGE_GROUP", "INCOME_GROUP")]
+
+
+def _frame_sql(select: str) -> str:
+    ctes = A.app_ctes("train") + [A.history_ctes(), f"pt AS ({A.joined_select('train')})"]
+    return A.with_ctes(["applicants"] + A.HISTORY_FIXTURES, ctes, select)
+
+
+def _summary_sql(columns) -> str:
+    """Mean and spread to six digits behind the point (see DIGITS); all else as it is."""
+    return _frame_sql("\nUNION ALL\n".join(f"""
+SELECT '{c}' AS column_name, COUNT(v) AS count, COUNT(*) - COUNT(v) AS null_count, ROUND(AVG(v), 6) AS mean, ROUND(STDDEV_SAMP(v), 6) AS std,
+ MIN(v) AS min, MAX(v) AS max, ROUND(QUANTILE_CONT(v, 0.25), 9) AS q25, ROUND(QUANTILE_CONT(v, 0.5), 9) AS q50, ROUND(QUANTILE_CONT(v, 0.75), 9) AS q75
+FROM (SELECT CASE WHEN isfinite(CAST({c} AS DOUBLE)) THEN CAST({c} AS DOUBLE) END AS v FROM pt) x""" for c in columns))
+
+
+def _rounded_summary(df):
+    digits = {"mean": 6, "std": 6, "q25": 9, "q50": 9, "q75": 9}
+    return df.withColumns({c: F.round(c, n) for c, n in digits.items()})
+
+
+@C.register("processed_summary", _summary_sql(NUMERIC))
+def q_processed_summary(spark, sf_dir):
+    """Every numeric column of the processed training frame, histories included."""
+    return _rounded_summary(C.P.processed_summary(C.checkpoint(C.feature_frame(spark, sf_dir, "train"))))
+
+
+@C.register("preview_statistics", _summary_sql(C.P.PREVIEW_FEATURES))
+def q_preview_statistics(spark, sf_dir):
+    frame = C.feature_frame(spark, sf_dir, "train")
+    return _rounded_summary(C.P.preview_statistics(C.checkpoint(frame.select(*C.P.PREVIEW_FEATURES))))
+
+
+@C.register("preview_rows", _frame_sql(f"SELECT {', '.join(C.P.PREVIEW_FEATURES)} FROM pt ORDER BY SK_ID_CURR LIMIT 10"))
+def q_preview_rows(spark, sf_dir):
+    return C.P.preview_rows(C.feature_frame(spark, sf_dir, "train"))
