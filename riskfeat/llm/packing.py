@@ -30,10 +30,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskfeat.llm.textops import LOWER, byte_view, slices, word_hashes, word_spans
+from riskfeat.llm.textops import LOWER, byte_view, release, slices, word_hashes, word_spans
 from riskfeat.session import checkpoint
 
-CACHE_WORDS = 2_000_000  # encoded words kept by one Python worker, about 30 bytes each
+CACHE_WORDS = 2_000_000  # encoded words kept by one task, about 30 bytes each
 
 
 class WordEncoder:
@@ -50,9 +50,9 @@ class WordEncoder:
 
         self.tok = Tokenizer.from_file(path)
         self.dtype = np.dtype("<u2" if self.tok.get_vocab_size() <= 1 << 16 else "<u4")
-        self._forget()
+        self.forget()
 
-    def _forget(self) -> None:
+    def forget(self) -> None:
         self.hash = np.zeros(0, np.uint64)  # sorted; the others in its order
         self.at = np.zeros(0, np.int64)
         self.n = np.zeros(0, np.int64)
@@ -87,7 +87,7 @@ class WordEncoder:
     def _find(self, words: np.ndarray, first: np.ndarray, data: np.ndarray, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
         """Places of the words among those kept, new ones encoded and added."""
         if len(self.hash) > CACHE_WORDS:
-            self._forget()
+            self.forget()
         at = np.searchsorted(self.hash, words)
         new = np.ones(len(words), bool)
         ok = at < len(self.hash)
@@ -124,6 +124,8 @@ def tokens(docs: DataFrame, id_col: str, text_col: str, tokenizer: str, end_id:
             edge = np.r_[0, np.cumsum(n)]
             ids = [flat[x:y].tobytes() for x, y in zip(edge.tolist(), edge[1:].tolist())]
             yield pa.RecordBatch.from_arrays([b.column("doc"), pa.array(n, pa.int64()), pa.array(ids, pa.binary())], ["doc", "n", "ids"])
+        enc.forget()  # the worker lives on, in stages that need its memory
+        release()
 
     out = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, "doc long, n long, ids binary")
     return out.withColumn("row", F.monotonically_increasing_id())

@@ -8,6 +8,7 @@ follows the slice (or the longest single text), not the partition.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -64,16 +65,32 @@ def byte_view(arr: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def slices(batches: Iterable[pa.RecordBatch], text: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
-    """Cut batches into slices whose ``text`` column holds about ``limit`` bytes."""
-    for b in batches:
-        if not b.num_rows:
-            continue
-        _, offs = byte_view(b.column(text))
-        at = 0
-        while at < b.num_rows:
-            to = max(at + 1, int(np.searchsorted(offs, offs[at] + limit, side="right")) - 1)
-            yield b.slice(at, to - at)
-            at = to
+    """Cut batches into slices whose ``text`` column holds about ``limit`` bytes.
+
+    Python workers are used again by later tasks and stages, so what the slices
+    took goes back to the system when a task has read them all.
+    """
+    try:
+        for b in batches:
+            if not b.num_rows:
+                continue
+            _, offs = byte_view(b.column(text))
+            at = 0
+            while at < b.num_rows:
+                to = max(at + 1, int(np.searchsorted(offs, offs[at] + limit, side="right")) - 1)
+                yield b.slice(at, to - at)
+                at = to
+    finally:
+        release()
+
+
+def release() -> None:
+    """Gives freed memory back to the system; without glibc, Arrow's part alone."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):
+        pass
 
 
 def word_spans(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
