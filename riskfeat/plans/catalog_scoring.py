@@ -7,6 +7,8 @@ policy states it) to the whole training frame; ``linear_model`` fits one.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
@@ -17,6 +19,7 @@ from ..operators import features as FE
 from . import app_sql as A
 from . import catalog as C
 from . import catalog_fixture as CF
+from . import lifecycle as LC
 from . import modeling as ML
 from . import search as SE
 
@@ -201,3 +204,30 @@ def q_preview_statistics(spark, sf_dir):
 @C.register("preview_rows", _frame_sql(f"SELECT {', '.join(C.P.PREVIEW_FEATURES)} FROM pt ORDER BY SK_ID_CURR LIMIT 10"))
 def q_preview_rows(spark, sf_dir):
     return C.P.preview_rows(C.feature_frame(spark, sf_dir, "train"))
+
+
+# -------------------------------------------------------- a model's whole life
+# Two settings of the search space, few rounds: the rule is the same for any list.
+FINAL_CANDIDATES = (
+    {"n_estimators": 12, "max_depth": 3, "learning_rate": 0.2, "subsample": 1.0, "colsample_bytree": 1.0, "min_child_samples": 20},
+    {"n_estimators": 20, "max_depth": 2, "learning_rate": 0.1, "subsample": 1.0, "colsample_bytree": 1.0, "min_child_samples": 20},
+)
+EARLY_ROUNDS = 40
+
+
+@C.register("final_scores")
+def q_final_scores(spark, sf_dir):
+    """Choose, fit on all rows, write, load the written model and score the test frame with it."""
+    matrix, plan = C.train_matrix(spark, sf_dir)
+    frame = C.checkpoint(C.feature_frame(spark, sf_dir, "train"))
+    model, _, _ = LC.choose_and_fit(frame, C.tuning_sample(matrix), plan, FINAL_CANDIDATES, C.shared_dir(spark, "search"))
+    path = LC.save(model, C.shared_dir(spark, f"final-{uuid.uuid4().hex}"))
+    return LC.score(LC.load(path), C.feature_frame(spark, sf_dir, "test")).select("SK_ID_CURR", F.col("SCORE").alias("TARGET"))
+
+
+@C.register("early_stopping")
+def q_early_stopping(spark, sf_dir):
+    """Loss per kept round, on the training and the validation rows; fewer rounds than allowed."""
+    matrix, _ = C.train_matrix(spark, sf_dir)
+    model = LC.fit_early_stopping(matrix, EARLY_ROUNDS, tolerance=0.001)
+    return LC.validation_curve(model, matrix).withColumn("allowed", F.lit(EARLY_ROUNDS))
