@@ -809,4 +809,4 @@ register("feature_preview", _preview_sql())(
     lambda spark, sf_dir: P.feature_preview(feature_frame(spark, sf_dir, "train")))
 
 
-from . import catalog_scoring  # noqa: E402, F401  registers its queries
+from . import catalog_jobs, catalog_scoring  # noqa: E402, F401  register their queries

@@ -63,6 +63,30 @@ def read_csv_table(spark: SparkSession, path: str, declared: dict[str, T.DataTyp
     return nan_to_null(df)
 
 
+CORRUPT = "_corrupt_record"
+
+
+def ingest_csv(spark: SparkSession, path: str, out: str, declared: dict[str, T.DataType],
+               default_type: T.DataType = S) -> tuple[DataFrame, DataFrame]:
+    """``(rows, rejects)`` of a CSV with header, from one pass over it.
+
+    Every column has a declared type (others ``default_type``), so nothing is
+    inferred. A line with too few or too many fields, or a value that is not of
+    its column's type, stops nothing: it goes to the rejects with its text.
+    Both sides are one Parquet table in ``out``, parted by ``rejected``, so that
+    each is read without the other; NaN becomes null.
+    """
+    names = _header(spark, path)
+    fields = [T.StructField(n, declared.get(n, default_type), True) for n in names] + [T.StructField(CORRUPT, S, True)]
+    parsed = (spark.read.schema(T.StructType(fields)).option("header", True).option("nanValue", "NaN").option("mode", "PERMISSIVE")
+              .option("columnNameOfCorruptRecord", CORRUPT).csv(path))
+    from pyspark.sql import functions as F
+
+    nan_to_null(parsed).withColumn("rejected", F.col(CORRUPT).isNotNull()).write.mode("overwrite").partitionBy("rejected").parquet(out)
+    table = spark.read.schema(T.StructType([*fields, T.StructField("rejected", T.BooleanType())])).parquet(out)
+    return table.where(~F.col("rejected")).drop("rejected", CORRUPT), table.where("rejected").select(F.col(CORRUPT).alias("line"))
+
+
 def nan_to_null(df: DataFrame) -> DataFrame:
     """One missing state: NaN in float columns becomes null (one projection)."""
     from pyspark.sql import functions as F

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import exprs as X
@@ -122,3 +122,42 @@ def start_monitor(stream: DataFrame, sink_path: str, checkpoint: str, trigger_se
         .start()
     )
     return q
+
+
+def run_daily_monitor(spark, source: str, schema, sink_path: str, checkpoint: str, files_per_trigger: int | None = None,
+                      **kw) -> dict[str, int]:
+    """Everything that has arrived in ``source`` (Parquet files), then stop.
+
+    Finished days (those the watermark has passed) are appended to the sink;
+    open days stay in the checkpoint's state, and the next run, in this session
+    or another, goes on from there. Returns the rows read and the rows that
+    came too late for their day, as the engine's progress reports them.
+    """
+    reader = spark.readStream.schema(schema)
+    if files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", files_per_trigger)
+    query = (
+        stream_daily_approval(reader.parquet(source), **kw)
+        .writeStream.outputMode("append")
+        .format("parquet")
+        .option("path", sink_path)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+    progress = query.recentProgress
+    return {"rows": sum(p["numInputRows"] for p in progress),
+            "late_rows": sum(s["numRowsDroppedByWatermark"] for p in progress for s in p["stateOperators"])}
+
+
+def retrain_rule(weekly: DataFrame, plan: MonitorPlan = DEFAULT_PLAN) -> DataFrame:
+    """``(week, auc, auc_before, auc_drop, retrain)``: retrain if the AUC fell by
+    more than the plan's drop against the last week that has one.
+
+    One row per week reaches the window.
+    """
+    w = Window.orderBy("week").rowsBetween(Window.unboundedPreceding, -1)
+    before = weekly.select("week", "auc", F.last("auc", ignorenulls=True).over(w).alias("auc_before"))
+    drop = F.col("auc_before") - F.col("auc")
+    return before.withColumn("auc_drop", drop).withColumn("retrain", F.coalesce(F.col("auc_drop") > plan.retrain_auc_drop, F.lit(False)))
