@@ -30,10 +30,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskfeat.llm.textops import LOWER, byte_view, release, slices, word_hashes, word_spans
+from riskfeat.llm.textops import KEPT, LOWER, byte_view, slices, word_hashes, word_spans
 from riskfeat.session import checkpoint
 
-CACHE_WORDS = 2_000_000  # encoded words kept by one task, about 30 bytes each
+CACHE_WORDS = 2_000_000  # encoded words kept by one Python worker until it serves another operator, about 30 bytes each
 
 
 class WordEncoder:
@@ -111,6 +111,7 @@ _ENCODERS: dict[str, WordEncoder] = {}
 def encoder(path: str) -> WordEncoder:
     if path not in _ENCODERS:
         _ENCODERS[path] = WordEncoder(path)
+        KEPT.append(_ENCODERS[path])
     return _ENCODERS[path]
 
 
@@ -119,13 +120,11 @@ def tokens(docs: DataFrame, id_col: str, text_col: str, tokenizer: str, end_id:
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(tokenizer)
-        for b in slices(batches, "text"):
+        for b in slices(batches, "text", keep=enc):
             flat, n = enc.encode(*byte_view(b.column("text")), end_id)
             edge = np.r_[0, np.cumsum(n)]
             ids = [flat[x:y].tobytes() for x, y in zip(edge.tolist(), edge[1:].tolist())]
             yield pa.RecordBatch.from_arrays([b.column("doc"), pa.array(n, pa.int64()), pa.array(ids, pa.binary())], ["doc", "n", "ids"])
-        enc.forget()  # the worker lives on, in stages that need its memory
-        release()
 
     out = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, "doc long, n long, ids binary")
     return out.withColumn("row", F.monotonically_increasing_id())

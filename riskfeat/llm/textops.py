@@ -64,12 +64,19 @@ def byte_view(arr: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[offs[0] : offs[-1]], offs - offs[0]
 
 
-def slices(batches: Iterable[pa.RecordBatch], text: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+KEPT: list = []  # what a worker keeps between tasks; each entry has forget()
+
+
+def slices(batches: Iterable[pa.RecordBatch], text: str, limit: int = SLICE_BYTES, keep: object = None) -> Iterator[pa.RecordBatch]:
     """Cut batches into slices whose ``text`` column holds about ``limit`` bytes.
 
-    Python workers are used again by later tasks and stages, so what the slices
-    took goes back to the system when a task has read them all.
+    Python workers are used again by later tasks and stages: what other tasks
+    kept there is forgotten first, but for ``keep``, and what the slices took
+    goes back to the system when a task has read them all.
     """
+    for kept in KEPT:
+        if kept is not keep:
+            kept.forget()
     try:
         for b in batches:
             if not b.num_rows:
