@@ -133,6 +133,15 @@ def _bucket_of(keys: np.ndarray, buckets: int) -> np.ndarray:
     return ((keys >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
 
 
+def _pack_totals(n: np.ndarray) -> bytes:
+    """Counts over the corpus, 64 bits each, as byte planes: the upper ones are zeros and cost nothing."""
+    return pack(n.astype("<u8").view(np.uint8).reshape(-1, 8).T)
+
+
+def _unpack_totals(b: bytes) -> np.ndarray:
+    return np.ascontiguousarray(unpack(b, "u1").reshape(8, -1).T).view("<u8").ravel().astype(np.int64)
+
+
 _ASK = pa.schema([("kind", pa.int32()), ("bucket", pa.int64()), ("block", pa.int64()), ("keys", pa.binary()), ("counts", pa.binary())])
 
 
@@ -169,7 +178,7 @@ def _add_up(t: pa.Table) -> pa.Table:
     uniq, at = np.unique(np.concatenate(keys), return_inverse=True)
     total = np.bincount(at, weights=np.concatenate(counts), minlength=len(uniq)).astype(np.int64)
     stop = np.cumsum([len(k) for k in keys])
-    out = [pack(total[at[z - len(k) : z]].astype("<u4")) for k, z in zip(keys, stop)]
+    out = [_pack_totals(total[at[z - len(k) : z]]) for k, z in zip(keys, stop)]
     zero = [0] * (len(keys) - 1)
     return pa.table({
         "kind": t.column("kind"), "bucket": t.column("bucket"), "block": t.column("block"), "counts": pa.array(out, pa.binary()),
@@ -237,7 +246,7 @@ def _score(n_train: int, n_kinds: int, n_texts: int):
             for kind, keys in ((1, mix64(x.words)), (2, x.keys)):
                 rows = sorted((a["bucket"], a["counts"]) for a in answers.to_pylist() if a["kind"] == kind)
                 got[kind] = np.empty(len(keys), np.int64)
-                got[kind][np.argsort(keys)] = np.concatenate([unpack(c, "<u4") for _, c in rows])
+                got[kind][np.argsort(keys)] = np.concatenate([_unpack_totals(c) for _, c in rows])
             uni, bi = got[1], got[2]
             of_state = np.where(x.words == START, n_texts, uni)  # how often a state is left
             seen = np.flatnonzero(bi > 0)

@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from riskfeat.llm import lm, queries
+from riskfeat.llm import textops as tx
 
 
 def tokens(text):
@@ -87,3 +88,15 @@ def test_blocks_and_edge_rows(spark, monkeypatch, block, step):
     assert run(df.limit(0), F.col("out")) == []
     none = [(d, t, True) for d, t, _ in rows]
     same(run(df, F.lit(True)), brute(none))
+
+
+def test_counts_beyond_32_bits():
+    """Two blocks that hold a word three thousand million times each."""
+    import pyarrow as pa
+
+    keys = np.array([5, 1 << 60], np.uint64)
+    ask = lambda block, counts: {"kind": 1, "bucket": 0, "block": block, "keys": lm._pack_keys(keys), "counts": tx.pack(np.array(counts, "<u4"))}
+    got = lm._add_up(pa.Table.from_pylist([ask(0, [3_000_000_000, 1]), ask(1, [3_000_000_000, 0])], schema=lm._ASK)).to_pylist()
+    assert [lm._unpack_totals(r["counts"]).tolist() for r in got] == [[6_000_000_000, 1]] * 2
+    assert got[0]["total"] == 6_000_000_001 and got[0]["kinds"] == 2
+    assert lm._unpack_totals(lm._pack_totals(np.zeros(0, np.int64))).tolist() == []
