@@ -17,6 +17,10 @@ from ..streaming import monitor as MON
 from . import app_sql as A
 from . import assembly as PL
 from . import catalog as C
+from . import colocated as CO
+
+
+BUCKETS = 16  # of the co-located tables here; a cluster takes about history bytes / 256 MB
 
 
 def _folder(spark, name: str) -> str:
@@ -63,6 +67,18 @@ C.register("pipeline_train", C._app_sql(A.joined_select("train"), "train", True,
 C.register("pipeline_test", C._app_sql(A.joined_select("test"), "test", True, True))(lambda spark, sf_dir: _pipeline(spark, sf_dir)[1])
 
 
+def _colocated(spark, sf_dir):
+    """The same frames from histories in buckets, opened again from where they were written."""
+    train, test = C.split_train_test(C.applicants(spark, sf_dir))
+    path = _folder(spark, "colocated")
+    CO.write_histories({name: FX.load(spark, sf_dir, fixture) for name, fixture in C.HISTORY_FIXTURE.items()}, f"{path}/histories", BUCKETS)
+    return CO.process(train, test, CO.open_histories(spark, f"{path}/histories"), f"{path}/run")
+
+
+C.register("colocated_train", C.ORACLES["pipeline_train"])(lambda spark, sf_dir: _colocated(spark, sf_dir).train)
+C.register("colocated_test", C.ORACLES["pipeline_test"])(lambda spark, sf_dir: _colocated(spark, sf_dir).test)
+
+
 @C.register("score_file", C._scored_sql("SELECT SK_ID_CURR, SCORE AS TARGET FROM scored"))
 def q_score_file(spark, sf_dir):
     """The score file, built once: the second call reads what the first one wrote."""
