@@ -7,7 +7,7 @@ neighbouring lines; Viterbi decoding finds the best marking of a whole text.
 A text is kept when content lines hold at least ``min_share`` of its words.
 
 There are no line labels, so the field is trained by distant supervision: on a
-bounded sample of texts (``max_rows``), lines that meet one of the ``seed``
+bounded sample of different texts (``max_rows``), lines that meet one of the ``seed``
 rules (symbols, capitals, bars, words repeated or cut by marks, equal lines)
 count as boilerplate, the others as content; the weights are
 fitted by the gradient of the conditional likelihood (forward-backward over all
@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 from riskfeat.llm import measures as M
 from riskfeat.llm.labelled import bounded
 from riskfeat.llm.textops import byte_view, slices
+from riskfeat.session import checkpoint
 
 CONTENT, BOILERPLATE = 0, 1
 #: bin edges of each measure
@@ -170,28 +171,51 @@ def train(active: np.ndarray, row: np.ndarray, mark: np.ndarray, steps: int = 12
     return field
 
 
-def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_rows: int = 4_000, max_lines: int = 200_000) -> Field:
-    """Field of at most about ``max_rows`` texts (and ``max_lines`` lines), chosen by a hash of their text."""
-    d = docs.select(F.col(text_col).cast("string").alias("text")).where(F.length("text") > 0)
+def draw(docs: DataFrame, text_col: str = "text", max_rows: int = 4_000, max_lines: int = 200_000) -> DataFrame:
+    """``(key, n, active, seed)`` of about ``max_rows`` different texts, each once.
+
+    Texts are drawn by their hash, out of about as many as there are different
+    ones.  A task sends a text once however often it meets it, so a text that
+    fills a third of the table costs a row per task.  Texts of more than
+    ``max_lines`` non-blank lines are not drawn.
+    """
+    d = docs.select(F.col(text_col).cast("string").alias("text")).where(F.length("text") > 0).withColumn("key", F.xxhash64("text"))
+
+    def unseen(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sent: set[int] = set()  # at most the keys drawn
+        for b in batches:
+            new = []
+            for k in b.column("key").to_pylist():
+                new.append(k not in sent)
+                sent.add(k)
+            yield b.filter(pa.array(new, pa.bool_()))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in slices(batches, "text"):
+        for b in slices(unseen(batches), "text"):
             t, some, active, seed = lines(*byte_view(b.column("text")))
-            row = t.line_row[some]
-            cut = np.searchsorted(row, np.arange(t.rows + 1))
+            cut = np.searchsorted(t.line_row[some], np.arange(t.rows + 1))
             yield pa.RecordBatch.from_arrays(
-                [b.column("key"), pa.array([active[x:y].astype("<u1").tobytes() for x, y in zip(cut, cut[1:])], pa.binary()),
+                [b.column("key"), pa.array(np.diff(cut).astype(np.int64)),
+                 pa.array([active[x:y].astype("<u1").tobytes() for x, y in zip(cut, cut[1:])], pa.binary()),
                  pa.array([seed[x:y].tobytes() for x, y in zip(cut, cut[1:])], pa.binary())],
-                ["key", "active", "seed"],
+                ["key", "n", "active", "seed"],
             )
 
-    sample = bounded(d.withColumn("key", F.xxhash64("text")), "key", d.count(), max_rows)
-    got = sample.mapInArrow(run, "key long, active binary, seed binary").toPandas().sort_values("key", kind="stable")
-    n = np.cumsum([len(s) for s in got["seed"]])
-    got = got[: max(1, int(np.searchsorted(n, max_lines, side="right")))] if len(got) else got
+    different = d.agg(F.approx_count_distinct("key", 0.02)).first()[0]
+    out = bounded(d, "key", different, max_rows).mapInArrow(run, "key long, n long, active binary, seed binary")
+    return checkpoint(out.where(F.col("n") <= max_lines).dropDuplicates(["key"]))
+
+
+def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_rows: int = 4_000, max_lines: int = 200_000) -> Field:
+    """Field of about ``max_rows`` different texts, in the order of their hashes up to ``max_lines`` lines."""
+    drawn = draw(docs, text_col, max_rows, max_lines)
+    sizes = drawn.select("key", "n").toPandas().sort_values("key")
+    keys = sizes["key"][sizes["n"].cumsum() <= max_lines]
+    got = drawn.where(F.col("key") <= int(keys.max())) if len(keys) else drawn.limit(0)
+    got = got.toPandas().sort_values("key")
     active = np.frombuffer(b"".join(got["active"]), "<u1").astype(np.int64).reshape(-1, len(EDGES))
     mark = np.frombuffer(b"".join(got["seed"]), "?").astype(np.int64)
-    row = np.repeat(np.arange(len(got)), [len(s) for s in got["seed"]])
+    row = np.repeat(np.arange(len(got)), got["n"].to_numpy(dtype=np.int64))
     return train(active, row, mark)
 
 

@@ -107,3 +107,16 @@ def test_edge_rows(spark):
     assert not by_id.loc[0].content and not by_id.loc[1].content and not by_id.loc[4].content
     assert by_id.loc[[3]].content.all() and by_id.loc[8].content and by_id.loc[-1].content
     assert rules.judge(df.limit(0), rules.fit(df.limit(0))).collect() == []
+
+
+def test_copies_are_drawn_once(spark):
+    hot = "A line that very many documents share, word for word.\nAnd its second line."
+    df = spark.range(6000).select(F.when(F.col("id") % 3 == 0, hot).otherwise(F.concat(F.lit("text "), F.col("id") % 50, F.lit("\n\nof its own"))).alias("text"))
+    got = rules.draw(df.repartition(8), max_rows=1000).toPandas()
+    assert len(got) == got["key"].nunique() == 51  # all different texts, though there are more rows than max_rows
+    assert set(got["n"]) == {2} and all(len(s) == 2 for s in got["seed"])
+    assert 10 <= len(rules.draw(df, max_rows=25).toPandas()) <= 40
+    assert len(rules.draw(df, max_lines=1).toPandas()) == 0  # texts longer than the line bound
+    a, b = rules.fit(df), rules.fit(df.dropDuplicates())
+    assert np.array_equal(a.emit, b.emit) and np.array_equal(a.move, b.move)
+    assert rules.fit(df, max_lines=1).emit.shape == a.emit.shape
