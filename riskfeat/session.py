@@ -57,7 +57,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get(CHECKPOINT_CONF, None) or sc.getConf().get(CHECKPOINT_CONF, None)
     if not configured:
-        if not sc.master.startswith("local"):
+        if sc.master != "local" and not sc.master.startswith("local["):  # local-cluster has executors of its own
             raise RuntimeError(
                 f"set {CHECKPOINT_CONF} to a shared folder (e.g. on the cluster file system); "
                 "a machine-local folder does not survive the loss of an executor"
