@@ -2,17 +2,20 @@
 
 A line is the set of its words (A-Z lower-cased).  A line goes when an earlier
 line (by document id, then place) has a Jaccard similarity of ``threshold`` or
-more with it; the earliest of its kind stays.  Lines of fewer than
-``min_tokens`` different words are left alone; with ``copies`` a text that lost
-lines and of which only such short lines are left, each of them equal as a set
-to an earlier line, counts as emptied: it is a copy.
+more with it; the earliest of its kind stays.  Every line with a word takes
+part; a larger ``min_tokens`` leaves lines of fewer different words alone.
+
+Texts are read once for their sets, which are kept packed (a slice's words as a
+dictionary, lines as differences of its numbers) in a checkpoint; all later
+steps read those.  The texts are read a second time to take lines out.
 
 Join: words are ordered from rare to frequent.  Two similar sets share a word
 among their first ``n - ceil(threshold n) + 1``, so a set is filed under just
 those (prefix filter).  Under a word, pairs must pass the length filter, the
 positional filter (what can still be shared from the word on) and a lower bound
 of their difference from 128-bit parity signatures; what passes is verified on
-the full sets.
+the full sets.  Sets too small to be similar to any but an equal set are not
+filed.
 
 Scale and skew: sets that are equal are one entry per task and word, and equal
 lines are found by a pre-aggregated minimum.  Word counts, for order and to
@@ -40,7 +43,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskfeat.llm.measures import Texts
-from riskfeat.llm.textops import LOWER, MULT, byte_view, mix64, pack, slices, unpack, word_hashes, word_spans
+from riskfeat.llm.textops import LOWER, MULT, byte_view, mix64, pack, release, slices, unpack
 from riskfeat.session import checkpoint
 
 TABLE_BITS = 20  # word count tables
@@ -49,6 +52,8 @@ CHUNKS = 16
 BLOCK = 2048  # entries of one word that a cell's side holds
 CELL_ROWS = 1 << 20  # entries, on average, that a bucket of cells takes
 BEST = 4
+FOLD = 64  # sets of at most as many words have signatures of 64 bits
+KEY_BITS, ID_BITS = 40, 48  # of a cell's key, and of what tells sets of one cell, size and signature apart
 PAIRS_AT_ONCE = 1 << 20
 
 
@@ -65,37 +70,87 @@ def _by_group(group: np.ndarray, key: np.ndarray) -> np.ndarray:
     return order
 
 
-def _line_words(b: pa.RecordBatch) -> tuple[Texts, np.ndarray, np.ndarray]:
-    """Distinct (line, word) of a slice."""
-    data, offs = byte_view(b.column("text"))
-    t = Texts(LOWER[data], offs)
-    order = _by_group(t.line, t.hash)
-    line, word = t.line[order], t.hash[order]
-    new = np.ones(len(line), bool)
-    new[1:] = (line[1:] != line[:-1]) | (word[1:] != word[:-1])
-    return t, line[new], word[new]
+def _planes(v: np.ndarray) -> bytes:
+    """Byte planes: the first bytes of all values, then the second ones."""
+    return np.ascontiguousarray(v).view(np.uint8).reshape(len(v), -1).T.tobytes() if len(v) else b""
 
 
 class Sets:
-    """Word sets of the lines of a slice that are long enough (and have fewer than ``below`` words)."""
-
-    def __init__(self, b: pa.RecordBatch, min_tokens: int, below: int | None = None, found: tuple | None = None) -> None:
-        t, line, word = found or _line_words(b)
-        n = np.bincount(line, minlength=len(t.line_row))
-        keep = n >= min_tokens
-        if below is not None:
-            keep &= n < below
-        enough = keep[line]
-        self.word = word[enough]
-        at = np.flatnonzero(keep)
-        self.size = n[at]
-        self.first = np.cumsum(self.size) - self.size
-        self.owner = np.repeat(np.arange(len(at)), self.size)
+    """Word sets of lines, line by line: row id, text hash, place, and the set's words."""
+
+    def __init__(self, doc: np.ndarray, h: np.ndarray, place: np.ndarray, size: np.ndarray, word: np.ndarray) -> None:
+        self.doc, self.h, self.place, self.size, self.word = doc, h, place, size, word
+        self.first = np.cumsum(size) - size
+        self.owner = np.repeat(np.arange(len(size)), size)
+
+    @classmethod
+    def read(cls, b: pa.RecordBatch) -> Sets:
+        """Sets of the lines with a word of a slice of texts."""
+        data, offs = byte_view(b.column("text"))
+        t = Texts(LOWER[data], offs)
+        order = _by_group(t.line, t.hash)
+        line, word = t.line[order], t.hash[order]
+        new = np.ones(len(line), bool)
+        new[1:] = (line[1:] != line[:-1]) | (word[1:] != word[:-1])
+        n = np.bincount(line[new], minlength=len(t.line_row))
+        at = np.flatnonzero(n)
         row = t.line_row[at]
         fill = lambda c: np.array([-(1 << 62) if v is None else v for v in b.column(c).to_pylist()], np.int64)
-        self.doc, self.h, self.place = fill("doc")[row], fill("h")[row], (at - t.first_line[row]).astype(np.int64)
+        return cls(fill("doc")[row], fill("h")[row], (at - t.first_line[row]).astype(np.int64), n[at], word[new])
+
+    def of_size(self, least: int) -> Sets:
+        keep = self.size >= least
+        if keep.all():
+            return self
+        return Sets(self.doc[keep], self.h[keep], self.place[keep], self.size[keep], self.word[keep[self.owner]])
+
+    def ids(self) -> tuple[np.ndarray, np.ndarray]:
+        """Two 64-bit sums that tell sets apart."""
         total = lambda v: np.add.reduceat(v, self.first) if len(v) else v
-        self.id1, self.id2 = total(mix64(self.word ^ MULT)), total(mix64(self.word + MULT))
+        return total(mix64(self.word ^ MULT)), total(mix64(self.word + MULT))
+
+    def packed(self) -> bytes:
+        words, local, times = np.unique(self.word, return_inverse=True, return_counts=True)
+        often = np.argsort(-times, kind="stable")
+        number = np.empty(len(words), np.int64)
+        number[often] = np.arange(len(words))
+        key = np.sort(self.owner << 32 | number[local])
+        step = np.diff(key & 0xFFFFFFFF, prepend=0)
+        step[self.first] = key[self.first] & 0xFFFFFFFF
+        head = np.array([len(self.size), len(self.word), len(words)], "<i8")
+        rows = [_planes(np.diff(v, prepend=0)) for v in (self.doc, self.h)]
+        parts = [*rows, _planes(self.place.astype("<u4")), _planes(self.size.astype("<u4")), _planes(words[often]), _planes(step.astype("<u4"))]
+        return pack(np.frombuffer(head.tobytes() + b"".join(parts), np.uint8))
+
+    @classmethod
+    def unpacked(cls, b: bytes) -> Sets:
+        raw = unpack(b, "u1")
+        lines, total, kinds = raw[:24].view("<i8").tolist()
+        at = 24
+
+        def take(n: int, kind: str) -> np.ndarray:
+            nonlocal at
+            width = np.dtype(kind).itemsize
+            part = raw[at : at + n * width].reshape(width, n).T
+            at += n * width
+            return np.ascontiguousarray(part).view(kind).reshape(n)
+
+        doc, h = np.cumsum(take(lines, "<i8")), np.cumsum(take(lines, "<i8"))
+        place, size = take(lines, "<u4").astype(np.int64), take(lines, "<u4").astype(np.int64)
+        words, step = take(kinds, "<u8"), take(total, "<u4").astype(np.int64)
+        number = np.cumsum(step)
+        first = np.cumsum(size) - size
+        number -= np.repeat(number[first] - step[first], size)
+        return cls(doc, h, place, size, words[number])
+
+
+def _kept_sets(batches: Iterable[pa.RecordBatch], min_tokens: int) -> Iterator[Sets]:
+    try:
+        for b in batches:
+            for x in b.column("sets"):
+                yield Sets.unpacked(x.as_py()).of_size(min_tokens)
+    finally:
+        release()
 
 
 def _slot(word: np.ndarray, bits: int) -> np.ndarray:
@@ -108,21 +163,26 @@ def _rarity(counts: np.ndarray) -> np.ndarray:
 
 
 def _in_order(s: Sets, rare: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Prefix entries: line, word, position of the word in rarity order."""
+    """Prefix entries: line, word, position of the word in rarity order.
+
+    A set of n words shares at most n of n + 1 with a different one: where that is
+    below the threshold, none is similar to it.
+    """
     # rarity, then the hash: one order for all lines
     rarity = rare[_slot(s.word, TABLE_BITS)]
     order = _by_group(s.owner, rarity << np.uint64(52) | s.word >> np.uint64(12))
     word = s.word[order]
     pos = np.arange(len(word)) - np.repeat(s.first, s.size)
     prefix = s.size - np.ceil(threshold * s.size - 1e-9).astype(np.int64) + 1
+    prefix[s.size < threshold * (s.size + 1) - 1e-9] = 0
     ok = pos < np.repeat(prefix, s.size)
     return s.owner[ok], word[ok], pos[ok]
 
 
 def _firsts(s: Sets, seen: dict) -> np.ndarray:
     """Lines that are the earliest of their set that this task has met so far."""
-    out = np.zeros(len(s.id1), bool)
-    for i, (k, place) in enumerate(zip(zip(s.id1.tolist(), s.id2.tolist()), zip(s.doc.tolist(), s.h.tolist(), s.place.tolist()))):
+    out = np.zeros(len(s.size), bool)
+    for i, (k, place) in enumerate(zip(zip(*(x.tolist() for x in s.ids())), zip(s.doc.tolist(), s.h.tolist(), s.place.tolist()))):
         if (before := seen.get(k)) is None or place < before:
             if before is not None or len(seen) < 1 << 18:
                 seen[k] = place
@@ -134,20 +194,23 @@ def _table(counts: np.ndarray) -> list[tuple[int, bytes]]:
     return [(c, pack(p.astype("<u4"))) for c, p in enumerate(np.split(counts, CHUNKS)) if p.any()]
 
 
-def _count_words():
-    """How often each word occurs, by slot of the table."""
+def _table_batch(counts: np.ndarray) -> pa.RecordBatch:
+    rows = _table(counts)
+    return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.binary())], ["chunk", "counts"])
 
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(1 << TABLE_BITS, np.int64)
-        for b in slices(batches, "text"):
-            data, offs = byte_view(b.column("text"))
-            data = LOWER[data]
-            _, start, end = word_spans(data, offs)
-            counts += np.bincount(_slot(word_hashes(data, start, end), TABLE_BITS), minlength=len(counts))
-        rows = _table(counts)
-        yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.binary())], ["chunk", "counts"])
 
-    return run
+_SETS = "chunk int, counts binary, sets binary"
+
+
+def _write_sets(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Packed sets by slice, then in how many lines each word is, by slot of the table (with a chunk)."""
+    counts = np.zeros(1 << TABLE_BITS, np.int64)
+    for b in slices(batches, "text"):
+        s = Sets.read(b)
+        counts += np.bincount(_slot(s.word, TABLE_BITS), minlength=len(counts))
+        yield pa.RecordBatch.from_arrays([pa.array([None], pa.int32()), pa.array([None], pa.binary()), pa.array([s.packed()])], ["chunk", "counts", "sets"])
+    t = _table_batch(counts)
+    yield pa.RecordBatch.from_arrays([*t.columns, pa.nulls(t.num_rows, pa.binary())], ["chunk", "counts", "sets"])
 
 
 def _add_tables(t: pa.Table) -> pa.Table:
@@ -164,27 +227,26 @@ def _collect_table(rows: DataFrame) -> np.ndarray:
     return out
 
 
-_OCCURRENCE = [("chunk", pa.int32()), ("counts", pa.binary()), ("id1", pa.int64()), ("id2", pa.int64()), ("doc", pa.int64()), ("h", pa.int64()), ("line", pa.int64())]
+def _places(min_tokens: int):
+    """Every line's set and place."""
 
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for s in _kept_sets(batches, min_tokens):
+            id1, id2 = s.ids()
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in (id1.view(np.int64), id2.view(np.int64), s.doc, s.h, s.place)], ["id1", "id2", "doc", "h", "line"])
 
-SHORT = -1  # chunk of the lines under the least size
+    return run
 
 
-def _occurrences(min_tokens: int, threshold: float, words, short: bool):
-    """Every line's set and place (chunk null), the task's counts of prefix words, and the shorter lines if asked for."""
+def _count_prefixes(min_tokens: int, threshold: float, words):
+    """How many sets each prefix word files, by slot of the table."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts, seen = np.zeros(1 << TABLE_BITS, np.int64), {}
-        for b in slices(batches, "text"):
-            found = _line_words(b)
-            s = Sets(b, min_tokens, found=found)
+        for s in _kept_sets(batches, min_tokens):
             owner, word, _ = _in_order(s, words.value, threshold)
-            slot, n = np.unique(_slot(word[_firsts(s, seen)[owner]], TABLE_BITS), return_counts=True)
-            counts[slot] += n
-            for chunk, x in ((None, s), (SHORT, Sets(b, 1, min_tokens, found))) if short else ((None, s),):
-                cols = ([chunk] * len(x.size), [None] * len(x.size), x.id1.view(np.int64), x.id2.view(np.int64), x.doc, x.h, x.place)
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, (_, k) in zip(cols, _OCCURRENCE)], [n for n, _ in _OCCURRENCE])
-        yield pa.RecordBatch.from_pylist([{"chunk": c, "counts": x} for c, x in _table(counts)], schema=pa.schema(_OCCURRENCE))
+            counts += np.bincount(_slot(word[_firsts(s, seen)[owner]], TABLE_BITS), minlength=len(counts))
+        yield _table_batch(counts)
 
     return run
 
@@ -199,7 +261,7 @@ def _pack_entries(e: np.ndarray) -> bytes:
         v = np.ascontiguousarray(e[name])
         if name in ("key", "doc", "h"):
             v = np.diff(v, prepend=v.dtype.type(0))
-        out.append(v.view(np.uint8).reshape(len(e), -1).T.tobytes())
+        out.append(_planes(v))
     return pack(np.frombuffer(b"".join(out), np.uint8))
 
 
@@ -216,11 +278,13 @@ def _unpack_entries(b: bytes) -> np.ndarray:
 
 
 def _signatures(s: Sets) -> tuple[np.ndarray, np.ndarray]:
-    """128-bit parity of the words' hashes: each word flips one bit."""
+    """128-bit parity of the words' hashes: each word flips one bit.  Small sets have it folded to 64 bits."""
     bit = s.word & np.uint64(127)
     one = np.uint64(1) << (bit & np.uint64(63))
     flip = lambda half: np.bitwise_xor.reduceat(np.where(bit >> np.uint64(6) == half, one, np.uint64(0)), s.first)
-    return flip(0), flip(1)
+    b1, b2 = flip(0), flip(1)
+    small = s.size <= FOLD
+    return np.where(small, b1 ^ b2, b1), np.where(small, np.uint64(0), b2)
 
 
 def _entries(min_tokens: int, threshold: float, words, crowds, buckets: int):
@@ -228,16 +292,16 @@ def _entries(min_tokens: int, threshold: float, words, crowds, buckets: int):
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: dict = {}
-        for b in slices(batches, "text"):
-            s = Sets(b, min_tokens)
+        for s in _kept_sets(batches, min_tokens):
             if not len(s.size):
                 continue
             owner, word, pos = _in_order(s, words.value, threshold)
             first = _firsts(s, seen)[owner]
             owner, word, pos = owner[first], word[first], pos[first]
             b1, b2 = _signatures(s)
+            id1 = s.ids()[0] >> np.uint64(64 - ID_BITS)
             e = np.zeros(len(owner), _ENTRY)
-            for name, v in (("key", word), ("id1", s.id1[owner]), ("b1", b1[owner]), ("b2", b2[owner]), ("doc", s.doc[owner]), ("h", s.h[owner]), ("line", s.place[owner]), ("size", s.size[owner]), ("pos", pos)):
+            for name, v in (("key", word), ("id1", id1[owner]), ("b1", b1[owner]), ("b2", b2[owner]), ("doc", s.doc[owner]), ("h", s.h[owner]), ("line", s.place[owner]), ("size", s.size[owner]), ("pos", pos)):
                 e[name] = v
             blocks = -(-crowds.value[_slot(word, TABLE_BITS)] // BLOCK)
             crowded = blocks > 1
@@ -253,6 +317,8 @@ def _entries(min_tokens: int, threshold: float, words, crowds, buckets: int):
                 c["side"] = np.where(lo == hi, 2, own > other)
                 parts.append(c)
             e = np.concatenate(parts)
+            # words that share a key only add candidates
+            e["key"] = e["key"] >> np.uint64(64 - KEY_BITS) << np.uint64(64 - KEY_BITS)
             e = e[np.argsort(e["key"], kind="stable")]
             of = ((e["key"] >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
             edge = np.flatnonzero(np.r_[True, of[1:] != of[:-1]]) if len(of) else []
@@ -278,9 +344,9 @@ def _pair_up(threshold: float):
     def one(t: pa.Table) -> pa.Table:
         e = np.concatenate([_unpack_entries(x) for x in t.column("entries").to_pylist()])
         # a set met by several tasks: its earliest place stands for it
-        e = e[np.lexsort((e["line"], e["h"], e["doc"], e["id1"], e["size"], e["key"]))]
+        e = e[np.lexsort((e["line"], e["h"], e["doc"], e["b2"], e["b1"], e["id1"], e["size"], e["key"]))]
         again = np.zeros(len(e), bool)
-        again[1:] = (e["key"][1:] == e["key"][:-1]) & (e["id1"][1:] == e["id1"][:-1]) & (e["size"][1:] == e["size"][:-1])
+        again[1:] = np.logical_and.reduce([e[c][1:] == e[c][:-1] for c in ("key", "id1", "size", "b1", "b2")])
         e = e[~again]
         col = {n: np.ascontiguousarray(e[n]) for n in ("b1", "b2", "side")}
         size, left = e["size"].astype(np.int64), e["size"].astype(np.int64) - e["pos"]
@@ -306,7 +372,9 @@ def _pair_up(threshold: float):
             ok &= (col["side"][a] == 2) | (col["side"][a] != col["side"][b])
             ok &= (e["doc"][a] != e["doc"][b]) | (e["h"][a] != e["h"][b]) | (e["line"][a] != e["line"][b])
             a, b, need = a[ok], b[ok], need[ok]
-            apart = np.bitwise_count(col["b1"][a] ^ col["b1"][b]).astype(np.int64) + np.bitwise_count(col["b2"][a] ^ col["b2"][b])
+            x1, x2 = col["b1"][a] ^ col["b1"][b], col["b2"][a] ^ col["b2"][b]
+            folded = np.minimum(size[a], size[b]) <= FOLD
+            apart = np.where(folded, np.bitwise_count(x1 ^ x2), np.bitwise_count(x1) + np.bitwise_count(x2)).astype(np.int64)
             ok = apart <= size[a] + size[b] - 2 * need
             a, b, apart = a[ok], b[ok], apart[ok]
             if not len(a):
@@ -353,8 +421,8 @@ def _second_look(min_tokens: int, threshold: float, words, crowds, asking, wante
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: dict = {}
-        for b in slices(batches, "text"):
-            s = Sets(b, min_tokens)
+        for s in _kept_sets(batches, min_tokens):
+            id1 = s.ids()[0] >> np.uint64(64 - ID_BITS)
             owner, word, _ = _in_order(s, words.value, threshold)
             ok = _bit(wanted.value, _slot(word, PLACE_BITS)) & _firsts(s, seen)[owner]
             owner, word = owner[ok], word[ok]
@@ -363,7 +431,7 @@ def _second_look(min_tokens: int, threshold: float, words, crowds, asking, wante
             cols: list[list] = [[] for _ in range(6)]
             for i, w, n in zip(owner.tolist(), word.tolist(), blocks.tolist()):
                 own = s.word[s.first[i] : s.first[i] + s.size[i]].view(np.int64)
-                filed = [(int(s.id1[i]) % n, False)] + ([(k, True) for k in range(n)] if asks[i] else [])
+                filed = [(int(id1[i]) % n, False)] + ([(k, True) for k in range(n)] if asks[i] else [])
                 for k, asker in filed:
                     cell = int(mix64(np.array([(w + k * int(MULT)) & (1 << 64) - 1], np.uint64)).view(np.int64)[0])
                     for c, v in zip(cols, (cell, asker, int(s.doc[i]), int(s.h[i]), int(s.place[i]), own)):
@@ -444,8 +512,7 @@ def _asked(min_tokens: int, flags):
     """Words of the lines whose place is in the bit set."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in slices(batches, "text"):
-            s = Sets(b, min_tokens)
+        for s in _kept_sets(batches, min_tokens):
             at = np.flatnonzero(_bit(flags.value, _place_slot(s.doc, s.h, s.place)))
             word = s.word.view(np.int64)
             sets = [word[s.first[i] : s.first[i] + s.size[i]] for i in at.tolist()]
@@ -459,46 +526,39 @@ def _asked(min_tokens: int, flags):
 def _take_out(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in slices(batches, "text"):
         n, gone, kept, emptied = [], [], [], []
-        for text, lines, again in zip(*(b.column(c).to_pylist() for c in ("text", "lines", "again"))):
+        for text, lines in zip(*(b.column(c).to_pylist() for c in ("text", "lines"))):
             parts = [] if text is None else text.split("\n")
             out = set(lines or ())
-            known = out.union(again or ())
             n.append(len(parts))
             gone.append(sorted(out))
             kept.append("\n".join(x for i, x in enumerate(parts) if i not in out) if out else text)
-            emptied.append(bool(out) and not any(x.encode("utf-8").split() for i, x in enumerate(parts) if i not in known))
+            emptied.append(bool(out) and not any(x.encode("utf-8").split() for i, x in enumerate(parts) if i not in out))
         yield pa.RecordBatch.from_arrays(
             [b.column("row"), b.column("h"), pa.array(n, pa.int64()), pa.array(gone, pa.list_(pa.int64())), pa.array(kept, pa.string()), pa.array(emptied)],
             ["row", "text_hash", "n_lines", "removed", "kept_text", "emptied"],
         )
 
 
-def removed_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.8, min_tokens: int = 5) -> DataFrame:
+def removed_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.8, min_tokens: int = 1) -> DataFrame:
     """``(doc, h, line)`` of every line that goes; h is the text's xxhash64."""
-    return _removed(docs, id_col, text_col, threshold, min_tokens, False)[0]
-
-
-def _removed(docs: DataFrame, id_col: str, text_col: str, threshold: float, min_tokens: int, short: bool) -> tuple[DataFrame, DataFrame]:
-    """Lines that go; sets and places of the lines that are too short to go, if asked for."""
     spark = docs.sparkSession
     share = spark.sparkContext.broadcast
-    d = _identified(docs, id_col, text_col).select("doc", "h", "text")
-    words = share(_rarity(_collect_table(d.mapInArrow(_count_words(), "chunk int, counts binary"))))
-    schema = "chunk int, counts binary, id1 long, id2 long, doc long, h long, line long"
-    both = checkpoint(d.mapInArrow(_occurrences(min_tokens, threshold, words, short), schema))
-    occ = both.where("chunk IS NULL").drop("chunk", "counts")
-    table = _collect_table(both.where(F.col("chunk") >= 0).select("chunk", "counts"))
-    crowds = share(table)
-    buckets = max(1, math.ceil(int(table.sum()) / CELL_ROWS))
+    both = checkpoint(_identified(docs, id_col, text_col).select("doc", "h", "text").mapInArrow(_write_sets, _SETS))
+    sets = both.where("sets IS NOT NULL").select("sets")
+    table = "chunk int, counts binary"
+    words = share(_rarity(_collect_table(both.where("chunk IS NOT NULL").select("chunk", "counts"))))
+    filed = _collect_table(sets.mapInArrow(_count_prefixes(min_tokens, threshold, words), table))
+    crowds = share(filed)
+    buckets = max(1, math.ceil(int(filed.sum()) / CELL_ROWS))
 
     place, place2 = ["doc", "h", "line"], ["doc2", "h2", "line2"]
-    entries = d.mapInArrow(_entries(min_tokens, threshold, words, crowds, buckets), "bucket long, entries binary")
+    entries = sets.mapInArrow(_entries(min_tokens, threshold, words, crowds, buckets), "bucket long, entries binary")
     pairs = checkpoint(entries.groupBy("bucket").applyInArrow(_pair_up(threshold), _PAIR))
     one_each = pairs.select(*place, *place2).distinct()
     ends = one_each.select(*place).unionByName(one_each.select(*[F.col(b).alias(a) for a, b in zip(place, place2)]))
     slots = "chunk int, slots binary"
     asked = share(_bit_set(ends.mapInArrow(_mark_places, slots)))
-    lines = checkpoint(d.mapInArrow(_asked(min_tokens, asked), "doc long, h long, line long, words array<long>").dropDuplicates(place))
+    lines = checkpoint(sets.mapInArrow(_asked(min_tokens, asked), "doc long, h long, line long, words array<long>").dropDuplicates(place))
     other = lines.select(*[F.col(a).alias(b) for a, b in zip(place, place2)], F.col("words").alias("words2"))
     shared = F.size(F.array_intersect("words", "words2"))
     alike = (1 + threshold) * shared >= threshold * (F.size("words") + F.size("words2")) - 1e-9
@@ -509,24 +569,15 @@ def _removed(docs: DataFrame, id_col: str, text_col: str, threshold: float, min_
     if rest.limit(1).count():
         asking = share(_bit_set(rest.mapInArrow(_mark_places, slots)))
         wanted = share(_bit_set(rest.mapInArrow(_prefix_slots(words, threshold), slots)))
-        second = d.mapInArrow(_second_look(min_tokens, threshold, words, crowds, asking, wanted), _SECOND)
+        second = sets.mapInArrow(_second_look(min_tokens, threshold, words, crowds, asking, wanted), _SECOND)
         grouped = second.withColumn("bucket", F.pmod(F.xxhash64("cell"), F.lit(buckets * 8))).groupBy("bucket")
         late = grouped.applyInArrow(_verify_cells(threshold), "doc long, h long, line long")
         similar = similar.unionByName(late).distinct()
-    sets = occ.groupBy("id1", "id2").agg(F.min(F.struct(*place)).alias("first"))
+    places = sets.mapInArrow(_places(min_tokens), "id1 long, id2 long, doc long, h long, line long")
+    kinds = places.groupBy("id1", "id2").agg(F.min(F.struct(*place)).alias("first"))
     kin = similar.select(F.struct(*place).alias("first"), F.lit(True).alias("similar"))
-    sets = checkpoint(sets.join(kin, "first", "left"))
-    gone = occ.join(sets, ["id1", "id2"]).where(F.col("similar").isNotNull() | (F.struct(*place) != F.col("first"))).select(*place)
-    return gone, both.where(F.col("chunk") == SHORT).drop("chunk", "counts")
-
-
-def _repeats(short: DataFrame, gone: DataFrame) -> DataFrame:
-    """``(doc, h, again)``: short lines, of texts that lose lines, whose set stands in an earlier place."""
-    place = ["doc", "h", "line"]
-    first = checkpoint(short.groupBy("id1", "id2").agg(F.min(F.struct(*place)).alias("first")))
-    own = short.join(gone.select("doc", "h").distinct(), ["doc", "h"], "left_semi")
-    again = own.join(first, ["id1", "id2"]).where(F.struct(*place) != F.col("first"))
-    return again.groupBy("doc", "h").agg(F.collect_set("line").alias("again"))
+    kinds = kinds.join(kin, "first", "left")
+    return places.join(kinds, ["id1", "id2"]).where(F.col("similar").isNotNull() | (F.struct(*place) != F.col("first"))).select(*place)
 
 
 def _identified(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -534,23 +585,22 @@ def _identified(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.col(id_col).cast("long").alias("doc"), text.alias("text"), F.xxhash64(F.coalesce(text, F.lit(""))).alias("h"))
 
 
-def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.8, min_tokens: int = 5, copies: bool = False) -> DataFrame:
+def dedup_lines(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.8, min_tokens: int = 1, columns: list[str] | None = None
+) -> DataFrame:
     """``(row, text_hash, n_lines, removed, kept_text, emptied)`` per row of ``docs``.
 
-    ``row`` is the row itself as a struct, ``removed`` the numbers of the lines
-    that went, ``kept_text`` the rest, ``emptied`` whether no word is left (with
-    ``copies``: none but those of short lines that repeat earlier ones).
+    ``row`` holds the row's ``columns`` (all of them by default) as a struct,
+    ``removed`` the numbers of the lines that went, ``kept_text`` the rest,
+    ``emptied`` whether lines went and no word is left.
     """
-    gone, short = _removed(docs, id_col, text_col, threshold, min_tokens, copies)
-    gone = checkpoint(gone) if copies else gone
+    gone = removed_lines(docs, id_col, text_col, threshold, min_tokens)
     per = gone.groupBy("doc", "h").agg(F.collect_set("line").alias("lines"))
     text = F.col(text_col).cast("string")
     d = docs.select(
-        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 62))).alias("doc"),
+        F.struct(*[F.col(f"`{c}`") for c in columns or docs.columns]).alias("row"), F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 62))).alias("doc"),
         F.xxhash64(F.coalesce(text, F.lit(""))).alias("h"), text.alias("text"),
     )
-    d = d.join(per, ["doc", "h"], "left")
-    d = d.join(_repeats(short, gone), ["doc", "h"], "left") if copies else d.withColumn("again", F.lit(None).cast("array<long>"))
-    out = d.select("row", "h", "text", "lines", "again")
+    out = d.join(per, ["doc", "h"], "left").select("row", "h", "text", "lines")
     row = out.schema["row"].dataType.simpleString()
     return out.mapInArrow(_take_out, f"row {row}, text_hash long, n_lines long, removed array<long>, kept_text string, emptied boolean")

@@ -131,7 +131,8 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = linededup.dedup_lines(table(spark, sf_dir, "documents"), threshold=0.8, min_tokens=5)
+    docs = table(spark, sf_dir, "documents")
+    out = linededup.dedup_lines(docs, threshold=0.8, min_tokens=1, columns=["doc_id"])
     return out.select("row.doc_id", "n_lines", F.size("removed").cast("long").alias("n_removed"), F.concat_ws(",", F.col("removed").cast("array<string>")).alias("removed"), F.md5("kept_text").alias("kept_md5"))
 
 
@@ -140,7 +141,7 @@ ORACLES["op4_line_dedup"] = f"""
 WITH l AS (SELECT doc_id, i - 1 AS i, string_split(text, chr(10))[i] AS s
            FROM (SELECT doc_id, text, unnest(range(1, len(string_split(text, chr(10))) + 1)) AS i FROM documents)),
      k AS (SELECT doc_id, i, s, {_LINE_WORDS} AS w FROM l),
-     b AS (SELECT doc_id, i, w, len(w) AS n FROM k WHERE len(w) >= 5),
+     b AS (SELECT doc_id, i, w, len(w) AS n FROM k WHERE len(w) >= 1),
      t AS (SELECT doc_id, i, n, unnest(w) AS x FROM b),
      f AS (SELECT x, count(*) AS c FROM t GROUP BY x),
      r AS (SELECT t.*, row_number() OVER (PARTITION BY doc_id, i ORDER BY c, x) AS p FROM t JOIN f USING (x)),

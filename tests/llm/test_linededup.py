@@ -3,6 +3,7 @@
 import hashlib
 import random
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -16,7 +17,7 @@ def words(line):
     return frozenset(w for w in t.split(" ") if w)
 
 
-def brute(spark, rows, threshold=0.8, least=5):
+def brute(spark, rows, threshold=0.8, least=1):
     """rows: (doc, text); places are ordered by id (null first), text hash, line."""
     df = spark.createDataFrame([(i, t) for i, (_, t) in enumerate(rows)], "i long, text string")
     hashes = {r.i: r.h for r in df.select("i", F.xxhash64(F.coalesce("text", F.lit(""))).alias("h")).collect()}
@@ -87,6 +88,8 @@ def test_planted_near_copies(spark, monkeypatch, block, best, pairs):
     monkeypatch.setattr(linededup, "CELL_ROWS", 200)
     rows = planted()
     df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("h", F.lit("x")).withColumn("line", F.lit(1)).withColumn("id", F.lit(0))
+    for name in ("row", "lines", "sets", "chunk", "emptied"):
+        df = df.withColumn(name, F.lit(2))
     assert got(linededup.dedup_lines(df.repartition(4))) == brute(spark, rows)
 
 
@@ -97,19 +100,36 @@ def test_edge_rows(spark):
     df = spark.createDataFrame(rows, "doc_id long, text string")
     assert got(linededup.dedup_lines(df)) == brute(spark, rows)
     assert linededup.dedup_lines(df.limit(0)).collect() == []
-    least = [(1, "a b\na b"), (2, "b a")]
-    assert got(linededup.dedup_lines(spark.createDataFrame(least, "doc_id long, text string"), min_tokens=1)) == brute(spark, least, least=1)
-
-
-def test_copies_with_short_lines_are_emptied(spark):
+    assert got(linededup.dedup_lines(df, min_tokens=5)) == brute(spark, rows, least=5)
+    # the smallest sets that can be similar to another one have four words
+    least = [(1, "a b\na b"), (2, "b a"), (3, "a b c\na b c d\nA"), (4, "e d c b a\na"), (5, "c b a"), (6, "x y z w\nx y z w v"), (7, "x y z\n...\n...")]
+    assert got(linededup.dedup_lines(spark.createDataFrame(least, "doc_id long, text string"))) == brute(spark, least)
+
+
+def test_sets_survive_packing():
+    rng = random.Random(5)
+    texts = ["", None, "\n\n \n", "a A a", *("\n".join(" ".join(rng.choices("abcdefgh", k=rng.randrange(0, 9))) for _ in range(rng.randrange(0, 5))) for _ in range(40))]
+    b = pa.RecordBatch.from_arrays([pa.array([None, *range(1, len(texts))], pa.int64()), pa.array([rng.getrandbits(64) - 2**63 for _ in texts], pa.int64()), pa.array(texts)], ["doc", "h", "text"])
+    for batch in (b, b.slice(0, 3), b.slice(0, 0)):
+        s = linededup.Sets.read(batch)
+        again = linededup.Sets.unpacked(s.packed())
+        assert all((getattr(s, c) == getattr(again, c)).all() for c in ("doc", "h", "place", "size", "first", "owner"))
+        lines = lambda x: [sorted(x.word[f : f + n].tolist()) for f, n in zip(x.first.tolist(), x.size.tolist())]
+        assert lines(s) == lines(again) and all((a == z).all() for a, z in zip(s.ids(), again.ids()))
+        expect = [(d, k, len(words(x))) for d, t in zip(batch.column("doc").to_pylist(), batch.column("text").to_pylist()) for k, x in enumerate((t or "").split("\n")) if words(x)]
+        assert [(d, k, n) for d, k, n in zip(s.doc.tolist(), s.place.tolist(), s.size.tolist())] == [(-(1 << 62) if d is None else d, k, n) for d, k, n in expect]
+
+
+def test_copies_are_emptied(spark):
     long, other = "one two three four five six", "seven eight nine ten eleven twelve"
     rows = [(1, f"Title here\n{long}\n\nBye"), (2, f"Title here\n{long}\n\nBye"), (3, f"title HERE\n{long}\nnew words"), (4, "Title here\nBye"),
             (5, f"Title here\n{other}"), (6, f"bye\n{other}\nhere title"), (7, f"own line\n{long}\nown line"), (None, f"Bye\n{long}"), (None, f"Bye\n{long}")]
     df = spark.createDataFrame(rows, "doc_id long, text string")
-    out = linededup.dedup_lines(df.repartition(3), copies=True)
-    assert got(out) == brute(spark, rows)  # which lines go is the same
-    # 3 and 7 hold a line of their own, 4 lost none, 5 has a new long line; rows without an id are first
-    assert sorted(r.row.doc_id for r in out.where("emptied").collect()) == [2, 6]
+    out = linededup.dedup_lines(df.repartition(3))
+    assert got(out) == brute(spark, rows)
+    # rows without an id are first; 3, 5 and 7 hold a line of their own
+    assert sorted(r.row.doc_id for r in out.where("emptied").collect()) == [2, 4, 6]
+    assert linededup.dedup_lines(df, columns=["doc_id"]).schema["row"].dataType.names == ["doc_id"]
 
 
 def test_pipeline_drops_copies_with_short_lines(spark):
