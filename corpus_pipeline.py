@@ -4,9 +4,8 @@ Each stage takes the documents that the one before kept and returns documents
 with the same columns; the last one packs them into training sequences.
 
 1. toxicity: documents scored 0.7 or more go;
-2. line dedup: lines (of five or more different words) similar to an earlier
-   line go; a document that lost lines and has no word left, or none but those of
-   shorter lines that repeat earlier ones, is a copy of earlier ones and goes;
+2. line dedup: lines similar to an earlier line go; a document that lost lines
+   and has no word left is a copy of earlier ones and goes;
 3. near-dedup: of each SimHash group the document with the smallest id stays;
 4. decontamination: documents that hold a benchmark item go;
 5. packing: what is left becomes sequences of at most 2048 tokens.
@@ -32,8 +31,9 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    out = linededup.dedup_lines(docs, threshold=0.8, min_tokens=5, copies=True).where(~F.col("emptied"))
     new = {"text": F.col("kept_text"), "n_chars": F.length("kept_text").cast("long")}
+    others = [c for c in docs.columns if c not in new]
+    out = linededup.dedup_lines(docs, threshold=0.8, min_tokens=1, columns=others).where(~F.col("emptied"))
     return out.select(*[new.get(c, F.col("row").getField(c)).alias(c) for c in docs.columns])
 
 
