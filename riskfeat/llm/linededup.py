@@ -396,8 +396,18 @@ def _pair_up(threshold: float):
 _SECOND = "cell long, asks boolean, doc long, h long, line long, words array<long>"
 
 
+def _size_class(size: np.ndarray, threshold: float) -> np.ndarray:
+    """Sizes in steps of the threshold: sets of similar ones are at most one class apart."""
+    size = np.asarray(size, np.int64)
+    return size if threshold >= 1 else np.floor(np.log(size) / -math.log(threshold) + 1e-9).astype(np.int64)
+
+
+def _in_class(word: np.ndarray, kind: np.ndarray) -> np.ndarray:
+    return mix64(word + kind.astype(np.uint64) * MULT)
+
+
 def _prefix_slots(rare, threshold: float):
-    """Slots of the prefix words of some lines (with their words), for a bit set."""
+    """Slots of the prefix words of some lines with the size classes of their partners, for a bit set."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -406,7 +416,8 @@ def _prefix_slots(rare, threshold: float):
                 w = np.array(w, np.int64).view(np.uint64)
                 order = np.lexsort((w, rare.value[_slot(w, TABLE_BITS)]))
                 keep = len(w) - math.ceil(threshold * len(w) - 1e-9) + 1
-                slots.append(_slot(w[order[:keep]], PLACE_BITS))
+                kind = _size_class(np.array([len(w)]), threshold)
+                slots += [_slot(_in_class(w[order[:keep]], kind + k), PLACE_BITS) for k in (-1, 0, 1)]
             yield from _emit_slots(np.unique(np.concatenate(slots)))
 
     return run
@@ -415,8 +426,8 @@ def _prefix_slots(rare, threshold: float):
 def _second_look(min_tokens: int, threshold: float, words, crowds, asking, wanted):
     """Lines with a prefix word that an asking line has, with all their words; ``asks`` marks askers.
 
-    A line is filed under the block that its set falls into, an asker under all
-    blocks of the word.
+    A line is filed under its size class and the block that its set falls into, an
+    asker under the classes next to its own and all blocks of the word.
     """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -424,16 +435,20 @@ def _second_look(min_tokens: int, threshold: float, words, crowds, asking, wante
         for s in _kept_sets(batches, min_tokens):
             id1 = s.ids()[0] >> np.uint64(64 - ID_BITS)
             owner, word, _ = _in_order(s, words.value, threshold)
-            ok = _bit(wanted.value, _slot(word, PLACE_BITS)) & _firsts(s, seen)[owner]
-            owner, word = owner[ok], word[ok]
+            kind = _size_class(s.size, threshold)
             asks = _bit(asking.value, _place_slot(s.doc, s.h, s.place))
+            first = _firsts(s, seen)
+            ok = first[owner] & (_bit(wanted.value, _slot(_in_class(word, kind[owner]), PLACE_BITS)) | asks[owner])
+            owner, word = owner[ok], word[ok]
             blocks = np.maximum(1, -(-crowds.value[_slot(word, TABLE_BITS)] // BLOCK))
             cols: list[list] = [[] for _ in range(6)]
             for i, w, n in zip(owner.tolist(), word.tolist(), blocks.tolist()):
                 own = s.word[s.first[i] : s.first[i] + s.size[i]].view(np.int64)
-                filed = [(int(id1[i]) % n, False)] + ([(k, True) for k in range(n)] if asks[i] else [])
-                for k, asker in filed:
-                    cell = int(mix64(np.array([(w + k * int(MULT)) & (1 << 64) - 1], np.uint64)).view(np.int64)[0])
+                filed = [(int(kind[i]), int(id1[i]) % n, False)]
+                if asks[i]:
+                    filed += [(int(kind[i]) + c, k, True) for c in (-1, 0, 1) for k in range(n)]
+                for c, k, asker in filed:
+                    cell = int(_in_class(np.array([w ^ k], np.uint64), np.array([c]))[0].view(np.int64))
                     for c, v in zip(cols, (cell, asker, int(s.doc[i]), int(s.h[i]), int(s.place[i]), own)):
                         c.append(v)
             kinds = (pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()))
@@ -509,16 +524,15 @@ def _bit_set(slots: DataFrame) -> bytes:
 
 
 def _asked(min_tokens: int, flags):
-    """Words of the lines whose place is in the bit set."""
+    """Sets and words of the lines whose place is in the bit set."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for s in _kept_sets(batches, min_tokens):
             at = np.flatnonzero(_bit(flags.value, _place_slot(s.doc, s.h, s.place)))
             word = s.word.view(np.int64)
             sets = [word[s.first[i] : s.first[i] + s.size[i]] for i in at.tolist()]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(s.doc[at]), pa.array(s.h[at]), pa.array(s.place[at]), pa.array(sets, pa.list_(pa.int64()))], ["doc", "h", "line", "words"]
-            )
+            cols = [x[at] for x in (s.doc, s.h, s.place, *(i.view(np.int64) for i in s.ids()))]
+            yield pa.RecordBatch.from_arrays([*map(pa.array, cols), pa.array(sets, pa.list_(pa.int64()))], ["doc", "h", "line", "id1", "id2", "words"])
 
     return run
 
@@ -558,26 +572,30 @@ def removed_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     ends = one_each.select(*place).unionByName(one_each.select(*[F.col(b).alias(a) for a, b in zip(place, place2)]))
     slots = "chunk int, slots binary"
     asked = share(_bit_set(ends.mapInArrow(_mark_places, slots)))
-    lines = checkpoint(sets.mapInArrow(_asked(min_tokens, asked), "doc long, h long, line long, words array<long>").dropDuplicates(place))
+    kind = ["id1", "id2"]
+    lines = checkpoint(sets.mapInArrow(_asked(min_tokens, asked), "doc long, h long, line long, id1 long, id2 long, words array<long>").dropDuplicates(place))
     other = lines.select(*[F.col(a).alias(b) for a, b in zip(place, place2)], F.col("words").alias("words2"))
     shared = F.size(F.array_intersect("words", "words2"))
     alike = (1 + threshold) * shared >= threshold * (F.size("words") + F.size("words2")) - 1e-9
-    similar = checkpoint(one_each.join(lines, place).join(other, place2).where(alike).select(*place).distinct())
+    similar = checkpoint(one_each.join(lines, place).join(other, place2).where(alike).select(*place, *kind).distinct())
     # second round: lines whose best candidates all failed, though there were more
     rest = pairs.where("more").select(*place).distinct().join(similar, place, "left_anti")
-    rest = checkpoint(rest.join(lines, place).select(*place, "words"))
+    rest = checkpoint(rest.join(lines, place).select(*place, *kind, "words"))
     if rest.limit(1).count():
         asking = share(_bit_set(rest.mapInArrow(_mark_places, slots)))
         wanted = share(_bit_set(rest.mapInArrow(_prefix_slots(words, threshold), slots)))
         second = sets.mapInArrow(_second_look(min_tokens, threshold, words, crowds, asking, wanted), _SECOND)
         grouped = second.withColumn("bucket", F.pmod(F.xxhash64("cell"), F.lit(buckets * 8))).groupBy("bucket")
         late = grouped.applyInArrow(_verify_cells(threshold), "doc long, h long, line long")
-        similar = similar.unionByName(late).distinct()
+        similar = similar.unionByName(rest.join(late.distinct(), place, "left_semi").select(*place, *kind))
     places = sets.mapInArrow(_places(min_tokens), "id1 long, id2 long, doc long, h long, line long")
-    kinds = places.groupBy("id1", "id2").agg(F.min(F.struct(*place)).alias("first"))
-    kin = similar.select(F.struct(*place).alias("first"), F.lit(True).alias("similar"))
-    kinds = kinds.join(kin, "first", "left")
-    return places.join(kinds, ["id1", "id2"]).where(F.col("similar").isNotNull() | (F.struct(*place) != F.col("first"))).select(*place)
+    at = F.struct(*place).alias("at")
+    # sets that occur again, and sets similar to an earlier one: all their lines go, but for the first of the former
+    marked = places.select(*kind, at, F.lit(False).alias("similar"))
+    marked = marked.unionByName(similar.select(*kind, F.lit(None).cast(marked.schema["at"].dataType).alias("at"), F.lit(True).alias("similar")))
+    going = marked.groupBy(*kind).agg(F.min("at").alias("first"), F.max("similar").alias("similar"), F.count("at").alias("times"))
+    going = going.where("times > 1 OR similar").drop("times")
+    return places.join(going, kind).where(F.col("similar") | (F.struct(*place) != F.col("first"))).select(*place)
 
 
 def _identified(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:

@@ -3,6 +3,7 @@
 import hashlib
 import random
 
+import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
@@ -93,6 +94,14 @@ def test_planted_near_copies(spark, monkeypatch, block, best, pairs):
     assert got(linededup.dedup_lines(df.repartition(4))) == brute(spark, rows)
 
 
+@pytest.mark.parametrize("threshold", [0.5, 0.65, 0.8, 0.9, 1.0])
+def test_similar_sizes_are_in_neighbouring_classes(threshold):
+    for n in range(1, 2000):
+        m = np.arange(n, int(n / threshold + 1e-9) + 1)
+        kind = linededup._size_class(np.r_[n, m], threshold)
+        assert np.abs(kind[1:] - kind[0]).max() <= 1
+
+
 def test_edge_rows(spark):
     line = "one two three four five six"
     rows = [(1, None), (2, ""), (3, "\n\n"), (4, line), (4, line), (5, line + "\nshort line\n" + line.upper()), (None, line + " seven"), (None, "a b\na b"),
