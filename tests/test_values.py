@@ -98,3 +98,15 @@ def test_final_fit_follows_the_arms():
     make, weighted = ML.choose_final(cands, [arm("baseline", 0.7), arm("class_weights", 0.71)])
     assert weighted and make(10).getMaxIter() == draws[0]["n_estimators"]
     assert not ML.choose_final(cands, [arm("baseline", 0.7), arm("class_weights", 0.7)])[1]
+
+
+def test_a_value_off_the_units_leaves_the_others_exact(spark):
+    """Large values that cancel do not take the rest of the group with them, in any order."""
+    rows = [(0.5,), (1e17,), (2.25,), (-1e17,)]
+    for i in range(4):
+        df = spark.createDataFrame(rows[i:] + rows[:i], "x double").coalesce(1)
+        assert df.agg(X.sum0("x", 4)).first()[0] == 2.75
+    odd = [([float("nan"), 1.0], "nan"), ([float("inf"), 1.0], "inf"), ([float("inf"), float("-inf")], "nan"), ([1e-7, None], "1e-07"), ([None], "0.0")]
+    for values, want in odd:
+        df = spark.createDataFrame([(v,) for v in values], "x double")
+        assert str(df.agg(X.sum0("x", 4)).first()[0]) == want
