@@ -7,7 +7,8 @@ part; a larger ``min_tokens`` leaves lines of fewer different words alone.
 
 Texts are read once for their sets, which are kept packed (a slice's words as a
 dictionary, lines as differences of its numbers) in a checkpoint; all later
-steps read those.  The texts are read a second time to take lines out.
+steps read those.  The texts are read again to take lines out; only those of
+documents that lose a line are shuffled to meet their lines, the others pass by.
 
 Join: words are ordered from rare to frequent.  Two similar sets share a word
 among their first ``n - ceil(threshold n) + 1``, so a set is filed under just
@@ -603,6 +604,16 @@ def _identified(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.col(id_col).cast("long").alias("doc"), text.alias("text"), F.xxhash64(F.coalesce(text, F.lit(""))).alias("h"))
 
 
+def _with_mark(docs: DataFrame, per: DataFrame) -> DataFrame:
+    """Adds ``marked``: true for every document of ``per``, by a broadcast bit set of fixed size; others may share a bit."""
+    slot = F.pmod(F.xxhash64("doc", "h"), F.lit(1 << PLACE_BITS))
+    word, bit = F.shiftright(slot, 6), slot.bitwiseAND(F.lit(63)).cast("int")
+    bits = per.withColumns({"_word": word, "_bit": bit}).withColumn("_one", F.expr("shiftleft(1L, _bit)"))
+    bits = bits.groupBy("_word").agg(F.bit_or("_one").alias("_bits"))
+    met = docs.withColumns({"_word": word, "_bit": bit}).join(F.broadcast(bits), "_word", "left")
+    return met.withColumn("marked", F.coalesce(F.getbit("_bits", "_bit") == 1, F.lit(False))).drop("_word", "_bit", "_bits")
+
+
 def dedup_lines(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.8, min_tokens: int = 1, columns: list[str] | None = None
 ) -> DataFrame:
@@ -613,12 +624,17 @@ def dedup_lines(
     ``emptied`` whether lines went and no word is left.
     """
     gone = removed_lines(docs, id_col, text_col, threshold, min_tokens)
-    per = gone.groupBy("doc", "h").agg(F.collect_set("line").alias("lines"))
+    # read twice: which documents lose lines, and which lines
+    per = checkpoint(gone.groupBy("doc", "h").agg(F.collect_set("line").alias("lines")))
     text = F.col(text_col).cast("string")
     d = docs.select(
         F.struct(*[F.col(f"`{c}`") for c in columns or docs.columns]).alias("row"), F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 62))).alias("doc"),
         F.xxhash64(F.coalesce(text, F.lit(""))).alias("h"), text.alias("text"),
     )
-    out = d.join(per, ["doc", "h"], "left").select("row", "h", "text", "lines")
+    d = _with_mark(d, per)
+    # only texts that lose a line are shuffled; the others pass by
+    joined = d.where("marked").join(per, ["doc", "h"], "left").select("row", "h", "text", "lines")
+    whole = d.where("NOT marked").select("row", "h", "text", F.lit(None).cast(joined.schema["lines"].dataType).alias("lines"))
+    out = joined.unionByName(whole)
     row = out.schema["row"].dataType.simpleString()
     return out.mapInArrow(_take_out, f"row {row}, text_hash long, n_lines long, removed array<long>, kept_text string, emptied boolean")

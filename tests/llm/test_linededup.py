@@ -147,3 +147,25 @@ def test_pipeline_drops_copies_with_short_lines(spark):
     text = "A Title\none two three four five six\nthe end"
     docs = spark.createDataFrame([(1, text, "en", "s", len(text)), (2, text, "en", "s", len(text))], "doc_id long, text string, lang string, source string, n_chars long")
     assert [(r.doc_id, r.text) for r in corpus_pipeline.drop_repeated_lines(spark, docs, "").collect()] == [(1, text)]
+
+
+def test_only_documents_that_lose_lines_are_marked(spark):
+    """The mark misses no document of the list and lets few others through, null and repeated ids included."""
+    docs = spark.range(20000).selectExpr("IF(id % 1000 = 0, NULL, id) AS doc", "id * 7919 AS h").unionByName(spark.range(3).selectExpr("id AS doc", "id * 7919 AS h"))
+    docs = docs.fillna(-(1 << 62), ["doc"])
+    per = docs.where("h % 4 = 0").distinct()
+    out = linededup._with_mark(docs, per)
+    assert out.columns == ["doc", "h", "marked"] and out.count() == 20003
+    assert out.where("h % 4 = 0 AND NOT marked").count() == 0
+    assert out.where("h % 4 <> 0 AND marked").count() < 40
+    assert linededup._with_mark(docs, per.limit(0)).where("marked").count() == 0
+
+
+def test_texts_without_lines_to_lose_are_not_shuffled(spark):
+    """Texts that keep all their lines reach the removal without an exchange."""
+    rows = [(i, f"only{i} words{i} of{i} text{i} here{i}") for i in range(50)] + [(100, "a b c\nd e f"), (101, "a b c\ng h i")]
+    out = linededup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string"))
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "Union" in plan and "NOT coalesce" in plan
+    assert {(r.row.doc_id, tuple(r.removed)) for r in out.collect() if r.removed} == {(101, (0,))}
+    assert out.count() == 52
