@@ -176,3 +176,18 @@ def test_streaming_file_sink_appends_closed_days(spark):
     # append mode emits a day once the watermark has passed it: all but the last ones
     assert 0 < written.count() < days + 1
     assert written.where("decisions <= 0 OR approved > decisions").count() == 0
+
+
+def test_stratified_sample_shuffles_its_first_buckets_only(spark):
+    """The sample is the one of ranks over all rows, from a small share of them; repeated and null keys included."""
+    key = F.when(F.col("id") % 50 == 3, F.lit(None)).otherwise(F.floor(F.col("id") / 2))
+    df = spark.range(6000).select("id", key.alias("k"), F.when(F.col("id") % 97 == 0, F.lit(None)).otherwise((F.col("id") % 11 == 0).cast("int")).alias("y"))
+    quotas = {0: 90, 1: 10}
+    q = spark.createDataFrame(list(quotas.items()), "y int, _quota int")
+    first = R._first_buckets(df, "y", "k", q, 42)
+    assert first.columns == df.columns and 100 <= first.count() < 500
+    want = R.rank_within(df, ["y"], "k", 42).join(q, "y").where(F.col("_rank") <= F.col("_quota"))
+    got = R.rank_within(first, ["y"], "k", 42).join(q, "y").where(F.col("_rank") <= F.col("_quota"))
+    keys = [sorted(map(str, x.select("y", "k").collect())) for x in (want, got)]
+    assert len(keys[0]) == 100 and keys[0] == keys[1]
+    assert R.stratified_sample(df.where("y is not null"), "y", "k", 100).count() == 100
