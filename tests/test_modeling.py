@@ -59,3 +59,14 @@ def test_final_fit_scores_test_frame(spark, matrix):
     scored = ML.score(model, test)
     assert scored.count() == test.count()
     assert scored.where("SCORE < 0 OR SCORE > 1 OR SCORE IS NULL").count() == 0
+
+
+def test_learners_get_one_partition_per_core_at_most(spark):
+    """Tree counts are shuffled per partition: their number must not grow with the table, nor exceed a sample's need."""
+    rows = spark.range(0, 2000, 1, 60)
+    cores = spark.sparkContext.defaultParallelism
+    for n, want in ((None, 1), (10 * ML.ROWS_PER_TASK, min(cores, 10)), (10**9, cores)):
+        got = ML.for_learning(rows, n)
+        assert got.rdd.getNumPartitions() == want and got.agg(F.sum("id")).first()[0] == 1999000
+    odd = spark.range(0, 300, 1, 40).select(F.col("id").alias("SK_ID_CURR"), (F.col("id") % 7 == 0).cast("double").alias("TARGET"), F.array(F.lit(1.0)).alias("features"))
+    assert C.tuning_sample(odd.withColumn("fold", F.lit(0)), 100).rdd.getNumPartitions() == 1
