@@ -64,16 +64,27 @@ def _by_group(group: np.ndarray, key: np.ndarray) -> np.ndarray:
         return np.zeros(0, np.int64)
     bits = max(1, 63 - int(group[-1] - group[0]).bit_length())
     both = (group - group[0]) << bits | (key >> np.uint64(64 - bits)).astype(np.int64)
-    order = np.argsort(both, kind="stable")
-    same = both[order[1:]] == both[order[:-1]]
-    if np.any(key[order[1:][same]] != key[order[:-1][same]]):
+    order = np.argsort(both)
+    both = both[order]
+    tied = np.flatnonzero(both[1:] == both[:-1])
+    if np.any(key[order[tied + 1]] != key[order[tied]]):
         return np.lexsort((key, group))
     return order
 
 
 def _planes(v: np.ndarray) -> bytes:
-    """Byte planes: the first bytes of all values, then the second ones."""
-    return np.ascontiguousarray(v).view(np.uint8).reshape(len(v), -1).T.tobytes() if len(v) else b""
+    """Byte planes of whole numbers: the first bytes of all values, then the second ones."""
+    kind = np.dtype(f"<u{v.dtype.itemsize}")
+    v = np.ascontiguousarray(v).view(kind)
+    return b"".join((v >> kind.type(8 * i)).astype(np.uint8).tobytes() for i in range(kind.itemsize))
+
+
+def _from_planes(raw: np.ndarray, n: int, kind: np.dtype) -> np.ndarray:
+    whole = np.dtype(f"<u{kind.itemsize}")
+    out = raw[:n].astype(whole)
+    for i in range(1, kind.itemsize):
+        out |= raw[i * n : (i + 1) * n].astype(whole) << whole.type(8 * i)
+    return out.view(kind)
 
 
 class Sets:
@@ -132,9 +143,9 @@ class Sets:
         def take(n: int, kind: str) -> np.ndarray:
             nonlocal at
             width = np.dtype(kind).itemsize
-            part = raw[at : at + n * width].reshape(width, n).T
+            part = _from_planes(raw[at : at + n * width], n, np.dtype(kind))
             at += n * width
-            return np.ascontiguousarray(part).view(kind).reshape(n)
+            return part
 
         doc, h = np.cumsum(take(lines, "<i8")), np.cumsum(take(lines, "<i8"))
         place, size = take(lines, "<u4").astype(np.int64), take(lines, "<u4").astype(np.int64)
@@ -171,7 +182,10 @@ def _in_order(s: Sets, rare: np.ndarray, threshold: float) -> tuple[np.ndarray,
     """
     # rarity, then the hash: one order for all lines
     rarity = rare[_slot(s.word, TABLE_BITS)]
-    order = _by_group(s.owner, rarity << np.uint64(52) | s.word >> np.uint64(12))
+    key = rarity << np.uint64(52) | s.word >> np.uint64(12)
+    order = _by_group(s.owner, key)
+    if np.any((np.diff(key[order]) == 0) & (s.owner[1:] == s.owner[:-1])):
+        order = np.lexsort((s.word, key, s.owner))
     word = s.word[order]
     pos = np.arange(len(word)) - np.repeat(s.first, s.size)
     prefix = s.size - np.ceil(threshold * s.size - 1e-9).astype(np.int64) + 1
@@ -180,15 +194,42 @@ def _in_order(s: Sets, rare: np.ndarray, threshold: float) -> tuple[np.ndarray,
     return s.owner[ok], word[ok], pos[ok]
 
 
-def _firsts(s: Sets, seen: dict) -> np.ndarray:
-    """Lines that are the earliest of their set that this task has met so far."""
-    out = np.zeros(len(s.size), bool)
-    for i, (k, place) in enumerate(zip(zip(*(x.tolist() for x in s.ids())), zip(s.doc.tolist(), s.h.tolist(), s.place.tolist()))):
-        if (before := seen.get(k)) is None or place < before:
-            if before is not None or len(seen) < 1 << 18:
-                seen[k] = place
-            out[i] = True
-    return out
+class _Seen:
+    """Sets that a task has met lately, by slot of a table of fixed size, with their earliest places."""
+
+    BITS = 18
+
+    def __init__(self) -> None:
+        self.id1, self.id2 = np.zeros(1 << self.BITS, np.uint64), np.zeros(1 << self.BITS, np.uint64)
+        self.place = np.zeros((3, 1 << self.BITS), np.int64)
+        self.used = np.zeros(1 << self.BITS, bool)
+
+    def firsts(self, s: Sets) -> np.ndarray:
+        """Lines of which the table knows no earlier line with the same set; they are known from now on."""
+        out = np.zeros(len(s.size), bool)
+        if not len(out):
+            return out
+        id1, id2 = s.ids()
+        place = np.stack([s.doc, s.h, s.place])
+        order = np.argsort(id1)
+        if np.any(np.diff(id1[order]) == 0):
+            order = np.lexsort((place[2], place[1], place[0], id2, id1))
+        x, y = id1[order], id2[order]
+        at = order[np.r_[True, (x[1:] != x[:-1]) | (y[1:] != y[:-1])]]  # the slice's earliest line of each set
+        id1, id2, place = id1[at], id2[at], place[:, at]
+        slot = (id1 >> np.uint64(64 - self.BITS)).astype(np.int64)
+        met = self.used[slot] & (self.id1[slot] == id1) & (self.id2[slot] == id2)
+        new = ~met | _before(place, self.place[:, slot])
+        out[at[new]] = True
+        slot, last = np.unique(slot[new][::-1], return_index=True)
+        last = np.flatnonzero(new)[::-1][last]
+        self.used[slot], self.id1[slot], self.id2[slot], self.place[:, slot] = True, id1[last], id2[last], place[:, last]
+        return out
+
+
+def _before(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Whether places a (document, text hash, line) come before places b."""
+    return (a[0] < b[0]) | ((a[0] == b[0]) & ((a[1] < b[1]) | ((a[1] == b[1]) & (a[2] < b[2]))))
 
 
 def _table(counts: np.ndarray) -> list[tuple[int, bytes]]:
@@ -243,10 +284,10 @@ def _count_prefixes(min_tokens: int, threshold: float, words):
     """How many sets each prefix word files, by slot of the table."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts, seen = np.zeros(1 << TABLE_BITS, np.int64), {}
+        counts, seen = np.zeros(1 << TABLE_BITS, np.int64), _Seen()
         for s in _kept_sets(batches, min_tokens):
             owner, word, _ = _in_order(s, words.value, threshold)
-            counts += np.bincount(_slot(word[_firsts(s, seen)[owner]], TABLE_BITS), minlength=len(counts))
+            counts += np.bincount(_slot(word[seen.firsts(s)[owner]], TABLE_BITS), minlength=len(counts))
         yield _table_batch(counts)
 
     return run
@@ -255,29 +296,43 @@ def _count_prefixes(min_tokens: int, threshold: float, words):
 _ENTRY = np.dtype([("key", "<u8"), ("id1", "<u8"), ("b1", "<u8"), ("b2", "<u8"), ("doc", "<i8"), ("h", "<i8"), ("line", "<u4"), ("size", "<u4"), ("pos", "<u4"), ("side", "u1")])
 
 
-def _pack_entries(e: np.ndarray) -> bytes:
-    """Field by field, as byte planes; keys and documents as differences."""
+def _pack_entries(e: dict[str, np.ndarray]) -> bytes:
+    """Field by field, as byte planes but for the bits of signatures; keys and documents as differences."""
     out = []
-    for name in e.dtype.names:
-        v = np.ascontiguousarray(e[name])
+    for name, v in e.items():
         if name in ("key", "doc", "h"):
             v = np.diff(v, prepend=v.dtype.type(0))
-        out.append(_planes(v))
+        out.append(v.tobytes() if name in ("b1", "b2") else _planes(v))
     return pack(np.frombuffer(b"".join(out), np.uint8))
 
 
-def _unpack_entries(b: bytes) -> np.ndarray:
+def _unpack_entries(b: bytes) -> dict[str, np.ndarray]:
     raw = unpack(b, "u1")
     n = len(raw) // _ENTRY.itemsize
-    out, at = np.empty(n, _ENTRY), 0
+    out, at = {}, 0
     for name in _ENTRY.names:
         kind = _ENTRY[name]
-        v = np.ascontiguousarray(raw[at : at + n * kind.itemsize].reshape(kind.itemsize, n).T).view(kind).ravel()
+        v = raw[at : at + n * kind.itemsize]
+        v = np.ascontiguousarray(v).view(kind) if name in ("b1", "b2") else _from_planes(v, n, kind)
         out[name] = np.cumsum(v, dtype=kind) if name in ("key", "doc", "h") else v
         at += n * kind.itemsize
     return out
 
 
+def _cell_order(e: dict[str, np.ndarray]) -> np.ndarray:
+    """Order by key, size, what tells sets apart, place; sorted by all of these only where key and size are the same."""
+    rest = [e[c] for c in ("line", "h", "doc", "b2", "b1", "id1")]
+    if int(e["size"].max(initial=0)) >> (64 - KEY_BITS):
+        return np.lexsort((*rest, e["size"], e["key"]))
+    both = e["key"] | e["size"].astype(np.uint64)
+    order = np.argsort(both)
+    same = np.diff(both[order]) == 0
+    tied = np.flatnonzero(np.r_[False, same] | np.r_[same, False]) if len(same) else np.zeros(0, np.int64)
+    some = order[tied]
+    order[tied] = some[np.lexsort((*[c[some] for c in rest], both[some]))]
+    return order
+
+
 def _signatures(s: Sets) -> tuple[np.ndarray, np.ndarray]:
     """128-bit parity of the words' hashes: each word flips one bit.  Small sets have it folded to 64 bits."""
     bit = s.word & np.uint64(127)
@@ -292,49 +347,43 @@ def _entries(min_tokens: int, threshold: float, words, crowds, buckets: int):
     """Packed prefix entries by bucket of cells."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: dict = {}
+        seen = _Seen()
         for s in _kept_sets(batches, min_tokens):
             if not len(s.size):
                 continue
             owner, word, pos = _in_order(s, words.value, threshold)
-            first = _firsts(s, seen)[owner]
+            first = seen.firsts(s)[owner]
             owner, word, pos = owner[first], word[first], pos[first]
             b1, b2 = _signatures(s)
             id1 = s.ids()[0] >> np.uint64(64 - ID_BITS)
-            e = np.zeros(len(owner), _ENTRY)
-            for name, v in (("key", word), ("id1", id1[owner]), ("b1", b1[owner]), ("b2", b2[owner]), ("doc", s.doc[owner]), ("h", s.h[owner]), ("line", s.place[owner]), ("size", s.size[owner]), ("pos", pos)):
-                e[name] = v
             blocks = -(-crowds.value[_slot(word, TABLE_BITS)] // BLOCK)
+            key, nth, side = word, np.arange(len(word)), np.full(len(word), 2, np.uint8)
             crowded = blocks > 1
-            parts = [e[~crowded]]
-            parts[0]["side"] = 2
             if crowded.any():
-                c, n = e[crowded], blocks[crowded]
-                own = (c["id1"] % n.astype(np.uint64)).astype(np.int64)
-                c, own, total = np.repeat(c, n), np.repeat(own, n), np.repeat(n, n)
+                c, plain = np.flatnonzero(crowded), np.flatnonzero(~crowded)
+                n = blocks[c]
+                own = np.repeat((id1[owner[c]] % n.astype(np.uint64)).astype(np.int64), n)
+                c, total = np.repeat(c, n), np.repeat(n, n)
                 other = np.arange(len(c)) - np.repeat(np.cumsum(n) - n, n)
                 lo, hi = np.minimum(own, other), np.maximum(own, other)
-                c["key"] = mix64(c["key"] + (lo * total + hi + 1).astype(np.uint64) * MULT)
-                c["side"] = np.where(lo == hi, 2, own > other)
-                parts.append(c)
-            e = np.concatenate(parts)
+                key = np.concatenate([word[plain], mix64(word[c] + (lo * total + hi + 1).astype(np.uint64) * MULT)])
+                side = np.concatenate([side[plain], np.where(lo == hi, 2, own > other).astype(np.uint8)])
+                nth = np.concatenate([plain, c])
             # words that share a key only add candidates
-            e["key"] = e["key"] >> np.uint64(64 - KEY_BITS) << np.uint64(64 - KEY_BITS)
-            e = e[np.argsort(e["key"], kind="stable")]
+            key = key >> np.uint64(64 - KEY_BITS) << np.uint64(64 - KEY_BITS)
+            order = np.argsort(key, kind="stable")
+            nth = nth[order]
+            at = owner[nth]
+            fields = (key[order], id1[at], b1[at], b2[at], s.doc[at], s.h[at], s.place[at], s.size[at], pos[nth], side[order])
+            e = {name: v.astype(_ENTRY[name], copy=False) for name, v in zip(_ENTRY.names, fields)}
             of = ((e["key"] >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
             edge = np.flatnonzero(np.r_[True, of[1:] != of[:-1]]) if len(of) else []
-            rows = [(int(of[a]), _pack_entries(e[a:z])) for a, z in zip(edge, np.r_[edge[1:], len(of)])]
+            rows = [(int(of[a]), _pack_entries({c: v[a:z] for c, v in e.items()})) for a, z in zip(edge, np.r_[edge[1:], len(of)])]
             yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.binary())], ["bucket", "entries"])
 
     return run
 
 
-def _later(e: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Whether entry a's place is after entry b's."""
-    x, y = e[a], e[b]
-    return (x["doc"] > y["doc"]) | ((x["doc"] == y["doc"]) & ((x["h"] > y["h"]) | ((x["h"] == y["h"]) & (x["line"] > y["line"]))))
-
-
 _PAIR = "doc long, h long, line long, doc2 long, h2 long, line2 long, more boolean"
 
 
@@ -343,26 +392,29 @@ def _pair_up(threshold: float):
     share = threshold / (1 + threshold)
 
     def one(t: pa.Table) -> pa.Table:
-        e = np.concatenate([_unpack_entries(x) for x in t.column("entries").to_pylist()])
+        parts = [_unpack_entries(x) for x in t.column("entries").to_pylist()]
+        e = {c: np.concatenate([p[c] for p in parts]) for c in _ENTRY.names}
+        del parts
+        order = _cell_order(e)
+        e = {c: v[order] for c, v in e.items()}
         # a set met by several tasks: its earliest place stands for it
-        e = e[np.lexsort((e["line"], e["h"], e["doc"], e["b2"], e["b1"], e["id1"], e["size"], e["key"]))]
-        again = np.zeros(len(e), bool)
+        again = np.zeros(len(order), bool)
         again[1:] = np.logical_and.reduce([e[c][1:] == e[c][:-1] for c in ("key", "id1", "size", "b1", "b2")])
-        e = e[~again]
-        col = {n: np.ascontiguousarray(e[n]) for n in ("b1", "b2", "side")}
+        if again.any():
+            e = {c: v[~again] for c, v in e.items()}
+        rows = len(e["key"])
         size, left = e["size"].astype(np.int64), e["size"].astype(np.int64) - e["pos"]
-        turn = np.empty(len(e), np.int64)  # order of the places
-        turn[np.lexsort((e["line"], e["h"], e["doc"]))] = np.arange(len(e))
+        at_place = lambda i: (e["doc"][i], e["h"][i], e["line"][i])
         cell = np.cumsum(np.r_[False, e["key"][1:] != e["key"][:-1]]).astype(np.int64)
         widest = int(size.max(initial=0)) + 2
         rank = cell * widest + size
         limit = np.minimum(np.floor(size / threshold + 1e-9).astype(np.int64), widest - 1)
-        n = np.searchsorted(rank, cell * widest + limit, side="right") - np.arange(len(e)) - 1
+        n = np.searchsorted(rank, cell * widest + limit, side="right") - np.arange(rows) - 1
         done = np.cumsum(n)
         best = np.zeros((3, 0), np.int64)  # later, apart, earlier: at most BEST for each later one
-        more = np.zeros(len(e), bool)
+        more = np.zeros(rows, bool)
         at = 0
-        while at < len(e):
+        while at < rows:
             base = done[at - 1] if at else 0
             to = max(at + 1, int(np.searchsorted(done, base + PAIRS_AT_ONCE, side="right")))
             a = np.repeat(np.arange(at, to), n[at:to])
@@ -370,17 +422,18 @@ def _pair_up(threshold: float):
             at = to
             need = np.ceil(share * (size[a] + size[b]) - 1e-9).astype(np.int64)
             ok = np.minimum(left[a], left[b]) >= need
-            ok &= (col["side"][a] == 2) | (col["side"][a] != col["side"][b])
-            ok &= (e["doc"][a] != e["doc"][b]) | (e["h"][a] != e["h"][b]) | (e["line"][a] != e["line"][b])
+            ok &= (e["side"][a] == 2) | (e["side"][a] != e["side"][b])
             a, b, need = a[ok], b[ok], need[ok]
-            x1, x2 = col["b1"][a] ^ col["b1"][b], col["b2"][a] ^ col["b2"][b]
+            x1, x2 = e["b1"][a] ^ e["b1"][b], e["b2"][a] ^ e["b2"][b]
             folded = np.minimum(size[a], size[b]) <= FOLD
             apart = np.where(folded, np.bitwise_count(x1 ^ x2), np.bitwise_count(x1) + np.bitwise_count(x2)).astype(np.int64)
             ok = apart <= size[a] + size[b] - 2 * need
             a, b, apart = a[ok], b[ok], apart[ok]
+            a_later, b_later = _before(at_place(b), at_place(a)), _before(at_place(a), at_place(b))
+            ok = a_later | b_later  # two words of one line may share a key
+            a, b, apart, a_later = a[ok], b[ok], apart[ok], a_later[ok]
             if not len(a):
                 continue
-            a_later = turn[a] > turn[b]
             both = np.concatenate([best, np.stack([np.where(a_later, a, b), apart, np.where(a_later, b, a)])], axis=1)
             both = both[:, np.lexsort((both[2], both[1], both[0]))]
             first = np.flatnonzero(np.r_[True, both[0, 1:] != both[0, :-1]])
@@ -424,6 +477,13 @@ def _prefix_slots(rare, threshold: float):
     return run
 
 
+def _word_lists(s: Sets, lines: np.ndarray) -> pa.ListArray:
+    size = s.size[lines]
+    edge = np.concatenate([[0], np.cumsum(size)])
+    at = np.arange(int(edge[-1])) + np.repeat(s.first[lines] - edge[:-1], size)
+    return pa.ListArray.from_arrays(pa.array(edge, pa.int32()), pa.array(s.word[at].view(np.int64)))
+
+
 def _second_look(min_tokens: int, threshold: float, words, crowds, asking, wanted):
     """Lines with a prefix word that an asking line has, with all their words; ``asks`` marks askers.
 
@@ -432,28 +492,27 @@ def _second_look(min_tokens: int, threshold: float, words, crowds, asking, wante
     """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: dict = {}
+        seen = _Seen()
         for s in _kept_sets(batches, min_tokens):
             id1 = s.ids()[0] >> np.uint64(64 - ID_BITS)
             owner, word, _ = _in_order(s, words.value, threshold)
             kind = _size_class(s.size, threshold)
             asks = _bit(asking.value, _place_slot(s.doc, s.h, s.place))
-            first = _firsts(s, seen)
+            first = seen.firsts(s)
             ok = first[owner] & (_bit(wanted.value, _slot(_in_class(word, kind[owner]), PLACE_BITS)) | asks[owner])
             owner, word = owner[ok], word[ok]
             blocks = np.maximum(1, -(-crowds.value[_slot(word, TABLE_BITS)] // BLOCK))
-            cols: list[list] = [[] for _ in range(6)]
-            for i, w, n in zip(owner.tolist(), word.tolist(), blocks.tolist()):
-                own = s.word[s.first[i] : s.first[i] + s.size[i]].view(np.int64)
-                filed = [(int(kind[i]), int(id1[i]) % n, False)]
-                if asks[i]:
-                    filed += [(int(kind[i]) + c, k, True) for c in (-1, 0, 1) for k in range(n)]
-                for c, k, asker in filed:
-                    cell = int(_in_class(np.array([w ^ k], np.uint64), np.array([c]))[0].view(np.int64))
-                    for c, v in zip(cols, (cell, asker, int(s.doc[i]), int(s.h[i]), int(s.place[i]), own)):
-                        c.append(v)
-            kinds = (pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], ["cell", "asks", "doc", "h", "line", "words"])
+            asker = np.flatnonzero(asks[owner])
+            n = np.repeat(blocks[asker], 3)
+            ask, step = np.repeat(np.repeat(asker, 3), n), np.repeat(np.tile([-1, 0, 1], len(asker)), n)
+            block = np.arange(len(ask)) - np.repeat(np.cumsum(n) - n, n)
+            nth = np.concatenate([np.arange(len(owner)), ask])
+            block = np.concatenate([(id1[owner] % blocks.astype(np.uint64)).astype(np.int64), block])
+            filed_as = kind[owner[nth]] + np.concatenate([np.zeros(len(owner), np.int64), step])
+            cell = _in_class(word[nth] ^ block.astype(np.uint64), filed_as).view(np.int64)
+            i = owner[nth]
+            cols = [cell, np.arange(len(nth)) >= len(owner), s.doc[i], s.h[i], s.place[i], _word_lists(s, i)]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], ["cell", "asks", "doc", "h", "line", "words"])
 
     return run
 
@@ -462,21 +521,23 @@ def _verify_cells(threshold: float):
     """Asking lines that a line of their cell, earlier in place, is similar to."""
 
     def one(t: pa.Table) -> pa.Table:
-        t = t.sort_by([("cell", "ascending"), ("asks", "ascending")])
+        at = t.column_names.index("words")
+        t = t.set_column(at, "words", t.column(at).cast(pa.large_list(pa.int64())))
+        t = t.sort_by([("cell", "ascending"), ("asks", "ascending")]).combine_chunks()
         cell, asks = t.column("cell").to_numpy(), t.column("asks").to_numpy(zero_copy_only=False)
         place = np.stack([t.column(c).to_numpy() for c in ("doc", "h", "line")], axis=1)
-        words = [np.array(w, np.int64) for w in t.column("words").to_pylist()]
+        lists = t.column("words").chunk(0)
+        words, edges = lists.values.to_numpy(), lists.offsets.to_numpy()
         out = []
         edge = np.flatnonzero(np.r_[True, cell[1:] != cell[:-1]])
         for lo, hi in zip(edge.tolist(), [*edge[1:].tolist(), len(cell)]):
             mid = lo + int((~asks[lo:hi]).sum())
             if mid == lo or mid == hi:
                 continue
-            flat = np.concatenate(words[lo:mid])
-            size = np.array([len(w) for w in words[lo:mid]])
-            first = np.cumsum(size) - size
+            flat = words[edges[lo] : edges[mid]]
+            size, first = np.diff(edges[lo : mid + 1]), edges[lo:mid] - edges[lo]
             for x in range(mid, hi):
-                own = np.sort(words[x])
+                own = np.sort(words[edges[x] : edges[x + 1]])
                 at = np.minimum(np.searchsorted(own, flat), len(own) - 1)
                 shared = np.add.reduceat((own[at] == flat).astype(np.int64), first)
                 near = np.flatnonzero((1 + threshold) * shared >= threshold * (size + len(own)) - 1e-9) + lo
@@ -530,10 +591,8 @@ def _asked(min_tokens: int, flags):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for s in _kept_sets(batches, min_tokens):
             at = np.flatnonzero(_bit(flags.value, _place_slot(s.doc, s.h, s.place)))
-            word = s.word.view(np.int64)
-            sets = [word[s.first[i] : s.first[i] + s.size[i]] for i in at.tolist()]
             cols = [x[at] for x in (s.doc, s.h, s.place, *(i.view(np.int64) for i in s.ids()))]
-            yield pa.RecordBatch.from_arrays([*map(pa.array, cols), pa.array(sets, pa.list_(pa.int64()))], ["doc", "h", "line", "id1", "id2", "words"])
+            yield pa.RecordBatch.from_arrays([*map(pa.array, cols), _word_lists(s, at)], ["doc", "h", "line", "id1", "id2", "words"])
 
     return run
 

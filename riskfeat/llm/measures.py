@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 
-from riskfeat.llm.textops import IS_SEP, shingle_hashes, word_hashes, word_spans
+from riskfeat.llm.textops import IS_SEP, all_word_hashes, shingle_hashes, word_hashes, word_spans
 
 SYMBOLS = b"#*$%&|<>"
 # classes of bytes
@@ -25,7 +25,7 @@ class Texts:
     def __init__(self, data: np.ndarray, offs: np.ndarray) -> None:
         self.data, self.offs, self.rows = data, offs, len(offs) - 1
         self.row, self.start, self.end = word_spans(data, offs)
-        self.hash = word_hashes(data, self.start, self.end)
+        self.hash = all_word_hashes(data, self.start, self.end)
         self.n_words = np.bincount(self.row, minlength=self.rows)
         # lines: every text has one, and one more after each line feed
         feed = np.flatnonzero(data == 10)
@@ -41,7 +41,7 @@ class Texts:
         self.line_end[last] = offs[1:]
         self.first_line = last - self.n_lines + 1
         # a word's line: the last line of its row that starts at or before it
-        feeds = np.searchsorted(feed, self.start)
+        feeds = np.repeat(np.arange(len(feed) + 1), np.diff(np.searchsorted(self.start, feed), prepend=0, append=len(self.start)))
         before = np.searchsorted(feed, offs[:-1])
         self.line = self.first_line[self.row] + feeds - before[self.row]
         self.line_words = np.bincount(self.line, minlength=len(self.line_row))

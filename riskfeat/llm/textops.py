@@ -118,7 +118,23 @@ def word_spans(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarr
     after[last[last >= 0]] = False
     start = np.flatnonzero(inside & ~before)
     end = np.flatnonzero(inside & ~after) + 1
-    return np.searchsorted(offs, start, side="right") - 1, start, end
+    # starts rise, and rows are fewer: look the rows up among the starts
+    row = np.repeat(np.arange(len(offs) - 1), np.diff(np.searchsorted(start, offs)))
+    return row, start, end
+
+
+# by byte: its number plus one, nothing for a separator
+_WORD_BYTE = np.where(IS_SEP, 0, np.arange(256) + 1).astype(np.uint64)
+
+
+def all_word_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """``word_hashes`` of all words of ``data``, as ``word_spans`` gives them: separators between them count nothing."""
+    if not len(start):
+        return np.zeros(0, np.uint64)
+    reach = np.diff(start, append=end[-1])
+    local = np.arange(int(start[0]), int(end[-1])) - np.repeat(start, reach)
+    vals = _WORD_BYTE[data[start[0] : end[-1]]] * powers(int(reach.max()))[local]
+    return mix64(np.add.reduceat(vals, start - start[0]) + (end - start).astype(np.uint64))
 
 
 def word_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:

@@ -169,3 +169,58 @@ def test_texts_without_lines_to_lose_are_not_shuffled(spark):
     assert "Union" in plan and "NOT coalesce" in plan
     assert {(r.row.doc_id, tuple(r.removed)) for r in out.collect() if r.removed} == {(101, (0,))}
     assert out.count() == 52
+
+
+def test_planes_and_entries_come_back():
+    import numpy as np
+
+    from riskfeat.llm import linededup as L
+
+    rng = np.random.default_rng(3)
+    for n in (0, 1, 1000):
+        e = {c: rng.integers(0, 2 ** (8 * L._ENTRY[c].itemsize) - 1, n, dtype=f"<u{L._ENTRY[c].itemsize}").view(L._ENTRY[c]) for c in L._ENTRY.names}
+        back = L._unpack_entries(L._pack_entries(e))
+        assert all(np.array_equal(e[c], back[c]) and back[c].dtype == L._ENTRY[c] for c in e)
+
+
+def test_a_later_line_of_a_known_set_is_not_filed_again():
+    """What a task knows is held in a table of fixed size; an earlier place is always filed."""
+    import numpy as np
+
+    from riskfeat.llm import linededup as L
+
+    def sets(docs):
+        one = np.array([5, 9], np.uint64)
+        k = len(docs)
+        return L.Sets(np.array(docs), np.zeros(k, np.int64), np.zeros(k, np.int64), np.full(k, 2), np.tile(one, k))
+
+    seen = L._Seen()
+    assert seen.firsts(sets([7, 4, 9])).tolist() == [False, True, False]
+    assert seen.firsts(sets([8, 4, 6])).tolist() == [False, False, False]
+    assert seen.firsts(sets([3, 2, 5])).tolist() == [False, True, False]
+    assert seen.firsts(sets([])).tolist() == []
+
+
+def test_the_order_of_cells_is_by_all_fields():
+    import numpy as np
+
+    from riskfeat.llm import linededup as L
+
+    rng = np.random.default_rng(4)
+    for top in (4, 1 << 25):  # sizes beyond 24 bits are sorted field by field
+        e = {c: rng.integers(0, 3, 500).astype(L._ENTRY[c]) for c in L._ENTRY.names}
+        e["key"] <<= np.uint64(64 - L.KEY_BITS)
+        e["size"][0] = top
+        want = np.lexsort(tuple(e[c] for c in ("line", "h", "doc", "b2", "b1", "id1", "size", "key")))
+        got = L._cell_order(e)
+        assert all(np.array_equal(e[c][got], e[c][want]) for c in ("line", "h", "doc", "b2", "b1", "id1", "size", "key"))
+
+
+def test_second_look_lists_the_words_of_its_lines():
+    import numpy as np
+
+    from riskfeat.llm import linededup as L
+
+    s = L.Sets(np.array([1, 2, 3]), np.zeros(3, np.int64), np.zeros(3, np.int64), np.array([2, 1, 3]), np.arange(6, dtype=np.uint64))
+    assert L._word_lists(s, np.array([2, 0, 2])).to_pylist() == [[3, 4, 5], [0, 1], [3, 4, 5]]
+    assert L._word_lists(s, np.zeros(0, np.int64)).to_pylist() == []
