@@ -24,9 +24,11 @@ find crowded words, are kept in tables of fixed size; a crowded word's entries
 are cut into blocks and each pair of blocks is a cell of its own.  A cell
 returns, per line, its ``BEST`` closest earlier candidates rather than all
 pairs; the lines for which none of those is verified though there were more
-get all their candidates verified in a second round, so nothing is lost.
+get all their candidates verified in a second round, so nothing is lost.  Steps
+pass on checkpoints, so each step's shuffle files go at its end.
 
-Documents are identified by id and text hash.  Edge cases: null or empty texts
+Documents are identified by id and text hash; the join carries the hash only where
+an id has several texts (a bit set of fixed size tells), elsewhere the id says as much.  Edge cases: null or empty texts
 have no lines; rows equal in id and text share their result; null ids come
 first; equal places do not remove each other; empty tables give empty results;
 very long lines and texts are sets and lines like any other; other columns are
@@ -45,7 +47,7 @@ from pyspark.sql import functions as F
 
 from riskfeat.llm.measures import Texts
 from riskfeat.llm.textops import LOWER, MULT, byte_view, mix64, pack, release, slices, unpack
-from riskfeat.session import checkpoint
+from riskfeat.session import brief_shuffles, checkpoint
 
 TABLE_BITS = 20  # word count tables
 PLACE_BITS = 24  # bit set of the lines whose words are asked for
@@ -156,11 +158,15 @@ class Sets:
         return cls(doc, h, place, size, words[number])
 
 
-def _kept_sets(batches: Iterable[pa.RecordBatch], min_tokens: int) -> Iterator[Sets]:
+def _kept_sets(batches: Iterable[pa.RecordBatch], min_tokens: int, doubled=None) -> Iterator[Sets]:
+    """The packed sets; with ``doubled``, the text hash is 0 where the id alone tells the text."""
     try:
         for b in batches:
             for x in b.column("sets"):
-                yield Sets.unpacked(x.as_py()).of_size(min_tokens)
+                s = Sets.unpacked(x.as_py()).of_size(min_tokens)
+                if doubled is not None:
+                    s.h = np.where(_bit(doubled.value, _doc_slot(s.doc)), s.h, 0)
+                yield s
     finally:
         release()
 
@@ -241,18 +247,30 @@ def _table_batch(counts: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.binary())], ["chunk", "counts"])
 
 
-_SETS = "chunk int, counts binary, sets binary"
+_SETS = "chunk int, counts binary, sets binary, texts binary"
 
 
 def _write_sets(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Packed sets by slice, then in how many lines each word is, by slot of the table (with a chunk)."""
+    """Packed sets and texts (id, hash) by slice, then in how many lines each word is, by slot of the table (with a chunk)."""
     counts = np.zeros(1 << TABLE_BITS, np.int64)
+    names = ["chunk", "counts", "sets", "texts"]
     for b in slices(batches, "text"):
         s = Sets.read(b)
         counts += np.bincount(_slot(s.word, TABLE_BITS), minlength=len(counts))
-        yield pa.RecordBatch.from_arrays([pa.array([None], pa.int32()), pa.array([None], pa.binary()), pa.array([s.packed()])], ["chunk", "counts", "sets"])
+        new = np.ones(len(s.doc), bool)
+        new[1:] = (s.doc[1:] != s.doc[:-1]) | (s.h[1:] != s.h[:-1])
+        texts = pack(np.concatenate([s.doc[new], s.h[new]]).astype("<i8"))
+        yield pa.RecordBatch.from_arrays([pa.array([None], pa.int32()), pa.array([None], pa.binary()), pa.array([s.packed()]), pa.array([texts])], names)
     t = _table_batch(counts)
-    yield pa.RecordBatch.from_arrays([*t.columns, pa.nulls(t.num_rows, pa.binary())], ["chunk", "counts", "sets"])
+    yield pa.RecordBatch.from_arrays([*t.columns, *[pa.nulls(t.num_rows, pa.binary())] * 2], names)
+
+
+def _texts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Id and hash of the texts of all slices."""
+    for b in batches:
+        for x in b.column("texts"):
+            doc, h = np.split(unpack(x.as_py(), "<i8"), 2)
+            yield pa.RecordBatch.from_arrays([pa.array(doc), pa.array(h)], ["doc", "h"])
 
 
 def _add_tables(t: pa.Table) -> pa.Table:
@@ -280,12 +298,12 @@ def _places(min_tokens: int):
     return run
 
 
-def _count_prefixes(min_tokens: int, threshold: float, words):
+def _count_prefixes(min_tokens: int, threshold: float, words, doubled):
     """How many sets each prefix word files, by slot of the table."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts, seen = np.zeros(1 << TABLE_BITS, np.int64), _Seen()
-        for s in _kept_sets(batches, min_tokens):
+        for s in _kept_sets(batches, min_tokens, doubled):
             owner, word, _ = _in_order(s, words.value, threshold)
             counts += np.bincount(_slot(word[seen.firsts(s)[owner]], TABLE_BITS), minlength=len(counts))
         yield _table_batch(counts)
@@ -343,12 +361,12 @@ def _signatures(s: Sets) -> tuple[np.ndarray, np.ndarray]:
     return np.where(small, b1 ^ b2, b1), np.where(small, np.uint64(0), b2)
 
 
-def _entries(min_tokens: int, threshold: float, words, crowds, buckets: int):
+def _entries(min_tokens: int, threshold: float, words, crowds, doubled, buckets: int):
     """Packed prefix entries by bucket of cells."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = _Seen()
-        for s in _kept_sets(batches, min_tokens):
+        for s in _kept_sets(batches, min_tokens, doubled):
             if not len(s.size):
                 continue
             owner, word, pos = _in_order(s, words.value, threshold)
@@ -484,7 +502,7 @@ def _word_lists(s: Sets, lines: np.ndarray) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(edge, pa.int32()), pa.array(s.word[at].view(np.int64)))
 
 
-def _second_look(min_tokens: int, threshold: float, words, crowds, asking, wanted):
+def _second_look(min_tokens: int, threshold: float, words, crowds, doubled, asking, wanted):
     """Lines with a prefix word that an asking line has, with all their words; ``asks`` marks askers.
 
     A line is filed under its size class and the block that its set falls into, an
@@ -493,7 +511,7 @@ def _second_look(min_tokens: int, threshold: float, words, crowds, asking, wante
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = _Seen()
-        for s in _kept_sets(batches, min_tokens):
+        for s in _kept_sets(batches, min_tokens, doubled):
             id1 = s.ids()[0] >> np.uint64(64 - ID_BITS)
             owner, word, _ = _in_order(s, words.value, threshold)
             kind = _size_class(s.size, threshold)
@@ -557,6 +575,10 @@ def _place_slot(doc: np.ndarray, h: np.ndarray, line: np.ndarray) -> np.ndarray:
     return (mix64(key) >> np.uint64(64 - PLACE_BITS)).astype(np.int64)
 
 
+def _doc_slot(doc: np.ndarray) -> np.ndarray:
+    return _slot(mix64(doc.view(np.uint64)), PLACE_BITS)
+
+
 def _emit_slots(p: np.ndarray) -> Iterator[pa.RecordBatch]:
     per = (1 << PLACE_BITS) // CHUNKS
     cut = np.searchsorted(p, np.arange(CHUNKS + 1) * per)
@@ -569,6 +591,11 @@ def _mark_places(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from _emit_slots(np.unique(_place_slot(*(b.column(c).to_numpy() for c in ("doc", "h", "line")))))
 
 
+def _mark_docs(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        yield from _emit_slots(np.unique(_doc_slot(b.column("doc").to_numpy())))
+
+
 def _fill_places(t: pa.Table) -> pa.Table:
     out = np.zeros((1 << PLACE_BITS) // CHUNKS, bool)
     for s in t.column("slots").to_pylist():
@@ -585,11 +612,11 @@ def _bit_set(slots: DataFrame) -> bytes:
     return bytes(out)
 
 
-def _asked(min_tokens: int, flags):
+def _asked(min_tokens: int, doubled, flags):
     """Sets and words of the lines whose place is in the bit set."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for s in _kept_sets(batches, min_tokens):
+        for s in _kept_sets(batches, min_tokens, doubled):
             at = np.flatnonzero(_bit(flags.value, _place_slot(s.doc, s.h, s.place)))
             cols = [x[at] for x in (s.doc, s.h, s.place, *(i.view(np.int64) for i in s.ids()))]
             yield pa.RecordBatch.from_arrays([*map(pa.array, cols), _word_lists(s, at)], ["doc", "h", "line", "id1", "id2", "words"])
@@ -619,21 +646,24 @@ def removed_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     share = spark.sparkContext.broadcast
     both = checkpoint(_identified(docs, id_col, text_col).select("doc", "h", "text").mapInArrow(_write_sets, _SETS))
     sets = both.where("sets IS NOT NULL").select("sets")
-    table = "chunk int, counts binary"
+    table, slots = "chunk int, counts binary", "chunk int, slots binary"
+    # ids with several texts; most tables have none
+    texts = both.where("sets IS NOT NULL").select("texts").mapInArrow(_texts, "doc long, h long")
+    several = texts.groupBy("doc").agg(F.min("h").alias("least"), F.max("h").alias("most")).where("least < most").select("doc")
+    doubled = share(_bit_set(several.mapInArrow(_mark_docs, slots)))
     words = share(_rarity(_collect_table(both.where("chunk IS NOT NULL").select("chunk", "counts"))))
-    filed = _collect_table(sets.mapInArrow(_count_prefixes(min_tokens, threshold, words), table))
+    filed = _collect_table(sets.mapInArrow(_count_prefixes(min_tokens, threshold, words, doubled), table))
     crowds = share(filed)
     buckets = max(1, math.ceil(int(filed.sum()) / CELL_ROWS))
 
     place, place2 = ["doc", "h", "line"], ["doc2", "h2", "line2"]
-    entries = sets.mapInArrow(_entries(min_tokens, threshold, words, crowds, buckets), "bucket long, entries binary")
+    entries = sets.mapInArrow(_entries(min_tokens, threshold, words, crowds, doubled, buckets), "bucket long, entries binary")
     pairs = checkpoint(entries.groupBy("bucket").applyInArrow(_pair_up(threshold), _PAIR))
     one_each = pairs.select(*place, *place2).distinct()
     ends = one_each.select(*place).unionByName(one_each.select(*[F.col(b).alias(a) for a, b in zip(place, place2)]))
-    slots = "chunk int, slots binary"
     asked = share(_bit_set(ends.mapInArrow(_mark_places, slots)))
     kind = ["id1", "id2"]
-    lines = checkpoint(sets.mapInArrow(_asked(min_tokens, asked), "doc long, h long, line long, id1 long, id2 long, words array<long>").dropDuplicates(place))
+    lines = checkpoint(sets.mapInArrow(_asked(min_tokens, doubled, asked), "doc long, h long, line long, id1 long, id2 long, words array<long>").dropDuplicates(place))
     other = lines.select(*[F.col(a).alias(b) for a, b in zip(place, place2)], F.col("words").alias("words2"))
     shared = F.size(F.array_intersect("words", "words2"))
     alike = (1 + threshold) * shared >= threshold * (F.size("words") + F.size("words2")) - 1e-9
@@ -644,7 +674,7 @@ def removed_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     if rest.limit(1).count():
         asking = share(_bit_set(rest.mapInArrow(_mark_places, slots)))
         wanted = share(_bit_set(rest.mapInArrow(_prefix_slots(words, threshold), slots)))
-        second = sets.mapInArrow(_second_look(min_tokens, threshold, words, crowds, asking, wanted), _SECOND)
+        second = sets.mapInArrow(_second_look(min_tokens, threshold, words, crowds, doubled, asking, wanted), _SECOND)
         grouped = second.withColumn("bucket", F.pmod(F.xxhash64("cell"), F.lit(buckets * 8))).groupBy("bucket")
         late = grouped.applyInArrow(_verify_cells(threshold), "doc long, h long, line long")
         similar = similar.unionByName(rest.join(late.distinct(), place, "left_semi").select(*place, *kind))
@@ -682,9 +712,10 @@ def dedup_lines(
     ``removed`` the numbers of the lines that went, ``kept_text`` the rest,
     ``emptied`` whether lines went and no word is left.
     """
-    gone = removed_lines(docs, id_col, text_col, threshold, min_tokens)
-    # read twice: which documents lose lines, and which lines
-    per = checkpoint(gone.groupBy("doc", "h").agg(F.collect_set("line").alias("lines")))
+    with brief_shuffles(docs.sparkSession):
+        gone = removed_lines(docs, id_col, text_col, threshold, min_tokens)
+        # read twice: which documents lose lines, and which lines
+        per = checkpoint(gone.groupBy("doc", "h").agg(F.collect_set("line").alias("lines")))
     text = F.col(text_col).cast("string")
     d = docs.select(
         F.struct(*[F.col(f"`{c}`") for c in columns or docs.columns]).alias("row"), F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 62))).alias("doc"),

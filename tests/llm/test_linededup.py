@@ -224,3 +224,53 @@ def test_second_look_lists_the_words_of_its_lines():
     s = L.Sets(np.array([1, 2, 3]), np.zeros(3, np.int64), np.zeros(3, np.int64), np.array([2, 1, 3]), np.arange(6, dtype=np.uint64))
     assert L._word_lists(s, np.array([2, 0, 2])).to_pylist() == [[3, 4, 5], [0, 1], [3, 4, 5]]
     assert L._word_lists(s, np.zeros(0, np.int64)).to_pylist() == []
+
+
+def test_entries_carry_text_hashes_only_of_ids_with_several_texts():
+    from types import SimpleNamespace as Shared
+
+    from riskfeat.llm import linededup as L
+
+    rows = [(i, 1000 + i, f"one{i} two three four five six\nseven{i} eight nine ten eleven twelve") for i in (1, 2, 3)] + [(2, 77, "a b c d e f g")]
+    b = pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows)], ["doc", "h", "text"])
+    slots = [x for x in L._write_sets([b]) if x.column("sets").null_count == 0]
+    found = [tuple(r.values()) for x in slots for t in L._texts([x]) for r in t.to_pylist()]
+    assert found == [(1, 1001), (2, 1002), (3, 1003), (2, 77)]
+    bits = np.zeros(1 << L.PLACE_BITS, bool)
+    bits[L._doc_slot(np.array([2]))] = True
+    doubled = Shared(value=np.packbits(bits, bitorder="little").tobytes())
+    table = Shared(value=np.ones(1 << L.TABLE_BITS, np.int64))
+    rare = Shared(value=L._rarity(table.value))
+    e = [L._unpack_entries(x.as_py()) for y in L._entries(1, 0.8, rare, table, doubled, 1)(slots) for x in y.column("entries")]
+    assert {(d, h) for x in e for d, h in zip(x["doc"].tolist(), x["h"].tolist())} == {(1, 0), (2, 1002), (3, 0), (2, 77)}
+
+
+@pytest.mark.parametrize("best", [4, 1])
+def test_repeated_and_null_ids_keep_their_texts_apart(spark, monkeypatch, best):
+    monkeypatch.setattr(linededup, "BEST", best)
+    rows = [(None if i % 7 == 0 else i % 20, t) for i, t in planted()]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert got(linededup.dedup_lines(df.repartition(3))) == brute(spark, rows)
+
+
+def test_shuffle_files_go_with_their_step(spark):
+    """Only the last step's shuffles, those of the result, are there when the result has been read."""
+    import time
+
+    from riskfeat.session import CLEANUP_CONF
+
+    disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def left():
+        return {x for x in disk.getAllFiles().mkString("\n").split("\n") if "/shuffle_" in x and x.endswith(".data")}
+
+    df = spark.createDataFrame(planted(), "doc_id long, text string").repartition(4)
+    setting = spark.conf.get(CLEANUP_CONF, None)
+    before = left()
+    linededup.dedup_lines(df)
+    assert spark.conf.get(CLEANUP_CONF, None) == setting
+    for _ in range(20):  # files are removed beside the job
+        if not left() - before:
+            break
+        time.sleep(0.5)
+    assert not left() - before
