@@ -87,7 +87,10 @@ def permutation_drops(
     order. The donor ranking does not depend on the feature, so one join
     serves all features; one copy of the frame per feature (plus the
     unpermuted base) is scored together and ``roc_auc_by`` gives every AUC.
-    ``score_frame`` must keep the ``_feature`` column and return ``SCORE``.
+    The copies are made and scored row by row and counted by score at once, so
+    that only the frame beside its donated values and the counts are written.
+    ``score_frame`` must keep the ``_feature`` column (0 for the base, i for the
+    i-th feature) and return ``SCORE``.
     """
     from ..session import checkpoint
     from . import evaluate, ranks
@@ -97,12 +100,10 @@ def permutation_drops(
     donor = donor.select(F.col("_rank").alias("_r1"), *[F.col(f).alias(f"_d{i}") for i, f in enumerate(features)])
     joined = checkpoint(by_key.drop("_all").join(donor, "_r1"))
     cols = df.columns
-    donated = {f: f"_d{i}" for i, f in enumerate(features)}
-    copies = joined.withColumn("_feature", F.explode(F.array(*[F.lit(f) for f in ("", *features)]))).select(
-        *[F.when(F.col("_feature") == c, F.col(donated[c])).otherwise(F.col(c)).alias(c) if c in donated else F.col(c) for c in cols],
+    place = {f: i for i, f in enumerate(features)}
+    copies = joined.withColumn("_feature", F.explode(F.sequence(F.lit(0), F.lit(len(place))))).select(
+        *[F.when(F.col("_feature") == place[c] + 1, F.col(f"_d{place[c]}")).otherwise(F.col(c)).alias(c) if c in place else F.col(c) for c in cols],
         "_feature",
     )
-    scored = checkpoint(score_frame(copies))
-    aucs = {r["_feature"]: r["auc"] for r in evaluate.roc_auc_by(scored, "_feature", label, "SCORE").collect()}
-    base = aucs[""]
-    return sorted(((f, base - aucs[f]) for f in features), key=lambda t: (-t[1], t[0]))
+    aucs = {r["_feature"]: r["auc"] for r in evaluate.roc_auc_by(score_frame(copies), "_feature", label, "SCORE").collect()}
+    return sorted(((f, aucs[0] - aucs[i + 1]) for f, i in place.items()), key=lambda t: (-t[1], t[0]))
