@@ -8,13 +8,19 @@ array of the row and the top ``k`` kept: one primary reason plus secondary ones.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
-from concurrent.futures import ThreadPoolExecutor
+from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from . import boost as B
+
+SCORED_ROWS = 2048  # rows that are scored together, as they are and once per column
+
 
 @dataclass(frozen=True)
 class Reason:
@@ -73,37 +79,45 @@ def top_reasons(
 
 
 def permutation_drops(
-    df: DataFrame,
-    features: Sequence[str],
-    score_frame: Callable[[DataFrame], DataFrame],
+    matrix: DataFrame,
+    sources: dict[str, Sequence[int]],
+    model: B.Model,
     key: str = "SK_ID_CURR",
     label: str = "TARGET",
     seed: int = 42,
+    features: str = "features",
 ) -> list[tuple[str, float]]:
-    """AUC drop per permuted feature, all features scored in one pass.
-
-    Rows are ranked by two seeded hashes of the key (distributed ranks); the
-    row with rank r donates its values to the row with rank r in the other
-    order. The donor ranking does not depend on the feature, so one join
-    serves all features; one copy of the frame per feature (plus the
-    unpermuted base) is scored together and ``roc_auc_by`` gives every AUC.
-    The copies are made and scored row by row and counted by score at once, so
-    that only the frame beside its donated values and the counts are written.
-    ``score_frame`` must keep the ``_feature`` column (0 for the base, i for the
-    i-th feature) and return ``SCORE``.
+    """AUC drop per permuted source column, all columns scored in one pass.
+
+    ``sources`` names the places in the feature vector that a column fills (an
+    encoded one fills several). Rows are ranked by two seeded hashes of the key
+    (distributed ranks); the row with rank r donates its values to the row with
+    rank r in the other order. The donor ranking does not depend on the column,
+    so one join serves all. A task scores its rows as they are and once per
+    column, by the trees that the column enters; nothing but the counts per score
+    is written, and ``roc_auc_by`` gives every AUC.
     """
-    from ..session import checkpoint
     from . import evaluate, ranks
 
-    by_key = ranks.rank_within(df.withColumn("_all", F.lit(0)), ["_all"], key, seed).withColumnRenamed("_rank", "_r1")
-    donor = ranks.rank_within(df.select(key, *features).withColumn("_all", F.lit(0)), ["_all"], key, seed + 1)
-    donor = donor.select(F.col("_rank").alias("_r1"), *[F.col(f).alias(f"_d{i}") for i, f in enumerate(features)])
-    joined = checkpoint(by_key.drop("_all").join(donor, "_r1"))
-    cols = df.columns
-    place = {f: i for i, f in enumerate(features)}
-    copies = joined.withColumn("_feature", F.explode(F.sequence(F.lit(0), F.lit(len(place))))).select(
-        *[F.when(F.col("_feature") == place[c] + 1, F.col(f"_d{place[c]}")).otherwise(F.col(c)).alias(c) if c in place else F.col(c) for c in cols],
-        "_feature",
-    )
-    aucs = {r["_feature"]: r["auc"] for r in evaluate.roc_auc_by(score_frame(copies), "_feature", label, "SCORE").collect()}
-    return sorted(((f, aucs[0] - aucs[i + 1]) for f, i in place.items()), key=lambda t: (-t[1], t[0]))
+    groups = list(sources.values())
+    bc = matrix.sparkSession.sparkContext.broadcast((model, groups))
+
+    def ranked(s: int, name: str) -> DataFrame:
+        rows = ranks.rank_within(matrix.withColumn("_all", F.lit(0)), ["_all"], key, s)
+        return rows.select("_rank", F.col(label).cast("double").alias("_y"), vector_to_array(features).alias(name))
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        trees, places = bc.value
+        for whole in batches:
+            for at in range(0, whole.num_rows, SCORED_ROWS):
+                b = whole.slice(at, SCORED_ROWS)
+                x, d = B.matrix_of(b.column("x")).copy(), B.matrix_of(b.column("d"))
+                for i, margin in enumerate(trees.margins_with(x, d, places)):
+                    with np.errstate(over="ignore"):
+                        p = B.probability(margin)
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(p), i, np.int32)), b.column("_y"), pa.array(p)], names=["_feature", "_y", "SCORE"])
+
+    joined = ranked(seed, "x").join(ranked(seed + 1, "d").drop("_y"), "_rank").select("_y", "x", "d")
+    scored = joined.mapInArrow(run, "_feature int, _y double, SCORE double")
+    aucs = {r["_feature"]: r["auc"] for r in evaluate.roc_auc_by(scored, "_feature", "_y", "SCORE").collect()}
+    return sorted(((f, aucs[0] - aucs[i + 1]) for i, f in enumerate(sources)), key=lambda t: (-t[1], t[0]))

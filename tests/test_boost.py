@@ -30,6 +30,9 @@ def test_scores_are_those_of_the_distributed_learner(spark, setting, weight):
     model = B.fit(df, B.settings_of(est), "TARGET", weight)
     got = {r[0]: r[1] for r in ML.score(model, df.repartition(3)).select("SK_ID_CURR", "SCORE").collect()}
     assert got.keys() == want.keys() and max(abs(got[k] - want[k]) for k in got) < 1e-9 and len(set(want.values())) > 10
+    # and the distributed learner's trees as they are read from its description
+    read = {r[0]: r[1] for r in ML.score(B.of_mllib(est.fit(df)), df).select("SK_ID_CURR", "SCORE").collect()}
+    assert max(abs(read[k] - want[k]) for k in read) < 1e-12
 
 
 def test_random_numbers_are_the_jvms(spark):
@@ -42,9 +45,9 @@ def test_random_numbers_are_the_jvms(spark):
 def test_one_class_and_groups_of_nodes_beyond_the_memory(spark):
     x, y = table(300)
     s = B.settings_of(ML.gbt(3, 5, 0.1, 1.0, 0.7))
-    whole = B.Model(list(B.learn(x, y, np.ones(300), s)), s.step, s.depth).margin(x)
+    whole = B.Model(list(B.learn(x, y, np.ones(300), s)), s.weights(), s.depth).margin(x)
     assert len(set(whole.tolist())) > 10
-    flat = B.Model(list(B.learn(x, y * 0, np.ones(300), s)), s.step, s.depth).margin(x)
+    flat = B.Model(list(B.learn(x, y * 0, np.ones(300), s)), s.weights(), s.depth).margin(x)
     assert len(set(flat.tolist())) == 1 and flat[0] < 0
     df = frame(spark, x, y)
     est = ML._configure(ML.gbt(3, 5, 0.1, 1.0, 1.0).setMaxMemoryInMB(0), "TARGET", None)  # one node at a time
